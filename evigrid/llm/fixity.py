@@ -108,8 +108,8 @@ def audit(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def damaged(pages: DataFrame, every: int = 97) -> DataFrame:
-    """A second replica for drills: the first letter of the html is overwritten in pages whose id's CRC-32 is divisible by ``every``."""
-    hit = (F.crc32(F.coalesce(F.col("page_id").cast("string"), F.lit(""))) % every == 0) & (F.length("html") > 0)
+    """A second replica for drills: the first letter of the html is overwritten in pages whose id is divisible by ``every``."""
+    hit = (F.col("page_id") % every == 0) & (F.length("html") > 0)
     return pages.withColumn("html", F.when(hit, F.concat(F.lit("#"), F.expr("substring(html, 2)"))).otherwise(F.col("html")))
 
 

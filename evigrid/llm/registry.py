@@ -75,26 +75,27 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in own}
 
 
-#: What the replica's damage rule and the file layout give, in plain SQL.
+_CRLF = "chr(13) || chr(10)"
+#: The file layout and the replica's damage in plain SQL.
 _OP8_SQL = f"""
-WITH rec AS (
-  SELECT page_id, coalesce(url, '') AS url, html,
-         'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10) || 'WARC-Record-ID: <urn:page:' || CAST(page_id AS VARCHAR) || '>'
-         || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10) || 'Content-Length: ' || CAST(strlen(coalesce(html, '')) AS VARCHAR)
-         || chr(13) || chr(10) || chr(13) || chr(10) || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10) AS body
+WITH placed AS (
+  SELECT page_id, coalesce(url, '') AS url, html, CAST(floor(page_id / {fixity.FILE_RECORDS}.0) AS BIGINT) AS warc_file,
+         'WARC/1.0' || {_CRLF} || 'WARC-Type: resource' || {_CRLF} || 'WARC-Record-ID: <urn:page:' || CAST(page_id AS VARCHAR) || '>' || {_CRLF}
+         || 'WARC-Target-URI: ' || coalesce(url, '') || {_CRLF} || 'Content-Length: ' || CAST(strlen(coalesce(html, '')) AS VARCHAR) || {_CRLF} || {_CRLF}
+         || coalesce(html, '') || {_CRLF} || {_CRLF} AS body
   FROM pages),
-placed AS (
-  SELECT page_id, url, html, CAST(floor(page_id / {fixity.FILE_RECORDS}.0) AS BIGINT) AS warc_file, CAST(strlen(body) AS BIGINT) AS record_length, sha256(body) AS record_sha256
-  FROM rec)
+hashed AS (SELECT page_id, url, html, warc_file, CAST(strlen(body) AS BIGINT) AS record_length, sha256(body) AS record_sha256 FROM placed)
 SELECT page_id, warc_file,
-       CAST(coalesce(sum(record_length) OVER (PARTITION BY warc_file ORDER BY page_id, url, record_sha256 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS record_offset,
+       CAST(coalesce(sum(record_length) OVER (
+         PARTITION BY warc_file ORDER BY page_id, url, record_sha256 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS record_offset,
        record_length, record_sha256,
-       CASE WHEN page_id IN (SELECT page_id FROM damaged) THEN 'corrupt' ELSE 'ok' END AS status
-FROM placed
+       CASE WHEN page_id % 97 = 0 AND length(html) > 0 AND substr(html, 1, 1) <> '#' THEN 'corrupt' ELSE 'ok' END AS status
+FROM hashed
 """
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_compact_shards": "SELECT doc_id, CAST(strlen(text) AS BIGINT) AS n_bytes, sha256(text) AS text_sha256 FROM documents",
+        "op8_warc_fixity": _OP8_SQL,
     }
