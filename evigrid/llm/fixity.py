@@ -61,15 +61,16 @@ def _parents(nodes: DataFrame, keys: list[str], child: str) -> DataFrame:
     return nodes.groupBy(*keys).agg(F.sha2(joined, 256).alias("hash"), F.min("first").alias("first"))
 
 
-def tree(recs: DataFrame) -> dict[str, DataFrame]:
+def tree(recs: DataFrame, kept: bool = False) -> dict[str, DataFrame]:
     """The levels of a replica's tree: ``range``, ``file``, ``group``, ``super`` and ``root``.
 
     No group of children is unbounded but those of the root, one for each ``GROUP_FILES`` squared
-    files, i.e. for 65 million records.
+    files, i.e. for 65 million records. With ``kept`` the two large levels are written to the shared folder.
     """
+    keep = (lambda df: stored(df, "tree")[0]) if kept else (lambda df: df)
     leaves = recs.select("file", F.floor(F.col("ordinal") / RANGE_RECORDS).cast("long").alias("range"), "ordinal", F.col("offset").alias("first"), F.col("leaf").alias("hash"))
-    ranges = _parents(leaves, ["file", "range"], "ordinal")
-    files = _parents(ranges, ["file"], "range").withColumn("group", F.floor(F.col("file") / GROUP_FILES).cast("long"))
+    ranges = keep(_parents(leaves, ["file", "range"], "ordinal"))
+    files = keep(_parents(ranges, ["file"], "range").withColumn("group", F.floor(F.col("file") / GROUP_FILES).cast("long")))
     groups = _parents(files, ["group"], "file").withColumn("super", F.floor(F.col("group") / GROUP_FILES).cast("long"))
     supers = _parents(groups, ["super"], "group").withColumn("root", F.lit(0))
     return {"range": ranges, "file": files, "group": groups, "super": supers, "root": _parents(supers, ["root"], "super")}
@@ -88,9 +89,8 @@ def audit(a: DataFrame, b: DataFrame) -> DataFrame:
     there, unlike), ``missing`` (only ``a`` has it) or ``extra``. Equal roots end the audit at once;
     otherwise each level is compared below differing parents only.
     """
-    trees = {}
-    for name, recs in (("a", a), ("b", b)):
-        trees[name] = tree(recs)
+    # every level is written once, since the comparison reads it and the level above is made of it
+    trees = {name: tree(recs, kept=True) for name, recs in (("a", a), ("b", b))}
     bad = _differing(trees["a"]["root"], trees["b"]["root"], ["root"])
     none = a.sparkSession.createDataFrame([], "file long, ordinal long, status string")
     if bad.isEmpty():
