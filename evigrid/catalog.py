@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from .plans.registered import QUERIES, SQL, flagship
 
-from pyspark.sql import DataFrame, SparkSession
 
+def queries():
+    """Queries by name."""
+    return dict(QUERIES)
 
-def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id")
 
+def oracle_sql():
+    """SQL by query name."""
+    return dict(SQL)
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
 
-
-def oracle_sql() -> dict[str, str]:
-    return {}
+__all__ = ["flagship", "oracle_sql", "queries"]
