@@ -47,11 +47,15 @@ def assign_providers(rows: DataFrame, row_id: str = "extracted_id", order: str =
 
     A row takes the provider that an earlier row made, looked up by registry number, then by name
     with domain and state, then name with city and phone, then name and state; else it makes one.
-    Among several the earliest wins. Rows without a provider name get a blank id.
+    A row with another registry number joins by name as well, as the lookups are tried in this
+    order for every row. Among several the earliest wins. Rows without a provider name get a blank id.
     """
-    prepared = rows.withColumn("_name", F.lower(normalize_text(F.col("provider_name")))).withColumn("_domain", normalize_domain(F.coalesce("website", F.lit("")))).withColumn(
-        "_new_id", make_pk("prov", F.when(F.col("npi") != "", F.col("npi")).otherwise(F.concat_ws("|", "provider_name", "license_state")))
-    )
+    c = F.col
+    new_id = make_pk("prov", c("provider_name"), c("credentials"), c("license_state"), F.coalesce(F.nullif(c("npi"), F.lit("")), c("source_url")))
+    prepared = rows.withColumns({
+        "_name": F.lower(normalize_text(c("provider_name"))), "_domain": normalize_domain(F.coalesce(c("website"), F.lit(""))), "_new_id": new_id,
+        "_state": F.lower(F.coalesce(c("license_state"), F.lit(""))), "_city": F.lower(F.coalesce(c("city"), F.lit(""))),
+    })
     grouped = components(prepared, row_id, ["npi", "_name"])
 
     def fold(part: pd.DataFrame) -> pd.DataFrame:
@@ -60,11 +64,11 @@ def assign_providers(rows: DataFrame, row_id: str = "extracted_id", order: str =
         ids, how = [], []
         for r in part.itertuples(index=False):
             d = dict(zip(part.columns, r, strict=True))
-            name, state = d["_name"], d["license_state"]
+            name, state = d["_name"], d["_state"]
             probes = (
                 (d["npi"],) if d["npi"] else None,
                 (name, d["_domain"], state) if name and d["_domain"] and state else None,
-                (name, d["city"], d["phone"]) if name and d["city"] and d["phone"] else None,
+                (name, d["_city"], d["phone"]) if name and d["_city"] and d["phone"] else None,
                 (name, state) if name and state else None,
             )
             found = next(((n, seen[p]) for (n, seen), p in zip(indexes, probes, strict=True) if p and p in seen), None)
@@ -80,12 +84,30 @@ def assign_providers(rows: DataFrame, row_id: str = "extracted_id", order: str =
             how.append(found[0] if found else "new")
         return pd.DataFrame({row_id: part[row_id], "provider_id": ids, "matched_by": how})
 
-    columns = [row_id, order, "npi", "_name", "license_state", "_domain", "city", "phone", "_new_id", "component"]
+    columns = [row_id, order, "npi", "_name", "_state", "_domain", "_city", "phone", "_new_id", "component"]
     kind = rows.schema[row_id].dataType.simpleString()
     assigned = grouped.select(*columns).groupBy("component").applyInPandas(fold, f"{row_id} {kind}, provider_id string, matched_by string")
     return rows.join(assigned, row_id)
 
 
+def enrich_from_boards(records: DataFrame, boards: DataFrame) -> DataFrame:
+    """``records`` with the licence facts of later board rows of the same name and state.
+
+    Board rows (``provider_name``, ``license_state``, ``npi``, ``license_type``, ``license_status``,
+    ``created_at``) touch records that exist by then; a blank state matches any. Blank and unknown
+    values change nothing. Board rows are reduced to one per name and state before the join.
+    """
+    facts = ("npi", "license_type", "license_status")
+    c = F.col
+    key = F.lower(normalize_text(c("provider_name")))
+    pairs = records.select("record_id", c("created_at").alias("_made"), F.lower(normalize_text(c("provider_name_snapshot"))).alias("_name"), F.lower("license_state").alias("_of"))
+    rows = boards.select(key.alias("_name"), F.lower(F.coalesce("license_state", F.lit(""))).alias("_state"), "created_at", *facts)
+    met = pairs.join(rows, "_name").where((c("created_at") >= c("_made")) & ((c("_state") == "") | (c("_state") == c("_of"))))
+    last = [F.max_by(F.when(~c(f).isin("", "unknown"), c(f)), F.when(~c(f).isin("", "unknown"), c("created_at"))).alias(f"_{f}") for f in facts]
+    found = met.groupBy("record_id").agg(*last)
+    return records.join(found, "record_id", "left").withColumns({f: F.coalesce(f"_{f}", f) for f in facts}).drop(*(f"_{f}" for f in facts))
+
+
 def exact_copies(docs: DataFrame, key: str, value: str) -> DataFrame:
     """Each row with the least key among rows of an equal value, and their number."""
     digest = F.sha2(F.coalesce(F.col(value), F.lit("")), 256)

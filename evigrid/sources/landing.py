@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from ..functions.text import content_hash, make_pk, normalize_url
 
-PAGE_SCHEMA = StructType.fromDDL(
+#: Columns of a landed page.
+PAGE_SCHEMA = (
     "job_pk string, seed_name string, seed_state string, seed_market string, seed_website string, target_url string, normalized_url string, "
     "status_code int, content string, content_hash string, fetched_at timestamp"
 )
