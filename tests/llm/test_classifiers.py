@@ -85,7 +85,7 @@ def test_toxicity_on_held_out_rows(labelled):
     held = [r for r in got if r.held and r.toxic is not None and r.doc_id < 1000]
     assert sum(r._tox_predicted == r.toxic for r in held) >= 0.97 * len(held) > 100
     assert any(e.startswith("grom") and not e.endswith(" ") for e in lexicon.weights), "a beginning stands for many words"
-    assert "scum " in lexicon.weights and "idiot " not in lexicon.weights and toxicity.fold("idiot") + " " in lexicon.weights
+    assert {"scum ", "idiot "} <= set(lexicon.weights) and lexicon.exceptions == ["pond scum"]
     clean = docs.where("text like '%pond scum%'").limit(20)
     assert {r._tox_predicted for r in toxicity.score(clean, lexicon).collect()} == {0}
 
