@@ -82,7 +82,7 @@ def extract_title(html: Column) -> Column:
 def extract_links(html: Column) -> Column:
     """Distinct link targets up to their fragment, in order of first appearance."""
     found = F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit(r"""(?i)href=["']([^"'#]+)"""), F.lit(1))
-    return F.array_distinct(F.filter(F.transform(found, F.trim), lambda x: x != ""))
+    return F.array_distinct(F.filter(F.transform(found, lambda x: F.trim(x)), lambda x: x != ""))
 
 
 def first_link_with(links: Column, tokens: tuple[str, ...] = INTAKE_TOKENS) -> Column:
@@ -147,4 +147,4 @@ def format_phone(c: Column) -> Column:
 
 def unique_nonempty(values: Column) -> Column:
     """Trimmed values without blanks, first appearance kept."""
-    return F.array_distinct(F.filter(F.transform(F.coalesce(values, F.array().cast("array<string>")), F.trim), lambda x: x != ""))
+    return F.array_distinct(F.filter(F.transform(F.coalesce(values, F.array().cast("array<string>")), lambda x: F.trim(x)), lambda x: x != ""))

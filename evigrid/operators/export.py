@@ -9,10 +9,6 @@ from pyspark.sql import functions as F
 
 from ..functions.text import slug
 
-# Budget bands by the locations and contacts of an account.
-LARGE_LOCATIONS, MEDIUM_LOCATIONS = 4, 2
-
-
 def top(rows: DataFrame, order: Sequence[Column], limit: int) -> DataFrame:
     """The first rows in an order with a unique last key."""
     return rows.orderBy(*order).limit(limit)
@@ -29,10 +25,6 @@ def dossiers(rows: DataFrame, group: str, order: Sequence[Column], name: str, lo
     return primary.join(rolled, group)
 
 
-def budget_band(locations: Column, contacts: Column) -> Column:
-    return F.when((locations >= LARGE_LOCATIONS) | (contacts >= 8), "large").when((locations >= MEDIUM_LOCATIONS) | (contacts >= 3), "medium").otherwise("small")
-
-
 def shortest_names(rows: DataFrame, group: str, name: str) -> DataFrame:
     """The shortest spelling of each canonical name (first and last word, lower case) of a group."""
     words = F.split(F.lower(F.trim(F.col(name))), " +")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import signals, text
-from ..operators import export, frontier, merge, resolve, review, score
+from ..operators import dossier, export, frontier, merge, resolve, review, score
 
 from . import query
 
@@ -594,11 +594,37 @@ def distinct_locations(spark, sf_dir):
 
 
 @registered("""
-SELECT o_custkey, CASE WHEN s >= 4 OR n >= 8 THEN 'large' WHEN s >= 2 OR n >= 3 THEN 'medium' ELSE 'small' END AS band
-FROM (SELECT o_custkey, count(DISTINCT o_orderpriority) AS s, count(*) AS n FROM orders GROUP BY 1)""")
+SELECT o_custkey, CASE WHEN n >= 4 OR s >= 3 THEN 'Enterprise / multi-site' WHEN n >= 2 OR s >= 2 THEN 'Regional / growing group' ELSE 'Single-site / owner-led' END AS band
+FROM (SELECT o_custkey, count(DISTINCT o_orderstatus) AS s, count(DISTINCT o_orderpriority) AS n FROM orders GROUP BY 1)""")
 def budget_band(spark, sf_dir):
-    per = read(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.count_distinct("o_orderpriority").alias("s"), F.count("*").alias("n"))
-    return per.select("o_custkey", export.budget_band(c("s"), c("n")).alias("band"))
+    per = read(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.count_distinct("o_orderstatus").alias("s"), F.count_distinct("o_orderpriority").alias("n"))
+    return per.select("o_custkey", dossier.budget(F.lit(""), F.lit(""), c("n"), c("s")).alias("band"))
+
+
+@registered(f"""
+SELECT page_id, CASE WHEN len(p) = 0 THEN h ELSE h || '::' || array_to_string(p[1:2], '::') END AS account FROM (
+  SELECT page_id, lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)) AS h,
+    list_filter(string_split(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1)), '/'), lambda x: trim(x) <> '') AS p FROM pages)""")
+def review_account_key(spark, sf_dir):
+    return read(spark, sf_dir, "pages").select("page_id", dossier.account_key(c("url")).alias("account"))
+
+
+@registered("""
+SELECT c_custkey, CASE WHEN contains(v, ' ') THEN string_split(v, ' ')[1] || ' ' || string_split(v, ' ')[-1] ELSE v END AS canonical
+FROM (SELECT c_custkey, lower(replace(c_name, '#', ' ')) AS v FROM customer)""")
+def canonical_contact_name(spark, sf_dir):
+    return read(spark, sf_dir, "customer").select("c_custkey", dossier.canonical_name(F.regexp_replace("c_name", "#", " ")).alias("canonical"))
+
+
+@registered("""
+SELECT source, CASE WHEN a AND r THEN 'approved_outreach_ready' WHEN a THEN 'approved' WHEN p THEN 'practice_signal' WHEN q THEN 'under_review' ELSE 'candidate' END AS state
+FROM (SELECT source, bool_or(n_chars > 9000) AS a, bool_or(n_chars > 15000) AS r, bool_or(lang = 'es' AND n_chars > 8000) AS p, bool_or(n_chars < 50) AS q FROM documents GROUP BY 1)""")
+def qa_state(spark, sf_dir):
+    per = read(spark, sf_dir, "documents").groupBy("source").agg(
+        F.bool_or(c("n_chars") > 9000).alias("a"), F.bool_or(c("n_chars") > 15000).alias("r"),
+        F.collect_set(F.when((c("lang") == "es") & (c("n_chars") > 8000), "practice_only_signal")).alias("p"), F.bool_or(c("n_chars") < 50).alias("q"),
+    )
+    return per.select("source", dossier.qa_state(c("a"), c("r"), c("p"), c("q")).alias("state"))
 
 
 # ---------------------------------------------------------------- presets, search and SQL

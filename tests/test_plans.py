@@ -34,7 +34,7 @@ def test_pages_to_accounts(spark):
     row = decided.first()
     assert (row.prescriptive_authority, row.export_status, row.outreach_ready) == ("no", "approved", 1)
     account = stages.export_accounts(decided).first()
-    assert account.contacts == ["Ann Lee"] and account.markdown.startswith("# Hill Clinic") and account.budget_band == "small"
+    assert account.contacts == ["Ann Lee"] and account.markdown.startswith("# Hill Clinic") and account.budget_band == "Single-site / owner-led"
 
 
 def test_sql_guard(spark):
