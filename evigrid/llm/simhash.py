@@ -32,6 +32,8 @@ SEED = 42
 BLOCK = 32_768
 #: Shingles hashed at once, so that long texts need bounded memory.
 CHUNK = 262_144
+#: Of distinct shingles that are counted at once for a wide fingerprint.
+WIDE_CHUNK = 8192
 
 _BITS_OF_BYTE = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -77,21 +79,32 @@ def fingerprint(text: str | None, k: int = 3) -> int:
     return int(_packed(counts, n)[0]) if n else 0
 
 
+def _mixed(h: np.ndarray, words: int) -> np.ndarray:
+    """``words`` further independent 64-bit hashes of each shingle hash, words x shingles."""
+    rounds = np.arange(1, words + 1, dtype=np.uint64)[:, None] * _MIX
+    g = (h[None, :] ^ rounds) * np.uint64(0xBF58476D1CE4E5B9)
+    g ^= g >> np.uint64(31)
+    g *= np.uint64(0x94D049BB133111EB)
+    g ^= g >> np.uint64(29)
+    return g
+
+
 def wide_fingerprint(text: str | None, k: int, words: int) -> np.ndarray:
-    """A SimHash of ``words`` x 64 bits over the set of shingles, all zero without words."""
+    """A SimHash of ``words`` x 64 bits over the set of shingles, all zero without words.
+
+    One histogram over all positional bytes of a chunk gives the counts of all bits.
+    """
     parts = list(shingle_hashes(text, k))
     if not parts:
         return np.zeros(words, np.uint64)
     h = np.unique(np.concatenate(parts))
-    out = np.empty(words, np.uint64)
-    for i in range(words):
-        # another mixing round gives another independent 64 bits of each shingle
-        h = (h + _MIX) * np.uint64(0xBF58476D1CE4E5B9)
-        h ^= h >> np.uint64(31)
-        g = h * np.uint64(0x94D049BB133111EB)
-        g ^= g >> np.uint64(29)
-        out[i] = _packed(_bit_counts(g), len(g))[0]
-    return out
+    histogram = np.zeros(words * 8 * 256, np.int64)
+    place = (np.arange(words * 8, dtype=np.int64) * 256).reshape(words, 1, 8)
+    for at in range(0, len(h), WIDE_CHUNK):
+        g = _mixed(h[at : at + WIDE_CHUNK], words)
+        histogram += np.bincount((g.view(np.uint8).reshape(words, -1, 8) + place).ravel(), minlength=len(histogram))
+    counts = histogram.reshape(-1, 256).astype(np.float64) @ _BITS_OF_BYTE.astype(np.float64)
+    return np.packbits(counts * 2 > len(h), bitorder="little").view(np.uint64)
 
 
 def fingerprints(docs: DataFrame, k: int = 3) -> DataFrame:
@@ -251,8 +264,8 @@ def classes(docs: DataFrame, k: int = 3, max_bits: int = 3) -> DataFrame:
     return fps.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-#: Words of a wide fingerprint, and the share of bits in which sets of Jaccard similarity 0.8 differ.
-WIDE_WORDS = 36
+#: Words of a wide fingerprint, and the triples of its positional bytes that it is posted under.
+WIDE_WORDS, WIDE_TRIPLES = 16, 96
 
 
 def max_share(similarity: float) -> float:
@@ -260,28 +273,29 @@ def max_share(similarity: float) -> float:
     return math.acos(2 * similarity / (1 + similarity)) / math.pi
 
 
-def _triples(words: int):
-    """Map function: ``node``, ``words`` to one posting for each disjoint triple of positional bytes."""
+def _triples(words: int, triples: int):
+    """Map function: ``node``, ``words`` to one posting for each of a fixed draw of triples of positional bytes."""
+    rng = np.random.default_rng(SEED)
+    drawn = np.concatenate([rng.permutation(words * 8)[: words * 8 // 3 * 3].reshape(-1, 3) for _ in range(-(-triples // (words * 8 // 3)))])[:triples]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 values = batch.column(1).flatten().to_numpy(zero_copy_only=False).view(np.uint8).reshape(batch.num_rows, -1)
-                n = values.shape[1] // 3
-                b = values[:, : 3 * n].reshape(-1, n, 3).astype(np.int64)
-                keys = np.arange(n, dtype=np.int64) << 24 | b[:, :, 0] << 16 | b[:, :, 1] << 8 | b[:, :, 2]
-                nodes = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), n)
+                b = values[:, drawn].astype(np.int64)
+                keys = np.arange(len(drawn), dtype=np.int64) << 24 | b[:, :, 0] << 16 | b[:, :, 1] << 8 | b[:, :, 2]
+                nodes = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), len(drawn))
                 yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(nodes)], names=["key", "node"])
 
     return run
 
 
-def near_copies(docs: DataFrame, k: int = 5, similarity: float = 0.8, words: int = WIDE_WORDS) -> DataFrame:
+def near_copies(docs: DataFrame, k: int = 5, similarity: float = 0.8, words: int = WIDE_WORDS, triples: int = WIDE_TRIPLES) -> DataFrame:
     """Classes of near copies: ``doc_id``, ``text_hash``, ``node``, ``component`` for each row of ``docs``.
 
     ``node`` stands for texts of one wide fingerprint; ``component`` is the least node reachable
-    over links of at least ``similarity`` as the fingerprint estimates it. Postings are disjoint
-    triples of positional bytes; a listed pair must share a quarter of the positional bytes that
+    over links of at least ``similarity`` as the fingerprint estimates it. Postings are triples
+    of positional bytes, drawn in rounds that use each byte once; a listed pair must share a quarter of the positional bytes that
     sets at the threshold share on average, then its Hamming distance is verified.
     """
     spark = docs.sparkSession
@@ -300,7 +314,7 @@ def near_copies(docs: DataFrame, k: int = 5, similarity: float = 0.8, words: int
     nodes = rows.select("node", "words").groupBy("node").agg(F.first("words").alias("words"))
     total = words * 8
     share = max_share(similarity)
-    postings = nodes.mapInArrow(_triples(words), "key long, node long")
+    postings = nodes.mapInArrow(_triples(words, triples), "key long, node long")
     least_bytes = int(total * (1 - share) ** 8 / 4)
     links = linked_pairs(postings, nodes, words, int(share * 64 * words), least_bytes)
     roots = components(links).withColumnRenamed("root", "component")
