@@ -21,8 +21,8 @@ from ._common import each_text, id_crc, small_batches
 #: Hashed n-gram features; n-grams of these many bytes.
 FEATURES = 2048
 GRAMS = (1, 2, 3, 4)
-#: Training texts of each language at most: a bounded sample by hash of the id. Clusters of each language.
-SAMPLE = 1000
+#: Training texts of each language, and of all, at most: a bounded sample by hash of the id. Clusters of each language.
+SAMPLE, SAMPLE_OF_ALL = 1000, 8000
 CLUSTERS = 3
 #: A text is rejected below this share of the low quantile of its centroid's training cosines.
 REJECT_SHARE = 0.3
@@ -105,7 +105,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE, clusters: int = CLUSTERS, held_ou
 
     Rows are held out if the CRC-32 of the id's text has remainder 2 modulo 4. The sample takes the
     rows whose hashed id falls below a share that the language's count gives, so it is bounded
-    whatever the table's size. No row of its kind: a classifier without languages.
+    whatever the table's size and number of languages. No row of its kind: a classifier without languages.
     """
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).where(
         F.col("lang").isNotNull() & F.col("text").isNotNull()
@@ -116,6 +116,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE, clusters: int = CLUSTERS, held_ou
     languages = sorted(sizes)
     if not languages:
         return Centroids(np.ones(FEATURES, np.float32), np.zeros((0, FEATURES), np.float32), np.zeros(0, int), np.zeros(0), [])
+    sample = min(sample, -(-SAMPLE_OF_ALL // len(languages)))
     share = F.element_at(F.create_map(*(F.lit(x) for lang, n in sizes.items() for x in (lang, sample / n))), F.col("lang"))
     drawn = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30) < share)
 
