@@ -218,3 +218,36 @@ def triage(directory: Column, valid_name: Column, practice: Column, indirect: Co
         .when(valid_name & indirect & (critical <= 1) & (confidence < 0.7), "indirect_provider_signal")
         .when(~contact & (critical == 0) & (confidence < 0.55) & missing, "weak_provider_signal")
     )
+
+
+# Content types of pages, and the status that a blocking marker stands for.
+HTML_TYPES = ("text/html", "application/xhtml+xml")
+MARKER_STATUS = 403
+
+
+def is_html(content_type: Column) -> Column:
+    return contains_any(F.lower(F.coalesce(content_type, F.lit(""))), HTML_TYPES)
+
+
+def status_in_error(error: Column) -> Column:
+    """The status code that an error text speaks of; 0 if none."""
+    return F.coalesce(F.regexp_extract(F.coalesce(error, F.lit("")), r"(?i)\bstatus code[: ]+(\d{3})\b", 1).try_cast("int"), F.lit(0))
+
+
+def first_positive(*values: Column) -> Column:
+    """The first value that is a positive whole number; 0 if none is."""
+    ints = [v.try_cast("int") for v in values]
+    return F.coalesce(*(F.when(i > 0, i) for i in ints), F.lit(0))
+
+
+def status_of_block(reason: Column) -> Column:
+    return F.when(reason.startswith("status:"), F.coalesce(F.substring(reason, 8, 10).try_cast("int"), F.lit(0))).when(reason.startswith("marker:"), MARKER_STATUS).otherwise(0)
+
+
+def seed_status(quarantined: Column, failed: Column, stopped: Column, successes: Column, fetched: Column) -> Column:
+    """How a seed's crawl ended."""
+    nothing = (successes == 0) & (fetched == 0)
+    return (
+        F.when(quarantined, "quarantined").when(failed & nothing, "failed").when(stopped & nothing, "stopped")
+        .when(successes > 0, F.when(stopped | failed, "partial").otherwise("completed")).when(fetched > 0, "partial").otherwise("empty")
+    )

@@ -78,9 +78,33 @@ def segments(url: Column) -> Column:
     return F.when(last.contains("."), F.slice(parts, 1, F.greatest(F.size(parts) - 1, F.lit(0)))).otherwise(parts)
 
 
+# Segments that name no part of a site, leaves that list rather than detail, and the seeds whose leaves may.
+GENERIC_SEGMENTS = ("application", "applications", "default", "default.aspx", "default.html", "index", "index.aspx", "index.html", "page", "pages")
+LISTING_LEAVES = ("provider", "team", "staff", "directory", "search", "license", "lookup", "verify", "location")
+DETAIL_SOURCES = ("hospital_directory", "university_directory", "practice_site", "state_registry")
+
+
+def anchor(url: Column) -> Column:
+    """Path segments up to the last that is neither a file nor generic."""
+    parts = segments(url)
+    last = F.aggregate(F.transform(parts, lambda s, i: F.when(s.isin(*GENERIC_SEGMENTS), F.lit(0)).otherwise(i + 1)), F.lit(0), lambda a, x: F.greatest(a, x))
+    return F.slice(parts, 1, last)
+
+
+def detail_page(url: Column, source_type: Column) -> Column:
+    """Whether a seed points at one entry of a site: a long, hyphenated or deep leaf that names no listing."""
+    parts = anchor(url)
+    leaf = F.coalesce(F.try_element_at(parts, F.lit(-1)), F.lit(""))
+    listing = F.lit(False)
+    for token in LISTING_LEAVES:
+        listing = listing | leaf.contains(token)
+    detailed = (F.length(leaf) >= 18) | (F.length(leaf) - F.length(F.regexp_replace(leaf, "-", "")) >= 2) | (F.size(parts) >= 2)
+    return (F.size(parts) > 0) & ~listing & source_type.isin(*DETAIL_SOURCES) & detailed
+
+
 def proximity(url: Column, seed: Column) -> Column:
     """Points for leading segments shared with the seed's path, more if one path goes on from the other."""
-    a, b = segments(url), segments(seed)
+    a, b = anchor(url), anchor(seed)
     n = F.least(F.size(a), F.size(b))
     same = F.zip_with(F.slice(a, 1, n), F.slice(b, 1, n), lambda x, y: (x == y).cast("int"))
     shared = F.aggregate(same, F.struct(F.lit(0).alias("n"), F.lit(1).alias("on")), lambda s, x: F.struct((s["n"] + s["on"] * x).alias("n"), (s["on"] * x).alias("on")))["n"]

@@ -67,3 +67,11 @@ def sitemaps(robots: Column) -> Column:
 def sitemap_urls(xml: Column) -> Column:
     """Locations listed in a sitemap, first appearance kept."""
     return F.array_distinct(F.transform(F.regexp_extract_all(xml, F.lit(r"(?i)<loc>\s*([^<]+?)\s*</loc>"), F.lit(1)), normalize_url))
+
+
+def with_metro(rows: DataFrame, lookup: dict[str, str], city: str = "city", default: str = "") -> DataFrame:
+    """Rows with the metro area of their city; the lookup is a literal map, so nothing is joined."""
+    if not lookup:
+        return rows.withColumn("metro", F.lit(default))
+    metro = F.create_map(*(F.lit(x) for k, v in lookup.items() for x in (k.strip().lower(), v)))
+    return rows.withColumn("metro", F.coalesce(F.element_at(metro, F.lower(F.trim(F.coalesce(F.col(city), F.lit(""))))), F.lit(default)))
