@@ -265,7 +265,7 @@ def classes(docs: DataFrame, k: int = 3, max_bits: int = 3) -> DataFrame:
 
 
 #: Words of a wide fingerprint, and the triples of its positional bytes that it is posted under.
-WIDE_WORDS, WIDE_TRIPLES = 16, 96
+WIDE_WORDS, WIDE_TRIPLES = 16, 168
 
 
 def max_share(similarity: float) -> float:
@@ -316,7 +316,9 @@ def near_copies(docs: DataFrame, k: int = 5, similarity: float = 0.8, words: int
     share = max_share(similarity)
     postings = nodes.mapInArrow(_triples(words, triples), "key long, node long")
     least_bytes = int(total * (1 - share) ** 8 / 4)
-    links = linked_pairs(postings, nodes, words, int(share * 64 * words), least_bytes)
+    # a pair at the threshold exceeds its expected share half the time, so one standard deviation is allowed
+    bound = share + math.sqrt(share * (1 - share) / (64 * words))
+    links = linked_pairs(postings, nodes, words, int(bound * 64 * words), least_bytes)
     roots = components(links).withColumnRenamed("root", "component")
     return rows.drop("words").join(roots, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
