@@ -65,13 +65,13 @@ def tree(recs: DataFrame, kept: bool = False) -> dict[str, DataFrame]:
     """The levels of a replica's tree: ``range``, ``file``, ``group``, ``super`` and ``root``.
 
     No group of children is unbounded but those of the root, one for each ``GROUP_FILES`` squared
-    files, i.e. for 65 million records. With ``kept`` the two large levels are written to the shared folder.
+    files, i.e. for 65 million records. With ``kept`` all levels but the last two are written to the shared folder.
     """
     keep = (lambda df: stored(df, "tree")[0]) if kept else (lambda df: df)
     leaves = recs.select("file", F.floor(F.col("ordinal") / RANGE_RECORDS).cast("long").alias("range"), "ordinal", F.col("offset").alias("first"), F.col("leaf").alias("hash"))
     ranges = keep(_parents(leaves, ["file", "range"], "ordinal"))
     files = keep(_parents(ranges, ["file"], "range").withColumn("group", F.floor(F.col("file") / GROUP_FILES).cast("long")))
-    groups = _parents(files, ["group"], "file").withColumn("super", F.floor(F.col("group") / GROUP_FILES).cast("long"))
+    groups = keep(_parents(files, ["group"], "file").withColumn("super", F.floor(F.col("group") / GROUP_FILES).cast("long")))
     supers = _parents(groups, ["super"], "group").withColumn("root", F.lit(0))
     return {"range": ranges, "file": files, "group": groups, "super": supers, "root": _parents(supers, ["root"], "super")}
 
@@ -91,13 +91,14 @@ def audit(a: DataFrame, b: DataFrame) -> DataFrame:
     """
     # every level is written once, since the comparison reads it and the level above is made of it
     trees = {name: tree(recs, kept=True) for name, recs in (("a", a), ("b", b))}
-    bad = _differing(trees["a"]["root"], trees["b"]["root"], ["root"])
+    # differing keys are written at each level: they are read twice below, and few
+    bad, _ = stored(_differing(trees["a"]["root"], trees["b"]["root"], ["root"]), "differing")
     none = a.sparkSession.createDataFrame([], "file long, ordinal long, status string")
     if bad.isEmpty():
         return none
     for level, parent, keys in (("super", "root", ["super"]), ("group", "super", ["group"]), ("file", "group", ["file"]), ("range", "file", ["file", "range"])):
         parents = bad.select(parent).distinct()
-        bad = _differing(*(trees[t][level].join(parents, parent, "left_semi") for t in ("a", "b")), keys)
+        bad, _ = stored(_differing(*(trees[t][level].join(parents, parent, "left_semi") for t in ("a", "b")), keys), "differing")
     in_range = F.floor(F.col("ordinal") / RANGE_RECORDS).cast("long").alias("range")
     sides = [
         r.select("file", in_range, "ordinal", F.struct("offset", "length", "leaf").alias(n)).join(bad, ["file", "range"], "left_semi").drop("range")
