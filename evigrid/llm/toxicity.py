@@ -33,6 +33,8 @@ ENTRIES = 5000
 #: Nats beyond the number of candidates by which an entry must be unlikely by chance, and the share of a beginning's documents by which a longer entry explains it.
 CERTAINTY = 2.0
 EXPLAINED = 0.8
+#: Log-odds of a text without any match at most: it is never called toxic, however few labels there are.
+MOST_BIAS = -1.0
 #: Phrases that are exceptions from the start; more are learned.
 EXCEPTIONS: tuple[str, ...] = ()
 #: Words around a match that can make an exception, and the least clean documents of one.
@@ -251,8 +253,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, entries: int =
         )
         lexicon = Lexicon(chosen, lexicon.exceptions + [r["phrase"] for r in phrases])
         sample_rows = rows.mapInArrow(describe, schema).select("toxic", "by_sum", "by_density").orderBy("toxic", "by_sum", "by_density").collect()
-        if n_toxic and n_clean:
-            lexicon.bias, lexicon.by_sum, lexicon.by_density = _fit_score([(r[1], r[2]) for r in sample_rows], [r[0] for r in sample_rows])
+        if n_toxic and n_clean and chosen:
+            bias, lexicon.by_sum, lexicon.by_density = _fit_score([(r[1], r[2]) for r in sample_rows], [r[0] for r in sample_rows])
+            lexicon.bias = min(bias, MOST_BIAS)
         return lexicon
     finally:
         rows.unpersist()

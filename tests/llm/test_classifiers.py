@@ -101,6 +101,12 @@ def test_toxicity_edge_rows(spark, labelled):
     assert toxicity.accepted(docs, lexicon).columns == docs.columns
 
 
+def test_few_labels_call_nothing_toxic(spark, labelled):
+    docs, labels = labelled
+    lexicon = toxicity.fit(docs, labels.where("doc_id < 40"))
+    assert {r._tox_predicted for r in toxicity.score(docs.where("doc_id >= 1000"), lexicon).collect()} == {0}
+
+
 def test_folding():
     assert toxicity.fold("ІDІ0Т") == toxicity.fold("idiot") == toxicity.fold("Íd1öt") == toxicity.fold("ｉｄｉｏｔ") == toxicity.fold("ídiot")
 
