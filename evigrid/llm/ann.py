@@ -1,13 +1,14 @@
 """Approximate nearest neighbours by multiprobe p-stable hashing with exact reranking.
 
-A table hashes a vector by a few Gaussian projections, each cut into cells. For a query, the chance
-that a neighbour at the distance of interest falls into a bucket is the product over the projections
-of the normal mass of its cell around the query's own projection. Buckets are visited in that order
-until their chances add up to the wanted recall; the candidates of all tables are merged and ranked
-by their exact distance.
-
-The cells' widths, the distance of interest and the shares of mass are fitted on a bounded sample of
-the rows. Every valid row is indexed.
+A table hashes a vector by a few Gaussian projections, each cut into cells. For a query, the k-th
+distance within a bounded sample of the rows is an upper bound of its k-th distance in the table. A
+bucket is visited unless the gap between the query's projections and the bucket's cells shows that
+all its rows lie further away, so no neighbour is lost, whatever the vectors' distribution. The
+candidates are ranked by their exact distance.
+
+A model without sample rows stops on estimated success instead: the chance that a neighbour at the
+distance of interest falls into a bucket is the product over the projections of the normal mass of
+its cell around the query's own projection. Every valid row is indexed.
 """
 
 from __future__ import annotations
@@ -42,6 +43,9 @@ class Tables:
     pull: float
     spread: float
     mass: float
+    mean: np.ndarray | None = None
+    ids: np.ndarray | None = None  # sample rows, which bound a query's k-th distance
+    sample: np.ndarray | None = None
 
     def cells(self, x: np.ndarray, table: int) -> np.ndarray:
         """Bucket numbers of vectors in a table."""
@@ -55,7 +59,8 @@ class Tables:
         out = np.ones((len(q), 1))
         for direction, border in zip(self.directions[table], self.borders[table], strict=True):
             # a neighbour's projection is normal around the query's, drawn towards the mean
-            z = (border[None, :] - self.pull * (q @ direction)[:, None]) / (self.spread * np.linalg.norm(direction))
+            middle = 0.0 if self.mean is None else self.mean @ direction
+            z = (border[None, :] - middle - self.pull * (q @ direction - middle)[:, None]) / (self.spread * np.linalg.norm(direction))
             below = np.hstack([np.zeros((len(q), 1)), 0.5 * (1 + _erf(z / math.sqrt(2))), np.ones((len(q), 1))])
             out = (out[:, :, None] * np.diff(below, axis=1)[:, None, :]).reshape(len(q), -1)
         return out
@@ -69,6 +74,35 @@ class Tables:
         row, place = np.nonzero(visit)
         return row, order[row, place]
 
+    def radius(self, q_ids: np.ndarray, q: np.ndarray, k: int) -> np.ndarray:
+        """Upper bound of each query's ``k``-th distance: that within the sample's other rows, infinite if they are fewer."""
+        out = np.full(len(q), np.inf)
+        for i in range(len(q)):
+            d = self.sample - q[i]
+            d = np.einsum("ij,ij->i", d, d)[self.ids != q_ids[i]]
+            if len(d) >= k:
+                out[i] = math.sqrt(np.partition(d, k - 1)[k - 1])
+        return out
+
+    def within(self, q: np.ndarray, table: int, radius: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Query rows and all buckets that may hold a row within each query's radius.
+
+        A row's projections differ from the query's by at least the gap to its cells, and by at most
+        its distance times the directions' norm, each and together.
+        """
+        square, widest, size = np.zeros((len(q), 1)), np.zeros((len(q), 1)), np.zeros(len(q))
+        for direction, border in zip(self.directions[table], self.borders[table], strict=True):
+            own = (q @ direction)[:, None]
+            below, above = np.r_[-np.inf, border][None, :], np.r_[border, np.inf][None, :]
+            gap = np.maximum(np.maximum(below - own, own - above), 0)
+            square = (square[:, :, None] + (gap**2)[:, None, :]).reshape(len(q), -1)
+            widest = np.maximum(widest[:, :, None], (gap / max(np.linalg.norm(direction), 1e-300))[:, None, :]).reshape(len(q), -1)
+            size = np.maximum(size, np.abs(q) @ np.abs(direction))
+        norm = max(np.linalg.norm(self.directions[table], 2), 1e-300)
+        least = np.maximum(widest, np.sqrt(square) / norm)
+        # allowance for rounding of projections and distances
+        return np.nonzero(~(least > (radius * (1 + 1e-9) + 1e-9 * size / norm)[:, None]))
+
 
 _erf = np.vectorize(math.erf, otypes=[float])
 
@@ -97,7 +131,8 @@ def fit(valid: DataFrame, recall: float = RECALL, tables: int = TABLES, projecti
     """Fit on the ``SAMPLE`` rows of least hashed id; None for an empty table.
 
     The pull and spread of neighbours' projections come from the sample's own nearest pairs, and
-    the mass to visit per table from the recall wanted, taking the tables as independent.
+    the mass to visit per table from the recall wanted, taking the tables as independent; they
+    serve where the sample itself is left out of the model.
     """
     rows = valid.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).collect()
     if not rows:
@@ -120,7 +155,8 @@ def fit(valid: DataFrame, recall: float = RECALL, tables: int = TABLES, projecti
             spreads.append(((near - share[:, None] * own) ** 2).sum(axis=1) / x.shape[1])
     pull = float(np.clip(np.mean(np.concatenate(pulls)), 0, 1)) if pulls else 1.0
     spread = float(math.sqrt(np.mean(np.concatenate(spreads)))) if spreads else 1.0
-    return Tables(directions, borders, pull, max(spread, 1e-9), 1 - (1 - recall) ** (1 / tables))
+    ids = np.array([r["vec_id"] for r in rows])
+    return Tables(directions, borders, pull, max(spread, 1e-9), 1 - (1 - recall) ** (1 / tables), x.mean(axis=0), ids, x)
 
 
 def _best(vec_ids: np.ndarray, score: np.ndarray, k: int) -> np.ndarray:
@@ -161,8 +197,8 @@ def nearest(vectors: DataFrame, k: int = NEIGHBOURS, every: int = 100, recall: f
     """The ``k`` nearest found of each query: ``query_id``, ``rank`` (from 1), ``vec_id``, ``score``.
 
     Queries are the valid rows whose id is divisible by ``every``, candidates all valid rows of
-    another id. Scores are Euclidean distances in double precision; ties go to the smaller id. A
-    query with fewer candidates has them all: tables of at most ``CHUNK`` rows are visited whole.
+    another id. Scores are Euclidean distances in double precision; ties go to the smaller id. With a
+    fitted model the result is exact; a query with fewer than ``k`` candidates has them all.
     Repeated rows of one id count once, by the first vector. Buckets are cut into chunks of about
     ``CHUNK`` candidates and queries, so a hot bucket is spread over tasks and nothing is left out.
     """
@@ -175,7 +211,9 @@ def nearest(vectors: DataFrame, k: int = NEIGHBOURS, every: int = 100, recall: f
         return spark.createDataFrame([], empty)
     if n <= CHUNK:
         model = Tables(model.directions, model.borders, model.pull, model.spread, 2.0)
-    tables = len(model.directions) if model.mass <= 1 else 1
+    bounded = model.sample is not None
+    # one table is enough where no bucket that may hold a neighbour is left out
+    tables = 1 if bounded or model.mass > 1 else len(model.directions)
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -189,8 +227,9 @@ def nearest(vectors: DataFrame, k: int = NEIGHBOURS, every: int = 100, recall: f
         for batch in batches:
             if batch.num_rows:
                 q = _matrix(batch.column(1))
+                radius = model.radius(batch.column(0).to_numpy(), q, k) if bounded else None
                 for t in range(tables):
-                    row, bucket = model.probes(q, t)
+                    row, bucket = model.within(q, t, radius) if bounded else model.probes(q, t)
                     for at in range(0, len(row), 10_000):
                         taken = pa.array(row[at : at + 10_000])
                         yield pa.RecordBatch.from_arrays(

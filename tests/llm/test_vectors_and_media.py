@@ -52,6 +52,42 @@ def test_recall(spark, monkeypatch):
     assert all(len(f) == 10 for f in found.values())
 
 
+def recall_of(spark, x, every):
+    ids = np.arange(len(x))
+    want, found = brute(ids, x, every), {}
+    for r in ann.nearest(frame(spark, ids, x), every=every).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    return {q: len({v for v, _ in w} & found.get(q, set())) / 10 for q, w in want.items()}
+
+
+def test_recall_on_clusters_and_shifted_vectors(spark, monkeypatch):
+    monkeypatch.setattr(ann, "CHUNK", 500)
+    monkeypatch.setattr(ann, "SAMPLE", 1500)
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((3000, 24))
+    x[::3] = rng.standard_normal(24) + 0.05 * rng.standard_normal((1000, 24))
+    hot = recall_of(spark, x.astype(np.float32).astype(float), 40)
+    assert min(hot.values()) == 1
+    shifted = recall_of(spark, (rng.standard_normal((3000, 24)) + 5).astype(np.float32).astype(float), 60)
+    assert min(shifted.values()) == 1
+
+
+def test_buckets_left_out_hold_nothing_near():
+    rng = np.random.default_rng(6)
+    x = np.concatenate([rng.standard_normal((1000, 12)), 3 + 0.05 * rng.standard_normal((1000, 12))])
+    directions = rng.standard_normal((1, 4, 12))
+    borders = np.quantile(np.einsum("tpd,nd->tpn", directions, x), [1 / 3, 2 / 3], axis=2).transpose(1, 2, 0)
+    model = ann.Tables(directions, borders, 1.0, 1.0, 0.9, x.mean(axis=0), np.arange(0, 2000, 2), x[::2])
+    q = np.arange(0, 2000, 50)
+    radius = model.radius(q, x[q], 10)
+    row, bucket = model.within(x[q], 0, radius)
+    at = model.cells(x, 0)
+    for i in range(len(q)):
+        d = np.sqrt(((x - x[q[i]]) ** 2).sum(axis=1))
+        assert (np.delete(d, q[i]) <= radius[i]).sum() >= 10 and set(at[d <= radius[i]]) <= set(bucket[row == i])
+    assert len(row) < 0.7 * len(q) * 81
+
+
 def test_chances_add_up():
     model = ann.Tables(np.random.default_rng(0).standard_normal((1, 3, 5)), np.sort(np.random.default_rng(1).standard_normal((1, 3, 2)), axis=2), 0.5, 0.3, 0.9)
     q = np.random.default_rng(2).standard_normal((7, 5))
