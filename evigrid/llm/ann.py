@@ -209,11 +209,9 @@ def nearest(vectors: DataFrame, k: int = NEIGHBOURS, every: int = 100, recall: f
     empty = "query_id long, rank int, vec_id long, score double"
     if model is None:
         return spark.createDataFrame([], empty)
-    if n <= CHUNK:
-        model = Tables(model.directions, model.borders, model.pull, model.spread, 2.0)
     bounded = model.sample is not None
     # one table is enough where no bucket that may hold a neighbour is left out
-    tables = 1 if bounded or model.mass > 1 else len(model.directions)
+    tables = 1 if bounded else len(model.directions)
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

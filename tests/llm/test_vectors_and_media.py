@@ -72,6 +72,19 @@ def test_recall_on_clusters_and_shifted_vectors(spark, monkeypatch):
     assert min(shifted.values()) == 1
 
 
+def test_size_switches_nothing(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    x = rng.standard_normal((400, 8)).astype(np.float32).astype(float)
+    df = frame(spark, np.arange(400), x)
+    fitted = ann.fit(ann.valid_vectors(df))
+    model = ann.Tables(fitted.directions, fitted.borders, fitted.pull, fitted.spread, 0.1)
+    found = []
+    for chunk in (399, 400):
+        monkeypatch.setattr(ann, "CHUNK", chunk)
+        found.append(sorted(map(tuple, ann.nearest(df, every=20, model=model).collect())))
+    assert found[0] == found[1]
+
+
 def test_buckets_left_out_hold_nothing_near():
     rng = np.random.default_rng(6)
     x = np.concatenate([rng.standard_normal((1000, 12)), 3 + 0.05 * rng.standard_normal((1000, 12))])
