@@ -8,8 +8,9 @@ and the rest are verified by Hamming distance. A list gives a spanning forest of
 links, never its pairs.
 
 Wide fingerprints (several 64-bit words) estimate the resemblance of shingle sets: two sets of
-cosine ``c`` differ in a share ``acos(c) / pi`` of bits. They serve near copies of a Jaccard
-similarity of 0.8 or more, whose 64-bit fingerprints may differ in a dozen bits.
+cosine ``c`` differ in a share ``acos(c) / pi`` of bits. They tell which sets may be near copies of
+a Jaccard similarity of 0.8 or more, whose 64-bit fingerprints may differ in a dozen bits; the sets
+themselves decide.
 """
 
 from __future__ import annotations
@@ -89,15 +90,21 @@ def _mixed(h: np.ndarray, words: int) -> np.ndarray:
     return g
 
 
+def shingle_set(text: str | None, k: int) -> np.ndarray:
+    """Distinct shingle hashes of a text in ascending order, none without words."""
+    parts = list(shingle_hashes(text, k))
+    return np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
+
+
 def wide_fingerprint(text: str | None, k: int, words: int) -> np.ndarray:
-    """A SimHash of ``words`` x 64 bits over the set of shingles, all zero without words.
+    """A SimHash of ``words`` x 64 bits over the set of shingles, all zero without words."""
+    return _wide(shingle_set(text, k), words)
 
-    One histogram over all positional bytes of a chunk gives the counts of all bits.
-    """
-    parts = list(shingle_hashes(text, k))
-    if not parts:
+
+def _wide(h: np.ndarray, words: int) -> np.ndarray:
+    """One histogram over all positional bytes of a chunk gives the counts of all bits."""
+    if not len(h):
         return np.zeros(words, np.uint64)
-    h = np.unique(np.concatenate(parts))
     histogram = np.zeros(words * 8 * 256, np.int64)
     place = (np.arange(words * 8, dtype=np.int64) * 256).reshape(words, 1, 8)
     for at in range(0, len(h), WIDE_CHUNK):
@@ -264,8 +271,12 @@ def classes(docs: DataFrame, k: int = 3, max_bits: int = 3) -> DataFrame:
     return fps.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-#: Words of a wide fingerprint, and the triples of its positional bytes that it is posted under.
-WIDE_WORDS, WIDE_TRIPLES = 16, 168
+#: Words of a wide fingerprint.
+WIDE_WORDS = 16
+#: Characters of a group of candidates that one task compares; larger groups are compared block by block.
+GROUP_CHARS = 16 << 20
+#: Texts looked at for frequent shingles, how many of them share one, and frequent shingles at most. They only order the postings.
+FREQUENT_SAMPLE, FREQUENT_LEAST, FREQUENT_MOST = 2000, 4, 100_000
 
 
 def max_share(similarity: float) -> float:
@@ -273,54 +284,159 @@ def max_share(similarity: float) -> float:
     return math.acos(2 * similarity / (1 + similarity)) / math.pi
 
 
-def _triples(words: int, triples: int):
-    """Map function: ``node``, ``words`` to one posting for each of a fixed draw of triples of positional bytes."""
-    rng = np.random.default_rng(SEED)
-    drawn = np.concatenate([rng.permutation(words * 8)[: words * 8 // 3 * 3].reshape(-1, 3) for _ in range(-(-triples // (words * 8 // 3)))])[:triples]
+def loose_share(similarity: float, words: int) -> float:
+    """Share of differing bits that no pair of this similarity exceeds: a quarter over the expected one, as small sets
+    have (ties count as 0; five hashes against four of them differ in 0.19 of all bits), and six standard deviations.
+    """
+    share = 1.25 * max_share(similarity)
+    return share + 6 * math.sqrt(share * (1 - share) / (64 * words))
+
+
+def prefix(h: np.ndarray, similarity: float, frequent: np.ndarray) -> np.ndarray:
+    """Shingles that a set is posted under: two sets of at least this Jaccard similarity have one in common.
+
+    They share ``similarity`` of each set's shingles at least, so in any common order, here by hash with
+    frequent shingles last, the first ones that may be missing and one more meet.
+    """
+    if not len(h):
+        return h
+    if len(frequent):
+        often = frequent[np.minimum(np.searchsorted(frequent, h), len(frequent) - 1)] == h
+        h = np.concatenate([h[~often], h[often]])
+    return h[: len(h) - math.ceil(similarity * len(h) - 1e-9) + 1]
+
+
+def _frequent(texts: DataFrame, k: int) -> np.ndarray:
+    """Shingles that several texts of a bounded sample share, in ascending order."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, some in each_text(batches):
+            for t in some:
+                yield pa.RecordBatch.from_arrays([pa.array(shingle_set(t, k).view(np.int64))], names=["h"])
+
+    n = max(texts.count(), 1)
+    drawn = texts.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30) < FREQUENT_SAMPLE / n)
+    often = drawn.mapInArrow(run, "h long").groupBy("h").count().where(F.col("count") >= FREQUENT_LEAST).orderBy(F.desc("count"), "h").limit(FREQUENT_MOST)
+    return np.sort(np.array([r["h"] for r in often.collect()], dtype=np.int64).view(np.uint64))
+
+
+def _alike(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both >= similarity * (len(a) + len(b) - both) - 1e-9
+
+
+def _set_forest(sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
+    """Spanning forest (child, parent) of the sets whose Jaccard similarity is at least ``similarity``."""
+    if len(sets) == 2:
+        return [(1, 0)] if _alike(*sets, similarity) else []
+    sizes = np.array([len(x) for x in sets])
+    vocabulary, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    starts = np.r_[0, np.cumsum(sizes)]
+    own = lambda i: flat[starts[i] : starts[i + 1]]
+    left = np.arange(len(sets))
+    edges: list[tuple[int, int]] = []
+    marked = np.zeros(len(vocabulary), bool)
+    while len(left) > 1:
+        root, left = left[0], left[1:]
+        queue = [root]
+        pieces, at = flat[starts[root + 1] :] if len(left) == len(sets) - 1 else np.concatenate([own(i) for i in left]), np.r_[0, np.cumsum(sizes[left])]
+        while queue and len(left):
+            one = queue.pop()
+            marked[own(one)] = True
+            both = np.add.reduceat(marked[pieces].astype(np.int64), at[:-1])
+            marked[own(one)] = False
+            hit = both >= similarity * (sizes[one] + sizes[left] - both) - 1e-9
+            if hit.any():
+                found = left[hit]
+                edges += [(int(i), int(root)) for i in found]
+                queue += found.tolist()
+                left = left[~hit]
+                pieces, at = pieces[np.repeat(~hit, np.diff(at))], np.r_[0, np.cumsum(sizes[left])]
+    return edges
+
+
+def _set_links(k: int, similarity: float):
+    """Map function: groups of texts sorted by ``key`` to the links (u, v) that their shingle sets confirm."""
+
+    def links(nodes: list[int], sets: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        edges = _set_forest(sets, similarity) if len(sets) > 1 else []
+        if edges:
+            yield pa.RecordBatch.from_arrays([pa.array([nodes[i] for i, _ in edges], pa.int64()), pa.array([nodes[j] for _, j in edges], pa.int64())], names=["u", "v"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, nodes, sets = None, [], []
         for batch in batches:
-            if batch.num_rows:
-                values = batch.column(1).flatten().to_numpy(zero_copy_only=False).view(np.uint8).reshape(batch.num_rows, -1)
-                b = values[:, drawn].astype(np.int64)
-                keys = np.arange(len(drawn), dtype=np.int64) << 24 | b[:, :, 0] << 16 | b[:, :, 1] << 8 | b[:, :, 2]
-                nodes = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), len(drawn))
-                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(nodes)], names=["key", "node"])
+            for key, node, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                if key != now:
+                    yield from links(nodes, sets)
+                    now, nodes, sets = key, [], []
+                nodes.append(node)
+                sets.append(shingle_set(text, k))
+        yield from links(nodes, sets)
 
     return run
 
 
-def near_copies(docs: DataFrame, k: int = 5, similarity: float = 0.8, words: int = WIDE_WORDS, triples: int = WIDE_TRIPLES) -> DataFrame:
+def _row_keys(docs: DataFrame) -> DataFrame:
+    """``docs`` with the columns that tell its rows apart: ``_keep_id``, ``_keep_null``, ``_keep_hash``."""
+    return docs.withColumns({
+        "_keep_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)),
+        "_keep_null": F.col("doc_id").isNull(),
+        "_keep_hash": F.xxhash64(F.coalesce(F.col("text"), F.lit(""))),
+    })
+
+
+_ROW_KEYS = ["_keep_id", "_keep_null", "_keep_hash"]
+
+
+def near_copies(docs: DataFrame, k: int = 5, similarity: float = 0.8, words: int = WIDE_WORDS) -> DataFrame:
     """Classes of near copies: ``doc_id``, ``text_hash``, ``node``, ``component`` for each row of ``docs``.
 
-    ``node`` stands for texts of one wide fingerprint; ``component`` is the least node reachable
-    over links of at least ``similarity`` as the fingerprint estimates it. Postings are triples
-    of positional bytes, drawn in rounds that use each byte once; a listed pair must share a quarter of the positional bytes that
-    sets at the threshold share on average, then its Hamming distance is verified.
+    ``node`` stands for texts of one shingle set; ``component`` is the least node reachable over
+    links of a Jaccard similarity of at least ``similarity``. Sets that meet under a posted shingle
+    and whose fingerprints are not surely too far apart join into groups of candidates; within a
+    group the sets themselves are compared. A group over ``GROUP_CHARS`` is dealt into blocks, each
+    pair of which is compared.
     """
     spark = docs.sparkSession
+    small_batches(spark)
+    texts = ids_and_texts(docs)
+    frequent = _frequent(texts, k)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, texts in each_text(batches):
-            fps = np.array([wide_fingerprint(t, k, words) for t in texts], dtype=np.uint64)
-            nodes = np.array([xxhash.xxh64_intdigest(f.tobytes(), SEED) for f in fps], dtype=np.uint64).view(np.int64)
-            hashes = np.array([xxhash.xxh64_intdigest((t or "").encode("utf-8", "surrogatepass"), SEED) for t in texts], dtype=np.uint64).view(np.int64)
-            offsets = pa.array(np.arange(0, words * len(fps) + 1, words, dtype=np.int32))
-            lists = pa.ListArray.from_arrays(offsets, pa.array(fps.view(np.int64).ravel()))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(hashes), pa.array(nodes), lists], names=["doc_id", "text_hash", "node", "words"])
-
-    small_batches(spark)
-    rows, _ = stored(ids_and_texts(docs).mapInArrow(run, "doc_id long, text_hash long, node long, words array<long>"), "wide")
+        for ids, some in each_text(batches):
+            sets = [shingle_set(t, k) for t in some]
+            fps = np.array([_wide(h, words) for h in sets], dtype=np.uint64)
+            posted = [prefix(h, similarity, frequent) for h in sets]
+            nodes = np.array([xxhash.xxh64_intdigest(h.tobytes(), SEED) for h in sets], dtype=np.uint64).view(np.int64)
+            hashes = np.array([xxhash.xxh64_intdigest((t or "").encode("utf-8", "surrogatepass"), SEED) for t in some], dtype=np.uint64).view(np.int64)
+            lists = pa.ListArray.from_arrays(np.arange(0, words * len(fps) + 1, words, dtype=np.int32), pa.array(fps.view(np.int64).ravel()))
+            keys = pa.ListArray.from_arrays(np.r_[0, np.cumsum([len(x) for x in posted])].astype(np.int32), pa.array(np.concatenate(posted).view(np.int64)))
+            sizes = pa.array([len(t or "") for t in some], pa.int64())
+            yield pa.RecordBatch.from_arrays([ids, pa.array(hashes), pa.array(nodes), lists, keys, sizes], names=["doc_id", "text_hash", "node", "words", "keys", "chars"])
+
+    rows, _ = stored(texts.mapInArrow(run, "doc_id long, text_hash long, node long, words array<long>, keys array<long>, chars long"), "wide")
     nodes = rows.select("node", "words").groupBy("node").agg(F.first("words").alias("words"))
-    total = words * 8
-    share = max_share(similarity)
-    postings = nodes.mapInArrow(_triples(words, triples), "key long, node long")
-    least_bytes = int(total * (1 - share) ** 8 / 4)
-    # a pair at the threshold exceeds its expected share half the time, so one standard deviation is allowed
-    bound = share + math.sqrt(share * (1 - share) / (64 * words))
-    links = linked_pairs(postings, nodes, words, int(bound * 64 * words), least_bytes)
+    postings = rows.select("node", F.explode("keys").alias("key")).distinct().select("key", "node")
+    bound = loose_share(similarity, words)
+    near = components(linked_pairs(postings, nodes, words, int(bound * 64 * words), int(words * 8 * (1 - bound) ** 8 / 4)))
+    # one row stands for each node; the characters of a group give its number of blocks
+    firsts = rows.groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "chars")).alias("o"))
+    members = near.join(firsts, "node").select(
+        "node", "root", F.coalesce("o.doc_id", F.lit(-1)).alias("_keep_id"), F.col("o.no_id").alias("_keep_null"), F.col("o.text_hash").alias("_keep_hash"), F.col("o.chars").alias("chars")
+    )
+    members, path = stored(members, "members")
+    blocks = members.groupBy("root").agg(F.ceil(F.sum("chars") / GROUP_CHARS).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    dealt = (
+        members.join(blocks, "root").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("node", *_ROW_KEYS, F.xxhash64("root", F.least(own, "other"), F.greatest(own, "other")).alias("key"))
+    )
+    groups = _row_keys(texts).join(dealt, _ROW_KEYS).select("key", "node", "text").dropDuplicates(["key", "node"])
+    links, links_path = stored(groups.repartition("key").sortWithinPartitions("key").mapInArrow(_set_links(k, similarity), "u long, v long").distinct(), "alike")
     roots = components(links).withColumnRenamed("root", "component")
-    return rows.drop("words").join(roots, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    remove(spark, path, links_path)
+    return rows.select("doc_id", "text_hash", "node").join(roots, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
 
 def keep_one(docs: DataFrame, k: int = 5, similarity: float = 0.8) -> DataFrame:
@@ -334,13 +450,7 @@ def keep_one(docs: DataFrame, k: int = 5, similarity: float = 0.8) -> DataFrame:
     kept = found.groupBy("component").agg(F.min(order).alias("o")).select(
         F.coalesce("o.doc_id", F.lit(-1)).alias("_keep_id"), F.col("o.no_id").alias("_keep_null"), F.col("o.text_hash").alias("_keep_hash")
     ).distinct()
-    marked = docs.withColumns({
-        "_keep_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)),
-        "_keep_null": F.col("doc_id").isNull(),
-        "_keep_hash": F.xxhash64(F.coalesce(F.col("text"), F.lit(""))),
-    })
-    keys = ["_keep_id", "_keep_null", "_keep_hash"]
-    out = marked.join(kept, keys, "left_semi")
+    out = _row_keys(docs).join(kept, _ROW_KEYS, "left_semi")
     if not found.groupBy("doc_id", "text_hash").count().where("count > 1").isEmpty():
-        out = out.dropDuplicates(keys)
+        out = out.dropDuplicates(_ROW_KEYS)
     return out.select(*docs.columns)

@@ -126,3 +126,57 @@ def test_wide_fingerprints_estimate_similarity():
     jaccard = len(a & b) / len(a | b)
     x = simhash.wide_fingerprint(" ".join(base), 5, 32) ^ simhash.wide_fingerprint(" ".join(other), 5, 32)
     assert abs(int(np.bitwise_count(x).sum()) / (32 * 64) - simhash.max_share(jaccard)) < 0.03
+
+
+def brute_sets(rows, similarity=0.8, k=5):
+    """Rows of one class by exhaustive comparison of shingle sets."""
+    sets = []
+    for t in rows:
+        w = t.lower().split()
+        sets.append({tuple(w[i : i + k]) for i in range(max(1, len(w) - k + 1))} if w else set())
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            a, b = sets[i], sets[j]
+            if a == b or len(a & b) >= similarity * len(a | b) - 1e-9:
+                root[find(i)] = find(j)
+    return {frozenset(j for j in range(len(rows)) if find(j) == find(i)) for i in range(len(rows))}
+
+
+def threshold_texts():
+    """Pairs at and just around a similarity of 0.8, long and short."""
+    out = []
+    for pair in range(40):
+        w = [f"p{pair}x{i}" for i in range(400)]
+        for n, cut in ((9, 8), (10, 9), (11, 10), (12, 9), (84, 68), (84, 67), (304, 244), (304, 243)):
+            out += [" ".join(f"{n}{x}" for x in w[:n]), " ".join(f"{n}{x}" for x in w[:cut])]
+    shared = " ".join(f"s{i}" for i in range(60))
+    return out + [f"a{i} b{i} c{i} {shared}" for i in range(30)] + [f"{shared} " + " ".join(f"own{i}x{j}" for j in range(60)) for i in range(30)] + ["", " ", "one"]
+
+
+def test_near_copies_equal_brute_force_at_the_threshold(spark, monkeypatch):
+    rows = threshold_texts()
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(3)
+    want = brute_sets(rows)
+    for chars in (1 << 24, 3000):
+        monkeypatch.setattr(simhash, "GROUP_CHARS", chars)
+        found: dict = {}
+        for r in simhash.near_copies(docs).collect():
+            found.setdefault(r.component, set()).add(r.doc_id)
+        assert set(map(frozenset, found.values())) == want
+
+
+def test_prefixes_of_similar_sets_meet():
+    rng = np.random.default_rng(1)
+    for n in range(1, 120):
+        h = np.sort(rng.integers(0, 1 << 63, n + 60).astype(np.uint64))
+        often = np.sort(rng.choice(h, 20, replace=False))
+        a = np.sort(rng.choice(h, n, replace=False))
+        b = np.sort(rng.choice(a, -(-8 * n // 10), replace=False))
+        assert set(simhash.prefix(a, 0.8, often)) & set(simhash.prefix(b, 0.8, often))
