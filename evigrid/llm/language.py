@@ -1,8 +1,8 @@
 """Language identification by nearest centroid over TF-IDF vectors of hashed byte n-grams.
 
 Each language has several centroids, clustered from a bounded sample of labelled texts; a text goes
-to the language of the centroid of largest cosine. A text whose best cosine falls below a share of
-what training texts of that centroid reach is rejected.
+to the language of the centroid of largest cosine. A text whose best cosine falls below what training
+texts and pieces of them with as many distinct n-grams reach in that language is rejected.
 """
 
 from __future__ import annotations
@@ -24,9 +24,10 @@ GRAMS = (1, 2, 3, 4)
 #: Training texts of each language, and of all, at most: a bounded sample by hash of the id. Clusters of each language.
 SAMPLE, SAMPLE_OF_ALL = 1000, 8000
 CLUSTERS = 3
-#: A text is rejected below this share of the low quantile of its centroid's training cosines.
-REJECT_SHARE = 0.3
-REJECT_QUANTILE = 0.01
+#: A text is rejected below this quantile of the cosines of its language's pieces of like size, less a share of its gap to the median.
+REJECT_QUANTILE, REJECT_MARGIN = 0.01, 0.25
+#: Sizes are distinct features, in classes of half a power of two; a class counts with so many pieces.
+SIZES, SIZE_LEAST = 2 * 11 + 1, 30
 #: Steepness of the score over the cosine margins of the languages.
 SHARPNESS = 20.0
 #: Bytes hashed at once, so that long texts need bounded memory.
@@ -55,7 +56,7 @@ def counts(text: str) -> np.ndarray:
 
 @dataclass
 class Centroids:
-    """A fitted classifier: idf weights, unit centroids with their language and least accepted cosine."""
+    """A fitted classifier: idf weights, unit centroids with their language, and least accepted cosines, languages x sizes."""
 
     idf: np.ndarray
     centroids: np.ndarray
@@ -74,25 +75,50 @@ class Centroids:
         names, score, rejected = [UNDETERMINED] * len(texts), np.zeros(len(texts)), np.ones(len(texts), bool)
         rows = np.flatnonzero(~blank)
         if len(rows) and len(self.languages):
-            cosine = self.vectors(np.stack([counts(texts[i]) for i in rows])) @ self.centroids.T
+            matrix = np.stack([counts(texts[i]) for i in rows])
+            cosine = self.vectors(matrix) @ self.centroids.T
             best = np.stack([cosine[:, self.owner == k].max(axis=1) for k in range(len(self.languages))], axis=1)
             e = np.exp(SHARPNESS * (best - best.max(axis=1, keepdims=True)))
             top = best.argmax(axis=1)
             score[rows] = (e / e.sum(axis=1, keepdims=True))[np.arange(len(rows)), top]
-            nearest = cosine.argmax(axis=1)
-            rejected[rows] = cosine[np.arange(len(rows)), nearest] < self.least[nearest]
+            at = _size(matrix)
+            least = np.array([np.interp(x, np.arange(SIZES), self.least[k]) for x, k in zip(at, top, strict=True)])
+            rejected[rows] = best[np.arange(len(rows)), top] < least
             for i, k in zip(rows, top, strict=True):
                 names[i] = self.languages[k]
         return names, score, rejected
 
 
+def _size(matrix: np.ndarray) -> np.ndarray:
+    """Size of each text: twice the binary logarithm of its distinct features."""
+    return 2 * np.log2(np.maximum((matrix > 0).sum(axis=1), 1))
+
+
+def pieces(text: str) -> list[str]:
+    """The text and pieces of 1, 2, 4, ... of its words, each from its own place."""
+    words = text.split()
+    sizes = [1 << i for i in range(len(words).bit_length()) if 1 << i < len(words)]
+    starts = [(i + 1) * 7919 % (len(words) - n + 1) for i, n in enumerate(sizes)]
+    return [text, *(" ".join(words[at : at + n]) for at, n in zip(starts, sizes, strict=True))]
+
+
+def _least(size: np.ndarray, cosine: np.ndarray) -> np.ndarray:
+    """Least accepted cosine at each size; sizes with few pieces take theirs from those around."""
+    known, least = [0], [0.0]
+    for i in range(1, SIZES):
+        own = cosine[np.round(size) == i]
+        if len(own) >= SIZE_LEAST:
+            low, middle = np.quantile(own, [REJECT_QUANTILE, 0.5])
+            known.append(i)
+            least.append(max(low - REJECT_MARGIN * (middle - low), 0.0))
+    return np.interp(np.arange(SIZES), known, least)
+
+
 def _clusters(v: np.ndarray, k: int) -> np.ndarray:
-    """Spherical k-means from farthest-first seeds; deterministic for given rows."""
-    centers = [v.mean(axis=0)]
-    while len(centers) < min(k, len(v)) + 1:
-        c = np.stack(centers)
-        centers.append(v[(v @ (c / np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-12)).T).max(axis=1).argmin()])
-    c = np.stack(centers[1:])
+    """Spherical k-means from the means of equal parts along the main axis; deterministic for given rows."""
+    axis = v - v.mean(axis=0)
+    along = axis @ np.linalg.svd(axis, full_matrices=False)[2][0]
+    c = np.stack([v[part].mean(axis=0) for part in np.array_split(np.argsort(along, kind="stable"), min(k, len(v)))])
     for _ in range(12):
         near = (v @ c.T).argmax(axis=1)
         sums = np.stack([v[near == i].sum(axis=0) if (near == i).any() else c[i] for i in range(len(c))])
@@ -115,7 +141,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE, clusters: int = CLUSTERS, held_ou
     sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
     languages = sorted(sizes)
     if not languages:
-        return Centroids(np.ones(FEATURES, np.float32), np.zeros((0, FEATURES), np.float32), np.zeros(0, int), np.zeros(0), [])
+        return Centroids(np.ones(FEATURES, np.float32), np.zeros((0, FEATURES), np.float32), np.zeros(0, int), np.zeros((0, SIZES)), [])
     sample = min(sample, -(-SAMPLE_OF_ALL // len(languages)))
     share = F.element_at(F.create_map(*(F.lit(x) for lang, n in sizes.items() for x in (lang, sample / n))), F.col("lang"))
     drawn = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30) < share)
@@ -130,22 +156,31 @@ def fit(docs: DataFrame, sample: int = SAMPLE, clusters: int = CLUSTERS, held_ou
     found = drawn.mapInArrow(run, "doc_id long, lang string, counts binary").toPandas().sort_values(["lang", "doc_id", "counts"])
     matrix = np.stack([np.frombuffer(b, "<f4") for b in found["counts"]]) if len(found) else np.zeros((0, FEATURES), np.float32)
     idf = np.log((1 + len(matrix)) / (1 + (matrix > 0).sum(axis=0))).astype(np.float32) + 1
-    model = Centroids(idf, np.zeros((0, FEATURES), np.float32), np.zeros(0, int), np.zeros(0), [])
+    model = Centroids(idf, np.zeros((0, FEATURES), np.float32), np.zeros(0, int), np.zeros((0, SIZES)), [])
     vectors, labels = model.vectors(matrix), found["lang"].to_numpy()
-    centroids, owner, least = [], [], []
+    centroids, owner = [], []
     for lang in languages:
         v = vectors[labels == lang]
         if len(v):
             c = _clusters(v, clusters)
-            cosine = v @ c.T
-            for i in range(len(c)):
-                own = cosine[cosine.argmax(axis=1) == i, i]
-                least.append(REJECT_SHARE * np.quantile(own, REJECT_QUANTILE) if len(own) else 0.0)
             centroids.append(c)
             owner += [len(model.languages)] * len(c)
             model.languages.append(lang)
-    if centroids:
-        model.centroids, model.owner, model.least = np.concatenate(centroids).astype(np.float32), np.array(owner), np.array(least)
+    if not centroids:
+        return model
+    model.centroids, model.owner = np.concatenate(centroids).astype(np.float32), np.array(owner)
+
+    def reached(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text, lang in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                matrix = np.stack([counts(t) for t in pieces(text) if _LETTER.search(t)] or [np.zeros(FEATURES, np.float32)])
+                own = model.owner == (model.languages.index(lang) if lang in model.languages else -1)
+                if matrix.any() and own.any():
+                    cosine = (model.vectors(matrix) @ model.centroids[own].T).max(axis=1)
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(matrix)), pa.array(_size(matrix)), pa.array(cosine.astype(float))], names=["lang", "size", "cosine"])
+
+    got = drawn.mapInArrow(reached, "lang string, size double, cosine double").toPandas()
+    model.least = np.stack([_least(*(got.loc[got["lang"] == lang, c].to_numpy() for c in ("size", "cosine"))) for lang in model.languages])
     return model
 
 

@@ -52,6 +52,22 @@ def test_language_on_held_out_rows(docs):
     assert kept.columns == docs.columns and kept.where("doc_id < 600").count() >= 595 and kept.where("doc_id in (1000, 1001, 1002)").count() == 0
 
 
+def test_foreign_scripts_and_gibberish_are_rejected(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = language.fit(docs)
+    rng = random.Random(4)
+    scripts = {"latin": (97, 122), "cjk": (0x4E00, 0x9FA5), "hangul": (0xAC00, 0xD7A3), "cyrillic": (0x430, 0x44F), "arabic": (0x627, 0x64A), "thai": (0xE01, 0xE2E)}
+    for low, high in scripts.values():
+        for n in (60, 300):
+            texts = [" ".join("".join(chr(rng.randint(low, high)) for _ in range(6)) for _ in range(n)) for _ in range(20)]
+            assert model.predict(texts)[2].mean() >= 0.95
+    clean = [r.text for r in docs.where("lang is not null and text is not null").where(id_crc() % 4 == 2).select("text").collect()]
+    assert model.predict(clean)[2].mean() <= 0.02
+    for n in (1, 2, 8):
+        short = [" ".join(t.split()[5 : 5 + n]) for t in clean if len(t.split()) > 20]
+        assert model.predict([t for t in short if any(c.isalpha() for c in t)])[2].mean() <= 0.04
+
+
 def test_language_needs_only_text(docs):
     model = language.fit(docs)
     changed = docs.withColumn("lang", F.lit("zz")).withColumn("doc_id", F.lit(1).cast("long"))
