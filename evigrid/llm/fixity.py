@@ -1,9 +1,11 @@
 """Merkle fixity audit of WARC records in two replicas.
 
-A replica's records are hashed; ordered ranges of a file's records are hashed into range nodes,
-those into the file's root, and files into groups up to the root of the replica. Nodes cover their
-children's offsets as well. An audit compares the roots and descends only into branches that differ,
-down to the records that are corrupt, missing or extra.
+A replica's records are hashed; the ordered records of a range of ids are hashed, with their places
+in the range, into a range node, those into the file's root, and files into groups up to the root of
+the replica. Ranges are runs of ids and places count from the range's start, so a record that is
+missing or added changes its own range only. An audit compares the roots and descends only into
+branches that differ. Below a differing range, records are compared by what they are: the id, the
+address, and which of several records of both.
 """
 
 from __future__ import annotations
@@ -13,67 +15,99 @@ from pyspark.sql import functions as F
 
 from ._common import stored
 
-#: Records of a file and of a range, and files of a group; groups of groups grow by the same factor.
+#: Ids of a file and of a range, and files of a group; groups of groups grow by the same factor.
 FILE_RECORDS = 1000
 RANGE_RECORDS = 32
 GROUP_FILES = 256
-#: Files that rows without an id are dealt to.
-LOOSE_FILES = 1024
+#: Files that records without an id are dealt to by address.
+LOOSE_FILES = 1 << 20
+#: Different records beyond which a file's records are also cut into slices by the first letters of their hash.
+HOT_RECORDS = 16_384
+SLICE_LETTERS = 3
+#: Equal records that one task writes at once.
+COPIES = 4096
+#: The date of every record: pages have none, and the format wants one.
+DATE = "1970-01-01T00:00:00Z"
 
 
 def record_bytes(page_id: Column, url: Column, html: Column) -> Column:
     """The page as a WARC resource record, text; nulls count as empty."""
     body = F.coalesce(html, F.lit(""))
     head = F.concat(
-        F.lit("WARC/1.0\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:page:"), F.coalesce(page_id.cast("string"), F.lit("")),
+        F.lit(f"WARC/1.0\r\nWARC-Type: resource\r\nWARC-Date: {DATE}\r\nWARC-Record-ID: <urn:page:"), F.coalesce(page_id.cast("string"), F.lit("")),
         F.lit(">\r\nWARC-Target-URI: "), F.coalesce(url, F.lit("")), F.lit("\r\nContent-Length: "), F.octet_length(body).cast("string"), F.lit("\r\n\r\n"),
     )
     return F.concat(head, body, F.lit("\r\n\r\n"))
 
 
-def records(pages: DataFrame) -> DataFrame:
-    """Where each page's record lies in its file, and its hash.
+def _before(df: DataFrame, keys: list[str], split: Column, order: list[str], value: str) -> DataFrame:
+    """``df`` with ``before``: the sum of ``value`` over the rows of its ``keys`` that come first by ``split`` and ``order``.
 
-    ``page_id``, ``file``, ``ordinal``, ``offset``, ``length``, ``leaf``. A file holds the pages of
-    ``FILE_RECORDS`` neighbouring ids in order of id, url and hash; pages without an id are dealt to
-    files below zero by their hash. Repeated rows are records of their own. An empty table gives no
-    records.
+    Two levels: rows of one ``split`` are summed in one window, and the splits' own sums in another.
     """
-    cols = {c: F.col(c) for c in ("page_id", "url", "html")}
-    text = F.encode(record_bytes(cols["page_id"].cast("long"), cols["url"].cast("string"), cols["html"].cast("string")), "UTF-8")
+    cut = df.withColumn("_split", split)
+    sums = cut.groupBy(*keys, "_split").agg(F.sum(value).alias("_sum"))
+    earlier = Window.partitionBy(*keys).orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.select(*keys, "_split", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_start"))
+    within = Window.partitionBy(*keys, "_split").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        cut.withColumn("_within", F.coalesce(F.sum(value).over(within), F.lit(0))).join(starts, [*keys, "_split"])
+        .withColumn("before", F.col("_start") + F.col("_within")).drop("_split", "_start", "_within")
+    )
+
+
+def records(pages: DataFrame) -> DataFrame:
+    """The different records of a replica, where they lie in their files, and their hashes.
+
+    ``file``, ``range``, ``slice``, ``key`` (the id's text), ``page_id``, ``url``, ``leaf``,
+    ``length``, ``n`` (equal records, one after the other), ``offset``. A file holds the pages of
+    ``FILE_RECORDS`` neighbouring ids in order of id and hash; pages without an id are dealt to files
+    below zero by their address. Null and empty addresses and texts are the same. An empty table
+    gives no records. Equal rows are counted before they are shuffled, and a file of very many
+    records is sorted slice by slice.
+    """
+    page_id, url, html = F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string")
+    text = F.encode(record_bytes(page_id, url, html), "UTF-8")
+    address = F.coalesce(url, F.lit(""))
+    place = F.pmod(F.xxhash64(address), F.lit(LOOSE_FILES * RANGE_RECORDS))
     hashed = pages.select(
-        cols["page_id"].cast("long").alias("page_id"), F.coalesce(cols["url"].cast("string"), F.lit("")).alias("url"),
-        F.length(text).cast("long").alias("length"), F.sha2(text, 256).alias("leaf"),
+        F.coalesce(F.floor(page_id / FILE_RECORDS).cast("long"), -1 - F.floor(place / RANGE_RECORDS).cast("long")).alias("file"),
+        F.coalesce(F.floor(page_id / RANGE_RECORDS).cast("long"), F.pmod(place, F.lit(RANGE_RECORDS)).cast("long")).alias("range"),
+        F.coalesce(page_id.cast("string"), F.lit("")).alias("key"), page_id.alias("page_id"), address.alias("url"),
+        F.sha2(text, 256).alias("leaf"), F.length(text).cast("long").alias("length"),
     )
-    loose = -1 - F.pmod(F.xxhash64("leaf"), F.lit(LOOSE_FILES))
-    placed = hashed.withColumn("file", F.coalesce(F.floor(F.col("page_id") / FILE_RECORDS).cast("long"), loose))
-    order = Window.partitionBy("file").orderBy("page_id", "url", "leaf")
-    before = F.sum("length").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    return placed.select(
-        "page_id", "file", (F.row_number().over(order) - 1).cast("long").alias("ordinal"), F.coalesce(before, F.lit(0)).alias("offset"), "length", "leaf"
-    )
+    counted = hashed.groupBy(*hashed.columns).agg(F.count("*").alias("n"))
+    hot = counted.groupBy("file").count().where(F.col("count") > HOT_RECORDS).select("file", F.lit(True).alias("hot"))
+    counted = counted.join(hot, "file", "left").withColumn("slice", F.when(F.col("hot"), F.substring("leaf", 1, SLICE_LETTERS)).otherwise("")).drop("hot")
+    split = F.when(F.col("slice") == "", F.struct(F.lit(None).cast("long").alias("id"), F.lit("").alias("slice"))).otherwise(F.struct(F.col("page_id").alias("id"), F.col("slice")))
+    laid = _before(counted.withColumn("bytes", F.col("n") * F.col("length")), ["file"], split, ["page_id", "leaf"], "bytes")
+    return laid.select("file", "range", "slice", "key", "page_id", "url", "leaf", "length", "n", F.col("before").alias("offset"))
 
 
-def _parents(nodes: DataFrame, keys: list[str], child: str) -> DataFrame:
-    """Nodes over groups of children: the hash of the children's places, offsets and hashes in order."""
-    each = F.struct(F.col(child).alias("c"), F.concat_ws(":", F.col(child).cast("string"), F.col("first").cast("string"), "hash").alias("t"))
-    joined = F.array_join(F.transform(F.sort_array(F.collect_list(each)), lambda x: x["t"]), "|")
-    return nodes.groupBy(*keys).agg(F.sha2(joined, 256).alias("hash"), F.min("first").alias("first"))
+def _parents(nodes: DataFrame, keys: list[str], child: Column) -> DataFrame:
+    """Nodes over groups of children: the hash of the children's places, sizes and hashes in order."""
+    joined = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(child.alias("c"), "size", "hash"))), lambda x: F.concat_ws(":", x["c"], x["size"].cast("string"), x["hash"])), "|")
+    return nodes.groupBy(*keys).agg(F.sha2(joined, 256).alias("hash"), F.sum("size").alias("size"))
 
 
 def tree(recs: DataFrame, kept: bool = False) -> dict[str, DataFrame]:
     """The levels of a replica's tree: ``range``, ``file``, ``group``, ``super`` and ``root``.
 
-    No group of children is unbounded but those of the root, one for each ``GROUP_FILES`` squared
-    files, i.e. for 65 million records. With ``kept`` all levels but the last two are written to the shared folder.
+    A record's place in its range is the offset from the range's first record. No group of children
+    is unbounded but those of the root, one for each ``GROUP_FILES`` squared files, i.e. for 65
+    million ids. With ``kept`` all levels but the last two are written to the shared folder.
     """
     keep = (lambda df: stored(df, "tree")[0]) if kept else (lambda df: df)
-    leaves = recs.select("file", F.floor(F.col("ordinal") / RANGE_RECORDS).cast("long").alias("range"), "ordinal", F.col("offset").alias("first"), F.col("leaf").alias("hash"))
-    ranges = keep(_parents(leaves, ["file", "range"], "ordinal"))
-    files = keep(_parents(ranges, ["file"], "range").withColumn("group", F.floor(F.col("file") / GROUP_FILES).cast("long")))
-    groups = keep(_parents(files, ["group"], "file").withColumn("super", F.floor(F.col("group") / GROUP_FILES).cast("long")))
-    supers = _parents(groups, ["super"], "group").withColumn("root", F.lit(0))
-    return {"range": ranges, "file": files, "group": groups, "super": supers, "root": _parents(supers, ["root"], "super")}
+    each = F.struct("page_id", "leaf", "length", "n", "offset")
+    ordered = F.sort_array(F.collect_list(each))
+    line = lambda x: F.concat_ws(":", x["page_id"].cast("string"), (x["offset"] - F.col("_all")[0]["offset"]).cast("string"), x["n"].cast("string"), x["leaf"])
+    ranges = recs.groupBy("file", "range", "slice").agg(ordered.alias("_all"), F.sum(F.col("n") * F.col("length")).alias("size"))
+    ranges = keep(ranges.select("file", "range", "slice", F.sha2(F.array_join(F.transform("_all", line), "|"), 256).alias("hash"), "size"))
+    text = lambda c: F.col(c).cast("string")
+    files = keep(_parents(ranges, ["file"], F.concat_ws("/", F.lpad(text("range"), 20, " "), "slice")).withColumn("group", F.floor(F.col("file") / GROUP_FILES).cast("long")))
+    groups = keep(_parents(files, ["group"], text("file")).withColumn("super", F.floor(F.col("group") / GROUP_FILES).cast("long")))
+    supers = _parents(groups, ["super"], text("group")).withColumn("root", F.lit(0))
+    return {"range": ranges, "file": files, "group": groups, "super": supers, "root": _parents(supers, ["root"], text("super"))}
 
 
 def _differing(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
@@ -82,49 +116,80 @@ def _differing(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
     return left.join(right, keys, "full").where(~F.col("_a").eqNullSafe(F.col("_b"))).select(*keys)
 
 
+_SAME = ["file", "key", "url"]
+
+
 def audit(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Records that differ between two replicas: ``file``, ``ordinal``, ``status``.
+    """Records that differ between two replicas: ``file``, ``key``, ``url``, ``leaf``, ``corrupt``, ``missing``, ``extra``.
 
-    ``a`` and ``b`` have the columns of ``records``. ``status`` is ``corrupt`` (both have a record
-    there, unlike), ``missing`` (only ``a`` has it) or ``extra``. Equal roots end the audit at once;
-    otherwise each level is compared below differing parents only.
+    ``a`` and ``b`` have the columns of ``records``. Equal roots end the audit at once; otherwise each
+    level is compared below differing parents only. Records of one id and address that both replicas
+    hold alike are the same ones. What is left of ``a`` and of ``b`` is paired in order of hash:
+    a pair is ``corrupt``, and stands under the hash in ``a``; the rest is ``missing`` (only in ``a``)
+    or ``extra`` (only in ``b``). The three columns count such records of one hash.
     """
     # every level is written once, since the comparison reads it and the level above is made of it
     trees = {name: tree(recs, kept=True) for name, recs in (("a", a), ("b", b))}
     # differing keys are written at each level: they are read twice below, and few
     bad, _ = stored(_differing(trees["a"]["root"], trees["b"]["root"], ["root"]), "differing")
-    none = a.sparkSession.createDataFrame([], "file long, ordinal long, status string")
     if bad.isEmpty():
-        return none
-    for level, parent, keys in (("super", "root", ["super"]), ("group", "super", ["group"]), ("file", "group", ["file"]), ("range", "file", ["file", "range"])):
-        parents = bad.select(parent).distinct()
+        return a.sparkSession.createDataFrame([], "file long, key string, url string, leaf string, corrupt long, missing long, extra long")
+    levels = (("super", ["root"], ["super"]), ("group", ["super"], ["group"]), ("file", ["group"], ["file"]), ("range", ["file"], ["file", "range", "slice"]))
+    for level, parent, keys in levels:
+        parents = bad.select(*parent).distinct()
         bad, _ = stored(_differing(*(trees[t][level].join(parents, parent, "left_semi") for t in ("a", "b")), keys), "differing")
-    in_range = F.floor(F.col("ordinal") / RANGE_RECORDS).cast("long").alias("range")
-    sides = [
-        r.select("file", in_range, "ordinal", F.struct("offset", "length", "leaf").alias(n)).join(bad, ["file", "range"], "left_semi").drop("range")
-        for r, n in ((a, "_a"), (b, "_b"))
-    ]
-    status = F.when(F.col("_b").isNull(), "missing").when(F.col("_a").isNull(), "extra").otherwise("corrupt")
-    return sides[0].join(sides[1], ["file", "ordinal"], "full").where(~F.col("_a").eqNullSafe(F.col("_b"))).select("file", "ordinal", status.alias("status"))
+    sides = [r.join(bad, ["file", "range", "slice"], "left_semi").select(*_SAME, "leaf", F.col("n").alias(n)) for r, n in ((a, "n_a"), (b, "n_b"))]
+    left = sides[0].join(sides[1], [*_SAME, "leaf"], "full").withColumn("left", F.coalesce("n_a", F.lit(0)) - F.coalesce("n_b", F.lit(0))).where("left <> 0")
+    left, _ = stored(left.select(*_SAME, "leaf", (F.col("left") > 0).alias("in_a"), F.abs("left").alias("left")), "left")
+    placed = _before(left, [*_SAME, "in_a"], F.substring("leaf", 1, SLICE_LETTERS), ["leaf"], "left")
+    totals = left.groupBy(*_SAME).agg(*(F.sum(F.when(F.col("in_a") == side, F.col("left")).otherwise(0)).alias(name) for side, name in ((True, "all_a"), (False, "all_b"))))
+    paired = F.greatest(F.lit(0), F.least("left", F.least("all_a", "all_b") - F.col("before")))
+    out = placed.join(totals, _SAME).select(
+        *_SAME, "leaf", F.when(F.col("in_a"), paired).otherwise(0).alias("corrupt"),
+        F.when(F.col("in_a"), F.col("left") - paired).otherwise(0).alias("missing"), F.when(F.col("in_a"), 0).otherwise(F.col("left") - paired).alias("extra"),
+    )
+    return out.where("corrupt + missing + extra > 0")
+
+
+def damaged(pages: DataFrame, corrupt: int = 97, missing: int = 89, extra: int = 83) -> DataFrame:
+    """A second replica for drills.
+
+    The first letter of the html is overwritten in pages whose id is divisible by ``corrupt``; of the
+    others, those divisible by ``missing`` are left out; those divisible by ``extra`` have a second
+    record at their address with ``#copy``.
+    """
+    hit = (F.col("page_id") % corrupt == 0) & (F.length("html") > 0)
+    lost = F.coalesce((F.col("page_id") % missing == 0) & (F.col("page_id") % corrupt != 0), F.lit(False))
+    own = pages.where(~lost).withColumn("html", F.when(hit, F.concat(F.lit("#"), F.expr("substring(html, 2)"))).otherwise(F.col("html")))
+    return own.union(pages.where(F.col("page_id") % extra == 0).withColumn("url", F.concat(F.coalesce("url", F.lit("")), F.lit("#copy"))))
 
 
-def damaged(pages: DataFrame, every: int = 97) -> DataFrame:
-    """A second replica for drills: the first letter of the html is overwritten in pages whose id is divisible by ``every``."""
-    hit = (F.col("page_id") % every == 0) & (F.length("html") > 0)
-    return pages.withColumn("html", F.when(hit, F.concat(F.lit("#"), F.expr("substring(html, 2)"))).otherwise(F.col("html")))
+def _each(recs: DataFrame) -> DataFrame:
+    """One row per record, ``i`` counting equal ones; very many equal ones are dealt to several tasks."""
+    few = recs.where(F.col("n") <= COPIES).withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
+    many = recs.where(F.col("n") > COPIES).withColumn("_from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(COPIES).cast("long")))).repartition("leaf", "_from")
+    many = many.withColumn("i", F.explode(F.sequence(F.col("_from"), F.least(F.col("n"), F.col("_from") + COPIES) - 1))).drop("_from")
+    return few.union(many)
 
 
 def audited(pages: DataFrame, replica: DataFrame) -> DataFrame:
-    """Every record of ``pages`` with the audit's finding against ``replica``.
+    """Every record of ``pages`` with the audit's finding against ``replica``, and the replica's extra records.
 
-    ``page_id``, ``warc_file``, ``record_offset``, ``record_length``, ``record_sha256``, ``status``
-    (``ok``, ``corrupt`` or ``missing``).
+    ``page_id``, ``url``, ``warc_file``, ``record_offset``, ``record_length``, ``record_sha256``,
+    ``status`` (``ok``, ``corrupt``, ``missing``, or ``extra``: offset and hash are the replica's).
     """
     a, _ = stored(records(pages), "records")
     b, _ = stored(records(replica), "records")
-    found = audit(a, b).where("status <> 'extra'")
-    out = a.join(found, ["file", "ordinal"], "left")
+    found, _ = stored(audit(a, b), "found")
+    keys = [*_SAME, "leaf"]
+    none = {c: F.coalesce(c, F.lit(0)) for c in ("corrupt", "missing", "extra")}
+    own = a.join(found, keys, "left").withColumns(none)
+    ok = F.col("n") - F.col("corrupt") - F.col("missing")
+    status = F.when(F.col("i") < ok, "ok").when(F.col("i") < ok + F.col("corrupt"), "corrupt").otherwise("missing")
+    more = b.join(found.where("extra > 0"), keys).withColumn("offset", F.col("offset") + (F.col("n") - F.col("extra")) * F.col("length")).withColumn("n", F.col("extra"))
+    more = more.select(*own.columns)
+    out = _each(own).withColumn("status", status).union(_each(more).withColumn("status", F.lit("extra")))
     return out.select(
-        "page_id", F.col("file").alias("warc_file"), F.col("offset").alias("record_offset"), F.col("length").alias("record_length"),
-        F.col("leaf").alias("record_sha256"), F.coalesce("status", F.lit("ok")).alias("status"),
+        "page_id", "url", F.col("file").alias("warc_file"), (F.col("offset") + F.col("i") * F.col("length")).alias("record_offset"), F.col("length").alias("record_length"),
+        F.col("leaf").alias("record_sha256"), "status",
     )

@@ -76,21 +76,37 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 _CRLF = "chr(13) || chr(10)"
-#: The file layout and the replica's damage in plain SQL.
+
+
+def _laid_sql(pages: str) -> str:
+    """The records of a replica and where they lie in their files, in plain SQL."""
+    return f"""
+  SELECT *, CAST(coalesce(sum(record_length) OVER (
+    PARTITION BY warc_file ORDER BY page_id, record_sha256 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS record_offset
+  FROM (
+    SELECT page_id, url, CAST(floor(page_id / {fixity.FILE_RECORDS}.0) AS BIGINT) AS warc_file, CAST(strlen(body) AS BIGINT) AS record_length, sha256(body) AS record_sha256
+    FROM (
+      SELECT page_id, coalesce(url, '') AS url,
+             'WARC/1.0' || {_CRLF} || 'WARC-Type: resource' || {_CRLF} || 'WARC-Date: {fixity.DATE}' || {_CRLF}
+             || 'WARC-Record-ID: <urn:page:' || CAST(page_id AS VARCHAR) || '>' || {_CRLF} || 'WARC-Target-URI: ' || coalesce(url, '') || {_CRLF}
+             || 'Content-Length: ' || CAST(strlen(coalesce(html, '')) AS VARCHAR) || {_CRLF} || {_CRLF} || coalesce(html, '') || {_CRLF} || {_CRLF} AS body
+      FROM {pages}))"""
+
+
+#: The file layouts of both replicas, the second one's damage and what differs; ids are unique in these pages.
 _OP8_SQL = f"""
-WITH placed AS (
-  SELECT page_id, coalesce(url, '') AS url, html, CAST(floor(page_id / {fixity.FILE_RECORDS}.0) AS BIGINT) AS warc_file,
-         'WARC/1.0' || {_CRLF} || 'WARC-Type: resource' || {_CRLF} || 'WARC-Record-ID: <urn:page:' || CAST(page_id AS VARCHAR) || '>' || {_CRLF}
-         || 'WARC-Target-URI: ' || coalesce(url, '') || {_CRLF} || 'Content-Length: ' || CAST(strlen(coalesce(html, '')) AS VARCHAR) || {_CRLF} || {_CRLF}
-         || coalesce(html, '') || {_CRLF} || {_CRLF} AS body
-  FROM pages),
-hashed AS (SELECT page_id, url, html, warc_file, CAST(strlen(body) AS BIGINT) AS record_length, sha256(body) AS record_sha256 FROM placed)
-SELECT page_id, warc_file,
-       CAST(coalesce(sum(record_length) OVER (
-         PARTITION BY warc_file ORDER BY page_id, url, record_sha256 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS record_offset,
-       record_length, record_sha256,
-       CASE WHEN page_id % 97 = 0 AND length(html) > 0 AND substr(html, 1, 1) <> '#' THEN 'corrupt' ELSE 'ok' END AS status
-FROM hashed
+WITH replica AS (
+  SELECT page_id, url, CASE WHEN page_id % 97 = 0 AND length(html) > 0 THEN '#' || substr(html, 2) ELSE html END AS html
+  FROM pages WHERE NOT (page_id % 89 = 0 AND page_id % 97 <> 0)
+  UNION ALL SELECT page_id, coalesce(url, '') || '#copy' AS url, html FROM pages WHERE page_id % 83 = 0),
+a AS ({_laid_sql("pages")}),
+b AS ({_laid_sql("replica")})
+SELECT a.page_id, a.url, a.warc_file, a.record_offset, a.record_length, a.record_sha256,
+       CASE WHEN b.page_id IS NULL THEN 'missing' WHEN a.record_sha256 <> b.record_sha256 THEN 'corrupt' ELSE 'ok' END AS status
+FROM a LEFT JOIN b ON a.page_id = b.page_id AND a.url = b.url
+UNION ALL
+SELECT b.page_id, b.url, b.warc_file, b.record_offset, b.record_length, b.record_sha256, 'extra' AS status
+FROM b LEFT JOIN a ON a.page_id = b.page_id AND a.url = b.url WHERE a.page_id IS NULL
 """
 
 

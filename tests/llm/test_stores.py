@@ -1,6 +1,8 @@
 import hashlib
 import itertools
 import json
+import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -62,43 +64,94 @@ def pages(spark):
     return spark.createDataFrame(rows, "page_id long, url string, html string, status string").repartition(6)
 
 
-def test_offsets_are_those_of_the_file(pages):
+def plain_record(page_id, url, html):
+    body = (html or "").encode()
+    head = f"WARC/1.0\r\nWARC-Type: resource\r\nWARC-Date: {fixity.DATE}\r\nWARC-Record-ID: <urn:page:{'' if page_id is None else page_id}>\r\nWARC-Target-URI: {url or ''}\r\n"
+    return head.encode() + f"Content-Length: {len(body)}\r\n\r\n".encode() + body + b"\r\n\r\n"
+
+
+@pytest.mark.parametrize("hot", [fixity.HOT_RECORDS, 3])
+def test_offsets_are_those_of_the_file(pages, monkeypatch, hot):
+    monkeypatch.setattr(fixity, "HOT_RECORDS", hot)
     by_file = {}
     for r in fixity.records(pages).collect():
         by_file.setdefault(r.file, []).append(r)
     for rows in by_file.values():
-        rows.sort(key=lambda r: r.ordinal)
-        assert [r.ordinal for r in rows] == list(range(len(rows)))
-        assert [r.offset for r in rows] == list(itertools.accumulate((r.length for r in rows[:-1]), initial=0))
-    body = b"WARC/1.0\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:page:3>\r\nWARC-Target-URI: https://e.org/3\r\nContent-Length: 24\r\n\r\n<p>3</p><p>3</p><p>3</p>\r\n\r\n"
+        rows.sort(key=lambda r: (r.page_id is not None, r.page_id or 0, r.leaf))
+        assert [r.offset for r in rows] == list(itertools.accumulate((r.n * r.length for r in rows[:-1]), initial=0))
+    body = plain_record(3, "https://e.org/3", "<p>3</p>" * 3)
     row = next(r for r in by_file[0] if r.page_id == 3)
     assert (row.length, row.leaf) == (len(body), hashlib.sha256(body).hexdigest())
+    assert sum(r.n for rows in by_file.values() for r in rows) == pages.count()
 
 
 def test_audit_finds_exactly_the_damage(spark, pages):
     good = fixity.records(pages)
     assert fixity.audit(good, fixity.records(pages)).count() == 0
-    found = fixity.audited(pages, fixity.damaged(pages, 97)).collect()
-    assert len(found) == pages.count()
-    hit = {r.page_id for r in pages.collect() if r.page_id is not None and r.page_id % 97 == 0 and r.html}
-    assert {r.page_id for r in found if r.status == "corrupt"} == hit and {r.status for r in found} == {"ok", "corrupt"}
-
-
-def test_audit_of_missing_and_extra_records(spark, pages):
-    base = fixity.records(pages.where("page_id < 50 and page_id >= 0 and page_id <> 7"))
-    last = base.where("page_id = 49").first()
-    got = fixity.audit(base, base.where("page_id <> 49")).collect()
-    assert [(r.file, r.ordinal, r.status) for r in got] == [(last.file, last.ordinal, "missing")]
-    assert [r.status for r in fixity.audit(base.where("page_id <> 49"), base).collect()] == ["extra"]
-    assert fixity.audit(base.limit(0), base.limit(0)).count() == 0
+    found = fixity.audited(pages, fixity.damaged(pages)).collect()
+    ids = [r.page_id for r in pages.collect() if r.page_id is not None]
+    corrupt = sorted(r.page_id for r in pages.collect() if r.page_id is not None and r.page_id % 97 == 0 and r.html)
+    by_status = {s: sorted(r.page_id for r in found if r.status == s) for s in ("corrupt", "missing", "extra")}
+    assert by_status["corrupt"] == corrupt
+    assert by_status["missing"] == sorted(i for i in ids if i % 89 == 0 and i % 97 != 0)
+    assert by_status["extra"] == sorted(i for i in ids if i % 83 == 0)
+    assert len(found) == pages.count() + len(by_status["extra"])
+
+
+def plain_audit(a, b):
+    """Per id and address: equal records cancel out, the rest is paired in order of hash."""
+    out = Counter()
+    groups = [{}, {}]
+    for side, rows in zip(groups, (a, b), strict=True):
+        for page_id, url, html in rows:
+            side.setdefault((page_id, url or ""), Counter())[hashlib.sha256(plain_record(page_id, url, html)).hexdigest()] += 1
+    for key in groups[0].keys() | groups[1].keys():
+        ours, theirs = groups[0].get(key, Counter()), groups[1].get(key, Counter())
+        left, right = sorted((ours - theirs).elements()), sorted((theirs - ours).elements())
+        both = min(len(left), len(right))
+        out.update((*key, leaf, "corrupt" if i < both else "missing") for i, leaf in enumerate(left))
+        out.update((*key, leaf, "extra") for leaf in right[both:])
+    return out
+
+
+@pytest.mark.parametrize("hot", [fixity.HOT_RECORDS, 5])
+def test_audit_equals_plain_comparison(spark, monkeypatch, hot):
+    monkeypatch.setattr(fixity, "HOT_RECORDS", hot)
+    monkeypatch.setattr(fixity, "COPIES", 2)
+    rng = random.Random(4)
+    a = [(rng.choice([None, *range(200), 5, 5, 5]), rng.choice(["u", "v", None, ""]), rng.choice(["", "x", "y", None, "z" * 50])) for _ in range(600)]
+    b = [r for r in a if rng.random() > 0.03]
+    b = [(i, u, "w" + (h or "") if rng.random() < 0.05 else h) for i, u, h in b] + [(rng.randrange(220), "u", "new") for _ in range(9)]
+    rng.shuffle(b)
+    schema = "page_id long, url string, html string"
+    got = Counter()
+    for r in fixity.audited(*(spark.createDataFrame(x, schema) for x in (a, b))).collect():
+        got[(r.page_id, r.url, r.record_sha256, r.status)] += 1
+    want = plain_audit(a, b)
+    assert {k: v for k, v in got.items() if k[3] != "ok"} == dict(want)
+    assert sum(v for k, v in got.items() if k[3] != "extra") == len(a)
+
+
+def test_one_missing_record_is_one_finding(spark, pages):
+    base = pages.where("page_id between 0 and 199 and page_id <> 7")
+    got = fixity.audited(base, base.where("page_id <> 50")).where("status <> 'ok'").collect()
+    assert [(r.page_id, r.status) for r in got] == [(50, "missing")]
+    got = fixity.audited(base.where("page_id <> 50"), base).where("status <> 'ok'").collect()
+    assert [(r.page_id, r.status) for r in got] == [(50, "extra")]
+    assert fixity.audited(base.limit(0), base.limit(0)).count() == 0
+    loose = spark.createDataFrame([(None, f"u{i}", f"t{i}") for i in range(200)], "page_id long, url string, html string")
+    changed = loose.withColumn("html", F.when(F.col("url") == "u9", "other").otherwise(F.col("html")))
+    assert [(r.url, r.status) for r in fixity.audited(loose, changed).where("status <> 'ok'").collect()] == [("u9", "corrupt")]
 
 
 def test_root_is_that_of_hand_made_tree(spark, pages):
     recs = fixity.records(pages.where("page_id between 0 and 39 and page_id <> 7"))
-    rows = sorted(recs.collect(), key=lambda r: r.ordinal)
-    digest = lambda items: hashlib.sha256("|".join(f"{p}:{o}:{h}" for p, o, h in items).encode()).hexdigest()
-    ranges = [(i, part[0].offset, digest([(r.ordinal, r.offset, r.leaf) for r in part])) for i, part in enumerate((rows[:32], rows[32:]))]
-    node = digest(ranges)
+    rows = sorted(recs.collect(), key=lambda r: r.page_id)
+    digest = lambda lines: hashlib.sha256("|".join(lines).encode()).hexdigest()
+    parts = [[r for r in rows if r.page_id // 32 == i] for i in (0, 1)]
+    ranges = [digest(f"{r.page_id}:{r.offset - part[0].offset}:{r.n}:{r.leaf}" for r in part) for part in parts]
+    sizes = [sum(r.n * r.length for r in part) for part in parts]
+    node = digest(f"{i:>20}/:{s}:{h}" for i, s, h in zip((0, 1), sizes, ranges, strict=True))
     for _ in range(3):
-        node = digest([(0, 0, node)])
+        node = digest([f"0:{sum(sizes)}:{node}"])
     assert fixity.tree(recs)["root"].first().hash == node
