@@ -5,14 +5,19 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 from urllib.parse import urlparse
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Rows of one Arrow batch; texts can be long, so batches are far smaller than Spark's default.
 BATCH_ROWS = 1000
+#: Equal rows that one task writes at once.
+COPIES = 4096
+
+_scratch: list[str] = []
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,7 +38,20 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, tag: str) -> str:
-    return f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    return path
+
+
+@contextmanager
+def scratch_removed(spark: SparkSession) -> Iterator[None]:
+    """Remove the scratch tables made inside the block when it ends; write its results before that."""
+    since = len(_scratch)
+    try:
+        yield
+    finally:
+        remove(spark, *_scratch[since:])
+        del _scratch[since:]
 
 
 def stored(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
@@ -73,3 +91,44 @@ def each_text(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, lis
     for batch in batches:
         if batch.num_rows:
             yield batch.column(0), batch.column(1).to_pylist()
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each led by as many underscores as make it unlike every column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
+def own_columns(df: DataFrame) -> list[Column]:
+    """The columns of ``df``, whatever signs their names hold."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
+def before(df: DataFrame, keys: list[str], split: Column, order: list[str], value: str) -> DataFrame:
+    """``df`` with ``before``: the sum of ``value`` over the rows of its ``keys`` that come first by ``split`` and ``order``.
+
+    Two levels: rows of one ``split`` are summed in one window, and the splits' own sums in another.
+    """
+    cut = df.withColumn("_split", split)
+    sums = cut.groupBy(*keys, "_split").agg(F.sum(value).alias("_sum"))
+    earlier = Window.partitionBy(*keys).orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.select(*keys, "_split", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_start"))
+    within = Window.partitionBy(*keys, "_split").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        cut.withColumn("_within", F.coalesce(F.sum(value).over(within), F.lit(0))).join(starts, [*keys, "_split"])
+        .withColumn("before", F.col("_start") + F.col("_within")).drop("_split", "_start", "_within")
+    )
+
+
+def each_copy(df: DataFrame, *salt: str) -> DataFrame:
+    """``n`` rows for each row, numbered from 0 in ``i``; very many are dealt to several tasks by the ``salt`` columns."""
+    zero = F.lit(0).cast("long")
+    few = df.where(F.col("n") <= COPIES).withColumn("i", F.explode(F.sequence(zero, F.col("n") - 1)))
+    many = df.where(F.col("n") > COPIES).withColumn("_from", F.explode(F.sequence(zero, F.col("n") - 1, F.lit(COPIES).cast("long")))).repartition(*salt, "_from")
+    many = many.withColumn("i", F.explode(F.sequence(F.col("_from"), F.least(F.col("n"), F.col("_from") + COPIES) - 1))).drop("_from")
+    return few.union(many)

@@ -10,10 +10,10 @@ address, and which of several records of both.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import stored
+from ._common import before, each_copy, stored
 
 #: Ids of a file and of a range, and files of a group; groups of groups grow by the same factor.
 FILE_RECORDS = 1000
@@ -24,8 +24,6 @@ LOOSE_FILES = 1 << 20
 #: Different records beyond which a file's records are also cut into slices by the first letters of their hash.
 HOT_RECORDS = 16_384
 SLICE_LETTERS = 3
-#: Equal records that one task writes at once.
-COPIES = 4096
 #: The date of every record: pages have none, and the format wants one.
 DATE = "1970-01-01T00:00:00Z"
 
@@ -40,22 +38,6 @@ def record_bytes(page_id: Column, url: Column, html: Column) -> Column:
     return F.concat(head, body, F.lit("\r\n\r\n"))
 
 
-def _before(df: DataFrame, keys: list[str], split: Column, order: list[str], value: str) -> DataFrame:
-    """``df`` with ``before``: the sum of ``value`` over the rows of its ``keys`` that come first by ``split`` and ``order``.
-
-    Two levels: rows of one ``split`` are summed in one window, and the splits' own sums in another.
-    """
-    cut = df.withColumn("_split", split)
-    sums = cut.groupBy(*keys, "_split").agg(F.sum(value).alias("_sum"))
-    earlier = Window.partitionBy(*keys).orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sums.select(*keys, "_split", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_start"))
-    within = Window.partitionBy(*keys, "_split").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        cut.withColumn("_within", F.coalesce(F.sum(value).over(within), F.lit(0))).join(starts, [*keys, "_split"])
-        .withColumn("before", F.col("_start") + F.col("_within")).drop("_split", "_start", "_within")
-    )
-
-
 def records(pages: DataFrame) -> DataFrame:
     """The different records of a replica, where they lie in their files, and their hashes.
 
@@ -80,7 +62,7 @@ def records(pages: DataFrame) -> DataFrame:
     hot = counted.groupBy("file").count().where(F.col("count") > HOT_RECORDS).select("file", F.lit(True).alias("hot"))
     counted = counted.join(hot, "file", "left").withColumn("slice", F.when(F.col("hot"), F.substring("leaf", 1, SLICE_LETTERS)).otherwise("")).drop("hot")
     split = F.when(F.col("slice") == "", F.struct(F.lit(None).cast("long").alias("id"), F.lit("").alias("slice"))).otherwise(F.struct(F.col("page_id").alias("id"), F.col("slice")))
-    laid = _before(counted.withColumn("bytes", F.col("n") * F.col("length")), ["file"], split, ["page_id", "leaf"], "bytes")
+    laid = before(counted.withColumn("bytes", F.col("n") * F.col("length")), ["file"], split, ["page_id", "leaf"], "bytes")
     return laid.select("file", "range", "slice", "key", "page_id", "url", "leaf", "length", "n", F.col("before").alias("offset"))
 
 
@@ -141,7 +123,7 @@ def audit(a: DataFrame, b: DataFrame) -> DataFrame:
     sides = [r.join(bad, ["file", "range", "slice"], "left_semi").select(*_SAME, "leaf", F.col("n").alias(n)) for r, n in ((a, "n_a"), (b, "n_b"))]
     left = sides[0].join(sides[1], [*_SAME, "leaf"], "full").withColumn("left", F.coalesce("n_a", F.lit(0)) - F.coalesce("n_b", F.lit(0))).where("left <> 0")
     left, _ = stored(left.select(*_SAME, "leaf", (F.col("left") > 0).alias("in_a"), F.abs("left").alias("left")), "left")
-    placed = _before(left, [*_SAME, "in_a"], F.substring("leaf", 1, SLICE_LETTERS), ["leaf"], "left")
+    placed = before(left, [*_SAME, "in_a"], F.substring("leaf", 1, SLICE_LETTERS), ["leaf"], "left")
     totals = left.groupBy(*_SAME).agg(*(F.sum(F.when(F.col("in_a") == side, F.col("left")).otherwise(0)).alias(name) for side, name in ((True, "all_a"), (False, "all_b"))))
     paired = F.greatest(F.lit(0), F.least("left", F.least("all_a", "all_b") - F.col("before")))
     out = placed.join(totals, _SAME).select(
@@ -164,14 +146,6 @@ def damaged(pages: DataFrame, corrupt: int = 97, missing: int = 89, extra: int =
     return own.union(pages.where(F.col("page_id") % extra == 0).withColumn("url", F.concat(F.coalesce("url", F.lit("")), F.lit("#copy"))))
 
 
-def _each(recs: DataFrame) -> DataFrame:
-    """One row per record, ``i`` counting equal ones; very many equal ones are dealt to several tasks."""
-    few = recs.where(F.col("n") <= COPIES).withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
-    many = recs.where(F.col("n") > COPIES).withColumn("_from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(COPIES).cast("long")))).repartition("leaf", "_from")
-    many = many.withColumn("i", F.explode(F.sequence(F.col("_from"), F.least(F.col("n"), F.col("_from") + COPIES) - 1))).drop("_from")
-    return few.union(many)
-
-
 def audited(pages: DataFrame, replica: DataFrame) -> DataFrame:
     """Every record of ``pages`` with the audit's finding against ``replica``, and the replica's extra records.
 
@@ -188,7 +162,7 @@ def audited(pages: DataFrame, replica: DataFrame) -> DataFrame:
     status = F.when(F.col("i") < ok, "ok").when(F.col("i") < ok + F.col("corrupt"), "corrupt").otherwise("missing")
     more = b.join(found.where("extra > 0"), keys).withColumn("offset", F.col("offset") + (F.col("n") - F.col("extra")) * F.col("length")).withColumn("n", F.col("extra"))
     more = more.select(*own.columns)
-    out = _each(own).withColumn("status", status).union(_each(more).withColumn("status", F.lit("extra")))
+    out = each_copy(own, "leaf").withColumn("status", status).union(each_copy(more, "leaf").withColumn("status", F.lit("extra")))
     return out.select(
         "page_id", "url", F.col("file").alias("warc_file"), (F.col("offset") + F.col("i") * F.col("length")).alias("record_offset"), F.col("length").alias("record_length"),
         F.col("leaf").alias("record_sha256"), "status",

@@ -16,7 +16,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import each_text, id_crc, small_batches
+from ._common import fresh, id_crc, own_columns, small_batches
 
 #: Hashed n-gram features; n-grams of these many bytes.
 FEATURES = 2048
@@ -184,8 +184,8 @@ def fit(docs: DataFrame, sample: int = SAMPLE, clusters: int = CLUSTERS, held_ou
     return model
 
 
-def predict(docs: DataFrame, model: Centroids) -> DataFrame:
-    """``docs`` with the columns ``_lang_pred``, ``_lang_score`` and ``_lang_rejected``.
+def predict(docs: DataFrame, model: Centroids, names: tuple[str, str, str] = ("_lang_pred", "_lang_score", "_lang_rejected")) -> DataFrame:
+    """``docs`` with the language, its score and whether it is rejected, in columns of these names.
 
     Only the text is looked at. Null texts and texts without a letter are ``und``, rejected, with
     score 0. Ties go to the first language by name. Rows and other columns stay as they are;
@@ -196,14 +196,16 @@ def predict(docs: DataFrame, model: Centroids) -> DataFrame:
     def classify(texts):
         import pandas as pd
 
-        names, score, rejected = model.predict([t if isinstance(t, str) else None for t in texts])
-        return pd.DataFrame({"lang": names, "score": score, "rejected": rejected})
+        langs, score, rejected = model.predict([t if isinstance(t, str) else None for t in texts])
+        return pd.DataFrame({"lang": langs, "score": score, "rejected": rejected})
 
     small_batches(docs.sparkSession)
-    out = docs.withColumn("_lang", classify(F.col("text").cast("string")))
-    return out.select(*(F.col(f"`{c}`") for c in docs.columns), F.col("_lang.lang").alias("_lang_pred"), F.col("_lang.score").alias("_lang_score"), F.col("_lang.rejected").alias("_lang_rejected"))
+    found = fresh(docs, "_lang")[0]
+    out = docs.withColumn(found, classify(F.col("text").cast("string")))
+    return out.select(*own_columns(docs), *(F.col(found)[part].alias(name) for part, name in zip(("lang", "score", "rejected"), names, strict=True)))
 
 
 def accepted(docs: DataFrame, model: Centroids) -> DataFrame:
     """The rows of ``docs`` whose language is not rejected, with all their columns."""
-    return predict(docs, model).where(~F.col("_lang_rejected")).select(*(F.col(f"`{c}`") for c in docs.columns))
+    names = fresh(docs, "_lang_pred", "_lang_score", "_lang_rejected")
+    return predict(docs, model, names).where(~F.col(names[2])).select(*own_columns(docs))

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import each_text, ids_and_texts, remove, small_batches, stored
+from ._common import each_text, fresh, ids_and_texts, own_columns, remove, small_batches, stored
 from .graph import components
 
 SEED = 42
@@ -377,16 +377,13 @@ def _set_links(k: int, similarity: float):
     return run
 
 
-def _row_keys(docs: DataFrame) -> DataFrame:
-    """``docs`` with the columns that tell its rows apart: ``_keep_id``, ``_keep_null``, ``_keep_hash``."""
-    return docs.withColumns({
-        "_keep_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)),
-        "_keep_null": F.col("doc_id").isNull(),
-        "_keep_hash": F.xxhash64(F.coalesce(F.col("text"), F.lit(""))),
-    })
+_ROW_KEYS = ["_keep_id", "_keep_null", "_keep_hash"]
 
 
-_ROW_KEYS = ["_keep_id", "_keep_null", "_keep_hash"]
+def _row_keys(docs: DataFrame, names: list[str] = _ROW_KEYS) -> DataFrame:
+    """``docs`` with columns of these names that tell its rows apart: the id or -1, whether it is null, the text's hash."""
+    hashed = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    return docs.withColumns(dict(zip(names, (F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)), F.col("doc_id").isNull(), hashed), strict=True)))
 
 
 def near_copies(docs: DataFrame, k: int = 5, similarity: float = 0.8, words: int = WIDE_WORDS) -> DataFrame:
@@ -447,10 +444,11 @@ def keep_one(docs: DataFrame, k: int = 5, similarity: float = 0.8) -> DataFrame:
     """
     found, _ = stored(near_copies(docs, k, similarity), "classes")
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    names = fresh(docs, *_ROW_KEYS)
     kept = found.groupBy("component").agg(F.min(order).alias("o")).select(
-        F.coalesce("o.doc_id", F.lit(-1)).alias("_keep_id"), F.col("o.no_id").alias("_keep_null"), F.col("o.text_hash").alias("_keep_hash")
+        F.coalesce("o.doc_id", F.lit(-1)).alias(names[0]), F.col("o.no_id").alias(names[1]), F.col("o.text_hash").alias(names[2])
     ).distinct()
-    out = _row_keys(docs).join(kept, _ROW_KEYS, "left_semi")
+    out = _row_keys(docs, names).join(kept, names, "left_semi")
     if not found.groupBy("doc_id", "text_hash").count().where("count > 1").isEmpty():
-        out = out.dropDuplicates(_ROW_KEYS)
-    return out.select(*docs.columns)
+        out = out.dropDuplicates(names)
+    return out.select(*own_columns(docs))

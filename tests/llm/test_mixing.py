@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from evigrid.llm import mixing
+from evigrid.llm import _common, mixing
 
 
 def brute_targets(sizes):
@@ -83,7 +83,58 @@ def test_mixed_documents_hold_what_was_taken(docs):
     assert got == {k: v for k, v in want.items() if v}
 
 
+def test_taken_equals_plain_walk_over_the_plan(docs):
+    """Each document's words by laying sources out in the operator's order and walking the plan slot by slot."""
+    block = 32
+    rows = mixing.mix(docs, block).collect()
+    sizes: dict = {}
+    for r in rows:
+        sizes[r.source] = sizes.get(r.source, 0) + r["size"]
+    ranges, facts = mixing.plan(sizes, block)
+    names = list(facts["targets"])
+    placed, *_ = mixing._laid(docs, block, mixing.WEIGHTS, mixing.REPEATS)
+    lines = {s: [] for s in range(len(names))}
+    for r in sorted(placed.collect(), key=lambda r: (r.s, r.offset, r["size"])):
+        assert r["size"] == 0 or r.offset == len(lines[r.s])
+        lines[r.s] += [(r.doc_id, r.text_hash, r.i)] * r["size"]
+    want: dict = {}
+    for x in ranges.to_dict("records"):
+        for k in range(x["first"], x["last"] + 1):
+            at = (k * x["step"] + x["shift"]) % x["n"]
+            words = lines[x["s"]][at * block : (at + 1) * block]
+            for w in words if k != x["short_slot"] else words[: x["short_words"]]:
+                want[x["s"], *w] = want.get((x["s"], *w), 0) + 1
+    place = {name: s for s, name in enumerate(names)}
+    assert {(place[r.source], r.doc_id, r.text_hash, r.i): r.taken for r in rows if r.taken} == want
+
+
+def test_packed_blocks_hold_the_words_taken(docs):
+    block = 32
+    out = mixing.packed(docs, block).collect()
+    assert len({(r.source, r.turn, r.slot) for r in out}) == len(out) and all(r.n_words == len(r.text.split(" ")) <= block for r in out)
+    sizes, want = {}, {}
+    for r in mixing.mix(docs, block).collect():
+        sizes[r.source] = sizes.get(r.source, 0) + r["size"]
+        want[r.source] = want.get(r.source, 0) + r.taken
+    got: dict = {}
+    for r in out:
+        got[r.source] = got.get(r.source, 0) + r.n_words
+    assert got == {s: n for s, n in want.items() if n}
+    drawn = mixing.plan(sizes, block)[1]
+    assert {r.shard for r in out} == set(range(drawn["shards"]))
+    known = {w for r in docs.collect() for w in (r.text or "").replace("\x0b", " ").split(" ")}
+    assert {w for r in out for w in r.text.split(" ")} <= known
+
+
+def test_equal_rows_of_a_hot_group(spark, monkeypatch):
+    monkeypatch.setattr(_common, "COPIES", 7)
+    rows = [(1, "one two three", "a", i % 2, "x") for i in range(40)] + [(i, "four five six seven", "b", 0, "y") for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars int, taken string")
+    first, again = (sorted(map(str, mixing.mixed_documents(d, block=5).collect())) for d in (df, df.repartition(3)))
+    assert first == again and len(mixing.mix(df, block=5).collect()) == 70
+
+
 def test_empty_and_wordless(docs):
     assert mixing.mix(docs.limit(0)).count() == 0
-    assert mixing.mixed_documents(docs.limit(0)).count() == 0
+    assert mixing.mixed_documents(docs.limit(0)).count() == 0 and mixing.packed(docs.limit(0)).count() == 0
     assert {r.taken for r in mixing.mix(docs.withColumn("text", F.lit(None).cast("string"))).collect()} == {0}

@@ -47,3 +47,23 @@ def test_encoded_ids_decode_to_the_mixed_texts(stages):
 def test_run(spark):
     got = corpus_pipeline.run(spark, SF)
     assert got.count() > 0 and "ids" in got.columns
+
+
+CLASHES = (
+    "_keep_id", "_keep_null", "_keep_hash", "_mix_id", "_mix_source", "_mix_hash", "_mix_n", "_mix_full", "_mix_parts", "_mix_size", "_mix_part", "_tox_score", "_tox_predicted",
+    "_lang", "_lang_pred", "_lang_score", "_lang_rejected", "a.b", "a`b", "before", "row", "k0", "_split", "node", "key", "block", "component", "fp",
+)
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
+def test_columns_of_any_name_are_kept(spark, name):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    docs = docs.select("*", *(F.concat(F.lit(f"{i}:"), F.col("doc_id").cast("string")).alias(c) for i, c in enumerate(CLASHES)))
+    docs = docs.union(docs.limit(3))
+    out = dict(corpus_pipeline.STAGES)[name](spark, docs, SF)
+    rows = out.collect()
+    if name == "bpe_encode":
+        assert len(rows) == docs.count()
+        return
+    assert out.columns == docs.columns and rows
+    assert all(r[c] == f"{i}:{r.doc_id}" for r in rows for i, c in enumerate(CLASHES))

@@ -7,7 +7,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from evigrid.llm import fixity, sharding
+from evigrid.llm import _common, fixity, sharding
 
 
 def rows_of(spark, n, start=0):
@@ -117,7 +117,7 @@ def plain_audit(a, b):
 @pytest.mark.parametrize("hot", [fixity.HOT_RECORDS, 5])
 def test_audit_equals_plain_comparison(spark, monkeypatch, hot):
     monkeypatch.setattr(fixity, "HOT_RECORDS", hot)
-    monkeypatch.setattr(fixity, "COPIES", 2)
+    monkeypatch.setattr(_common, "COPIES", 2)
     rng = random.Random(4)
     a = [(rng.choice([None, *range(200), 5, 5, 5]), rng.choice(["u", "v", None, ""]), rng.choice(["", "x", "y", None, "z" * 50])) for _ in range(600)]
     b = [r for r in a if rng.random() > 0.03]
