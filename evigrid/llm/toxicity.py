@@ -21,15 +21,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import id_crc, small_batches
+from ._common import fresh, id_crc, own_columns, small_batches
 
 #: Labelled rows used for training at most: a bounded sample by hash of the id.
 SAMPLE = 20_000
-#: Letters of a word beginning, the least toxic documents of an entry, its least precision, and entries at most.
+#: Letters of a word beginning, the least toxic documents of an entry, and its least precision.
 PREFIXES = range(4, 9)
 LEAST_SUPPORT = 5
 LEAST_PRECISION = 0.85
-ENTRIES = 5000
 #: Nats beyond the number of candidates by which an entry must be unlikely by chance, and the share of a beginning's documents by which a longer entry explains it.
 CERTAINTY = 2.0
 EXPLAINED = 0.8
@@ -138,7 +137,7 @@ class Lexicon:
 
 def _candidates(folded: str) -> set[str]:
     words = {w for w in _WORD.findall(folded) if not w.isdigit()}
-    return {w + " " for w in words if 3 <= len(w) <= 24} | {w[:n] for w in words for n in PREFIXES if len(w) > n}
+    return {w + " " for w in words if len(w) >= 3} | {w[:n] for w in words for n in PREFIXES if len(w) > n}
 
 
 def _contexts(folded: str, spans: list[tuple[int, int, float]]) -> set[str]:
@@ -166,7 +165,7 @@ def _fit_score(rows: list[tuple[float, float]], labels: list[int]) -> tuple[floa
     return float(b), float(w[0]), float(w[1])
 
 
-def _choose(counted: list, n_toxic: int, n_clean: int, least: float, base: float, entries: int) -> dict[str, float]:
+def _choose(counted: list, n_toxic: int, n_clean: int, least: float, base: float) -> dict[str, float]:
     """Entries with their log-odds: beginnings that stand for many words, else the words themselves.
 
     An entry must be unlikely, by ``least`` nats over the base rate, to be toxic by chance. A
@@ -181,7 +180,7 @@ def _choose(counted: list, n_toxic: int, n_clean: int, least: float, base: float
     for r in sorted(counted, key=lambda r: (len(r["entry"]), -r["toxic"], r["entry"])):
         entry, toxic, clean = r["entry"], r["toxic"], r["clean"]
         covered = entry in explained or any(entry[:k] in chosen for k in PREFIXES if k < len(entry))
-        if len(chosen) < entries and not covered and toxic * math.log(toxic / (toxic + clean) / max(base, 1e-9)) >= least:
+        if not covered and toxic * math.log(toxic / (toxic + clean) / max(base, 1e-9)) >= least:
             odds = math.log((toxic + 0.5) / (n_toxic + 1)) - math.log((clean + 0.5) / (n_clean + 1))
             if odds > 0:
                 chosen[entry] = odds
@@ -198,12 +197,13 @@ def _training_rows(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame
     return texts.join(F.broadcast(marks), "doc_id").select("text", "toxic").where("text is not null")
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, entries: int = ENTRIES, exceptions: tuple[str, ...] = EXCEPTIONS) -> Lexicon:
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, exceptions: tuple[str, ...] = EXCEPTIONS) -> Lexicon:
     """Learn a lexicon from ``labels.toxic`` of rows whose id's CRC-32 is not divisible by 5.
 
-    About ``sample`` labelled rows at most are used. Candidate entries are counted once a document,
-    per task and then over all; the least supported are dropped before they reach the driver. A
-    beginning that is precise enough stands for all longer ones. No labelled rows: an empty lexicon.
+    About ``sample`` labelled rows at most are used, which bounds all that is learned from them.
+    Candidate entries are counted once a document, per task and then over all; only supported and
+    precise ones reach the driver. A beginning that is precise enough stands for all longer ones. No
+    labelled rows: an empty lexicon.
     """
     rows = _training_rows(docs, labels, sample).persist()
     try:
@@ -226,11 +226,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, entries: int =
         total = rows.mapInArrow(count, "entry string, toxic long, clean long").groupBy("entry").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
         total = total.where(F.col("toxic") >= LEAST_SUPPORT).persist()
         tried = total.count()
-        counted = (
-            total.where(F.col("toxic") >= LEAST_PRECISION * (F.col("toxic") + F.col("clean"))).orderBy(F.desc("toxic"), "entry").limit(20 * entries).collect()
-        )
+        counted = total.where(F.col("toxic") >= LEAST_PRECISION * (F.col("toxic") + F.col("clean"))).collect()
         total.unpersist()
-        lexicon = Lexicon(_choose(counted, n_toxic, n_clean, math.log(max(tried, 1)) + CERTAINTY, base, entries), [fold(e) for e in exceptions])
+        lexicon = Lexicon(_choose(counted, n_toxic, n_clean, math.log(max(tried, 1)) + CERTAINTY, base), [fold(e) for e in exceptions])
         chosen = lexicon.weights
 
         def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,13 +244,16 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, entries: int =
                 )
 
         schema = "toxic int, by_sum double, by_density double, context array<string>"
+        described = rows.mapInArrow(describe, schema).persist()
         phrases = (
-            rows.mapInArrow(describe, schema).select("toxic", F.explode("context").alias("phrase")).groupBy("phrase")
-            .agg(F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("clean")).where(f"toxic = 0 and clean >= {EXCEPTION_SUPPORT}")
-            .orderBy(F.desc("clean"), "phrase").limit(entries).collect()
+            described.select("toxic", F.explode("context").alias("phrase")).groupBy("phrase")
+            .agg(F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("clean")).where(f"toxic = 0 and clean >= {EXCEPTION_SUPPORT}").collect()
         )
-        lexicon = Lexicon(chosen, lexicon.exceptions + [r["phrase"] for r in phrases])
-        sample_rows = rows.mapInArrow(describe, schema).select("toxic", "by_sum", "by_density").orderBy("toxic", "by_sum", "by_density").collect()
+        if phrases:  # exceptions change the features
+            lexicon = Lexicon(chosen, lexicon.exceptions + sorted(r["phrase"] for r in phrases))
+        features = (rows.mapInArrow(describe, schema) if phrases else described).select("toxic", "by_sum", "by_density").collect()
+        described.unpersist()
+        sample_rows = sorted(tuple(r) for r in features)
         if n_toxic and n_clean and chosen:
             bias, lexicon.by_sum, lexicon.by_density = _fit_score([(r[1], r[2]) for r in sample_rows], [r[0] for r in sample_rows])
             lexicon.bias = min(bias, MOST_BIAS)
@@ -261,8 +262,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, entries: int =
         rows.unpersist()
 
 
-def score(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
-    """``docs`` with the columns ``_tox_score`` and ``_tox_predicted`` (1 from a score of 0.5).
+def score(docs: DataFrame, lexicon: Lexicon, names: tuple[str, str] = ("_tox_score", "_tox_predicted")) -> DataFrame:
+    """``docs`` with a score and a prediction (1 from a score of 0.5), in columns of these names.
 
     Only the text is looked at; a null text counts as empty and has no match. Rows and other columns
     stay as they are; nothing is shuffled, the lexicon that goes to each task is bounded.
@@ -275,9 +276,10 @@ def score(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
         return pd.Series([lexicon.score(t if isinstance(t, str) else None) for t in texts], dtype=float)
 
     small_batches(docs.sparkSession)
-    return docs.withColumn("_tox_score", weigh(F.col("text").cast("string"))).withColumn("_tox_predicted", (F.col("_tox_score") >= 0.5).cast("int"))
+    return docs.withColumn(names[0], weigh(F.col("text").cast("string"))).withColumn(names[1], (F.col(names[0]) >= 0.5).cast("int"))
 
 
 def accepted(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
     """The rows of ``docs`` that are not predicted toxic, with all their columns."""
-    return score(docs, lexicon).where("_tox_predicted = 0").select(*(F.col(f"`{c}`") for c in docs.columns))
+    names = fresh(docs, "_tox_score", "_tox_predicted")
+    return score(docs, lexicon, names).where(F.col(names[1]) == 0).select(*own_columns(docs))
