@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import normalize_text, strip_html
+from .text import normalize_text, snippet, strip_html
 
 # Status codes and page markers that mean a crawler is blocked, in order of precedence.
 BLOCKED_STATUSES = (401, 403, 429, 503)
@@ -139,6 +139,28 @@ def diagnosis(text: Column, condition: str, tests: str = TESTS, gap: int = 80) -
     return F.when(near, "yes").otherwise("unclear")
 
 
+def diagnosis_quote(text: Column, field: str, tests: str = TESTS, gap: int = 80) -> Column:
+    """What shows a diagnosis: the first explicit phrase with its context, else the first mention of the condition, else empty."""
+    condition = CONDITIONS[field]
+    patterns = (
+        rf"(?i)\b{condition}.{{0,{gap}}}\b{tests}\b", rf"(?i)\b{tests}.{{0,{gap}}}\b{condition}\b",
+        rf"(?i)\bassessment\s*,\s*diagnosis\s+and\s+management\s+of.{{0,60}}\b{condition}\b", AMBIGUOUS[field],
+    )
+    return F.coalesce(*(F.nullif(snippet(text, p), F.lit("")) for p in patterns), F.lit(""))
+
+
+# Words of a board's name or of a profession that tell the licence.
+BOARD_LICENSES = (("psychologist", r"psych"), ("advanced_practice_nurse", r"nurs|apn|nurse practitioner"), ("physician_assistant", r"assistant|\bpa\b"), ("physician", r"physician|medical|bme"))
+
+
+def board_license_type(board: Column, stated: Column) -> Column:
+    """Licence of a board's listing by the board's name and the profession it states."""
+    both, out = F.lower(F.concat_ws(" ", F.coalesce(board, F.lit("")), stated)), F.when(F.lit(False), "")
+    for name, pattern in BOARD_LICENSES:
+        out = out.when(both.rlike(pattern), name)
+    return out.otherwise("unknown")
+
+
 def age_groups(text: Column, child: str = CHILD, adult: str = ADULT) -> Column:
     none = F.array().cast("array<string>")
     found = F.concat(

@@ -16,6 +16,11 @@ SNIPPET_CONTEXT, SNIPPET_LENGTH = 40, 180
 INTAKE_TOKENS = ("intake", "referral", "appointment", "new-patient", "newpatient", "contact")
 
 
+def let(value: Column, then) -> Column:
+    """``then`` of a value that is computed once, however often it is used."""
+    return F.transform(F.array(value), then)[0]
+
+
 def normalize_text(c: Column) -> Column:
     """White space runs as one blank, none at the ends; null as the empty text."""
     return F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), SPACE, " "))
@@ -46,10 +51,20 @@ def same_domain(a: Column, b: Column) -> Column:
     return normalize_domain(a) == normalize_domain(b)
 
 
+def _decoded(c: Column) -> Column:
+    return F.coalesce(F.try_url_decode(F.regexp_replace(c, r"%(?![0-9A-Fa-f]{2})", "%25")), c)
+
+
+def _encoded(c: Column) -> Column:
+    # the JVM's encoder leaves * as it is and escapes ~, the common form has it the other way round
+    return F.regexp_replace(F.regexp_replace(F.url_encode(c), r"\*", "%2A"), "%7E", "~")
+
+
 def normalize_url(c: Column) -> Column:
     """Scheme and host in lower case, no ``www.``, no fragment, no trailing slash, non-blank query pairs in order.
 
-    Percent escapes are left as they are.
+    Names and values of the query are decoded and encoded again, so one address has one form; escapes
+    that are broken stay. Escapes in the path stay.
     """
     v = normalize_text(c)
     full = F.when(v.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), v).otherwise(F.concat(F.lit("https://"), v))
@@ -58,7 +73,8 @@ def normalize_url(c: Column) -> Column:
     path = F.regexp_extract(full, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#;]*)", 1)
     path = F.when(path == "", F.lit("/")).when(path == "/", path).otherwise(F.regexp_replace(path, r"/$", ""))
     pairs = F.filter(F.split(F.regexp_extract(full, r"\?([^#]*)", 1), "&"), lambda p: p.rlike(r"^[^=]*=.+$"))
-    query = F.array_join(F.array_sort(pairs), "&")
+    decoded = F.transform(pairs, lambda p: F.struct(_decoded(F.regexp_extract(p, r"^([^=]*)=", 1)).alias("k"), _decoded(F.regexp_extract(p, r"^[^=]*=(.*)$", 1)).alias("v")))
+    query = F.array_join(F.transform(F.array_sort(decoded), lambda x: F.concat(_encoded(x["k"]), F.lit("="), _encoded(x["v"]))), "&")
     return F.concat(scheme, F.lit("://"), host, path, F.when(query == "", F.lit("")).otherwise(F.concat(F.lit("?"), query)))
 
 
@@ -93,19 +109,37 @@ def first_link_with(links: Column, tokens: tuple[str, ...] = INTAKE_TOKENS) -> C
     return F.coalesce(F.try_element_at(F.filter(links, has), F.lit(1)), F.lit(""))
 
 
+def _without_dots(path: Column) -> Column:
+    """A path without ``.`` and ``..`` segments; what leads above the root stays at the root."""
+    segments = F.split(path, "/")
+    kept = F.aggregate(
+        F.slice(segments, 2, 10_000), F.array().cast("array<string>"),
+        lambda done, x: F.when(x == ".", done).when(x == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0)))).otherwise(F.concat(done, F.array(x))),
+    )
+    folder = F.element_at(segments, -1).isin(".", "..") & (F.size(kept) > 0)
+    return F.concat(F.lit("/"), F.array_join(kept, "/"), F.when(folder, F.lit("/")).otherwise(F.lit("")))
+
+
 def resolve_link(base: Column, link: Column) -> Column:
-    """Absolute normalised form of a link found on a page."""
+    """Absolute normalised form of a link found on a page: whole, by scheme, by root, by query, or relative to the page's folder."""
     root = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
-    folder = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*://[^?#]*/)", 1)
+    page = F.regexp_extract(base, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
+    folder = F.regexp_extract(page, r"^(.*/)", 1)
+    path, tail = F.regexp_extract(link, r"^([^?#]*)", 1), F.regexp_extract(link, r"^[^?#]*(.*)$", 1)
+    joined = F.when(path.startswith("/"), path).when(path == "", page).otherwise(F.concat(F.when(folder == "", F.lit("/")).otherwise(folder), path))
     absolute = (
         F.when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), link)
         .when(link.startswith("//"), F.concat(F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*:)", 1), link))
-        .when(link.startswith("/"), F.concat(root, link))
-        .otherwise(F.concat(F.when(folder == "", F.concat(root, F.lit("/"))).otherwise(folder), link))
+        .otherwise(F.concat(root, F.when(joined == "", F.lit("")).otherwise(_without_dots(joined)), tail))
     )
     return normalize_url(absolute)
 
 
+def extract_domain(c: Column) -> Column:
+    """Domain of an address, whatever it lacks; the empty text for none."""
+    return normalize_domain(F.regexp_replace(normalize_text(c), r"^//", ""))
+
+
 def emails(c: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(f"({EMAIL})"), F.lit(1))
 
@@ -132,6 +166,13 @@ def snippet(c: Column, pattern: str) -> Column:
     return F.when(c.isNull() | (match == ""), F.lit("")).otherwise(cut)
 
 
+def snippet_at(c: Column, start: Column, length: Column) -> Column:
+    """The text around ``length`` letters from ``start`` (1 is the first), trimmed and cut like a snippet."""
+    first = F.greatest(start - SNIPPET_CONTEXT, F.lit(1))
+    end = start + length + SNIPPET_CONTEXT
+    return F.substring(F.regexp_replace(F.trim(F.substring(c, first, end - first)), "\n", " "), 1, SNIPPET_LENGTH)
+
+
 def slug(c: Column) -> Column:
     """Letters and digits, all else as hyphens, none at the ends; ``record`` where nothing is left."""
     v = F.regexp_replace(F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), r"[^a-z0-9]", "-"), r"^-+|-+$", "")
@@ -139,10 +180,10 @@ def slug(c: Column) -> Column:
 
 
 def format_phone(c: Column) -> Column:
-    """Ten digits, or eleven that begin with 1, as (ddd) ddd-dddd; anything else as it is."""
+    """Ten digits as (ddd) ddd-dddd, eleven that begin with 1 as +1 (ddd) ddd-dddd; anything else as it is."""
     digits = F.regexp_replace(F.coalesce(c, F.lit("")), r"[^0-9]", "")
-    ten = F.when(digits.rlike(r"^1\d{10}$"), F.substring(digits, 2, 10)).otherwise(digits)
-    return F.when(ten.rlike(r"^\d{10}$"), F.regexp_replace(ten, r"^(\d{3})(\d{3})(\d{4})$", "($1) $2-$3")).otherwise(F.trim(F.coalesce(c, F.lit(""))))
+    ten, eleven = r"^(\d{3})(\d{3})(\d{4})$", r"^1(\d{3})(\d{3})(\d{4})$"
+    return F.when(digits.rlike(ten), F.regexp_replace(digits, ten, "($1) $2-$3")).when(digits.rlike(eleven), F.regexp_replace(digits, eleven, "+1 ($1) $2-$3")).otherwise(F.trim(F.coalesce(c, F.lit(""))))
 
 
 def unique_nonempty(values: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.signals import contains_any
-from ..functions.text import normalize_text, slug, unique_nonempty
+from ..functions.text import let, normalize_text, slug, unique_nonempty
 
 # Labels of an account's focus, buyer, budget and state.
 FOCUS = {"both": "ASD and ADHD evaluations", "asd": "Autism evaluations", "adhd": "ADHD evaluations", "none": "Developmental and behavioral services"}
@@ -23,6 +23,9 @@ BUDGETS = ("Enterprise / multi-site", "Institutional / specialty program", "Regi
 LARGE_NAMES, INSTITUTION_NAMES = ("hospital", "health system", "barnabas"), ("rutgers", "university", "college", "school of", "gsapp")
 ROLES = ((("md", "do"), "medical director"), (("psyd", "phd"), "clinical lead / psychologist"))
 FACULTY_ROLE, OTHER_ROLE = "clinical lead / faculty clinician", "practice lead"
+FACULTY_SITES, FACULTY_NAMES = ("rutgers",), ("psychology", "clinic", "autism")
+# First path segments below which an account is named by more than two.
+DEEP_SEGMENT, DEEP_SEGMENTS = "treatment-care", 4
 FIELD_LABELS = {
     "diagnoses_asd": "autism-diagnosis capability", "diagnoses_adhd": "ADHD-diagnosis capability", "license_status": "license status", "prescriptive_authority": "prescriptive authority",
 }
@@ -75,7 +78,7 @@ def target_buyer(credentials: Column) -> Column:
 
 
 def contact_role(credentials: Column, website: Column, practice: Column) -> Column:
-    faculty = F.lower(F.coalesce(website, F.lit(""))).contains("rutgers") | contains_any(F.lower(F.coalesce(practice, F.lit(""))), ("psychology", "clinic", "autism"))
+    faculty = contains_any(F.lower(F.coalesce(website, F.lit(""))), FACULTY_SITES) | contains_any(F.lower(F.coalesce(practice, F.lit(""))), FACULTY_NAMES)
     return _first_rule(credentials, ROLES).when(faculty, FACULTY_ROLE).otherwise(OTHER_ROLE)
 
 
@@ -108,11 +111,13 @@ def unescape(c: Column) -> Column:
 
 def quote(c: Column, least: int = LEAST_QUOTE, most: int = MOST_QUOTE) -> Column:
     """A quote fit to be shown, cut at a word; empty if it is an enum, too short, or begins in the middle of a sentence."""
-    v = _text(unescape(_text(c)))
-    low = F.lower(v)
-    bad = (v == "") | low.isin(*QUOTE_ENUMS) | (F.length(v) < least) | v.contains("&n") | v.endswith("&") | v.rlike(r"^\p{Ll}") | contains_any(low, QUOTE_BOILERPLATE)
-    cut = F.concat(F.regexp_replace(F.substring(v, 1, most - 3), r" [^ ]*$", ""), F.lit("..."))
-    return F.when(bad, "").when(F.length(v) > most, cut).otherwise(v)
+    def fit(v: Column) -> Column:
+        low = F.lower(v)
+        bad = (v == "") | low.isin(*QUOTE_ENUMS) | (F.length(v) < least) | v.contains("&n") | v.endswith("&") | v.rlike(r"^\p{Ll}") | contains_any(low, QUOTE_BOILERPLATE)
+        cut = F.concat(F.regexp_replace(F.substring(v, 1, most - 3), r" [^ ]*$", ""), F.lit("..."))
+        return F.when(bad, "").when(F.length(v) > most, cut).otherwise(v)
+
+    return let(_text(unescape(_text(c))), fit)
 
 
 def evidence_summary(evidence: Column, fields: Sequence[str] = tuple(FIELD_LABELS)) -> Column:
@@ -120,30 +125,37 @@ def evidence_summary(evidence: Column, fields: Sequence[str] = tuple(FIELD_LABEL
     def first_of(field: str) -> Column:
         return quote(F.try_element_at(F.filter(evidence, lambda e: e["field"] == field), F.lit(1))["quote"])
 
-    firsts = F.array(*(first_of(f) for f in fields))
-    return F.array_join(F.slice(F.filter(F.array_compact(firsts), lambda x: x != ""), 1, 3), " | ")
+    return let(F.array(*(first_of(f) for f in fields)), lambda firsts: F.array_join(F.slice(F.filter(F.array_compact(firsts), lambda x: x != ""), 1, 3), " | "))
 
 
 def _until(tokens: Column, stop) -> Column:
     """Tokens before the first that stops."""
     start = F.struct(F.array().cast("array<string>").alias("kept"), F.lit(True).alias("on"))
-    return F.aggregate(tokens, start, lambda s, t: F.struct(F.when(s["on"] & ~stop(t), F.concat(s["kept"], F.array(t))).otherwise(s["kept"]).alias("kept"), (s["on"] & ~stop(t)).alias("on")))["kept"]
+    return F.aggregate(tokens, start, lambda s, t: let(s["on"] & ~stop(t), lambda on: F.struct(F.when(on, F.concat(s["kept"], F.array(t))).otherwise(s["kept"]).alias("kept"), on.alias("on"))))["kept"]
 
 
 def contact_name(c: Column) -> Column:
     """Two or three words of a person's name, ended by the first word that is none; empty for fewer."""
     tokens = F.filter(F.transform(F.split(_text(F.regexp_replace(c, r"Dr\.? ", "")), " "), lambda t: F.regexp_replace(t, r"^[ ,.;:\-]+|[ ,.;:\-]+$", "")), lambda t: t != "")
-    kept = F.slice(F.filter(_until(tokens, lambda t: F.lower(t).isin(*CONTACT_STOPS)), lambda t: ~t.rlike(r"^[a-z]$")), 1, 3)
-    twice = (F.size(kept) == 3) & ((F.element_at(kept, 1) == F.element_at(kept, -1)) | (F.try_element_at(kept, F.lit(2)) == F.element_at(kept, -1)))
-    return F.when((F.size(tokens) < 2) | (F.size(kept) < 2), "").when(twice, F.array_join(F.slice(kept, 1, 2), " ")).otherwise(F.array_join(kept, " "))
+
+    def named(kept: Column) -> Column:
+        twice = (F.size(kept) == 3) & ((F.try_element_at(kept, F.lit(1)) == F.try_element_at(kept, F.lit(-1))) | (F.try_element_at(kept, F.lit(2)) == F.try_element_at(kept, F.lit(-1))))
+        return F.when(F.size(kept) < 2, "").when(twice, F.array_join(F.slice(kept, 1, 2), " ")).otherwise(F.array_join(kept, " "))
+
+    # fewer than two words leave fewer than two
+    return let(F.slice(F.filter(_until(tokens, lambda t: F.lower(t).isin(*CONTACT_STOPS)), lambda t: ~t.rlike(r"^[a-z]$")), 1, 3), named)
 
 
 def provider_name(c: Column) -> Column:
     """A provider's name without words of places before it and of positions after it; four words at most."""
     tokens = F.split(F.regexp_replace(_text(c), r"Dr\. ", ""), " ")
+
+    def named(lead: Column) -> Column:
+        rest = _until(F.slice(lead, 3, 100), lambda t: F.lower(F.regexp_replace(t, r"^[.,]+|[.,]+$", "")).isin(*TAIL_NOISE))
+        return F.array_join(F.slice(F.concat(F.slice(lead, 1, 2), rest), 1, 4), " ")
+
     lead = F.aggregate(tokens, F.array().cast("array<string>"), lambda kept, t: F.when((F.size(kept) == 0) & F.lower(F.regexp_replace(t, r"^\.+|\.+$", "")).isin(*LEADING_NOISE), kept).otherwise(F.concat(kept, F.array(t))))
-    rest = _until(F.slice(lead, 3, 100), lambda t: F.lower(F.regexp_replace(t, r"^[.,]+|[.,]+$", "")).isin(*TAIL_NOISE))
-    return F.array_join(F.slice(F.concat(F.slice(lead, 1, 2), rest), 1, 4), " ")
+    return let(lead, named)
 
 
 def credentials(c: Column) -> Column:
@@ -174,12 +186,12 @@ def source_priority(practice: Column, url: Column) -> Column:
 
 
 def account_key(url: Column) -> Column:
-    """Domain and the leading path segments that name an account: four below treatment-care, else two."""
+    """Domain and the leading path segments that name an account: two, or more below a deep segment."""
     host = F.lower(F.regexp_extract(F.trim(F.coalesce(url, F.lit(""))), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
     path = F.lower(F.regexp_extract(F.trim(F.coalesce(url, F.lit(""))), r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1))
     parts = F.filter(F.split(path, "/"), lambda s: F.trim(s) != "")
-    deep = (F.coalesce(F.try_element_at(parts, F.lit(1)), F.lit("")) == "treatment-care") & (F.size(parts) >= 4)
-    scope = F.when(deep, F.slice(parts, 1, 4)).otherwise(F.slice(parts, 1, 2))
+    deep = (F.coalesce(F.try_element_at(parts, F.lit(1)), F.lit("")) == DEEP_SEGMENT) & (F.size(parts) >= DEEP_SEGMENTS)
+    scope = F.when(deep, F.slice(parts, 1, DEEP_SEGMENTS)).otherwise(F.slice(parts, 1, 2))
     return F.when(F.size(parts) == 0, F.when(host == "", "review-only").otherwise(host)).otherwise(F.array_join(F.concat(F.array(host), scope), "::"))
 
 
@@ -202,7 +214,7 @@ def operating_signals(rows: dict[str, Column]) -> Column:
     def has(name: str) -> Column:
         return F.trim(F.coalesce(rows[name], F.lit(""))) != ""
 
-    notes = [F.when(quote(rows[n], 1, 130) != "", F.concat(F.lit(f"{label}: "), quote(rows[n], 1, 130))) for n, label in (("referral", "Referrals"), ("insurance", "Insurance"), ("waitlist", "Scheduling"))]
+    notes = [let(quote(rows[n], 1, 130), lambda q, label=label: F.when(q != "", F.concat(F.lit(f"{label}: "), q))) for n, label in (("referral", "Referrals"), ("insurance", "Insurance"), ("waitlist", "Scheduling"))]
     return F.array_compact(F.array(F.when(has("website"), "Website"), F.when(has("intake_url"), "Online intake"), F.when(rows["telehealth"] == "yes", "Telehealth"), *notes, F.when(has("phone"), "Phone")))
 
 

@@ -37,19 +37,35 @@ def ordered_union(values: Column, order: Column) -> Column:
     return F.array_distinct(F.transform(pairs, lambda x: x["v"]))
 
 
-def counters(events: DataFrame, key: str, order: Column, failed: Column) -> DataFrame:
-    """Attempts, successes, failures and the failures since the last success of each key, in one aggregation.
+def ordered_values(rows: DataFrame, key: str, value: str, order: Column) -> DataFrame:
+    """``key``, ``values``: its distinct non-blank values in order of first appearance.
 
-    The streak counts failures after the last success, found by comparing orders, so no window over
-    a key's whole history is needed: histories are first cut at the last success.
+    A value is reduced to its first appearance before a key's values come together, so a hot key costs
+    its distinct values only.
     """
-    last_success = events.groupBy(key).agg(F.max(F.when(~failed, order)).alias("_last"))
-    joined = events.join(last_success, key)
-    after = F.col("_last").isNull() | (order > F.col("_last"))
-    return joined.groupBy(key).agg(
+    first = rows.where(F.coalesce(F.col(value), F.lit("")) != "").groupBy(key, value).agg(F.min(order).alias("o"))
+    return first.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("o", F.col(value).alias("v")))).alias("p")).select(key, F.transform("p", lambda x: x["v"]).alias("values"))
+
+
+def counters(events: DataFrame, key: str, order: Column, failed: Column, streak: bool = True) -> DataFrame:
+    """Attempts, successes, failures and, with ``streak``, the failures since the last success of each key.
+
+    All but the streak is one aggregation with map-side combine. The streak needs the last success
+    first: then only failures are read again, those after it are counted, and no window over a key's
+    whole history is needed.
+    """
+    totals = events.groupBy(key).agg(
         F.count("*").alias("attempts"), F.count_if(~failed).alias("successes"), F.count_if(failed).alias("failures"),
-        F.count_if(failed & after).alias("consecutive_failures"), F.max(F.when(~failed, order)).alias("last_success_at"), F.max(F.when(failed, order)).alias("last_failure_at"),
+        F.max(F.when(~failed, order)).alias("last_success_at"), F.max(F.when(failed, order)).alias("last_failure_at"),
     )
+    if not streak:
+        return totals
+    ends = events.groupBy(key).agg(F.max(F.when(~failed, order)).alias("_last"))
+    later = events.where(failed).select(key, order.alias("_at")).join(ends, key).where(F.col("_last").isNull() | (F.col("_at") > F.col("_last")))
+    runs = later.groupBy(key).agg(F.count("*").alias("_run"))
+    return totals.join(runs, key, "left").withColumn("consecutive_failures", F.coalesce("_run", F.lit(0))).drop("_run").select(
+        key, "attempts", "successes", "failures", "consecutive_failures", "last_success_at", "last_failure_at"
+    )
 
 
 def first_per_key(rows: DataFrame, keys: Sequence[str], *order: Column) -> DataFrame:

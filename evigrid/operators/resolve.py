@@ -1,45 +1,44 @@
 """Ordered entity resolution: rows see what earlier rows wrote.
 
-Only rows that share a registry number or a name can interact, so rows are first grouped into
-components over these two keys and each component is then folded in order. The result does not
-depend on the partitioning.
+A row takes the provider of the earliest row that shares a lookup key with it, tried in a fixed order
+of keys. Which row that is follows from the data alone, so each row points to one earlier row, and
+chains of pointers are followed by doubling. Tables are folds over the rows of an entity. Nothing
+depends on the partitioning, and a common name is a hot key of a join, not a group in one task.
 """
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import make_pk, normalize_domain, normalize_text
+from . import merge
+from .graph import checkpoints, components
 
-#: Rounds of label spreading before components are declared too deep.
-MAX_ROUNDS = 64
+__all__ = ["assign_providers", "cascade", "components", "enrich_from_boards", "exact_copies", "is_board", "resolve_rows"]
 
+# The lookups in order.
+LOOKUPS = ("npi", "domain_state", "city_phone", "name_state")
+# Why rows wait for a review.
+MISSING_PROVIDER = "Practice offers evaluations but no named clinician was verified."
+UNMATCHED_LICENSE = "Official license detail found but no provider-practice record matched for enrichment."
+BOARD_ORPHAN = "Official license detail matched a provider but no provider-practice affiliation exists for export."
 
-def components(rows: DataFrame, row_id: str, keys: list[str]) -> DataFrame:
-    """``rows`` with ``component``: the least id over rows linked by an equal non-blank key.
 
-    Labels spread through key groups by aggregation with map-side combine; each round is cut by a
-    checkpoint, so it survives lost executors and plans stay short.
-    """
-    spark = rows.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="evigrid-"))
-    pairs = F.explode(F.array(*(F.when(F.coalesce(F.col(k), F.lit("")) != "", F.concat(F.lit(f"{k}:"), F.col(k))) for k in keys)))
-    links = rows.select(row_id, pairs.alias("_key")).where("_key is not null").distinct().checkpoint()
-    labels = rows.select(row_id, F.col(row_id).alias("component"))
-    for _ in range(MAX_ROUNDS):
-        by_key = links.join(labels, row_id).groupBy("_key").agg(F.min("component").alias("least"))
-        nearer = links.join(by_key, "_key").groupBy(row_id).agg(F.min("least").alias("least"))
-        spread = labels.join(nearer, row_id, "left").select(row_id, F.least("component", F.coalesce("least", "component")).alias("component"), "component")
-        spread = spread.toDF(row_id, "component", "_before").checkpoint()
-        labels = spread.select(row_id, "component")
-        if spread.where("component <> _before").isEmpty():
-            return rows.join(labels, row_id)
-    raise RuntimeError("components did not settle")
+def is_board(source_type: Column, profile: Column) -> Column:
+    return (F.coalesce(source_type, F.lit("")) == "licensing_board") | (F.coalesce(profile, F.lit("")) == "board")
+
+
+def _followed(pointers: DataFrame) -> DataFrame:
+    """``id``, ``at``: where the chain of pointers from each id ends, by doubling; each round is cut by a checkpoint."""
+    checkpoints(pointers.sparkSession)
+    now = pointers.select("id", "at").checkpoint()
+    while True:
+        further = now.select(F.col("id").alias("at"), F.col("at").alias("next"))
+        stepped = now.join(further, "at", "left").select("id", F.coalesce("next", "at").alias("at"), F.col("next").isNotNull().alias("moved")).checkpoint()
+        now = stepped.select("id", "at")
+        if stepped.where("moved").isEmpty():
+            return now
 
 
 def assign_providers(rows: DataFrame, row_id: str = "extracted_id", order: str = "created_at") -> DataFrame:
@@ -48,48 +47,146 @@ def assign_providers(rows: DataFrame, row_id: str = "extracted_id", order: str =
     A row takes the provider that an earlier row made, looked up by registry number, then by name
     with domain and state, then name with city and phone, then name and state; else it makes one.
     A row with another registry number joins by name as well, as the lookups are tried in this
-    order for every row. Among several the earliest wins. Rows without a provider name get a blank id.
+    order for every row. Among several the earliest wins. Rows without a provider name, and rows of
+    boards (``source_type``, ``extraction_profile``), find providers by number, boards by name and
+    state too, but make none: their id is blank where nothing is found.
     """
     c = F.col
-    new_id = make_pk("prov", c("provider_name"), c("credentials"), c("license_state"), F.coalesce(F.nullif(c("npi"), F.lit("")), c("source_url")))
-    prepared = rows.withColumns({
-        "_name": F.lower(normalize_text(c("provider_name"))), "_domain": normalize_domain(F.coalesce(c("website"), F.lit(""))), "_new_id": new_id,
-        "_state": F.lower(F.coalesce(c("license_state"), F.lit(""))), "_city": F.lower(F.coalesce(c("city"), F.lit(""))),
-    })
-    grouped = components(prepared, row_id, ["npi", "_name"])
-
-    def fold(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values([order, row_id], kind="stable")
-        indexes: list[tuple[str, dict[tuple, str]]] = [(n, {}) for n in ("npi", "domain_state", "city_phone", "name_state")]
-        ids, how = [], []
-        for r in part.itertuples(index=False):
-            d = dict(zip(part.columns, r, strict=True))
-            name, state = d["_name"], d["_state"]
-            probes = (
-                (d["npi"],) if d["npi"] else None,
-                (name, d["_domain"], state) if name and d["_domain"] and state else None,
-                (name, d["_city"], d["phone"]) if name and d["_city"] and d["phone"] else None,
-                (name, state) if name and state else None,
-            )
-            found = next(((n, seen[p]) for (n, seen), p in zip(indexes, probes, strict=True) if p and p in seen), None)
-            if not name and found is None:
-                ids.append("")
-                how.append("none")
-                continue
-            provider = found[1] if found else d["_new_id"]
-            for (_, seen), p in zip(indexes, probes, strict=True):
-                if p:
-                    seen.setdefault(p, provider)
-            ids.append(provider)
-            how.append(found[0] if found else "new")
-        return pd.DataFrame({row_id: part[row_id], "provider_id": ids, "matched_by": how})
-
-    columns = [row_id, order, "npi", "_name", "_state", "_domain", "_city", "phone", "_new_id", "component"]
-    kind = rows.schema[row_id].dataType.simpleString()
-    assigned = grouped.select(*columns).groupBy("component").applyInPandas(fold, f"{row_id} {kind}, provider_id string, matched_by string")
+    have = set(rows.columns)
+    board = is_board(c("source_type") if "source_type" in have else F.lit(""), c("extraction_profile") if "extraction_profile" in have else F.lit(""))
+    name, domain = F.lower(normalize_text(c("provider_name"))), normalize_domain(F.coalesce(c("website"), F.lit("")))
+    state, city, phone, npi = F.lower(F.coalesce(c("license_state"), F.lit(""))), F.lower(F.coalesce(c("city"), F.lit(""))), F.coalesce(c("phone"), F.lit("")), F.coalesce(c("npi"), F.lit(""))
+
+    def probe(rank: int, usable: Column, *parts: Column) -> Column:
+        return F.when(usable & F.forall(F.array(*parts), lambda p: p != ""), F.struct(F.lit(rank).alias("rank"), F.concat_ws("\x1f", *parts).alias("key")))
+
+    probes = F.array_compact(F.array(
+        probe(0, F.lit(True), npi), probe(1, ~board, name, domain, state), probe(2, ~board, name, city, phone), probe(3, F.lit(True), name, state)
+    ))
+    new_id = make_pk("prov", c("provider_name"), c("credentials"), c("license_state"), F.coalesce(F.nullif(npi, F.lit("")), c("source_url")))
+    keyed = rows.select(F.col(row_id).alias("id"), F.struct(order, row_id).alias("o"), probes.alias("probes"), ((name != "") & ~board).alias("makes"), new_id.alias("new_id"))
+    checkpoints(rows.sparkSession)
+    keyed = keyed.checkpoint()
+    each = keyed.select("id", "o", "makes", F.explode("probes").alias("p")).select("id", "o", "makes", "p.rank", "p.key")
+    first = each.where("makes").groupBy("rank", "key").agg(F.min("o").alias("first"))
+    earlier = each.join(first, ["rank", "key"]).where(c("first") < c("o"))
+    parent = earlier.groupBy("id").agg(F.min(F.struct("rank", "first")).alias("m")).select("id", c(f"m.first.{row_id}").alias("at"), c("m.rank").alias("rank"))
+    ends = _followed(parent)
+    ids = keyed.select(F.col("id").alias("at"), "new_id")
+    found = ends.join(parent.select("id", "rank"), "id").join(ids, "at").select("id", c("new_id").alias("provider_id"), F.element_at(F.array(*map(F.lit, LOOKUPS)), c("rank") + 1).alias("matched_by"))
+    assigned = keyed.select("id", "makes", "new_id").join(found, "id", "left").select(
+        F.col("id").alias(row_id), F.coalesce("provider_id", F.when(c("makes"), c("new_id")).otherwise("")).alias("provider_id"),
+        F.coalesce("matched_by", F.when(c("makes"), "new").otherwise("none")).alias("matched_by"),
+    )
     return rows.join(assigned, row_id)
 
 
+def _last(order: str, row_id: str, column: str, *unknown: str) -> Column:
+    """The last value that is none of ``unknown``, else the first."""
+    o, known = F.struct(order, row_id), F.col(column).isNotNull() & ~F.col(column).isin(*unknown)
+    return F.coalesce(F.max_by(F.when(known, F.col(column)), F.when(known, o)), F.min_by(column, o)).alias(column)
+
+
+def resolve_rows(rows: DataFrame, row_id: str = "extracted_id", order: str = "created_at") -> dict[str, DataFrame]:
+    """All tables that the ordered upserts of extracted rows leave.
+
+    ``providers``, ``practices``, ``practice_locations``, ``licenses``, ``provider_practice_records``,
+    ``field_evidence``, ``review_queue`` and ``assigned`` (the rows with their provider). Known values
+    are replaced by later known ones, never by unknown ones. Rows of boards update the provider and,
+    from the time a record exists, the records of their state; boards that find no provider or no
+    record are queued, as are practices that offer evaluations but name nobody.
+    """
+    c = F.col
+    for name in ("address_1", "zip", "metro", "fax", "insurance_notes", "waitlist_notes", "referral_requirements", "source_document_id", "extraction_profile"):
+        if name not in rows.columns:
+            rows = rows.withColumn(name, F.lit(""))
+    checkpoints(rows.sparkSession)
+    assigned = assign_providers(rows, row_id, order).withColumn("_board", is_board(c("source_type"), c("extraction_profile"))).checkpoint()
+    domain = F.coalesce(F.nullif(normalize_domain(c("source_url")), F.lit("")), c("source_url"))
+    state = F.coalesce(F.nullif(c("license_state"), F.lit("")), c("state"))
+    own = assigned.where(~c("_board") & (c("provider_name") != "")).withColumn("practice_id", make_pk("prac", c("practice_name"), domain))
+    own = own.withColumn("location_id", make_pk("loc", c("practice_id"), c("city"), c("state"), F.coalesce(F.nullif(c("phone"), F.lit("")), normalize_domain(c("source_url")))))
+    own = own.withColumn("record_id", make_pk("rec", c("provider_id"), c("practice_id"), c("location_id"), c("state"))).withColumn("license_state", state)
+    times = [F.min(order).alias("created_at"), F.max(order).alias("updated_at")]
+    boards = assigned.where(c("_board")).withColumn("license_state", state).withColumn("license_type", F.coalesce(F.nullif(c("license_type"), F.lit("")), F.lit("unknown")))
+
+    def folded(df: DataFrame, key: str, columns: dict[str, tuple[str, ...]], also: tuple[str, ...] = ()) -> DataFrame:
+        last = [F.max_by(a, F.struct(order, row_id)).alias(a) for a in also]
+        return df.groupBy(key).agg(*(_last(order, row_id, name, *unknown) for name, unknown in columns.items()), *last, *times)
+
+    # an unknown licence of a board changes nothing, one of a page replaces what was known
+    known_board = boards.withColumn("license_type", F.when(c("license_type") == "unknown", "").otherwise(c("license_type")))
+    writers = own.select(row_id, order, "provider_id", "provider_name", "credentials", "npi", "license_state", "license_type")
+    writers = writers.unionByName(known_board.where("provider_id <> ''").select(*writers.columns))
+    named = writers.withColumnsRenamed({"license_state": "primary_license_state", "license_type": "primary_license_type"})
+    providers = folded(named, "provider_id", {n: ("",) for n in ("provider_name", "credentials", "npi", "primary_license_state", "primary_license_type")})
+    practices = folded(own.withColumn("website", c("source_url")), "practice_id", {n: ("",) for n in ("practice_name", "website", "intake_url", "phone", "fax")})
+    places = folded(own, "location_id", {**{n: ("",) for n in ("address_1", "city", "state", "zip", "metro", "phone")}, "telehealth": ("unknown",)}, ("practice_id",))
+
+    licence = make_pk("lic", c("provider_id"), c("license_state"), c("license_type"), F.coalesce(F.nullif(c("npi"), F.lit("")), c("provider_name")))
+    both = [df.withColumn("license_id", licence).select(row_id, order, "license_id", "provider_id", "license_state", "license_type", F.col("npi").alias("license_number"), "license_status", "source_url") for df in (own, boards.where("provider_id <> ''"))]
+    licenses = folded(both[0].unionByName(both[1]), "license_id", {"license_state": ("",), "license_type": ("",), "license_number": ("",), "license_status": ("unknown",), "source_url": ("",)}, ("provider_id",))
+    licenses = licenses.withColumn("retrieved_at", c("updated_at"))
+
+    # records exist from their first row on; boards touch those of their provider and state that exist by then
+    born = own.groupBy("record_id").agg(F.first("provider_id").alias("provider_id"), F.min(F.struct(order, row_id)).alias("_born"), F.min_by("license_state", F.struct(order, row_id)).alias("_state"))
+    touched = known_board.where("provider_id <> ''").join(born, "provider_id").where(F.struct(order, row_id) > c("_born"))
+    touched = touched.where((c("license_state") == "") | (F.lower("license_state") == F.lower("_state")))
+    shared = ("npi", "license_state", "license_type", "license_status", "source_url", "source_document_id", "source_tier", "evidence")
+    events = own.select(row_id, order, "record_id", *shared).unionByName(touched.select(row_id, order, "record_id", *shared)).checkpoint()
+    facts = folded(events, "record_id", {"npi": ("",), "license_state": ("",), "license_type": ("",), "license_status": ("unknown",)})
+    facts = facts.withColumnRenamed("updated_at", "last_verified_at").withColumn("updated_at", c("last_verified_at"))
+    snapshots = folded(
+        own.withColumns({"provider_name_snapshot": c("provider_name"), "practice_name_snapshot": c("practice_name")}), "record_id",
+        {"provider_name_snapshot": ("",), "practice_name_snapshot": ("",), "diagnoses_asd": ("unclear",), "diagnoses_adhd": ("unclear",), "telehealth": ("unknown",),
+         "insurance_notes": ("",), "waitlist_notes": ("",), "referral_requirements": ("",)}, ("provider_id", "practice_id", "location_id"),
+    ).drop("created_at", "updated_at")
+    some = F.size("age_groups") > 0
+    ages = own.groupBy("record_id").agg(F.coalesce(F.max_by(F.when(some, c("age_groups")), F.when(some, F.struct(order, row_id))), F.array().cast("array<string>")).alias("age_groups"))
+    urls = merge.ordered_values(events, "record_id", "source_url", F.struct(order, row_id)).withColumnRenamed("values", "source_urls")
+    records = facts.join(snapshots, "record_id").join(ages, "record_id").join(urls, "record_id", "left").withColumns({
+        "source_urls": F.coalesce("source_urls", F.array().cast("array<string>")), "prescriptive_authority": F.lit("unknown"), "prescriptive_basis": F.lit(""),
+        "review_status": F.lit("pending"), "export_status": F.lit("pending"), "blocked_reason": F.lit(""), "conflict_note": F.lit(""),
+    })
+
+    items = events.withColumn("_e", F.explode("evidence")).withColumns({
+        "field_name": normalize_text(c("_e.field")), "field_value": normalize_text(c("_e.value")), "quote": F.coalesce("_e.quote", F.lit("")),
+        "_url": F.coalesce(F.nullif(c("_e.source_url"), F.lit("")), c("source_url")),
+    }).where("field_name <> ''")
+    items = items.select(
+        make_pk("evi", c("record_id"), c("field_name"), c("field_value"), c("_url")).alias("evidence_id"), "record_id", "field_name", "field_value", "quote", c("_url").alias("source_url"),
+        "source_document_id", "source_tier", c(order).alias("captured_at"), F.struct(order, row_id).alias("_o"),
+    )
+    evidence = merge.replace_upserts(items, ["evidence_id"], c("_o")).drop("_o")
+
+    first_quote = F.coalesce(F.try_element_at(F.filter(F.transform("evidence", lambda e: e["quote"]), lambda q: F.coalesce(q, F.lit("")) != ""), F.lit(1)), F.lit(""))
+
+    def queued(df: DataFrame, kind: str, reason: str, who: Column, *parts: Column) -> DataFrame:
+        return df.select(
+            make_pk("rev", *parts).alias("review_id"), F.lit("").alias("record_id"), F.lit(kind).alias("review_type"), who.alias("provider_name"), "practice_name", F.lit(reason).alias("reason"),
+            "source_url", first_quote.alias("evidence_quote"), F.lit("pending").alias("status"), c(order).alias("created_at"), F.struct(order, row_id).alias("_o"),
+        )
+
+    nameless = assigned.where(~c("_board") & (c("provider_name") == "") & ((c("diagnoses_asd") == "yes") | (c("diagnoses_adhd") == "yes")))
+    lost = boards.where((c("provider_id") == "") & (c("provider_name") != "") & (c("license_status") != "unknown"))
+    orphaned = boards.where("provider_id <> ''").join(touched.select(row_id).distinct(), row_id, "left_anti")
+    reviews = queued(nameless, "missing_provider", MISSING_PROVIDER, F.lit(""), c("practice_name"), domain, F.lit("missing_provider"))
+    reviews = reviews.unionByName(queued(lost, "unmatched_license", UNMATCHED_LICENSE, c("provider_name"), c("provider_name"), c("license_state"), c("source_url"), F.lit("unmatched_license")))
+    reviews = reviews.unionByName(queued(orphaned, "unmatched_license", BOARD_ORPHAN, c("provider_name"), c("provider_id"), c("license_state"), c("source_url"), F.lit("board_orphan")))
+    return {
+        "assigned": assigned.drop("_board"), "providers": providers, "practices": practices, "practice_locations": places, "licenses": licenses, "provider_practice_records": records,
+        "field_evidence": evidence, "review_queue": merge.replace_upserts(reviews, ["review_id"], c("_o")).drop("_o"),
+    }
+
+
+def counts(tables: dict[str, DataFrame]) -> DataFrame:
+    """One row: rows that were resolved (own rows with a name, boards that touched a record) and rows for review only."""
+    c, rows = F.col, tables["assigned"]
+    board = is_board(c("source_type"), c("extraction_profile"))
+    review = ~board & (c("provider_name") == "") & ((c("diagnoses_asd") == "yes") | (c("diagnoses_adhd") == "yes"))
+    return rows.agg(F.count_if(~board & (c("provider_name") != "")).alias("resolved_count"), F.count_if(review).alias("review_only_count"))
+
+
 def enrich_from_boards(records: DataFrame, boards: DataFrame) -> DataFrame:
     """``records`` with the licence facts of later board rows of the same name and state.
 

@@ -15,6 +15,17 @@ from .score import CRITICAL_FIELDS
 CONFLICT_PENALTY = 0.15
 LEAST_CONFIDENCE, READY_CONFIDENCE, READY_FIT = 0.60, 0.70, 0.70
 RETIRE_QUEUED = 5
+# What each lane of triage and a source to be retired say.
+LANE_REASONS = {
+    "directory_sludge": "Directory sludge: generic snippet was extracted as a provider from a broad listing page; keep for parser review, not operator review.",
+    "practice_only_signal": "Practice-only signal: service/evaluation evidence exists but no credible named clinician was verified; review as practice coverage, not provider outreach.",
+    "indirect_provider_signal": "Indirect provider signal: named clinician was found on a webinar/FAQ/resource page without strong direct service evidence; needs corroboration before outreach.",
+    "weak_provider_signal": "Weak provider signal: evidence is too thin to justify operator review yet; likely parser noise or unsupported mention.",
+}
+RETIRE_REASON = (
+    "Seed retire candidate: this source produced repeated directory-sludge records without credible clinician-level evidence; "
+    "retire or parser-block this source before the next clean run."
+)
 
 
 def tier_order(tier: Column) -> Column:
@@ -62,9 +73,10 @@ def decide(records: DataFrame, evidence: DataFrame, fields: Sequence[str] = CRIT
     conflict, shown = F.coalesce("_conflicts", none), F.coalesce("critical_present", none)
     in_order = [F.lit(f) for f in fields]
     notes = F.transform(F.filter(F.array(*in_order), lambda f: F.array_contains(conflict, f)), lambda f: F.concat(f, F.lit(" conflict")))
+    first_url = F.try_element_at("source_urls", F.lit(1)) if "source_urls" in records.columns else F.lit("")
     missing = F.filter(F.array(*in_order), lambda f: ~F.array_contains(shown, f))
     joined = joined.withColumns({
-        "conflict_notes": notes, "missing_critical": missing, "latest_source_url": F.coalesce("latest_source_url", F.lit("")), "latest_quote": F.coalesce("latest_quote", F.lit("")),
+        "conflict_notes": notes, "missing_critical": missing, "latest_source_url": F.coalesce("latest_source_url", first_url, F.lit("")), "latest_quote": F.coalesce("latest_quote", F.lit("")),
         "final_confidence": F.when(F.size(notes) > 0, F.greatest(F.lit(0.0), F.round(F.col("record_confidence") - CONFLICT_PENALTY, 3))).otherwise(F.col("record_confidence")),
     })
     name, practice, url = normalize_text(F.col("provider_name_snapshot")), normalize_text(F.col("practice_name_snapshot")), F.col("latest_source_url")
@@ -87,13 +99,58 @@ def decide(records: DataFrame, evidence: DataFrame, fields: Sequence[str] = CRIT
         (F.col("diagnoses_asd") == "yes") | (F.col("diagnoses_adhd") == "yes")) & contact
     return joined.withColumns({
         "review_status": F.when(approved, "ready").otherwise("queued"), "export_status": F.when(approved, "approved").otherwise("blocked"),
-        "outreach_ready": F.coalesce(ready, F.lit(False)).cast("int"), "blocked_reason": F.coalesce("lane", F.array_join("reasons", "; ")),
+        "outreach_ready": F.coalesce(ready, F.lit(False)).cast("int"), "blocked_reason": F.coalesce(_lane_reason(F.col("lane")), F.array_join("reasons", "; ")),
+        "conflict_note": F.array_join("conflict_notes", "; "),
     }).drop("_conflicts")
 
 
+def _lane_reason(lane: Column) -> Column:
+    out = F.when(F.lit(False), "")
+    for name, reason in LANE_REASONS.items():
+        out = out.when(lane == name, reason)
+    return out
+
+
+def queue(decided: DataFrame, at: Column) -> DataFrame:
+    """Review items of decided records, and of sources to be retired."""
+    c = F.col
+    decided = decided.withColumn("_at", at)
+    held = decided.where("review_type IS NOT NULL")
+    key = F.when(c("lane").isNotNull(), make_pk("rev", c("record_id"), c("latest_source_url"), c("lane"))).otherwise(make_pk("rev", c("record_id"), c("blocked_reason")))
+    items = held.select(
+        key.alias("review_id"), "record_id", "review_type", c("provider_name_snapshot").alias("provider_name"), c("practice_name_snapshot").alias("practice_name"), c("blocked_reason").alias("reason"),
+        c("latest_source_url").alias("source_url"), c("latest_quote").alias("evidence_quote"), F.lit("pending").alias("status"), c("_at").alias("created_at"),
+    )
+    name = F.coalesce(F.nullif(c("domain"), F.lit("")), c("latest_source_url"))
+    retired = retire_candidates(decided).select(
+        make_pk("rev", name, c("latest_source_url"), F.lit("seed_retire_candidate")).alias("review_id"), F.lit("").alias("record_id"), F.lit("seed_retire_candidate").alias("review_type"),
+        F.lit("").alias("provider_name"), name.alias("practice_name"), F.lit(RETIRE_REASON).alias("reason"), c("latest_source_url").alias("source_url"), F.lit("").alias("evidence_quote"),
+        F.lit("pending").alias("status"), c("_at").alias("created_at"),
+    )
+    return items.unionByName(retired)
+
+
+def source_rollup(decided: DataFrame) -> DataFrame:
+    """Records in triage by source: how many, and how many of each lane."""
+    each = [F.count_if(F.col("lane") == n).alias(n) for n in LANE_REASONS]
+    return decided.where("lane IS NOT NULL").groupBy(F.col("latest_source_url").alias("source_url")).agg(F.count("*").alias("queued"), *each)
+
+
+def stats(decided: DataFrame) -> DataFrame:
+    """One row of counts: approved, queued, ready, fields in conflict, lanes, sources to be retired."""
+    c = F.col
+    flags = {
+        "approved_records": c("export_status") == "approved", "queued_records": c("review_type").isNotNull(), "outreach_ready_records": c("outreach_ready") == 1,
+        **{f"triage_{n}": c("lane") == n for n in LANE_REASONS},
+    }
+    ones = decided.select(*(F.coalesce(f, F.lit(False)).cast("long").alias(n) for n, f in flags.items()), F.size("conflict_notes").cast("long").alias("contradictions"), F.lit(0).cast("long").alias("seed_retire_candidates"))
+    retired = retire_candidates(decided).select(*(F.lit(0).cast("long").alias(n) for n in ones.columns[:-1]), F.lit(1).cast("long").alias("seed_retire_candidates"))
+    return ones.unionByName(retired).agg(*(F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in ones.columns))
+
+
 def retire_candidates(decided: DataFrame) -> DataFrame:
     """Sources all of whose queued records, five at least, are directory sludge."""
-    queued = decided.where(F.col("lane").isNotNull()).groupBy("latest_source_url").agg(F.count("*").alias("queued"), F.count_if(F.col("lane") == "directory_sludge").alias("sludge"))
+    queued = decided.where(F.col("lane").isNotNull()).groupBy("latest_source_url").agg(F.count("*").alias("queued"), F.count_if(F.col("lane") == "directory_sludge").alias("sludge"), *([F.max("_at").alias("_at")] if "_at" in decided.columns else []))
     return queued.where((F.col("queued") >= RETIRE_QUEUED) & (F.col("queued") == F.col("sludge"))).withColumn("domain", normalize_domain(F.col("latest_source_url")))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.signals import credential_class, has_contact
+from ..functions.text import make_pk
 from .merge import first_per_key
 
 # Weights of evidence tiers, caps of weak values, and the fields that must be shown.
@@ -42,18 +43,38 @@ def field_confidence(records: DataFrame, evidence: DataFrame, fields: Sequence[s
     joined = records.join(pivoted.select(record, *(F.col(f).alias(f"_w_{f}") for f in fields)), record, "left")
     joined = joined.withColumns({f"conf_{f}": capped(F.col(f"_w_{f}"), F.col(f)) for f in fields}).drop(*(f"_w_{f}" for f in fields))
     total = sum((F.col(f"conf_{f}") for f in fields[1:]), F.col(f"conf_{fields[0]}"))
-    return joined.withColumn("record_confidence", F.round(total / len(fields), 3))
+    # the sum is rounded first, as sums of binary fractions miss ties
+    return joined.withColumn("record_confidence", F.round(F.round(total, 6) / len(fields), 3))
 
 
 def authority(records: DataFrame, rules: DataFrame) -> DataFrame:
-    """``records`` with ``prescriptive_authority`` and ``prescriptive_basis`` of the first active rule of state and credential."""
+    """``records`` with authority and basis of the first active rule of state and credential, and the rule's quote and citation.
+
+    ``prescriptive_authority``, ``prescriptive_basis``, ``rule_quote`` and ``rule_citation``; unknown
+    and blank without a rule. Rules are reduced to one per state and credential before the join.
+    """
+    if "citation_title" not in rules.columns:
+        rules = rules.withColumn("citation_title", F.lit(""))
     first = first_per_key(rules.where("active = 1"), ["state", "credential"], F.col("rule_id"))
-    rule = first.select("state", "credential", F.col("authority").alias("_authority"), F.col("rationale").alias("_basis"), F.col("citation_url").alias("_citation"))
-    keyed = records.withColumn("_credential", credential_class(F.col("credentials"), F.col("license_type")))
-    joined = keyed.join(rule, (F.col("license_state") == F.col("state")) & (F.col("_credential") == F.col("credential")), "left")
-    return joined.withColumn("prescriptive_authority", F.coalesce("_authority", F.lit("unknown"))).withColumn("prescriptive_basis", F.coalesce("_basis", F.lit(""))).drop(
-        "_authority", "_basis", "_citation", "_credential", "state", "credential"
-    )
+    rule = first.select(
+        F.col("state").alias("_state"), F.col("credential").alias("_class"), F.col("authority").alias("_authority"), F.coalesce("rationale", F.lit("")).alias("_basis"),
+        F.coalesce(F.nullif(F.col("rationale"), F.lit("")), F.col("citation_title"), F.lit("")).alias("rule_quote"), F.coalesce("citation_url", F.lit("")).alias("rule_citation"),
+    )
+    keyed = records.drop("prescriptive_authority", "prescriptive_basis").withColumn("_credential", credential_class(F.col("credentials"), F.col("license_type")))
+    joined = keyed.join(rule, (F.col("license_state") == F.col("_state")) & (F.col("_credential") == F.col("_class")), "left")
+    return joined.withColumns({
+        "prescriptive_authority": F.coalesce(F.nullif(F.col("_authority"), F.lit("")), F.lit("unknown")), "prescriptive_basis": F.coalesce("_basis", F.lit("")), "has_rule": F.col("_class").isNotNull(),
+    }).drop("_authority", "_basis", "_credential", "_state", "_class")
+
+
+def rule_evidence(ruled: DataFrame, at: Column) -> DataFrame:
+    """Evidence of tier A for the authority of each record with a rule: its rationale as quote, its citation as source and part of the key."""
+    c = F.col
+    return ruled.where("has_rule").select(
+        make_pk("evi", c("record_id"), F.lit("prescriptive_authority"), c("prescriptive_authority"), c("rule_citation")).alias("evidence_id"), "record_id",
+        F.lit("prescriptive_authority").alias("field_name"), c("prescriptive_authority").alias("field_value"), c("rule_quote").alias("quote"), c("rule_citation").alias("source_url"),
+        F.lit("").alias("source_document_id"), F.lit("A").alias("source_tier"), at.alias("captured_at"),
+    )
 
 
 # What makes a record fit for outreach, in order, with its weight.
@@ -91,15 +112,31 @@ def outreach_fit() -> Column:
     return weighted_reasons(conditions, FIT_WEIGHTS)
 
 
-def score(records: DataFrame, evidence: DataFrame, rules: DataFrame) -> DataFrame:
-    """Records with authority, field and record confidence, fit and reasons.
+def score(records: DataFrame, evidence: DataFrame, rules: DataFrame, at: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """Records with authority, field and record confidence, fit and reasons; and all evidence, that of rules included.
 
-    A rule that applies counts as tier A evidence for the authority.
+    A rule that applies is evidence of tier A for the authority, under its citation; without a
+    citation it has no source and counts nothing.
     """
     ruled = authority(records, rules)
-    shown = ruled.where("prescriptive_basis <> ''").select(
-        "record_id", F.lit("prescriptive_authority").alias("field_name"), F.lit("A").alias("source_tier"), F.lit("rule").alias("source_url")
-    )
-    all_evidence = evidence.select("record_id", "field_name", "source_tier", "source_url").unionByName(shown)
+    shown = rule_evidence(ruled, F.col("updated_at") if at is None else at)
+    own = evidence if "source_document_id" in evidence.columns else evidence.withColumn("source_document_id", F.lit(""))
+    own = own.select(*shown.columns).join(shown.select("evidence_id"), "evidence_id", "left_anti")
+    all_evidence = own.select(*shown.columns).unionByName(shown)
     scored = field_confidence(ruled, all_evidence).withColumn("_fit", outreach_fit())
-    return scored.withColumn("outreach_fit_score", F.col("_fit.score")).withColumn("outreach_reasons", F.col("_fit.reasons")).withColumn("outreach_ready", F.lit(0)).drop("_fit")
+    scored = scored.withColumns({"outreach_fit_score": F.col("_fit.score"), "outreach_reasons": F.col("_fit.reasons"), "outreach_ready": F.lit(0)})
+    return scored.drop("_fit", "rule_quote", "rule_citation", "has_rule"), all_evidence
+
+
+def score_base(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Records with the credentials of their provider and the contact channels of their practice and place.
+
+    The place's phone counts before the practice's. Records without one of the three are left out.
+    """
+    records, providers, practices, places = (tables[n] for n in ("provider_practice_records", "providers", "practices", "practice_locations"))
+    return (
+        records.join(providers.select("provider_id", "provider_name", "credentials"), "provider_id")
+        .join(practices.select("practice_id", "website", "intake_url", F.col("phone").alias("_practice_phone")), "practice_id")
+        .join(places.select("location_id", "city", F.col("state").alias("location_state"), "metro", F.col("phone").alias("_place_phone")), "location_id")
+        .withColumn("phone", F.coalesce("_place_phone", "_practice_phone", F.lit(""))).drop("_practice_phone", "_place_phone")
+    )

@@ -49,7 +49,7 @@ def test_snippet_and_contacts(spark):
     assert got[0][1] == "(201) 555-0100" and got[0][0].startswith("x" * 34) and len(got[0][0]) <= 180
     assert got[1] == ("", "") and got[2] == ("", "")
     rows = [("2015550100",), ("1-201-555-0100",), ("55",)]
-    assert [g[0] for g in values(spark, rows, "x string", text.format_phone(F.col("x")))] == ["(201) 555-0100", "(201) 555-0100", "55"]
+    assert [g[0] for g in values(spark, rows, "x string", text.format_phone(F.col("x")))] == ["(201) 555-0100", "+1 (201) 555-0100", "55"]
 
 
 def test_status_cascades(spark):

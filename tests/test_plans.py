@@ -27,14 +27,14 @@ def test_pages_to_accounts(spark):
     hill = found["https://hill.org/team"]
     assert (hill.provider_name, hill.credentials, hill.diagnoses_asd, hill.telehealth) == ("Ann Lee", "PsyD", "yes", "yes")
     assert (hill.phone, hill.fax, hill.license_status, hill.intake_url) == ("(201) 555-0100", "201-555-0101", "active", "https://hill.org/intake")
-    records, evidence, reviews = stages.resolve_records(extracted)
-    assert records.count() == 1 and reviews.first().review_type == "missing_provider"
+    tables = stages.resolve_records(extracted)
+    assert tables["provider_practice_records"].count() == 1 and tables["review_queue"].first().review_type == "missing_provider"
     rules = spark.createDataFrame([("r1", "NJ", "PsyD/PhD", "no", "no prescribing", "https://law", 1)], "rule_id string, state string, credential string, authority string, rationale string, citation_url string, active int")
-    decided = stages.score_and_decide(records, evidence, rules)
-    row = decided.first()
+    tables = stages.score_and_decide(tables, rules)
+    row = tables["decided"].first()
     assert (row.prescriptive_authority, row.export_status, row.outreach_ready) == ("no", "approved", 1)
-    account = stages.export_accounts(decided).first()
-    assert account.contacts == ["Ann Lee"] and account.markdown.startswith("# Hill Clinic") and account.budget_band == "Single-site / owner-led"
+    account = stages.export_accounts(tables)["dossiers"].first()
+    assert account.named_providers == ["Ann Lee"] and account.practice_name == "Hill Clinic" and account.budget_band == "Single-site / owner-led"
 
 
 def test_sql_guard(spark):
