@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .plans import registered_records  # noqa: F401  registers its queries
 from .plans.registered import QUERIES, SQL, flagship
 
 

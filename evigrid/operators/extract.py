@@ -143,7 +143,7 @@ def extract_records(pages: DataFrame, metros: Mapping[str, str] | None = None) -
             pages = pages.withColumn(name, F.lit(""))
     ready = pages.where((F.coalesce("html", F.lit("")) != "") & (signals.block_reason(c("status_code"), c("html"), signals.EXTRACTION_BLOCK_MARKERS) == ""))
     text = ready.withColumns({"_title": normalize_text(extract_title(c("html"))), "_all": strip_html(c("html")), "_main": strip_html(main_section(c("html")))})
-    text = text.withColumn("_text", F.coalesce(F.nullif(c("_main"), F.lit("")), c("_all"))).where("_text <> ''")
+    text = text.withColumn("_text", F.coalesce(F.nullif(c("_main"), F.lit("")), c("_all")))
     found = text.withColumns({
         "_people": provider_candidates(c("_text"), c("source_type")), **{f: signals.diagnosis(c("_text"), pattern) for f, pattern in signals.CONDITIONS.items()},
         "_status": F.coalesce(F.nullif(first_group(c("_text"), LICENSE_STATUS), F.lit("")), F.lit("unknown")), "npi": F.regexp_extract("_all", NPI, 1),
@@ -151,11 +151,13 @@ def extract_records(pages: DataFrame, metros: Mapping[str, str] | None = None) -
     })
     role = signals.page_role(c("source_type"), c("_title"), c("url"), c("_text"), F.size("_people") > 0)
     yes = (c("diagnoses_asd") == "yes") | (c("diagnoses_adhd") == "yes")
-    judged = found.withColumn("_role", role).where(signals.page_relevant(c("source_type"), role, yes, c("_title"), c("url")))
+    judged = found.withColumn("_role", role)
+    open_ = (c("_text") != "") & signals.page_relevant(c("source_type"), c("_role"), yes, c("_title"), c("url"))
     reviewable = c("_role.allow_practice") | yes | (c("_status") != "unknown")
     nobody = F.array(F.struct(F.lit("").alias("name"), F.lit("").alias("credentials"), F.lit(0).alias("at"), F.lit(0).alias("length")))
     people = F.when(c("_role.allow_provider") & (F.size("_people") > 0), c("_people")).when(reviewable, nobody).otherwise(F.array().cast(_PERSON))
-    rows = judged.withColumn("_p", F.explode(people))
+    # pages that give nothing have an empty array: a condition here would be pushed down and repeat the text's expressions
+    rows = judged.withColumn("_p", F.explode_outer(F.when(open_, people))).where("_p IS NOT NULL")
     named, quote = c("_p.name") != "", snippet_at(c("_text"), c("_p.at"), c("_p.length"))
     shown = {f: signals.diagnosis_quote(c("_text"), f) for f in signals.CONDITIONS}
     quotes = F.array_compact(F.array(
