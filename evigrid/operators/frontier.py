@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import normalize_domain, same_domain
+from ..functions.text import extract_links, normalize_domain, resolve_link, same_domain
 
 # Paths and endings that are not worth fetching.
 STATIC_PATHS = ("/_next/", "/wp-content/", "/wp-includes/", "/assets/", "/static/", "/images/", "/image/", "/img/", "/fonts/", "/css/", "/js/")
@@ -61,6 +61,28 @@ def reject_reason(url: Column, suppressed: Sequence[str] = ()) -> Column:
     )
 
 
+def accepted(url: Column, seed: Column, depth: Column, most_depth: int, suppressed: Sequence[str] = (), schemes: Sequence[str] = ("http", "https")) -> Column:
+    """Whether a URL is queued: a web address on the seed's domain, not too deep, with nothing against it."""
+    scheme = F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^([A-Za-z][A-Za-z0-9+.-]*):", 1))
+    return scheme.isin(*schemes) & same_domain(url, seed) & (depth <= most_depth) & (reject_reason(url, suppressed) == "")
+
+
+def expanded(pages: DataFrame, seen: DataFrame, most_depth: int, per_page: int, suppressed: Sequence[str] = ()) -> DataFrame:
+    """The next level of a crawl: each page's best links, in its own order, that are accepted and not seen.
+
+    ``pages`` has ``url``, ``html``, ``seed``, ``source_type``, ``depth``; ``seen`` has ``url``. An address that
+    several pages link to is queued once, for the page of the least address. Levels are joined with
+    the seen set by address, so no set is held in memory.
+    """
+    c = F.col
+    links = pages.where(c("depth") < most_depth).select(c("url").alias("from_url"), "seed", "source_type", (c("depth") + 1).alias("depth"), F.explode(F.array_distinct(F.transform(extract_links(c("html")), lambda x: resolve_link(c("url"), x)))).alias("url"))
+    scored = links.where(accepted(c("url"), c("seed"), c("depth"), most_depth, suppressed)).withColumn("score", research_score(c("url"), c("seed"), c("source_type")))
+    w = Window.partitionBy("from_url").orderBy(F.desc("score"), F.length(path_of(c("url"))), "url")
+    best = scored.withColumn("rank", F.row_number().over(w)).where(c("rank") <= per_page)
+    once = best.groupBy("url").agg(F.min_by(F.struct("from_url", "seed", "source_type", "depth", "score", "rank"), "from_url").alias("r")).select("url", "r.*")
+    return once.join(seen.select("url").distinct(), "url", "left_anti")
+
+
 def path_prefix(url: Column) -> Column:
     """The bucket of paths that failures are counted in."""
     path = path_of(url)

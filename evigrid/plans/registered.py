@@ -325,11 +325,6 @@ def seed_dedupe_first(spark, sf_dir):
     return merge.first_per_key(docs, ["source", "lang"], c("doc_id"))
 
 
-@registered("SELECT doc_id, n_chars, source FROM documents ORDER BY n_chars DESC, lower(source) DESC, doc_id DESC LIMIT 100")
-def seed_order_limit(spark, sf_dir):
-    docs = read(spark, sf_dir, "documents").select("doc_id", "n_chars", "source")
-    return docs.orderBy(F.desc("n_chars"), F.desc(F.lower("source")), F.desc("doc_id")).limit(100)
-
 
 @registered("""
 SELECT user_id, coalesce(arg_max(event_type, ts) FILTER (event_type <> 'view'), arg_min(event_type, ts)) AS event_type,
@@ -380,7 +375,7 @@ def validate_keys_checks(spark, sf_dir):
 
 
 @registered("SELECT doc_id, min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS entity_id, count(*) OVER (PARTITION BY coalesce(text, '')) AS members FROM documents")
-def entity_resolve_components(spark, sf_dir):
+def exact_text_copies(spark, sf_dir):
     return resolve.exact_copies(read(spark, sf_dir, "documents"), "doc_id", "text")
 
 
@@ -412,22 +407,6 @@ def approved_export_topk(spark, sf_dir):
     return export.top(joined, [F.desc("l_extendedprice"), c("l_orderkey"), c("l_linenumber")], 100)
 
 
-@registered("""
-SELECT l_orderkey, l_linenumber, c_mktsegment, s_name, p_brand FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
-JOIN supplier ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey WHERE o_orderstatus = 'F' AND l_quantity > 45""")
-def score_base_join(spark, sf_dir):
-    t = {n: read(spark, sf_dir, n) for n in ("lineitem", "orders", "customer", "supplier", "part")}
-    return (
-        t["lineitem"].where("l_quantity > 45").join(t["orders"].where("o_orderstatus = 'F'"), c("l_orderkey") == c("o_orderkey"))
-        .join(t["customer"], c("o_custkey") == c("c_custkey")).join(t["supplier"], c("l_suppkey") == c("s_suppkey")).join(t["part"], c("l_partkey") == c("p_partkey"))
-        .select("l_orderkey", "l_linenumber", "c_mktsegment", "s_name", "p_brand")
-    )
-
-
-@registered("SELECT o_orderkey, c_name, n_name, coalesce(nullif(o_orderpriority, ''), c_mktsegment, '') AS contact FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey")
-def qa_base_join(spark, sf_dir):
-    joined = read(spark, sf_dir, "orders").join(read(spark, sf_dir, "customer"), c("o_custkey") == c("c_custkey")).join(read(spark, sf_dir, "nation"), c("c_nationkey") == c("n_nationkey"))
-    return joined.select("o_orderkey", "c_name", "n_name", F.coalesce(F.nullif(c("o_orderpriority"), F.lit("")), c("c_mktsegment"), F.lit("")).alias("contact"))
 
 
 @registered("SELECT c_custkey, c_name, count(o_orderkey) AS n_orders, coalesce(max(o_orderkey), 0) AS last_order FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY 1, 2")
@@ -459,10 +438,6 @@ def cached_recently_anti(spark, sf_dir):
     return frontier.recently_fetched(events.select("user_id").distinct(), events, "user_id", "ts", F.lit("2024-01-31 20:00:00").cast("timestamp"))
 
 
-@registered("SELECT event_id, user_id FROM events WHERE ts >= TIMESTAMP '2024-01-15 00:00:00' AND event_type <> 'error'")
-def since_filter(spark, sf_dir):
-    return read(spark, sf_dir, "events").where((c("ts") >= F.lit("2024-01-15 00:00:00").cast("timestamp")) & (c("event_type") != "error")).select("event_id", "user_id")
-
 
 @registered("SELECT CAST(count(*) FILTER (c_custkey IN (SELECT o_custkey FROM orders)) AS BIGINT) AS with_orders, count(*) AS customers FROM customer")
 def exists_pct(spark, sf_dir):
@@ -509,17 +484,6 @@ def record_confidence(spark, sf_dir):
     return scored.select("record_id", total.alias("total_milli"))
 
 
-@registered("""
-SELECT o_orderkey, CAST(round(1000 * least(1.0, CASE WHEN o_orderstatus = 'F' THEN 0.3 ELSE 0 END + CASE WHEN o_totalprice > 150000 THEN 0.2 ELSE 0 END + CASE WHEN c_acctbal > 0 THEN 0.1 ELSE 0 END)) AS BIGINT) AS fit_milli,
-       concat_ws(',', CASE WHEN o_orderstatus = 'F' THEN 'finished' END, CASE WHEN o_totalprice > 150000 THEN 'large' END, CASE WHEN c_acctbal > 0 THEN 'solvent' END) AS reasons
-FROM orders JOIN customer ON o_custkey = c_custkey""")
-def outreach_fit_reasons(spark, sf_dir):
-    joined = read(spark, sf_dir, "orders").join(read(spark, sf_dir, "customer"), c("o_custkey") == c("c_custkey"))
-    fit = score.weighted_reasons(
-        {"finished": c("o_orderstatus") == "F", "large": c("o_totalprice") > 150000, "solvent": c("c_acctbal") > 0}, {"finished": 0.3, "large": 0.2, "solvent": 0.1}
-    )
-    return joined.withColumn("_f", fit).select("o_orderkey", F.round(c("_f.score") * 1000).cast("long").alias("fit_milli"), F.array_join("_f.reasons", ",").alias("reasons"))
-
 
 @registered(f"""
 WITH e AS (SELECT user_id AS record_id, event_type AS field_name, props AS field_value, event_id, {_TIER} AS tier, ts,
@@ -550,22 +514,6 @@ def triage_cascade(spark, sf_dir):
     return joined.select("doc_id", lane.alias("lane"))
 
 
-@registered("""
-SELECT d.doc_id, CASE WHEN n_chars % 100 < 60 OR toxic = 1 OR quality = 0 THEN 'queued' ELSE 'ready' END AS review_status,
-  concat_ws('; ', CASE WHEN n_chars % 100 < 60 THEN 'low_confidence' END, CASE WHEN toxic = 1 THEN 'prescriptive_review' END, CASE WHEN quality = 0 THEN 'missing_critical:license_status' END) AS reason
-FROM documents d JOIN labels ON labels.doc_id = d.doc_id""")
-def qa_decision(spark, sf_dir):
-    joined = read(spark, sf_dir, "documents").join(read(spark, sf_dir, "labels"), "doc_id")
-    reasons = F.array_compact(F.array(
-        F.when(c("n_chars") % 100 < 60, "low_confidence"), F.when(c("toxic") == 1, "prescriptive_review"), F.when(c("quality") == 0, "missing_critical:license_status"),
-    ))
-    return joined.withColumn("_r", reasons).select("doc_id", F.when(F.size("_r") > 0, "queued").otherwise("ready").alias("review_status"), F.array_join("_r", "; ").alias("reason"))
-
-
-@registered("SELECT source, count(*) AS queued FROM documents WHERE n_chars < 2000 GROUP BY source HAVING count(*) >= 5 AND count(*) = count(*) FILTER (lang IN ('en', 'de', 'fr', 'es'))")
-def seed_retire_having(spark, sf_dir):
-    per = read(spark, sf_dir, "documents").where("n_chars < 2000").groupBy("source").agg(F.count("*").alias("queued"), F.count_if(c("lang").isin("en", "de", "fr", "es")).alias("sludge"))
-    return per.where((c("queued") >= review.RETIRE_QUEUED) & (c("queued") == c("sludge"))).select("source", "queued")
 
 
 @registered("""
@@ -587,11 +535,6 @@ def dossier_group_primary(spark, sf_dir):
     return found.select("o_custkey", "o_orderkey", "o_totalprice", "locations", "records")
 
 
-@registered("SELECT c_nationkey, count(DISTINCT c_mktsegment) AS locations, array_to_string(list_sort(list_distinct(list(c_mktsegment))), ',') AS labels FROM customer GROUP BY 1")
-def distinct_locations(spark, sf_dir):
-    found = read(spark, sf_dir, "customer").groupBy("c_nationkey").agg(F.count_distinct("c_mktsegment").alias("locations"), F.array_sort(F.collect_set("c_mktsegment")).alias("l"))
-    return found.select("c_nationkey", "locations", F.array_join("l", ",").alias("labels"))
-
 
 @registered("""
 SELECT o_custkey, CASE WHEN n >= 4 OR s >= 3 THEN 'Enterprise / multi-site' WHEN n >= 2 OR s >= 2 THEN 'Regional / growing group' ELSE 'Single-site / owner-led' END AS band

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import make_pk
-from ..operators import accounts, extract, resolve, review, score
+from ..operators import accounts, extract, frontier, resolve, review, score
 from ..operators.graph import cut
 from ..sources import landing, seeds
 from .registered import c, read, registered
@@ -459,3 +459,86 @@ SELECT c_custkey, CASE WHEN {_K} % 11 = 0 THEN 'none' ELSE {_pk('src', f"'https:
 def source_document_key(spark, sf_dir):
     key = make_pk("src", F.concat(F.lit("https://www.Site"), c("c_custkey").cast("string"), F.lit(".org")), c("c_custkey"))
     return read(spark, sf_dir, "customer").select("c_custkey", F.when(c("c_custkey") % 11 == 0, "none").otherwise(key).alias("pk"))
+
+
+@registered("""
+SELECT o_orderkey AS record_id, c_name AS provider_name, n_name AS website, CASE WHEN s_suppkey % 3 = 0 THEN coalesce(n_name, '') ELSE s_name END AS phone FROM orders JOIN customer ON o_custkey = c_custkey
+JOIN nation ON o_orderkey % 30 = n_nationkey JOIN supplier ON o_orderkey % 17 = s_suppkey""")
+def score_base_join(spark, sf_dir):
+    tables = {
+        "provider_practice_records": read(spark, sf_dir, "orders").select(c("o_orderkey").alias("record_id"), c("o_custkey").alias("provider_id"), (c("o_orderkey") % 30).alias("practice_id"), (c("o_orderkey") % 17).alias("location_id")),
+        "providers": read(spark, sf_dir, "customer").select(c("c_custkey").alias("provider_id"), c("c_name").alias("provider_name"), F.lit("").alias("credentials")),
+        "practices": read(spark, sf_dir, "nation").select(c("n_nationkey").alias("practice_id"), c("n_name").alias("website"), F.lit("").alias("intake_url"), c("n_name").alias("phone")),
+        "practice_locations": read(spark, sf_dir, "supplier").select(c("s_suppkey").alias("location_id"), *(F.lit("").alias(n) for n in ("city", "state", "metro")), F.when(c("s_suppkey") % 3 != 0, c("s_name")).alias("phone")),
+    }
+    return score.score_base(tables).select("record_id", "provider_name", "website", "phone")
+
+
+# ---------------------------------------------------------------- crawls: jobs, telemetry, seeds of pages, links
+
+
+def _fetches(spark, sf_dir) -> DataFrame:
+    """Every order as a fetch of its customer's site; a run is a year and priority."""
+    return read(spark, sf_dir, "orders").select(
+        F.concat(F.lit("Seed "), c("o_custkey").cast("string")).alias("seed_name"), F.concat(F.lit("https://www.c"), c("o_custkey").cast("string"), F.lit(".org")).alias("seed_website"), F.year("o_orderdate").cast("string").alias("run_id"),
+        F.concat(F.lit("https://c"), c("o_custkey").cast("string"), F.lit(".org/p"), (c("o_orderkey") % 3).cast("string")).alias("requested_url"), F.when(c("o_orderstatus") == "F", 200).otherwise(500).alias("status_code"),
+        F.when(c("o_orderstatus") == "F", c("o_orderpriority")).otherwise("").alias("content"), F.lit("").alias("error_message"), (c("o_orderkey") % 4).cast("int").alias("attempts"), c("o_orderkey").alias("fetched_at"),
+    )
+
+
+_JOBS = """
+WITH f AS (SELECT 'c' || CAST(o_custkey AS VARCHAR) || '.org' AS seed_domain, year(o_orderdate) AS run, o_orderkey, o_orderstatus = 'F' AND o_orderpriority <> '' AS good, CASE WHEN o_orderstatus = 'F' THEN 200 ELSE 500 END AS code, o_orderkey % 4 AS tries FROM orders),
+j AS (SELECT seed_domain, run, CAST(sum(tries) AS BIGINT) AS attempts, count(*) FILTER (good) AS success_pages, count(*) FILTER (NOT good) AS failure_pages, arg_max(code, o_orderkey) AS last_status_code, max(o_orderkey) AS completed_at,
+  CASE WHEN count(*) FILTER (good) = 0 THEN 'failed' WHEN count(*) FILTER (NOT good) > 0 THEN 'partial' ELSE 'completed' END AS status FROM f GROUP BY 1, 2)"""
+
+
+@registered(f"{_JOBS} SELECT seed_domain, attempts, success_pages, failure_pages, last_status_code, completed_at, status FROM j")
+def crawl_jobs(spark, sf_dir):
+    jobs, _ = landing.record_crawl(_fetches(spark, sf_dir))
+    return jobs.select("seed_domain", "attempts", "success_pages", "failure_pages", "last_status_code", "completed_at", "status")
+
+
+@registered("""
+SELECT count(*) AS pages, CAST(sum(k) AS BIGINT) AS latest FROM (
+  SELECT max(o_orderkey) AS k FROM orders GROUP BY o_custkey, year(o_orderdate), o_orderkey % 3, CASE WHEN o_orderstatus = 'F' THEN o_orderpriority ELSE '' END)""")
+def crawl_results(spark, sf_dir):
+    _, results = landing.record_crawl(_fetches(spark, sf_dir))
+    return results.agg(F.count("*").alias("pages"), F.sum("fetched_at").alias("latest"))
+
+
+@registered(f"""{_JOBS},
+good AS (SELECT seed_domain, max(completed_at) AS g FROM j WHERE success_pages > 0 GROUP BY 1)
+SELECT j.seed_domain, CAST(sum(attempts) AS BIGINT) AS attempts, CAST(sum(success_pages) AS BIGINT) AS successes, CAST(sum(failure_pages) AS BIGINT) AS failures, count(*) FILTER (success_pages > 0) AS success_runs, count(*) FILTER (status <> 'completed') AS failure_runs,
+  count(*) FILTER (success_pages = 0 AND (g IS NULL OR completed_at > g)) AS consecutive_failures, arg_max(status, completed_at) AS last_run_status, max(completed_at) FILTER (success_pages > 0) AS last_success_at
+FROM j LEFT JOIN good ON good.seed_domain = j.seed_domain GROUP BY 1""")
+def seed_run_telemetry(spark, sf_dir):
+    jobs, _ = landing.record_crawl(_fetches(spark, sf_dir))
+    found = landing.seed_telemetry(jobs)
+    return found.select("seed_domain", "attempts", "successes", "failures", "success_runs", "failure_runs", "consecutive_failures", "last_run_status", "last_success_at")
+
+
+@registered("""
+SELECT o_orderkey, coalesce(s_name, 'own') AS seed_name, CASE WHEN s_suppkey IS NULL THEN '' ELSE 'A' END AS tier FROM orders LEFT JOIN supplier ON o_custkey = s_suppkey""")
+def page_seed_lookup(spark, sf_dir):
+    pages = read(spark, sf_dir, "orders").select("o_orderkey", F.concat(F.lit("https://s"), c("o_custkey").cast("string"), F.lit(".org/")).alias("seed_website"), F.lit("own").alias("seed_name"))
+    known = read(spark, sf_dir, "supplier").select(c("s_name").alias("name"), F.concat(F.lit("http"), F.lit("s://www.s"), c("s_suppkey").cast("string"), F.lit(".org")).alias("website"), *(F.lit(v).alias(n) for n, v in (("state", "NJ"), ("market", ""), ("tier", "A"), ("source_type", "x"), ("extraction_profile", ""))))
+    return seeds.with_seed(pages, known).select("o_orderkey", "seed_name", "tier")
+
+
+@registered("""
+SELECT page_id, starts_with(url, 'http') AND page_id % 4 <= 2 AND NOT regexp_matches(lower(regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1)), '^/(blog|news)(/|$)') AS accepted FROM pages""")
+def url_acceptance(spark, sf_dir):
+    return read(spark, sf_dir, "pages").select("page_id", frontier.accepted(c("url"), c("url"), c("page_id") % 4, 2, ("/blog/", "/news/")).alias("accepted"))
+
+
+@registered("""
+WITH k AS (SELECT c_custkey AS k, 'https://h' || CAST(c_custkey % 100 AS VARCHAR) || '.org' AS site FROM customer),
+l AS (SELECT site || '/providers/' || CAST(k % 7 AS VARCHAR) AS url, site || '/start' || CAST(k AS VARCHAR) AS from_url FROM k UNION ALL SELECT site || '/team', site || '/start' || CAST(k AS VARCHAR) FROM k)
+SELECT url, min(from_url) AS from_url, 1 AS depth FROM l WHERE url NOT IN (SELECT site || '/team' FROM k WHERE k % 10 = 0) GROUP BY 1""")
+def link_expansion(spark, sf_dir):
+    k, site = c("c_custkey"), F.concat(F.lit("https://h"), (c("c_custkey") % 100).cast("string"), F.lit(".org"))
+    rows = read(spark, sf_dir, "customer").select(k.alias("k"), site.alias("site"))
+    html = F.concat(F.lit("<a href='/providers/"), (c("k") % 7).cast("string"), F.lit("'>a</a><a href=\"../team\">b</a><a href='https://other.org/'>c</a><a href='x.css'>d</a>"))
+    pages = rows.select(F.concat("site", F.lit("/start"), c("k").cast("string")).alias("url"), html.alias("html"), c("site").alias("seed"), F.lit("practice_site").alias("source_type"), F.lit(0).alias("depth"))
+    seen = rows.where("k % 10 = 0").select(F.concat("site", F.lit("/team")).alias("url"))
+    return frontier.expanded(cut(pages), seen, 2, 10).select("url", "from_url", "depth")

@@ -7,16 +7,17 @@ folders of a run, one per stage, so a stage that is done is never computed again
 from __future__ import annotations
 
 import json
-import os
 import re
-import tempfile
+import time
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from datetime import UTC, datetime
-from pathlib import Path
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..sources import files
 
 # The stages in order, and how many interventions a run keeps and shows.
 STAGES = ("seed_ingest", "crawl", "extract", "resolve", "score", "qa", "export")
@@ -27,13 +28,12 @@ def now() -> str:
     return datetime.now(UTC).replace(microsecond=0).isoformat()
 
 
-def _replace(path: Path, payload: Mapping[str, Any]) -> None:
-    """Write a document so that readers see the old one or the new one."""
-    path.parent.mkdir(parents=True, exist_ok=True)
-    handle, name = tempfile.mkstemp(dir=path.parent)
-    with os.fdopen(handle, "w", encoding="utf-8") as out:
-        json.dump(payload, out, indent=2)
-    os.replace(name, path)
+def _replace(path: str, payload: Mapping[str, Any]) -> None:
+    files.write_bytes(path, json.dumps(payload, indent=2).encode())
+
+
+def _load(path: str) -> dict[str, Any] | None:
+    return json.loads(files.read_bytes(path)) if files.exists(path) else None
 
 
 def tenant_id(raw: str) -> str:
@@ -45,11 +45,10 @@ class Run:
     """One run below ``base/<tenant>/<run_id>``; reopened, it goes on after its last finished stage."""
 
     def __init__(self, base: str, run_id: str, tenant: str = "default", stages: tuple[str, ...] = STAGES):
-        self.folder, self.stages = Path(base) / tenant_id(tenant) / run_id, stages
-        self.path = self.folder / "run.json"
-        if self.path.exists():
-            self.state = json.loads(self.path.read_text(encoding="utf-8"))
-        else:
+        self.folder, self.stages = files.join(base, tenant_id(tenant), run_id), stages
+        self.path = files.join(self.folder, "run.json")
+        self.state = _load(self.path)
+        if self.state is None:
             self.state = {"run_id": run_id, "status": "running", "created_at": now(), "last_error": {}, "stages": {s: {"status": "pending"} for s in stages}}
             self._save()
 
@@ -63,7 +62,7 @@ class Run:
         return next((s for s in self.stages if self.state["stages"][s]["status"] != "completed"), None)
 
     def table(self, spark: SparkSession, stage: str) -> DataFrame:
-        return spark.read.parquet(str(self.folder / stage))
+        return spark.read.parquet(files.join(self.folder, stage))
 
     def execute(self, spark: SparkSession, steps: Mapping[str, Callable[[SparkSession, Run], DataFrame]]) -> dict[str, Any]:
         """Run what is left, stage by stage; a failure is recorded with its stage and raised."""
@@ -72,7 +71,7 @@ class Run:
             entry |= {"status": "running", "started_at": entry.get("started_at") or now()}
             self._save()
             try:
-                steps[stage](spark, self).write.mode("overwrite").parquet(str(self.folder / stage))
+                steps[stage](spark, self).write.mode("overwrite").parquet(files.join(self.folder, stage))
             except Exception as error:
                 entry |= {"status": "failed", "completed_at": now(), "error": str(error)[:500]}
                 self.state |= {"status": "failed", "last_error": {"stage": stage, "message": str(error)[:500], "at": now()}}
@@ -89,11 +88,56 @@ class Controls:
     """Operator controls of a run's domains and the log of interventions."""
 
     def __init__(self, path: str):
-        self.path = Path(path)
-        self.state = json.loads(self.path.read_text(encoding="utf-8")) if self.path.exists() else {"domains": {}, "interventions": []}
+        self.path = path
+        self.state = _load(path) or {"domains": {}, "interventions": []}
+
+    def observe(self, domain: str, **runtime: Any) -> None:
+        """Note what a crawl of the domain does. Controls that operators changed meanwhile stay: the document is read anew and only the runtime part is replaced."""
+        self.state = _load(self.path) or self.state
+        record = self.state.setdefault("runtime", {}).setdefault(domain, {"status": "idle", "last_error": ""})
+        record |= runtime | {"updated_at": now()}
+        _replace(self.path, self.state)
+
+    def succeeded(self, domain: str, **runtime: Any) -> None:
+        """A page came: the error text is cleared, counts of failures stay."""
+        self.observe(domain, **runtime, last_error="")
+
+    def once(self, key: str, action: str, domain: str, reason: str) -> bool:
+        """Log an automatic intervention unless one of this key was logged for the domain before."""
+        self.state = _load(self.path) or self.state
+        keys = self.state.setdefault("keys", {}).setdefault(domain, [])
+        if key in keys:
+            return False
+        keys.append(key)
+        self._log(action, domain, reason, "auto")
+        return True
+
+    def escalate(self, domain: str, reason: str, mode: str, on_block: bool, browser_pages: int, pages_left: int) -> bool:
+        """Ask for a browser once a domain, where its policy allows one and pages are left for it."""
+        allowed = mode != "http_only" and on_block and min(browser_pages, pages_left) > 0
+        runtime = self.state.get("runtime", {}).get(domain, {})
+        if not allowed or runtime.get("browser_escalated") or not self.once(f"browser:{reason}", "browser_escalation", domain, reason):
+            return False
+        self.observe(domain, browser_escalated=True, last_error=reason)
+        return True
+
+    def limits(self, domain: str, base: Mapping[str, int]) -> dict[str, Any]:
+        """What holds for a domain now: its page limits under a cap, its prefixes, and whether it stops."""
+        record = self.state["domains"].get(domain, {})
+        cap = record.get("max_pages_per_domain")
+        return {
+            **{k: min(v, max(1, int(cap))) if cap else v for k, v in base.items()}, "suppressed_prefixes": record.get("suppressed_prefixes", []),
+            "stop": bool(record.get("stop_requested") or record.get("quarantined")), "quarantined": bool(record.get("quarantined")),
+        }
+
+    def _log(self, action: str, domain: str, reason: str, source: str) -> None:
+        self.state["interventions"].append({"at": now(), "domain": domain, "action": action, "reason": reason, "source": source})
+        del self.state["interventions"][:-KEPT_INTERVENTIONS]
+        _replace(self.path, self.state)
 
     def apply(self, action: str, domain: str, reason: str, source: str = "operator", prefix: str = "", max_pages: int = 0) -> None:
         """Quarantine, suppress a prefix, cap, stop or clear a domain, and log it."""
+        self.state = _load(self.path) or self.state
         record = self.state["domains"].setdefault(domain, {})
         if action == "quarantine-seed":
             record |= {"quarantined": True, "quarantine_reason": reason}
@@ -107,9 +151,7 @@ class Controls:
             self.state["domains"].pop(domain)
         else:
             raise ValueError(f"unknown action: {action}")
-        self.state["interventions"].append({"at": now(), "domain": domain, "action": action, "reason": reason, "source": source})
-        del self.state["interventions"][:-KEPT_INTERVENTIONS]
-        _replace(self.path, self.state)
+        self._log(action, domain, reason, source)
 
     def frame(self, spark: SparkSession) -> DataFrame:
         """The controls as a small table, to be joined with pages or a stream."""
@@ -178,20 +220,36 @@ class Sessions:
     _seq: int = field(default=0, repr=False)
 
     def add(self, session: str, tenant: str, kind: str, name: str, content: Any) -> None:
-        row = (session, tenant_id(tenant), self._next(session), kind, name, content if isinstance(content, str) else json.dumps(content, sort_keys=True), now())
-        self.spark.createDataFrame([row], self.schema).write.mode("append").parquet(self.folder)
-
-    def _next(self, session: str) -> int:
-        self._seq += 1
+        self.add_all(session, tenant, [(kind, name, content)])
+
+    def add_all(self, session: str, tenant: str, entries: list[tuple[str, str, Any]]) -> None:
+        """Append entries (kind, name, content) in order, in one file."""
+        rows = [(session, tenant_id(tenant), self._next(), kind, name, x if isinstance(x, str) else json.dumps(x, sort_keys=True), now()) for kind, name, x in entries]
+        self.spark.createDataFrame(rows, self.schema).coalesce(1).write.mode("append").parquet(self.folder)
+
+    def _next(self) -> int:
+        """Numbers go up with time and from what the store holds, so order survives reopening."""
+        if not self._seq and files.exists(self.folder):
+            self._seq = self.spark.read.schema(self.schema).parquet(self.folder).agg(F.max("seq")).first()[0] or 0
+        self._seq = max(self._seq + 1, time.time_ns())
         return self._seq
 
+    def events(self, session: str, tenant: str, kind: str) -> DataFrame:
+        """All entries of a kind; only the tenant's own."""
+        rows = self.spark.read.schema(self.schema).parquet(self.folder)
+        return rows.where((rows.session_id == session) & (rows.tenant_id == tenant_id(tenant)) & (rows.kind == kind))
+
     def last(self, session: str, tenant: str, kind: str, n: int) -> DataFrame:
         """The last n entries of a kind, oldest first; only the tenant's own."""
         from .query import tail
 
+        return tail(self.events(session, tenant, kind), "seq", n)
+
+    def latest_session(self, tenant: str) -> str | None:
+        """The session that was added to last; None without one."""
         rows = self.spark.read.schema(self.schema).parquet(self.folder)
-        mine = rows.where((rows.session_id == session) & (rows.tenant_id == tenant_id(tenant)) & (rows.kind == kind))
-        return tail(mine, "seq", n)
+        row = rows.where(rows.tenant_id == tenant_id(tenant)).orderBy(F.desc("seq")).first()
+        return None if row is None else row["session_id"]
 
 
 def report(kind: str, payload: Any, ok: bool = True) -> str:

@@ -69,6 +69,38 @@ def sitemap_urls(xml: Column) -> Column:
     return F.array_distinct(F.transform(F.regexp_extract_all(xml, F.lit(r"(?i)<loc>\s*([^<]+?)\s*</loc>"), F.lit(1)), normalize_url))
 
 
+def read_rules(spark: SparkSession, path: str, schema_name: str = "") -> DataFrame:
+    """Rules of a JSON document (its ``rules``), ready for the store: the last of an id counts, ``active`` is 0 or 1, blanks for what lacks."""
+    rows = spark.read.option("multiLine", True).json(path).select(F.explode("rules").alias("r")).select("r.*")
+
+    def text(name: str) -> Column:
+        return F.coalesce(F.trim(F.col(name).cast("string")), F.lit("")) if name in rows.columns else F.lit("")
+
+    active = ~F.lower(text("active")).isin("false", "0", "no")
+    names = ("rule_id", "schema_name", "state", "credential", "license_type", "authority", "limitations", "rationale", "citation_title", "citation_url", "retrieved_at")
+    out = rows.select(*(F.coalesce(F.nullif(text(n), F.lit("")), F.lit(schema_name if n == "schema_name" else "")).alias(n) for n in names), active.cast("int").alias("active"), F.monotonically_increasing_id().alias("_at"))
+    w = F.struct(*(n for n in out.columns if n not in ("rule_id", "_at")))
+    return out.where("rule_id <> ''").groupBy("rule_id").agg(F.max_by(w, "_at").alias("r")).select("rule_id", "r.*")
+
+
+def read_policies(spark: SparkSession, path: str) -> DataFrame:
+    """Domain policies of a JSON document: ``domains`` maps a domain to its mode, or to a policy with one; none if it has none."""
+    text = spark.read.text(path, wholetext=True)
+    entries = F.explode(F.from_json(F.get_json_object("value", "$.domains"), "map<string,string>"))
+    pairs = text.select(entries.alias("domain", "policy"))
+    mode = F.coalesce(F.get_json_object("policy", "$.mode"), F.when(~F.col("policy").startswith("{"), F.col("policy")))
+    return pairs.select("domain", F.lower(F.trim(mode)).alias("mode")).where("mode IS NOT NULL")
+
+
+def with_seed(pages: DataFrame, seeds: DataFrame, website: str = "seed_website") -> DataFrame:
+    """Pages with their seed's tier, source type and profile by normalised website; pages of no seed get blanks and keep their own name, state and market."""
+    known = seeds.select(normalize_url(F.col("website")).alias("_site"), F.struct("name", "state", "market", "tier", "source_type", "extraction_profile").alias("_seed"))
+    known = known.groupBy("_site").agg(F.min("_seed").alias("_seed"))
+    out = pages.withColumn("_site", normalize_url(F.col(website))).join(known, "_site", "left")
+    own = {f"seed_{n}": F.coalesce(F.nullif(F.col(f"_seed.{n}"), F.lit("")), F.col(f"seed_{n}") if f"seed_{n}" in pages.columns else F.lit(""), F.lit("")) for n in ("name", "state", "market")}
+    return out.withColumns(own | {n: F.coalesce(F.col(f"_seed.{n}"), F.lit("")) for n in ("tier", "source_type", "extraction_profile")}).drop("_site", "_seed")
+
+
 def with_metro(rows: DataFrame, lookup: dict[str, str], city: str = "city", default: str = "") -> DataFrame:
     """Rows with the metro area of their city; the lookup is a literal map, so nothing is joined."""
     if not lookup:
