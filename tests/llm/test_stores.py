@@ -22,7 +22,8 @@ def test_append_compact_vacuum(spark, tmp_path):
     before = store.read().count()
     assert store.compact() == 1 and len(store.shards()) == 1
     assert store.read().count() == before == 200 and store.read(2).count() == 80
-    assert store.vacuum() == 20 and store.versions() == [6]
+    assert store.vacuum() == 0 and store.versions() == [5, 6] and store.read(5).count() == 200
+    assert store.vacuum(keep=1, grace=0) == 20 and store.versions() == [6]
     assert sorted(r.doc_id for r in store.read().collect()) == list(range(200))
 
 
@@ -40,13 +41,52 @@ def test_rival_commits_conflict(spark, tmp_path):
     store = sharding.ShardStore(spark, f"file://{tmp_path}/s")
     store.append(rows_of(spark, 5))
     schema = rows_of(spark, 1).schema.json()
-    store.commit(1, schema, store.shards())
+    base = store.manifest()
+    store.commit(base, schema, [])
     with pytest.raises(sharding.Conflict):
-        store.commit(1, schema, [])
+        store.commit(base, schema, [])
     assert store.read().count() == 5 and len([p for p in (tmp_path / "s/manifest").iterdir() if p.suffix == ".tmp"]) == 0
     json.loads((tmp_path / "s/manifest/v00000002.json").read_text())
 
 
+def test_appends_go_after_rivals(spark, tmp_path, monkeypatch):
+    store, rival = (sharding.ShardStore(spark, f"file://{tmp_path}/s") for _ in range(2))
+    store.append(rows_of(spark, 5))
+    write = store._write
+
+    def late(df, rows=None):
+        found = write(df, rows)
+        rival.append(rows_of(spark, 7, 100))
+        return found
+
+    old, once = store.manifest(), []
+    monkeypatch.setattr(store, "_write", late)
+    monkeypatch.setattr(store, "manifest", lambda version=None: old if version is None and not once.append(1) and len(once) == 1 else sharding.ShardStore.manifest(store, version))
+    assert store.append(rows_of(spark, 3, 50)) == 3
+    assert rival.read().count() == 15
+
+
+def test_parts_are_written_once(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sharding, "PART_SHARDS", 8)
+    store = sharding.ShardStore(spark, f"file://{tmp_path}/s")
+    store.append(rows_of(spark, 60).coalesce(1), rows=10)
+    first = {p["name"] for p in store.manifest()["parts"]}
+    store.append(rows_of(spark, 60, 60).coalesce(1), rows=10)
+    assert first < {p["name"] for p in store.manifest()["parts"]} and len(store.shards()) == 12
+    for i in range(5):
+        store.append(rows_of(spark, 1, 200 + i).coalesce(1))
+    assert len(store.manifest()["parts"]) <= 2 + store.fan_in and store.read().count() == 125
+    store.compact()
+    assert store.read().count() == 125 and len(store.shards()) == 1
+
+
+def test_vacuum_takes_what_no_version_lists(spark, tmp_path):
+    store = sharding.ShardStore(spark, f"file://{tmp_path}/s")
+    store.append(rows_of(spark, 5).coalesce(1))
+    store._write(rows_of(spark, 9).coalesce(1))  # a writer that failed before its commit
+    assert store.vacuum() == 0 and store.vacuum(grace=0) == 1 and store.read().count() == 5
+
+
 def test_compaction_keeps_all_rows(spark, tmp_path):
     rows = [(1, "a", 1), (1, "a", 1), (None, None, None), (2, "", 0), (3, "x" * 200_000, 5), (4, "é", 1)]
     df = spark.createDataFrame(rows, "doc_id long, text string, bytes int").repartition(5)
