@@ -88,7 +88,7 @@ def test_nearest_centroid_is_the_one_of_largest_cosine():
     centroids = rng.random((5, language.FEATURES)).astype(np.float32)
     centroids /= np.linalg.norm(centroids, axis=1, keepdims=True)
     idf = rng.random(language.FEATURES).astype(np.float32) + 1
-    model = language.Centroids(idf, centroids, np.array([0, 0, 1, 2, 2]), np.full(5, 0.2), ["a", "b", "c"])
+    model = language.Centroids(idf, centroids, np.array([0, 0, 1, 2, 2]), np.full((3, language.SIZES), 0.2), ["a", "b", "c"])
     for text in ("der hund", "le chat noir", "x"):
         v = np.sqrt(language.counts(text).astype(float)) * idf
         cosine = centroids.astype(float) @ v / np.linalg.norm(v)
