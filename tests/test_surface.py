@@ -141,7 +141,7 @@ def test_command_line(spark, tmp_path, capsys):
     assert call("status")[1]["data"] == {"status": "none"}
     code, out = call("sync", "--pages", str(tmp_path / "pages"), "--seeds", str(tmp_path / "seeds.json"), "--rules", str(tmp_path / "rules.json"), "--run-id", "r1")
     assert code == 0 and out["data"]["summary"]["approved_records"] == 1 and out["data"]["report"]["sales_count"] == 1
-    root = tmp_path / "store/out/provider_intel"
+    root = tmp_path / "store/out/export"
     assert json.loads((root / "provider_records_r1.json").read_text())[0]["provider_name"] == "Ann Lee"
     assert (root / "sales_report_r1.csv").read_text().startswith("record_id,provider_name,") and len(list(root.rglob("profile.pdf"))) == 1
     assert len(list(root.rglob("lead_intelligence.json"))) == 1 and (root / "review_queue_r1").is_dir()
