@@ -202,7 +202,16 @@ _ROLES = {
     "admin_noise": r"(?i)\b(jobs|privacy)\b", "publication_news": r"(?i)\b(news|blog)\b", "faq_help": r"(?i)\b(faq|help)\b",
     "directory_listing": r"(?i)\b(page/1|page/2|results)\b", "provider_page": r"(?i)\b(with|that)\b", "practice_service": r"(?i)\b(the|le|der|el)\b",
 }
-_HAY = _norm(f"coalesce(nullif({_TITLE}, ''), {_H1}) || ' ' || url || ' ' || substr({_strip('html')}, 1, 1200)").replace("coalesce(html, '')", "regexp_replace(coalesce(html, ''), '[^\\x00-\\x7F]', 'x', 'g')")
+
+
+def _letters(x: str) -> str:
+    """SQL's word borders know ASCII only: letters and digits of other scripts as x, their other signs as hyphens, so that borders are those of the text."""
+    for signs, stand_in in ((r"[^\x00-\x7F\P{L}]", "x"), (r"[^\x00-\x7F\P{Nd}]", "x"), (r"[^\x00-\x7F]", "-")):
+        x = f"regexp_replace({x}, '{signs}', '{stand_in}', 'g')"
+    return x
+
+
+_HAY = _letters(_norm(f"coalesce(nullif({_TITLE}, ''), {_H1}) || ' ' || url || ' ' || substr({_strip('html')}, 1, 1200)"))
 _ROLE_SQL = f"""CASE WHEN page_id % 11 = 0 THEN 'board' WHEN regexp_matches(hay, '{_ROLES['admin_noise']}') THEN 'admin_noise'
  WHEN regexp_matches(hay, '{_ROLES['publication_news']}') THEN 'publication_news' WHEN regexp_matches(hay, '{_ROLES['faq_help']}') THEN 'faq_help'
  WHEN regexp_matches(hay, '{_ROLES['directory_listing']}') THEN 'directory_listing' WHEN regexp_matches(hay, '{_ROLES['provider_page']}') AND page_id % 2 = 0 THEN 'provider_page'
@@ -210,7 +219,7 @@ _ROLE_SQL = f"""CASE WHEN page_id % 11 = 0 THEN 'board' WHEN regexp_matches(hay,
 
 
 def _classified(spark, sf_dir) -> DataFrame:
-    pages = read(spark, sf_dir, "pages").withColumns({"_title": text.extract_title(c("html")), "_text": text.strip_html(F.regexp_replace("html", r"[^\x00-\x7F]", "x"))})
+    pages = read(spark, sf_dir, "pages").withColumns({"_title": text.extract_title(c("html")), "_text": text.strip_html(c("html"))})
     kind = F.when(c("page_id") % 11 == 0, "licensing_board").otherwise("practice_site")
     role = signals.page_role(kind, c("_title"), c("url"), c("_text"), c("page_id") % 2 == 0, _ROLES, r"(?i)\b(page|item)\b")
     return pages.withColumns({"_kind": kind, "_role": role})
@@ -234,28 +243,25 @@ def page_relevance(spark, sf_dir):
 @registered(f"""
 SELECT doc_id, CASE WHEN regexp_matches(t, '(?i)\\b(?:the|le|der).{{0,80}}\\b(?:of|la|die)\\b') OR regexp_matches(t, '(?i)\\b(?:of|la|die).{{0,80}}\\b(?:the|le|der)\\b')
   OR regexp_matches(t, '(?i)\\bassessment\\s*,\\s*diagnosis\\s+and\\s+management\\s+of.{{0,60}}\\b(?:the|le|der)\\b') THEN 'yes' ELSE 'unclear' END AS signal
-FROM (SELECT doc_id, regexp_replace(text, '[^\\x00-\\x7F]', 'x', 'g') AS t0, {_norm("regexp_replace(text, '[^\\x00-\\x7F]', 'x', 'g')")} AS t FROM documents)""")
+FROM (SELECT doc_id, {_norm(_letters("text"))} AS t FROM documents)""")
 def diagnosis_signal(spark, sf_dir):
-    plain = text.normalize_text(F.regexp_replace("text", r"[^\x00-\x7F]", "x"))
-    return read(spark, sf_dir, "documents").select("doc_id", signals.diagnosis(plain, "(?:the|le|der)", "(?:of|la|die)").alias("signal"))
+    return read(spark, sf_dir, "documents").select("doc_id", signals.diagnosis(text.normalize_text(c("text")), "(?:the|le|der)", "(?:of|la|die)").alias("signal"))
 
 
-_PLAIN = "regexp_replace(text, '[^\\x00-\\x7F]', 'x', 'g')"
+_PLAIN = _letters("text")
 
 
 @registered(f"""
 SELECT doc_id, CASE WHEN a AND b THEN 'child,adolescent,adult' WHEN a THEN 'child,adolescent' WHEN b THEN 'adult' ELSE 'unknown' END AS groups
 FROM (SELECT doc_id, regexp_matches({_PLAIN}, '(?i)\\b(with|pour)\\b') AS a, regexp_matches({_PLAIN}, '(?i)\\b(was|nicht)\\b') AS b FROM documents)""")
 def age_groups(spark, sf_dir):
-    plain = F.regexp_replace("text", r"[^\x00-\x7F]", "x")
-    groups = signals.age_groups(plain, r"(?i)\b(with|pour)\b", r"(?i)\b(was|nicht)\b")
+    groups = signals.age_groups(c("text"), r"(?i)\b(with|pour)\b", r"(?i)\b(was|nicht)\b")
     return read(spark, sf_dir, "documents").select("doc_id", F.array_join(groups, ",").alias("groups"))
 
 
 @registered(f"SELECT doc_id, CASE WHEN regexp_matches({_PLAIN}, '(?i)\\b(license|version)\\b') THEN 'yes' ELSE 'unknown' END AS telehealth FROM documents")
 def telehealth_flag(spark, sf_dir):
-    plain = F.regexp_replace("text", r"[^\x00-\x7F]", "x")
-    return read(spark, sf_dir, "documents").select("doc_id", signals.telehealth(plain, r"(?i)\b(license|version)\b").alias("telehealth"))
+    return read(spark, sf_dir, "documents").select("doc_id", signals.telehealth(c("text"), r"(?i)\b(license|version)\b").alias("telehealth"))
 
 
 @registered("""
