@@ -80,13 +80,7 @@ def execute(spark: SparkSession, args: argparse.Namespace) -> object:
     if args.command == "sync":
         return _sync(spark, args)
     if args.command == "init":
-        made = []
-        for name in schemas.TABLES:
-            path = files.join(args.store, "schema", name)
-            if not files.exists(path):
-                schemas.empty(spark, name).write.parquet(path)
-                made.append(name)
-        return {"made": made, "fingerprint": schemas.fingerprint()}
+        return {"made": schemas.migrate(spark, files.join(args.store, "schema")), "fingerprint": schemas.fingerprint()}
     if args.command == "doctor":
         missing = [n for n in schemas.TABLES if not files.exists(files.join(args.store, "schema", n))]
         drifted = {n: d for n in schemas.TABLES if n not in missing and (d := schemas.drift(spark.read.parquet(files.join(args.store, "schema", n)), n))}

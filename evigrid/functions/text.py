@@ -186,6 +186,14 @@ def format_phone(c: Column) -> Column:
     return F.when(digits.rlike(ten), F.regexp_replace(digits, ten, "($1) $2-$3")).when(digits.rlike(eleven), F.regexp_replace(digits, eleven, "+1 ($1) $2-$3")).otherwise(F.trim(F.coalesce(c, F.lit(""))))
 
 
+def json_array(c: Column) -> Column:
+    """A JSON array's trimmed non-blank items as text; a text that is no array is its only item, a blank one has none."""
+    v = F.trim(F.coalesce(c, F.lit("")))
+    found = F.from_json(v, "array<string>")
+    items = F.when(v.startswith("[") & found.isNotNull(), found).otherwise(F.array(v))
+    return F.filter(F.transform(items, lambda x: F.trim(x)), lambda x: F.coalesce(x, F.lit("")) != "")
+
+
 def unique_nonempty(values: Column) -> Column:
     """Trimmed values without blanks, first appearance kept."""
     return F.array_distinct(F.filter(F.transform(F.coalesce(values, F.array().cast("array<string>")), lambda x: F.trim(x)), lambda x: x != ""))

@@ -5,8 +5,11 @@ from __future__ import annotations
 import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from .sources import files
+
 EVIDENCE = "array<struct<field:string,value:string,quote:string,source_url:string>>"
 TABLES = {
     "seeds": "name string, website string, state string, market string, source string, priority int, tier string, source_type string, browser_required boolean, extraction_profile string, metadata map<string,string>",
@@ -23,6 +26,26 @@ TABLES = {
 }
 
 
+#: Which schemas a store has had, and since when.
+MIGRATIONS = "fingerprint string, tables int, applied_at timestamp"
+
+
+def migrate(spark: SparkSession, folder: str) -> list[str]:
+    """Make the tables that a store lacks and note the schemas it has now; the names of new tables. Doing it twice changes nothing.
+
+    Columns that a table lacks need no rewriting: its files are read under the present schema.
+    """
+    made = [n for n in sorted(TABLES) if not files.exists(files.join(folder, n))]
+    for name in made:
+        empty(spark, name).write.parquet(files.join(folder, name))
+    log = files.join(folder, "schema_migrations")
+    known = spark.read.schema(MIGRATIONS).parquet(log) if files.exists(log) else spark.createDataFrame([], MIGRATIONS)
+    if known.where(F.col("fingerprint") == fingerprint()).isEmpty():
+        row = spark.range(1).select(F.lit(fingerprint()).alias("fingerprint"), F.lit(len(TABLES)).alias("tables"), F.current_timestamp().alias("applied_at"))
+        row.coalesce(1).write.mode("append").parquet(log)
+    return made
+
+
 def fingerprint() -> str:
     """Digest of all schemas, kept in a run's manifest to notice drift."""
     return hashlib.sha256("\n".join(f"{n}: {ddl}" for n, ddl in sorted(TABLES.items())).encode()).hexdigest()

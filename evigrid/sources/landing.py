@@ -59,6 +59,20 @@ def record_crawl(fetches: DataFrame) -> tuple[DataFrame, DataFrame]:
     return jobs.withColumn("status", F.when(c("success_pages") > 0, F.when(c("failure_pages") > 0, "partial").otherwise("completed")).when(fetched, "failed").otherwise("empty")), results
 
 
+def source_documents(pages: DataFrame) -> DataFrame:
+    """Documents of pages with their seed: keyed by address, content, tier and kind of source; the latest page of a key counts."""
+    c = F.col
+    keyed = pages.withColumns({"content_hash": content_hash(c("content")), "normalized_url": normalize_url(c("source_url"))})
+    keyed = keyed.withColumn("source_document_id", make_pk("src", c("source_url"), c("content_hash"), c("source_tier"), c("source_type")))
+    columns = ("source_url", "normalized_url", "source_tier", "source_type", "content_hash", "content", "fetched_at")
+    return keyed.groupBy("source_document_id").agg(F.max_by(F.struct(*columns), F.struct("fetched_at", "source_url")).alias("r")).select("source_document_id", "r.*")
+
+
+def replaced(rows: DataFrame, news: DataFrame, key: str) -> DataFrame:
+    """``rows`` with those of ``news`` in place of the ones of equal key. Rows that hang on a replaced key go with it: give the new rows of a document in place of its old ones."""
+    return rows.join(news.select(key).distinct(), key, "left_anti").unionByName(news, allowMissingColumns=True)
+
+
 #: Ends of a run that count as a failure of its seed.
 FAILED_RUNS = ("partial", "empty", "failed", "stopped", "quarantined")
 

@@ -6,7 +6,9 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from evigrid import schemas
 from evigrid.__main__ import main
+from evigrid.functions import text
 from evigrid.operators import frontier, render
 from evigrid.plans import agents, runs
 from evigrid.sources import files, landing, seeds
@@ -109,11 +111,31 @@ def test_tools_are_audited_and_remembered(spark, tmp_path):
     assert strict["required"] == ["a", "b"] and strict["properties"]["b"] == {"type": ["string", "null"], "enum": ["x", None]}
 
 
+def test_documents_are_replaced_with_what_hangs_on_them(spark):
+    pages = spark.createDataFrame([("https://e.org/a", "x", "A", "b", T0), ("https://e.org/a", "x", "A", "b", T0 + dt.timedelta(1)), ("https://e.org/b", "y", "A", "b", T0)], "source_url string, content string, source_tier string, source_type string, fetched_at timestamp")
+    docs = landing.source_documents(pages)
+    assert docs.count() == 2 and docs.where("source_url = 'https://e.org/a'").first().fetched_at == T0 + dt.timedelta(1)
+    old = spark.createDataFrame([("d1", "r1"), ("d1", "r2"), ("d2", "r3")], "source_document_id string, extracted_id string")
+    new = spark.createDataFrame([("d1", "r4"), ("d3", "r5")], "source_document_id string, extracted_id string")
+    assert sorted(r.extracted_id for r in landing.replaced(old, new, "source_document_id").collect()) == ["r3", "r4", "r5"]
+
+
+def test_migrations_are_noted_once(spark, tmp_path):
+    folder = str(tmp_path / "t")
+    assert len(schemas.migrate(spark, folder)) == len(schemas.TABLES) and schemas.migrate(spark, folder) == []
+    assert [r.fingerprint for r in spark.read.parquet(f"{folder}/schema_migrations").collect()] == [schemas.fingerprint()]
+
+
+def test_json_arrays(spark):
+    rows = spark.createDataFrame([('["a", " b ", ""]',), ("plain",), ("",), (None,), ("[broken",), ("[1, 2]",)], "x string")
+    assert [r[0] for r in rows.select(text.json_array(F.col("x"))).collect()] == [["a", "b"], ["plain"], [], [], ["[broken"], ["1", "2"]]
+
+
 def test_documents():
-    text = "# Title (x)\n\n## Part\n- a < b\n- c\nline\n" + "word " * 3000
-    page = render.to_html(text)
+    body = "# Title (x)\n\n## Part\n- a < b\n- c\nline\n" + "word " * 3000
+    page = render.to_html(body)
     assert "<h1>Title (x)</h1>" in page and "<li>a &lt; b</li>" in page and page.count("<ul>") == page.count("</ul>") == 1
-    pdf = render.to_pdf(text)
+    pdf = render.to_pdf(body)
     assert pdf.startswith(b"%PDF-1.4") and pdf.rstrip().endswith(b"%%EOF") and b"(Title \\(x\\))" in pdf and pdf.count(b"/Type /Page ") > 2
 
 
