@@ -1,4 +1,4 @@
-"""The queries of the ten corpus operators and their SQL."""
+"""The queries of the corpus operators and their SQL."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe_tree, fixity, language, media, mixing, sharding, simhash, token_prefix, toxicity
+from . import alignment, ann, bpe_tree, fixity, importance, language, media, mixing, packing, sharding, simhash, token_prefix, toxicity
 from ._common import id_crc, scratch_path, table
 
 
@@ -70,8 +70,26 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_tree.encode_documents(table(spark, sf_dir, "documents")).drop("ids")
 
 
+def op11_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of 2048 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight, score and rank of every document in a draw that follows the benchmark's word distribution."""
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("doc_id"), "text"))
+
+
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups, links and pair counts of two tokenizers over every document."""
+    return alignment.align(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_mix_sources, op2_compact_shards, op3_token_counts, op4_nearest_neighbours, op5_language_id, op6_media_columns, op7_toxicity, op8_warc_fixity, op9_simhash_classes, op10_bpe_round_trip)
+    own = (
+        op1_mix_sources, op2_compact_shards, op3_token_counts, op4_nearest_neighbours, op5_language_id, op6_media_columns, op7_toxicity, op8_warc_fixity, op9_simhash_classes, op10_bpe_round_trip,
+        op11_pack_sequences, op12_importance_resampling, op13_tokenizer_alignment,
+    )
     return {f.__name__: f for f in own}
 
 
