@@ -128,8 +128,48 @@ FROM b LEFT JOIN a ON a.page_id = b.page_id AND a.url = b.url WHERE a.page_id IS
 """
 
 
+#: Unigrams, so a feature is a word; CRC-32 is taken of each distinct word, byte by byte with a table made by its rule.
+_OP12_SQL = f"""
+WITH RECURSIVE bits AS (
+  SELECT i AS byte, i AS c, 0 AS k FROM range(256) t(i)
+  UNION ALL
+  SELECT byte, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, k + 1 FROM bits WHERE k < 8),
+crc_table AS (SELECT list(c ORDER BY byte) AS t FROM bits WHERE k = 8),
+sides AS (
+  SELECT 0 AS side, doc_id, text FROM documents UNION ALL SELECT 1, item_id, text FROM benchmark),
+words AS (
+  SELECT side, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words
+  FROM sides),
+flat AS (SELECT side, doc_id, unnest(words) AS word FROM words),
+per_doc AS (SELECT side, doc_id, word, count(*) AS n FROM flat GROUP BY ALL),
+dictionary AS (
+  SELECT word, list_transform(range(strlen(word)), lambda i: CAST('0x' || substr(hex(word), 2 * i + 1, 2) AS BIGINT)) AS bytes
+  FROM (SELECT DISTINCT word FROM per_doc)),
+hashed AS (
+  SELECT word, xor(list_reduce(bytes, lambda c, b: xor(c // 256, t[xor(c % 256, b) + 1]), 4294967295), 4294967295) % {importance.BUCKETS} AS bucket
+  FROM dictionary, crc_table),
+counted AS (
+  SELECT bucket, sum(CASE WHEN side = 0 THEN n ELSE 0 END) AS s, sum(CASE WHEN side = 1 THEN n ELSE 0 END) AS t FROM per_doc JOIN hashed USING (word) GROUP BY bucket),
+gains AS (
+  SELECT bucket, floor(1000 * ln(CAST((t + 1) * ((SELECT sum(s) FROM counted) + {importance.BUCKETS}) AS DOUBLE)
+                                 / CAST((s + 1) * ((SELECT sum(t) FROM counted) + {importance.BUCKETS}) AS DOUBLE))) AS gain FROM counted),
+summed AS (SELECT doc_id, sum(n * gain) AS gain FROM per_doc JOIN hashed USING (word) JOIN gains USING (bucket) WHERE side = 0 GROUP BY doc_id),
+weighed AS (
+  SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_features, CAST(coalesce(floor(gain / len(words)), 0) AS BIGINT) AS weight,
+         CAST('0x' || substr(sha256('{importance.SALT}' || w.doc_id), 1, 8) AS BIGINT) AS h
+  FROM words w LEFT JOIN summed USING (doc_id) WHERE side = 0),
+scored AS (SELECT doc_id, n_features, weight, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score FROM weighed),
+placed AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS may FROM scored WHERE n_features >= {importance.LEAST_WORDS})
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= floor(may * {importance.DRAWN_PERCENT} / 100) THEN rank END AS rank
+FROM scored LEFT JOIN placed USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "op12_importance_resampling": _OP12_SQL,
         "op2_compact_shards": "SELECT doc_id, CAST(strlen(text) AS BIGINT) AS n_bytes, sha256(text) AS text_sha256 FROM documents",
         "op8_warc_fixity": _OP8_SQL,
     }

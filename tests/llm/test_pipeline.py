@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_names():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "language_id", "simhash_near_dedup", "mix_sources", "bpe_encode"]
-    assert sorted(int(q[2:].split("_")[0]) for q in registry.queries()) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in registry.queries()) == list(range(1, 14))
     assert set(__spark_entry__.queries()) >= set(registry.queries()) | {"pipeline"}
 
 
