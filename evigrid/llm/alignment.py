@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
-import json
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
@@ -27,69 +27,79 @@ from ._common import ids_and_texts, small_batches, stored
 A_VOCABULARY = "byte_bpe_50k.json"
 B_VOCABULARY = "piece_bpe_32k.model"
 #: Chunks and transitions that a worker remembers.
-REMEMBERED = 200_000
-TRANSITIONS = 1_000_000
-
-
-def byte_of_letter() -> dict[str, int]:
-    """The byte that each letter of a byte-level vocabulary stands for: printable Latin-1 stands for itself, others for 256 and on."""
-    own = [*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    others = [b for b in range(256) if b not in set(own)]
-    return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(others)}
+REMEMBERED = 20_000
+TRANSITIONS = 300_000
 
 
 class Transducer:
-    """Cuts two token sequences into groups that cover the same bytes."""
+    """Cuts two token sequences into groups that cover the same bytes.
+
+    A state is twice a number, plus 1 if A leads, so that B reads next; state 0: nothing dangles.
+    Ids of both sides are below 2 to the 20th.
+    """
 
     def __init__(self, a_bytes: list[bytes], b_bytes: list[bytes]):
-        self.bytes = (a_bytes, b_bytes)
+        self.a_bytes, self.b_bytes = a_bytes, b_bytes
         self.forget()
 
     def forget(self) -> None:
-        #: by state: the side that reads next, and the bytes by which the other side leads; state 0: nothing dangles
-        self.states: list[tuple[int, bytes]] = [(0, b"")]
-        self.numbers: dict[tuple[int, bytes], int] = {(0, b""): 0}
-        self.moves: dict[tuple[int, int], int] = {}
+        #: by half the state: the bytes by which one side leads
+        self.dangling: list[bytes] = [b""]
+        self.numbers: dict[tuple[int, bytes], int] = {}
+        #: by state and next token: the state after it, -1 if their bytes differ
+        self.moves: dict[int, int] = {}
+
+    def _state(self, a_leads: int, dangling: bytes) -> int:
+        if not dangling:
+            return 0
+        state = self.numbers.get((a_leads, dangling))
+        if state is None:
+            state = self.numbers[a_leads, dangling] = len(self.dangling) * 2 + a_leads
+            self.dangling.append(dangling)
+        return state
 
     def move(self, state: int, token: int) -> int:
-        """State after the side behind reads ``token``; -1 if its bytes differ from the dangling ones."""
-        side, dangling = self.states[state]
-        read = self.bytes[side][token]
-        if len(read) < len(dangling):
-            after = (side, dangling[len(read) :]) if dangling.startswith(read) else None
-        elif not read.startswith(dangling):
-            after = None
-        else:
-            after = (1 - side, read[len(dangling) :]) if len(read) > len(dangling) else (0, b"")
-        if after is None:
-            number = -1
+        """State after the side behind reads ``token``; where nothing dangles, A reads."""
+        a_leads, dangling = state & 1, self.dangling[state >> 1]
+        read = self.b_bytes[token] if a_leads else self.a_bytes[token]
+        if dangling.startswith(read):
+            after = self._state(a_leads, dangling[len(read) :])
+        elif read.startswith(dangling):
+            after = self._state(1 - a_leads, read[len(dangling) :])
         else:
-            number = self.numbers.setdefault(after, len(self.states))
-            if number == len(self.states):
-                self.states.append(after)
-        self.moves[state, token] = number
-        return number
-
-    def groups(self, a: list[int], b: list[int]) -> list[tuple[list[int], list[int]]] | None:
-        """Groups of ids of both sides in order; None if their bytes differ."""
+            after = -1
+        self.moves[state << 20 | token] = after
+        return after
+
+    def groups(self, a: list[int], b: list[int]) -> list | None:
+        """Groups in order, as A id << 32 | B id where both sides have one token, else as lists of both sides' ids; None if their bytes differ."""
         if len(self.moves) > TRANSITIONS:
             self.forget()
-        out: list[tuple[list[int], list[int]]] = []
-        known, both = self.moves.get, (a, b)
-        at, begun, state = [0, 0], (0, 0), 0
-        while state or at[0] < len(a) or at[1] < len(b):
-            side = self.states[state][0]
-            if at[side] == len(both[side]):
-                return None
-            token = both[side][at[side]]
-            at[side] += 1
-            after = known((state, token))
+        out: list = []
+        known = self.moves.get
+        i = j = from_a = from_b = state = 0
+        n_a, n_b = len(a), len(b)
+        while state or i < n_a or j < n_b:
+            if state & 1:
+                if j == n_b:
+                    return None
+                token = b[j]
+                j += 1
+            else:
+                if i == n_a:
+                    return None
+                token = a[i]
+                i += 1
+            after = known(state << 20 | token)
             state = self.move(state, token) if after is None else after
-            if state < 0:
-                return None
-            if not state:
-                out.append((a[begun[0] : at[0]], b[begun[1] : at[1]]))
-                begun = (at[0], at[1])
+            if state <= 0:
+                if state:
+                    return None
+                if i - from_a == 1 and j - from_b == 1:
+                    out.append(a[from_a] << 32 | token)
+                else:
+                    out.append((a[from_a:i], b[from_b:j]))
+                from_a, from_b = i, j
         return out
 
 
@@ -101,51 +111,68 @@ class Aligner:
     """
 
     def __init__(self, a_path: str, b_path: str):
+        import tiktoken
         from sentencepiece import SentencePieceProcessor
-        from tokenizers import Tokenizer
-
-        self.a, self.b = Tokenizer.from_file(a_path), SentencePieceProcessor(model_file=b_path)
-        self.a.encode_special_tokens = True
-        letters = byte_of_letter()
-        a_bytes = [b""] * self.a.get_vocab_size()
-        with open(a_path, encoding="utf-8") as f:
-            added = {t["content"] for t in json.load(f)["added_tokens"]}
-        for token, i in self.a.get_vocab().items():
-            a_bytes[i] = token.encode() if token in added else bytes(letters[c] for c in token)
+
+        ranks, _ = blocks.byte_level_file(a_path)
+        # without special tokens the rank-merging library gives the file's ids
+        self.a = tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.b = SentencePieceProcessor(model_file=b_path)
+        a_bytes = [b""] * (max(ranks.values()) + 1)
+        for token, i in ranks.items():
+            a_bytes[i] = token
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         blank_inside = any("▁" in p.lstrip("▁") for p in pieces)
         self.whole = "(?s)." if blank_inside else rf"^ |  | $|\x00|{blocks.SPACES} {blocks.SPACES}"
         self.transducer = Transducer(a_bytes, b_bytes)
         self.known: dict[str, tuple] = {}
+        self.older: dict[str, tuple] = {}
+        self.texts: dict[int, str] = {}
 
     def chunk(self, a: list[int], b: list[int]) -> tuple:
-        """Counts of tokens, groups and links, the groups' digest text, and linked pairs with how often each is linked."""
+        """Counts of tokens, groups and links, the groups' digest text, and linked pairs, perhaps again and again, with how often each is linked."""
         groups = self.transducer.groups(a, b)
         if groups is None:
-            return (0, 0, -1, 0, "", (), ())
-        links, pairs = 0, Counter()
-        for left, right in groups:
-            links += len(left) * len(right)
-            if len(left) == 1 and len(right) == 1:
-                pairs[left[0] << 32 | right[0]] += 1
+            return (0, 0, -1, 0, "", array("q"), array("q"))
+        if len(self.texts) > TRANSITIONS:
+            self.texts = {}
+        known, links, text, pairs, times = self.texts.get, 0, [], [], []
+        for g in groups:
+            if type(g) is int:
+                said = known(g)
+                if said is None:
+                    said = self.texts[g] = f"{g >> 32}|{g & 0xFFFFFFFF}"
+                text.append(said)
+                pairs.append(g)
+                times.append(1)
+                links += 1
                 continue
+            left, right = g
+            text.append(f"{','.join(map(str, left))}|{','.join(map(str, right))}")
+            links += len(left) * len(right)
             theirs = Counter(right)
             for x, m in Counter(left).items():
                 for y, n in theirs.items():
-                    pairs[x << 32 | y] += m * n
-        text = ";".join([f"{','.join(map(str, left))}|{','.join(map(str, right))}" for left, right in groups])
-        return (len(a), len(b), len(groups), links, text, tuple(pairs), tuple(pairs.values()))
+                    pairs.append(x << 32 | y)
+                    times.append(m * n)
+        return (len(a), len(b), len(groups), links, ";".join(text), array("q", pairs), array("q", times))
 
     def chunks(self, words: list[str]) -> list[tuple]:
-        new = [w for w in words if w not in self.known]
-        if new:
-            if len(self.known) + len(new) > REMEMBERED:
-                self.known, new = {}, words
-            ours = self.a.encode_batch([f" {w}" for w in new], add_special_tokens=False)
-            for w, a, b in zip(new, ours, self.b.encode(new, num_threads=1), strict=True):
-                self.known[w] = self.chunk(a.ids, b)
-        return [self.known[w] for w in words]
+        """What ``chunk`` says of each word; words not seen for long are forgotten."""
+        if len(self.known) > REMEMBERED:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        new = []
+        for w in words:
+            if w not in known:
+                if w in older:
+                    known[w] = older[w]
+                else:
+                    new.append(w)
+        for w, b in zip(new, self.b.encode(new, num_threads=1), strict=True):
+            known[w] = self.chunk(self.a.encode_ordinary(f" {w}"), b)
+        return [known[w] for w in words]
 
     def block(self, ids: pa.Array, texts: pa.Array) -> dict[str, pa.Array]:
         """One block's documents, their linked pairs, and the block's distinct pairs."""
@@ -167,8 +194,7 @@ class Aligner:
         per, times = np.unique(owner[kept] * len(words) + codes[kept], return_counts=True)
         doc, code = np.divmod(per, max(1, len(words)))
         lengths = np.array([len(f[5]) for f in found], np.int64)
-        keys = np.array([p for f in found for p in f[5]], np.int64)
-        links = np.array([n for f in found for n in f[6]], np.int64)
+        keys, links = (np.frombuffer(b"".join([f[c] for f in found]), np.int64) for c in (5, 6))
         distinct, number = np.unique(keys, return_inverse=True)
         at = blocks.ranges((np.cumsum(lengths) - lengths)[code], lengths[code])
         doc, times = np.repeat(doc, lengths[code]), np.repeat(times, lengths[code])
@@ -201,6 +227,7 @@ def alignment_blocks(docs: DataFrame, a: str = A_VOCABULARY, b: str = B_VOCABULA
             yield pa.RecordBatch.from_arrays(list(one.values()), names=list(one))
 
     small_batches(docs.sparkSession)
+    blocks.block_batches(docs.sparkSession)
     documents = "doc_ids array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, shas array<string>"
     return ids_and_texts(docs).mapInArrow(run, f"{documents}, sizes array<int>, which array<int>, links array<long>, pairs array<long>, docs array<long>")
 

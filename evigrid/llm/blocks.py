@@ -7,18 +7,47 @@ by index. Chunks that a worker knows already are remembered within a bound.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
 #: Bytes of texts in a block; a longer text is a block of its own.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 2 << 20
 #: White space of any kind, as the split patterns of byte-level tokenizers see it.
 SPACES = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
 
+def block_batches(spark: SparkSession) -> None:
+    """Keep Arrow batches of texts and of whole blocks near the size of one block."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BLOCK_BYTES))
+
+
+def byte_of_letter() -> dict[str, int]:
+    """The byte that each letter of a byte-level vocabulary stands for: printable Latin-1 stands for itself, others for 256 and on."""
+    own = [*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in set(own)]
+    return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(others)}
+
+
+def byte_level_file(path: str) -> tuple[dict[bytes, int], list[str]]:
+    """Bytes and ids of a byte-level tokenizer file's own tokens, and its added tokens.
+
+    Its merges must rank as the ids do, so that merging by least id is what the file says.
+    """
+    with open(path, encoding="utf-8") as f:
+        parts = json.load(f)
+    vocabulary, letters = parts["model"]["vocab"], byte_of_letter()
+    added = [t["content"] for t in parts["added_tokens"]]
+    merged = [vocabulary["".join(m if isinstance(m, list) else m.split(" "))] for m in parts["model"]["merges"]]
+    if any(a >= b for a, b in zip(merged, merged[1:], strict=False)):
+        raise ValueError(f"{path}: merges do not rank as ids do")
+    return {bytes(letters[c] for c in token): i for token, i in vocabulary.items() if token not in added}, added
+
+
 def blocks(batches: Iterator[pa.RecordBatch], text_column: int = 1) -> Iterator[pa.RecordBatch]:
     """The rows of all batches in slices whose texts hold at most ``BLOCK_BYTES``, but at least one row."""
     for batch in batches:

@@ -59,6 +59,7 @@ def word_blocks(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=["doc_ids", "n_words", "places", "words"])
 
     small_batches(docs.sparkSession)
+    blocks.block_batches(docs.sparkSession)
     return ids_and_texts(docs).mapInArrow(run, "doc_ids array<long>, n_words array<long>, places array<int>, words array<string>")
 
 
