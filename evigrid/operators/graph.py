@@ -3,21 +3,28 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def checkpoints(spark: SparkSession) -> None:
-    """Checkpoints go to the shared folder of the session; to a temporary one only where none is set, as in tests."""
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="evigrid-"))
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in ``spark.checkpoint.dir``; a temporary one only where that is unset and all runs on one machine, as in tests."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        found = tempfile.mkdtemp(prefix="evigrid-")
+        spark.sparkContext.setCheckpointDir(found)
+    return found.rstrip("/")
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """``df`` written to the checkpoint folder and read from there, which keeps the plans of later stages short."""
-    checkpoints(df.sparkSession)
-    return df.checkpoint()
+    """``df`` written to a table in the shared folder and read from there, which keeps later plans short and survives lost executors."""
+    path, schema = f"{shared_folder(df.sparkSession)}/cut-{uuid.uuid4().hex}", df.schema
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(schema).parquet(path)
 
 
 def _contracted(edges: DataFrame, large: bool) -> DataFrame:
@@ -39,17 +46,16 @@ def components(rows: DataFrame, row_id: str, keys: list[str]) -> DataFrame:
     """``rows`` with ``component``: the least id over rows linked by equal non-blank keys, over any number of steps.
 
     A key's rows are linked to its least row, found with map-side combine, so a hot key is a star and
-    not all pairs. Rounds grow with the logarithm of the longest chain; each is cut by a checkpoint,
-    so it survives lost executors.
+    not all pairs. Rounds grow with the logarithm of the longest chain; each is written to the
+    shared folder, so it survives lost executors.
     """
-    checkpoints(rows.sparkSession)
     each = F.explode(F.array_compact(F.array(*(F.when(F.coalesce(F.col(k).cast("string"), F.lit("")) != "", F.concat(F.lit(f"{k}:"), F.col(k).cast("string"))) for k in keys))))
     held = rows.select(F.col(row_id).alias("u"), each.alias("key"))
     first = held.groupBy("key").agg(F.min("u").alias("v"))
-    now = held.join(first, "key").select("u", "v").where("u <> v").distinct().checkpoint()
+    now = cut(held.join(first, "key").select("u", "v").where("u <> v").distinct())
     before = None
     while True:
-        now = _contracted(_contracted(now, True), False).checkpoint()
+        now = cut(_contracted(_contracted(now, True), False))
         state = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if state == before:
             break

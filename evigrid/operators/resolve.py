@@ -1,24 +1,28 @@
 """Ordered entity resolution: rows see what earlier rows wrote.
 
-A row takes the provider of the earliest row that shares a lookup key with it, tried in a fixed order
-of keys. Which row that is follows from the data alone, so each row points to one earlier row, and
-chains of pointers are followed by doubling. Tables are folds over the rows of an entity. Nothing
-depends on the partitioning, and a common name is a hot key of a join, not a group in one task.
+A row takes the provider that holds one of its lookup keys at its place in the order. A key holds for
+a provider from the row that sets it, a board's too, to the row that replaces it. Which rows set keys
+follows from the assignment, so the assignment is a fixpoint: keys with their spans give pointers
+from rows to earlier rows, chains of pointers are followed by doubling, and both are repeated until
+nothing changes. Tables are folds over the rows of an entity. Nothing depends on the partitioning,
+and a common name is a hot key of a join, not a group in one task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import make_pk, normalize_domain, normalize_text
 from . import merge
-from .graph import checkpoints, components
+from .graph import components, cut
 
-__all__ = ["assign_providers", "cascade", "components", "enrich_from_boards", "exact_copies", "is_board", "resolve_rows"]
+__all__ = ["assign_providers", "cascade", "components", "exact_copies", "is_board", "resolve_rows"]
 
 # The lookups in order.
-LOOKUPS = ("npi", "domain_state", "city_phone", "name_state")
+LOOKUPS = ("npi", "domain_state", "city_phone", "name_state", "name_state")
 # Why rows wait for a review.
 MISSING_PROVIDER = "Practice offers evaluations but no named clinician was verified."
 UNMATCHED_LICENSE = "Official license detail found but no provider-practice record matched for enrichment."
@@ -30,55 +34,158 @@ def is_board(source_type: Column, profile: Column) -> Column:
 
 
 def _followed(pointers: DataFrame) -> DataFrame:
-    """``id``, ``at``: where the chain of pointers from each id ends, by doubling; each round is cut by a checkpoint."""
-    checkpoints(pointers.sparkSession)
-    now = pointers.select("id", "at").checkpoint()
+    """``id``, ``at``: where the chain of pointers from each id ends, by doubling; each round is cut."""
+    now = pointers.select("id", "at")
     while True:
         further = now.select(F.col("id").alias("at"), F.col("at").alias("next"))
-        stepped = now.join(further, "at", "left").select("id", F.coalesce("next", "at").alias("at"), F.col("next").isNotNull().alias("moved")).checkpoint()
+        stepped = cut(now.join(further, "at", "left").select("id", F.coalesce("next", "at").alias("at"), F.col("next").isNotNull().alias("moved")))
         now = stepped.select("id", "at")
         if stepped.where("moved").isEmpty():
             return now
 
 
-def assign_providers(rows: DataFrame, row_id: str = "extracted_id", order: str = "created_at") -> DataFrame:
-    """``rows`` with ``provider_id`` and ``matched_by``.
+def _ordered(rows: DataFrame, row_id: str, order: str) -> DataFrame:
+    """``rows`` with ``pos``, a number that rises with the order, and ``split``, the range of the order that the row lies in."""
+    return rows.orderBy(order, row_id).withColumn("pos", F.monotonically_increasing_id()).withColumn("split", F.shiftright("pos", 33))
+
+
+def spans(events: DataFrame, key: str, values: list[str], *keep: str) -> DataFrame:
+    """When each state of a key holds: ``key``, ``values``, ``since`` (place of the row that made it), ``until`` (of the row that replaced it), ``born``, ``keep`` of the first row.
 
-    A row takes the provider that an earlier row made, looked up by registry number, then by name
-    with domain and state, then name with city and phone, then name and state; else it makes one.
-    A row with another registry number joins by name as well, as the lookups are tried in this
-    order for every row. Among several the earliest wins. Rows without a provider name, and rows of
-    boards (``source_type``, ``extraction_profile``), find providers by number, boards by name and
-    state too, but make none: their id is blank where nothing is found.
+    A null value leaves the one before it, as an upsert does; equal states in a row are one span. A
+    key's events are cut by ``split``: states are carried on within each, and from one to the next by
+    a row for each, so a hot key is dealt to as many tasks as the order has ranges.
     """
+    within = Window.partitionBy(key, "split").orderBy("pos")
+    latest = events.groupBy(key, "split").agg(*(F.max_by(F.when(F.col(v).isNotNull(), F.col(v)), F.when(F.col(v).isNotNull(), F.col("pos"))).alias(v) for v in values))
+    before = Window.partitionBy(key).orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    carried = latest.select(key, "split", F.row_number().over(Window.partitionBy(key).orderBy("split")).alias("_nth"), *(F.last(v, True).over(before).alias(f"_{v}") for v in values))
+    filled = events.withColumns({v: F.last(v, True).over(within) for v in values} | {"_first": F.row_number().over(within) == 1})
+    filled = filled.join(carried, [key, "split"]).withColumns({v: F.coalesce(v, f"_{v}") for v in values})
+    was = {f"_{v}": F.when(F.col("_first"), F.col(f"_{v}")).otherwise(F.lag(v).over(within)) for v in values}
+    filled = filled.withColumns(was)
+    changed = reduce(lambda x, y: x | y, (~F.col(v).eqNullSafe(F.col(f"_{v}")) for v in values))
+    starts = filled.where(changed | (F.col("_first") & (F.col("_nth") == 1)))
+    whole = Window.partitionBy(key).orderBy("pos")
+    return starts.select(key, *values, F.col("pos").alias("since"), F.lead("pos").over(whole).alias("until"), F.first("pos").over(whole).alias("born"), *keep)
+
+
+def _met(row: str, since: str = "since", until: str = "until") -> Column:
+    """Whether a span holds for a row: begun before it, and not replaced before it."""
+    return (F.col(since) < F.col(row)) & (F.col(until).isNull() | (F.col(until) >= F.col(row)))
+
+
+def containing(domains: DataFrame, urls: DataFrame) -> DataFrame:
+    """``domain``, ``url``: all pairs where the address holds the domain anywhere (a LIKE with blanks on both sides), without comparing all pairs.
+
+    A domain has no slash, so it lies within one part of the address between slashes; each part is
+    posted under its pieces of the lengths that domains have, and equal ones meet.
+    """
+    low, high = domains.where("domain <> ''").agg(F.min(F.length("domain")), F.max(F.length("domain"))).first()
+    low, high = F.lit(low or 1), F.lit(high or 1)
+    parts = urls.select("url", F.explode(F.split(F.lower("url"), "/")).alias("part")).where("part <> ''")
+    n = F.length("part")
+    pieces = F.flatten(F.transform(F.sequence(F.lit(1), n - low + 1), lambda i: F.transform(F.sequence(low, F.least(high, n - i + 1)), lambda k: F.substr("part", i, k))))
+    posted = parts.select("part").distinct().where(n >= low).select("part", F.explode(F.array_distinct(pieces)).alias("domain"))
+    return posted.join(domains, "domain").join(parts, "part").select("domain", "url").distinct()
+
+
+def _lookup_spans(assigned: DataFrame, sites: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Every lookup key with its span, and the spans of records, under an assignment of rows to providers."""
     c = F.col
-    have = set(rows.columns)
+    written = assigned.where("provider_id <> ''")
+    own = written.where("makes").withColumn("record_id", make_pk("rec", c("provider_id"), c("practice_id"), c("location_id"), c("state")))
+
+    def posted(rank: int, held: DataFrame, *parts: str) -> DataFrame:
+        keyed = held.where(F.forall(F.array(*parts), lambda p: F.coalesce(p, F.lit("")) != ""))
+        return keyed.select(F.lit(rank).alias("rank"), F.concat_ws("\x1f", *parts).alias("key"), "since", "until", "born", "id")
+
+    numbers = spans(written.where("npi is not null").select("provider_id", "pos", "split", "npi", "id"), "provider_id", ["npi"], "id")
+    births = written.groupBy("provider_id").agg(F.min("pos").alias("_born"))  # a provider may exist before its number
+    numbers = numbers.join(births, "provider_id").withColumn("born", c("_born"))
+    people = spans(written.select("provider_id", "pos", "split", "name", "held_state", "id"), "provider_id", ["name", "held_state"], "id")
+    records = spans(own.select("record_id", "pos", "split", "name", "own_state", "id", "provider_id", "practice_id", "city", "phone"), "record_id", ["name", "own_state"], "id", "provider_id", "practice_id", "city", "phone")
+    records = cut(records)
+    # a record's address holds as long as no other row of the practice replaces it by one that contains other domains
+    at_site = records.join(sites, "practice_id").where((c("site_until").isNull() | (c("since") < c("site_until"))) & (c("until").isNull() | (c("site_since") < c("until"))))
+    at_site = at_site.withColumn("since", F.greatest("since", "site_since")).withColumn("until", F.least("until", "site_until")).withColumn("domain", F.explode(F.split("domains", "\x1f")))
+    keys = posted(0, numbers, "npi").unionByName(posted(1, at_site, "name", "domain", "own_state")).unionByName(posted(2, records, "name", "city", "phone"))
+    return keys.unionByName(posted(3, people, "name", "held_state")).unionByName(posted(4, records, "name", "own_state")), records
+
+
+def _prepared(rows: DataFrame, row_id: str, order: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """What resolution reads of each row, its probes, and when each practice's address contains which domains."""
+    c, have = F.col, set(rows.columns)
     board = is_board(c("source_type") if "source_type" in have else F.lit(""), c("extraction_profile") if "extraction_profile" in have else F.lit(""))
-    name, domain = F.lower(normalize_text(c("provider_name"))), normalize_domain(F.coalesce(c("website"), F.lit("")))
-    state, city, phone, npi = F.lower(F.coalesce(c("license_state"), F.lit(""))), F.lower(F.coalesce(c("city"), F.lit(""))), F.coalesce(c("phone"), F.lit("")), F.coalesce(c("npi"), F.lit(""))
-
-    def probe(rank: int, usable: Column, *parts: Column) -> Column:
-        return F.when(usable & F.forall(F.array(*parts), lambda p: p != ""), F.struct(F.lit(rank).alias("rank"), F.concat_ws("\x1f", *parts).alias("key")))
-
-    probes = F.array_compact(F.array(
-        probe(0, F.lit(True), npi), probe(1, ~board, name, domain, state), probe(2, ~board, name, city, phone), probe(3, F.lit(True), name, state)
-    ))
-    new_id = make_pk("prov", c("provider_name"), c("credentials"), c("license_state"), F.coalesce(F.nullif(npi, F.lit("")), c("source_url")))
-    keyed = rows.select(F.col(row_id).alias("id"), F.struct(order, row_id).alias("o"), probes.alias("probes"), ((name != "") & ~board).alias("makes"), new_id.alias("new_id"))
-    checkpoints(rows.sparkSession)
-    keyed = keyed.checkpoint()
-    each = keyed.select("id", "o", "makes", F.explode("probes").alias("p")).select("id", "o", "makes", "p.rank", "p.key")
-    first = each.where("makes").groupBy("rank", "key").agg(F.min("o").alias("first"))
-    earlier = each.join(first, ["rank", "key"]).where(c("first") < c("o"))
-    parent = earlier.groupBy("id").agg(F.min(F.struct("rank", "first")).alias("m")).select("id", c(f"m.first.{row_id}").alias("at"), c("m.rank").alias("rank"))
-    ends = _followed(parent)
-    ids = keyed.select(F.col("id").alias("at"), "new_id")
-    found = ends.join(parent.select("id", "rank"), "id").join(ids, "at").select("id", c("new_id").alias("provider_id"), F.element_at(F.array(*map(F.lit, LOOKUPS)), c("rank") + 1).alias("matched_by"))
-    assigned = keyed.select("id", "makes", "new_id").join(found, "id", "left").select(
-        F.col("id").alias(row_id), F.coalesce("provider_id", F.when(c("makes"), c("new_id")).otherwise("")).alias("provider_id"),
-        F.coalesce("matched_by", F.when(c("makes"), "new").otherwise("none")).alias("matched_by"),
+    text = lambda n: F.coalesce(c(n), F.lit("")) if n in have else F.lit("")
+    url, lower = text("source_url"), lambda x: F.lower(normalize_text(x))
+    domain = normalize_domain(url)
+    site = F.coalesce(F.nullif(domain, F.lit("")), url)
+    license_or_state = F.coalesce(F.nullif(text("license_state"), F.lit("")), text("state"))
+    base = rows.select(
+        c(row_id).alias("id"), c(order).alias("_order"), board.alias("board"), ((lower(text("provider_name")) != "") & ~board).alias("makes"), F.nullif(lower(text("provider_name")), F.lit("")).alias("name"),
+        F.nullif(text("npi"), F.lit("")).alias("npi"), F.lower(text("city")).alias("city"), text("phone").alias("phone"), F.lower(text("state")).alias("state"), F.lower(url).alias("url"), domain.alias("domain"),
+        F.nullif(F.lower(F.when(board, license_or_state).otherwise(text("license_state"))), F.lit("")).alias("held_state"), F.nullif(F.lower(text("license_state")), F.lit("")).alias("own_state"),
+        F.lower(license_or_state).alias("wanted_state"), make_pk("prov", c("provider_name"), c("credentials"), text("state"), F.coalesce(F.nullif(text("npi"), F.lit("")), url)).alias("new_id"),
+        make_pk("prac", text("practice_name"), site).alias("practice_id"), F.coalesce(F.nullif(text("phone"), F.lit("")), domain).alias("_place"),
     )
-    return rows.join(assigned, row_id)
+    base = base.withColumn("location_id", make_pk("loc", c("practice_id"), c("city"), c("state"), c("_place"))).drop("_place")
+    base = cut(_ordered(base, "id", "_order").drop("_order"))
+
+    def probe(rank: int, usable: Column, *parts: str) -> Column:
+        return F.when(usable & F.forall(F.array(*parts), lambda p: F.coalesce(p, F.lit("")) != ""), F.struct(F.lit(rank).alias("rank"), F.concat_ws("\x1f", *parts).alias("key")))
+
+    page = ~c("board")
+    probes = F.explode(F.array_compact(F.array(
+        probe(0, F.lit(True), "npi"), probe(1, page, "name", "domain", "state"), probe(2, page, "name", "city", "phone"), probe(3, F.lit(True), "name", "wanted_state"), probe(4, F.lit(True), "name", "wanted_state"),
+    )))
+    each = cut(base.where("board or makes").select("id", "pos", probes.alias("p")).select("id", "pos", "p.rank", "p.key"))
+    makers = base.where("makes")
+    held = containing(makers.select("domain").where("domain <> ''").distinct(), makers.select("url").distinct())
+    held = held.groupBy("url").agg(F.array_join(F.array_sort(F.collect_set("domain")), "\x1f").alias("domains"))
+    sites = spans(makers.where("url <> ''").join(held, "url", "left").select("practice_id", "pos", "split", F.coalesce("domains", F.lit("")).alias("domains")), "practice_id", ["domains"])
+    return base, each, cut(sites.select("practice_id", "domains", c("since").alias("site_since"), c("until").alias("site_until")))
+
+
+def _resolved(rows: DataFrame, row_id: str, order: str) -> tuple[DataFrame, DataFrame]:
+    """``id``, ``pos``, ``provider_id``, ``rank`` of every row, and the spans of all records."""
+    base, each, sites = _prepared(rows, row_id, order)
+    own_id = F.when(F.col("makes"), F.col("new_id")).otherwise("")
+    now = cut(base.withColumns({"provider_id": own_id, "rank": F.lit(None).cast("int")}))
+    # the first guess: keys hold for ever, those of boards not at all
+    keys = each.join(base.where("makes").select("id"), "id").groupBy("rank", "key").agg(F.min("pos").alias("since"), F.min_by("id", "pos").alias("id"))
+    keys, records = keys.select("rank", "key", "since", F.lit(None).cast("long").alias("until"), F.col("since").alias("born"), "id"), None
+    while True:
+        holding = each.select("rank", "key", "pos", F.col("id").alias("row")).join(keys, ["rank", "key"]).where(_met("pos"))
+        best = holding.groupBy("row").agg(F.min(F.struct("rank", "born", "since", "id")).alias("m")).select(F.col("row").alias("id"), F.col("m.id").alias("at"), F.col("m.rank").alias("rank"))
+        parent = cut(best)
+        ends = _followed(parent).join(base.select(F.col("id").alias("at"), own_id.alias("found")), "at").join(parent.select("id", F.col("rank").alias("found_rank")), "id").select("id", "found", "found_rank")
+        after = now.join(ends, "id", "left").withColumns({"_was": F.col("provider_id"), "_rank": F.col("rank"), "provider_id": F.coalesce("found", own_id), "rank": F.col("found_rank")}).drop("found", "found_rank")
+        after = cut(after)
+        if records is not None and after.where("provider_id <> _was or not rank <=> _rank").isEmpty():
+            return after.select("id", "pos", "provider_id", "rank"), records
+        now = after.drop("_was", "_rank")
+        keys, records = _lookup_spans(now, sites)
+
+
+def assign_providers(rows: DataFrame, row_id: str = "extracted_id", order: str = "created_at") -> DataFrame:
+    """``rows`` with ``provider_id`` and ``matched_by``.
+
+    A row takes the provider that holds one of its keys at that time: its registry number; its name
+    with the state of a record whose practice's address contains the row's domain; its name with city
+    and phone of a record; its name and state, of a provider, then of a record. Among several the one
+    made first is taken. Without any the row makes a provider. Numbers, names and states are those
+    last written by then, by rows of pages or boards. Rows without a provider name make none, and rows
+    of boards (``source_type``, ``extraction_profile``) neither: they are looked up by number, then
+    name and state, and their id is blank where nothing is found.
+
+    The rows up to any place in the order are right once all before them are, so each round makes at
+    least one more row right, and the fixpoint is what a walk from row to row gives. A key's spans are
+    as many as its changes of holder.
+    """
+    found, _ = _resolved(rows, row_id, order)
+    named = F.when(F.col("rank").isNotNull(), F.element_at(F.array(*map(F.lit, LOOKUPS)), F.col("rank") + 1)).otherwise(F.when(F.col("provider_id") != "", "new").otherwise("none"))
+    return rows.join(found.select(F.col("id").alias(row_id), "provider_id", named.alias("matched_by")), row_id)
 
 
 def _last(order: str, row_id: str, column: str, *unknown: str) -> Column:
@@ -100,13 +207,14 @@ def resolve_rows(rows: DataFrame, row_id: str = "extracted_id", order: str = "cr
     for name in ("address_1", "zip", "metro", "fax", "insurance_notes", "waitlist_notes", "referral_requirements", "source_document_id", "extraction_profile"):
         if name not in rows.columns:
             rows = rows.withColumn(name, F.lit(""))
-    checkpoints(rows.sparkSession)
-    assigned = assign_providers(rows, row_id, order).withColumn("_board", is_board(c("source_type"), c("extraction_profile"))).checkpoint()
+    found, held = _resolved(rows, row_id, order)
+    found = found.select(c("id").alias(row_id), c("pos").alias("_pos"), "provider_id")
+    assigned = cut(rows.join(found, row_id).withColumn("_board", is_board(c("source_type"), c("extraction_profile"))))
     domain = F.coalesce(F.nullif(normalize_domain(c("source_url")), F.lit("")), c("source_url"))
     state = F.coalesce(F.nullif(c("license_state"), F.lit("")), c("state"))
     own = assigned.where(~c("_board") & (c("provider_name") != "")).withColumn("practice_id", make_pk("prac", c("practice_name"), domain))
     own = own.withColumn("location_id", make_pk("loc", c("practice_id"), c("city"), c("state"), F.coalesce(F.nullif(c("phone"), F.lit("")), normalize_domain(c("source_url")))))
-    own = own.withColumn("record_id", make_pk("rec", c("provider_id"), c("practice_id"), c("location_id"), c("state"))).withColumn("license_state", state)
+    own = own.withColumn("record_id", make_pk("rec", c("provider_id"), c("practice_id"), c("location_id"), c("state")))
     times = [F.min(order).alias("created_at"), F.max(order).alias("updated_at")]
     boards = assigned.where(c("_board")).withColumn("license_state", state).withColumn("license_type", F.coalesce(F.nullif(c("license_type"), F.lit("")), F.lit("unknown")))
 
@@ -129,11 +237,11 @@ def resolve_rows(rows: DataFrame, row_id: str = "extracted_id", order: str = "cr
     licenses = licenses.withColumn("retrieved_at", c("updated_at"))
 
     # records exist from their first row on; boards touch those of their provider and state that exist by then
-    born = own.groupBy("record_id").agg(F.first("provider_id").alias("provider_id"), F.min(F.struct(order, row_id)).alias("_born"), F.min_by("license_state", F.struct(order, row_id)).alias("_state"))
-    touched = known_board.where("provider_id <> ''").join(born, "provider_id").where(F.struct(order, row_id) > c("_born"))
-    touched = touched.where((c("license_state") == "") | (F.lower("license_state") == F.lower("_state")))
+    held = held.select("record_id", "provider_id", F.coalesce("own_state", F.lit("")).alias("_state"), c("since").alias("_since"), c("until").alias("_until"))
+    touched = known_board.where("provider_id <> ''").join(held, "provider_id").where(_met("_pos", "_since", "_until"))
+    touched = touched.where((c("license_state") == "") | (F.lower("license_state") == c("_state")))
     shared = ("npi", "license_state", "license_type", "license_status", "source_url", "source_document_id", "source_tier", "evidence")
-    events = own.select(row_id, order, "record_id", *shared).unionByName(touched.select(row_id, order, "record_id", *shared)).checkpoint()
+    events = cut(own.select(row_id, order, "record_id", *shared).unionByName(touched.select(row_id, order, "record_id", *shared)))
     facts = folded(events, "record_id", {"npi": ("",), "license_state": ("",), "license_type": ("",), "license_status": ("unknown",)})
     facts = facts.withColumnRenamed("updated_at", "last_verified_at").withColumn("updated_at", c("last_verified_at"))
     snapshots = folded(
@@ -174,7 +282,7 @@ def resolve_rows(rows: DataFrame, row_id: str = "extracted_id", order: str = "cr
     reviews = reviews.unionByName(queued(lost, "unmatched_license", UNMATCHED_LICENSE, c("provider_name"), c("provider_name"), c("license_state"), c("source_url"), F.lit("unmatched_license")))
     reviews = reviews.unionByName(queued(orphaned, "unmatched_license", BOARD_ORPHAN, c("provider_name"), c("provider_id"), c("license_state"), c("source_url"), F.lit("board_orphan")))
     return {
-        "assigned": assigned.drop("_board"), "providers": providers, "practices": practices, "practice_locations": places, "licenses": licenses, "provider_practice_records": records,
+        "assigned": assigned.drop("_board", "_pos"), "providers": providers, "practices": practices, "practice_locations": places, "licenses": licenses, "provider_practice_records": records,
         "field_evidence": evidence, "review_queue": merge.replace_upserts(reviews, ["review_id"], c("_o")).drop("_o"),
     }
 
@@ -187,24 +295,6 @@ def counts(tables: dict[str, DataFrame]) -> DataFrame:
     return rows.agg(F.count_if(~board & (c("provider_name") != "")).alias("resolved_count"), F.count_if(review).alias("review_only_count"))
 
 
-def enrich_from_boards(records: DataFrame, boards: DataFrame) -> DataFrame:
-    """``records`` with the licence facts of later board rows of the same name and state.
-
-    Board rows (``provider_name``, ``license_state``, ``npi``, ``license_type``, ``license_status``,
-    ``created_at``) touch records that exist by then; a blank state matches any. Blank and unknown
-    values change nothing. Board rows are reduced to one per name and state before the join.
-    """
-    facts = ("npi", "license_type", "license_status")
-    c = F.col
-    key = F.lower(normalize_text(c("provider_name")))
-    pairs = records.select("record_id", c("created_at").alias("_made"), F.lower(normalize_text(c("provider_name_snapshot"))).alias("_name"), F.lower("license_state").alias("_of"))
-    rows = boards.select(key.alias("_name"), F.lower(F.coalesce("license_state", F.lit(""))).alias("_state"), "created_at", *facts)
-    met = pairs.join(rows, "_name").where((c("created_at") >= c("_made")) & ((c("_state") == "") | (c("_state") == c("_of"))))
-    last = [F.max_by(F.when(~c(f).isin("", "unknown"), c(f)), F.when(~c(f).isin("", "unknown"), c("created_at"))).alias(f"_{f}") for f in facts]
-    found = met.groupBy("record_id").agg(*last)
-    return records.join(found, "record_id", "left").withColumns({f: F.coalesce(f"_{f}", f) for f in facts}).drop(*(f"_{f}" for f in facts))
-
-
 def exact_copies(docs: DataFrame, key: str, value: str) -> DataFrame:
     """Each row with the least key among rows of an equal value, and their number."""
     digest = F.sha2(F.coalesce(F.col(value), F.lit("")), 256)

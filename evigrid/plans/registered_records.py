@@ -30,7 +30,7 @@ _NAME = f"({_pick(FIRST, f'{_K} % 13')}) || ' ' || ({_pick(LAST, f'CAST(floor({_
 ROW = {
     "extracted_id": f"'e' || lpad(CAST({_K} AS STRING), 9, '0')", "created_at": f"CAST(({_K} * 37) % 5000 AS BIGINT)", "provider_name": f"CASE WHEN {_K} % 11 = 0 THEN '' ELSE {_NAME} END",
     "credentials": _pick(("PsyD", "MD", "PhD", ""), f"{_K} % 4"), "npi": f"CASE WHEN {_K} % 5 = 0 THEN '1' || lpad(CAST({_K} % 300 AS STRING), 9, '0') ELSE '' END",
-    "source_url": f"'https://site' || CAST({_K} % 37 AS STRING) || '.org/p' || CAST({_K} % 3 AS STRING)", "source_tier": _pick(("A", "B", "C"), f"{_K} % 3"),
+    "source_url": f"CASE WHEN {_K} % 7 = 3 THEN 'https://www.portal.net/site' || CAST({_K} % 37 AS STRING) || '.org' ELSE 'https://site' || CAST({_K} % 37 AS STRING) || '.org/p' || CAST({_K} % 3 AS STRING) END", "source_tier": _pick(("A", "B", "C"), f"{_K} % 3"),
     "source_type": f"CASE WHEN {_K} % 9 = 0 THEN 'licensing_board' ELSE 'practice_site' END", "practice_name": f"'Clinic ' || CAST({_K} % 41 AS STRING)",
     "intake_url": f"CASE WHEN {_K} % 4 = 0 THEN 'https://site' || CAST({_K} % 37 AS STRING) || '.org/intake' ELSE '' END",
     "phone": f"CASE WHEN {_K} % 3 = 0 THEN '' ELSE '201555' || lpad(CAST({_K} % 50 AS STRING), 4, '0') END", "city": _pick(("Newark", "Edison", "Union", ""), f"CAST(floor({_K} / 4) AS BIGINT) % 4"),
@@ -54,26 +54,43 @@ def _pk(prefix: str, *parts: str) -> str:
     return f"'{prefix}_' || substr(sha1(lower(" + " || '|' || ".join(f"coalesce({p}, '')" for p in parts) + ")), 1, 16)"
 
 
-_DOMAIN = "'site' || regexp_extract(source_url, 'site([0-9]+)', 1) || '.org'"
+_DOMAIN = "CASE WHEN source_url LIKE '%portal.net%' THEN 'portal.net' ELSE 'site' || regexp_extract(source_url, 'site([0-9]+)', 1) || '.org' END"
 _ORDER = "lpad(CAST(created_at AS VARCHAR), 6, '0') || extracted_id"
-#: Assignment in SQL: each row's earliest row under each lookup, the best lookup, and a walk along these to the first.
+#: Assignment in SQL, one row after the other: ``walk`` holds the tables of providers, records and practices as the rows so far
+#: leave them, and looks the next row up in them.
 _ASSIGNED = f"""
-WITH RECURSIVE x AS (SELECT *, lower(provider_name) AS nm, {_DOMAIN} AS dom, lower(state) AS st, {_ORDER} AS o, source_type = 'licensing_board' AS board FROM ({_ROW_SQL})),
-probes AS (
-  SELECT extracted_id, o, nm <> '' AND NOT board AS makes, 0 AS rank, npi AS key FROM x WHERE npi <> ''
-  UNION ALL SELECT extracted_id, o, nm <> '' AND NOT board, 1, nm || '|' || dom || '|' || st FROM x WHERE nm <> '' AND NOT board
-  UNION ALL SELECT extracted_id, o, nm <> '' AND NOT board, 2, nm || '|' || lower(city) || '|' || phone FROM x WHERE nm <> '' AND city <> '' AND phone <> '' AND NOT board
-  UNION ALL SELECT extracted_id, o, nm <> '' AND NOT board, 3, nm || '|' || st FROM x WHERE nm <> ''),
-firsts AS (SELECT rank, key, min(o) AS f FROM probes WHERE makes GROUP BY 1, 2),
-parent AS (SELECT extracted_id, min(rank) AS rank, arg_min(substr(f, 7), rank) AS up FROM probes JOIN firsts USING (rank, key) WHERE f < o GROUP BY 1),
-walk AS (
-  SELECT extracted_id, extracted_id AS root FROM x WHERE nm <> '' AND NOT board AND extracted_id NOT IN (SELECT extracted_id FROM parent)
-  UNION ALL SELECT p.extracted_id, w.root FROM parent p JOIN walk w ON p.up = w.extracted_id),
-ids AS (SELECT extracted_id, {_pk('prov', 'provider_name', 'credentials', 'state', "coalesce(nullif(npi, ''), source_url)")} AS made FROM x),
-assigned AS (
-  SELECT x.*, coalesce(i.made, '') AS provider_id,
-         CASE WHEN parent.rank IS NOT NULL THEN ['npi', 'domain_state', 'city_phone', 'name_state'][parent.rank + 1] WHEN nm <> '' AND NOT board THEN 'new' ELSE 'none' END AS matched_by
-  FROM x LEFT JOIN walk USING (extracted_id) LEFT JOIN ids i ON i.extracted_id = walk.root LEFT JOIN parent ON parent.extracted_id = x.extracted_id)"""
+WITH RECURSIVE x AS (
+  SELECT *, row_number() OVER (ORDER BY o) AS i,
+    {_pk('prov', 'provider_name', 'credentials', 'state', "coalesce(nullif(npi, ''), source_url)")} AS own_id, {_pk('prac', 'practice_name', 'dom')} AS practice_id
+  FROM (SELECT *, lower(provider_name) AS nm, {_DOMAIN} AS dom, lower(state) AS st, {_ORDER} AS o, source_type = 'licensing_board' AS board FROM ({_ROW_SQL}))),
+steps AS (SELECT *, {_pk('loc', 'practice_id', 'city', 'state', "coalesce(nullif(phone, ''), dom)")} AS location_id FROM x),
+walk(kind, id, i, born, name, npi, st, city, phone, site, practice, provider, how) USING KEY (kind, id) AS (
+  SELECT 'cursor', '', 0::BIGINT, 0::BIGINT, '', '', '', '', '', '', '', '', ''
+  UNION
+  SELECT * FROM (
+    WITH r AS (SELECT s.* FROM steps s JOIN walk w ON w.kind = 'cursor' AND s.i = w.i + 1),
+    near AS (SELECT t.* FROM recurring.walk t, r WHERE (t.kind IN ('provider', 'record') AND r.nm <> '' AND t.name = r.nm) OR (t.kind = 'provider' AND r.npi <> '' AND t.npi = r.npi)),
+    met AS (
+      SELECT CASE WHEN n.kind = 'provider' AND r.npi <> '' AND n.npi = r.npi THEN 1 WHEN n.kind = 'record' AND NOT r.board AND n.st = r.st AND p.site LIKE '%' || r.dom || '%' THEN 2
+                  WHEN n.kind = 'record' AND NOT r.board AND r.city <> '' AND r.phone <> '' AND n.city = lower(r.city) AND n.phone = r.phone THEN 3
+                  WHEN n.name = r.nm AND n.st = r.st THEN CASE n.kind WHEN 'provider' THEN 4 ELSE 5 END END AS rank,
+             n.born, CASE n.kind WHEN 'provider' THEN n.id ELSE n.provider END AS provider
+      FROM near n CROSS JOIN r LEFT JOIN recurring.walk p ON p.kind = 'practice' AND p.id = n.practice),
+    best AS (SELECT provider, ['npi', 'domain_state', 'city_phone', 'name_state', 'name_state'][rank] AS how FROM met WHERE rank IS NOT NULL ORDER BY rank, born LIMIT 1),
+    d AS (
+      SELECT r.*, nm <> '' AND NOT board AS makes, coalesce(b.provider, CASE WHEN nm <> '' AND NOT board THEN own_id ELSE '' END) AS provider,
+             coalesce(b.how, CASE WHEN nm <> '' AND NOT board THEN 'new' ELSE 'none' END) AS how
+      FROM r LEFT JOIN best b ON board OR nm <> ''),
+    e AS (SELECT *, {_pk('rec', 'provider', 'practice_id', 'location_id', 'state')} AS record_id FROM d),
+    w AS (
+      SELECT unnest(CASE WHEN makes THEN [{{'k': 'provider', 'id': provider}}, {{'k': 'record', 'id': record_id}}] WHEN provider <> '' THEN [{{'k': 'provider', 'id': provider}}] ELSE [] END) AS u, * FROM e)
+    SELECT 'cursor', '', i, 0, '', '', '', '', '', '', '', '', '' FROM e
+    UNION ALL SELECT 'row', extracted_id, i, i, '', '', '', '', '', '', '', provider, how FROM e
+    UNION ALL SELECT 'practice', practice_id, i, i, '', '', '', '', '', lower(source_url), '', '', '' FROM e WHERE makes
+    UNION ALL
+    SELECT u.k, u.id, w.i, coalesce(t.born, w.i), CASE WHEN nm <> '' THEN nm ELSE coalesce(t.name, '') END, CASE WHEN w.npi <> '' THEN w.npi ELSE coalesce(t.npi, '') END,
+      CASE WHEN w.st <> '' THEN w.st ELSE coalesce(t.st, '') END, lower(w.city), w.phone, '', practice_id, w.provider, '' FROM w LEFT JOIN recurring.walk t ON t.kind = u.k AND t.id = u.id)),
+assigned AS (SELECT x.*, walk.provider AS provider_id, walk.how AS matched_by FROM x JOIN walk ON walk.kind = 'row' AND walk.id = x.extracted_id)"""
 
 
 @registered(f"{_ASSIGNED} SELECT extracted_id, provider_id, matched_by FROM assigned")
@@ -87,7 +104,7 @@ def _fold(name: str, *unknown: str) -> str:
 
 
 _OWN = f"""{_ASSIGNED},
-own0 AS (SELECT *, {_pk('prac', 'practice_name', 'dom')} AS practice_id FROM assigned WHERE NOT board AND nm <> ''),
+own0 AS (SELECT * FROM assigned WHERE NOT board AND nm <> ''),
 own1 AS (SELECT *, {_pk('loc', 'practice_id', 'city', 'state', "coalesce(nullif(phone, ''), dom)")} AS location_id FROM own0),
 own AS (SELECT *, {_pk('rec', 'provider_id', 'practice_id', 'location_id', 'state')} AS record_id FROM own1),
 born AS (SELECT record_id, any_value(provider_id) AS provider_id, min(o) AS b, arg_min(state, o) AS st0 FROM own GROUP BY 1),

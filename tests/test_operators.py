@@ -55,13 +55,6 @@ def test_resolution_is_ordered_and_stable(spark):
     assert want["e6"] == ("", "none") and want["e7"][1] == "new"
 
 
-def test_boards_enrich_what_exists(spark):
-    records = spark.createDataFrame([("r1", "Ann Lee", "NJ", "", "unknown", "unknown", 2), ("r2", "Ann Lee", "NY", "", "unknown", "active", 2)], "record_id string, provider_name_snapshot string, license_state string, npi string, license_type string, license_status string, created_at int")
-    boards = spark.createDataFrame([("ann lee", "NJ", "1", "psychologist", "active", 3), ("Ann Lee", "", "", "unknown", "revoked", 1)], "provider_name string, license_state string, npi string, license_type string, license_status string, created_at int")
-    got = {r.record_id: (r.npi, r.license_type, r.license_status) for r in resolve.enrich_from_boards(records, boards).collect()}
-    assert got == {"r1": ("1", "psychologist", "active"), "r2": ("", "unknown", "active")}
-
-
 def test_confidence_caps(spark):
     evidence = spark.createDataFrame([("r", "a", "A", "u"), ("r", "b", "A", "u"), ("r", "c", "C", ""), ("r", "a", "C", "u")], "record_id string, field_name string, source_tier string, source_url string")
     records = spark.createDataFrame([("r", "yes", "unknown", "yes"), ("s", "yes", "yes", "limited")], "record_id string, a string, b string, c string")
