@@ -1,15 +1,16 @@
 """Target-distribution importance resampling over an integer word dictionary.
 
-Texts are cut into blocks in which each distinct word has a local number. All blocks' distinct words
-give one dictionary of ids, so words meet by integers. An n-gram is a tuple of ids; each distinct
-tuple of the corpus gets its bytes back and is hashed once into a bucket, and buckets and counts are
-joined back to the blocks. A document's weight is the mean gain of its features between the source's
-and the target's bucket counts; a Gumbel draw by id turns weights into a sample without replacement.
+In each block of texts the distinct words are numbered by a dictionary, n-grams are tuples of these
+numbers, and the block's distinct tuples are found by sorting them. Each distinct tuple gets its bytes
+back and is hashed once into a bucket; buckets and counts are joined back to the documents by the
+tuple's number. A document's weight is the mean gain of its features between the source's and the
+target's bucket counts; a Gumbel draw by id turns weights into a sample without replacement.
 """
 
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,85 +48,62 @@ def _words(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     return found.dictionary.to_pylist(), found.indices.to_numpy(), np.r_[0, np.cumsum(counts)].astype(np.int64)
 
 
-def word_blocks(docs: DataFrame) -> DataFrame:
-    """One row per block: ``doc_id`` and ``n_words`` (arrays), ``places`` (all words in order, by number) and ``words`` (distinct)."""
+def _distinct(runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct rows and the row at each place."""
+    if runs.shape[1] == 1:
+        found, which = np.unique(runs[:, 0], return_inverse=True)
+        return found[:, None], which
+    found, which = np.unique(runs, axis=0, return_inverse=True)
+    return found, which.ravel()
+
+
+def bucket_counts(texts: pa.Array, grams: tuple[int, int], buckets: int) -> dict[str, np.ndarray]:
+    """A block's documents: ``n_words``, ``n_features``, ``sizes`` (distinct buckets of each), ``bucket`` and ``count`` of these."""
+    words, codes, starts = _words(texts)
+    encoded = [w.encode() for w in words]
+    n_words = np.diff(starts)
+    doc = np.repeat(np.arange(len(n_words)), n_words)
+    keys = []
+    for n in range(grams[0], grams[1] + 1):
+        m = max(0, len(codes) - n + 1)
+        inside = doc[:m] == doc[len(doc) - m :]  # a run stays within its document
+        runs = np.stack([codes[i : i + m] for i in range(n)], axis=1)[inside]
+        tuples, which = _distinct(runs)
+        hashed = np.array([zlib.crc32(b" ".join([encoded[i] for i in t])) % buckets for t in tuples.tolist()], np.int64)
+        keys.append(doc[:m][inside] * buckets + hashed[which])
+    packed, count = np.unique(np.concatenate(keys), return_counts=True)
+    owner, bucket = np.divmod(packed, buckets)
+    n_features = np.bincount(owner, count, len(n_words)).astype(np.int64)
+    return {"n_words": n_words, "n_features": n_features, "sizes": np.bincount(owner, minlength=len(n_words)).astype(np.int32), "bucket": bucket.astype(np.int32), "count": count.astype(np.int32)}
+
+
+def feature_blocks(docs: DataFrame, grams: tuple[int, int] = GRAMS, buckets: int = BUCKETS) -> DataFrame:
+    """One row per block: arrays over its documents, and the buckets and counts of each document's features one after the other."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks.blocks(batches):
-            words, codes, starts = _words(block.column(1))
-            one = [[block.num_rows], [block.num_rows], [len(codes)], [len(words)]]
-            values = [block.column(0), pa.array(np.diff(starts), pa.int64()), pa.array(codes.astype(np.int32)), pa.array(words, pa.string())]
-            columns = [blocks.list_array(np.array(n), v) for n, v in zip(one, values, strict=True)]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_ids", "n_words", "places", "words"])
+            found = {"doc_ids": block.column(0)} | {k: pa.array(v) for k, v in bucket_counts(block.column(1), grams, buckets).items()}
+            yield pa.RecordBatch.from_arrays([blocks.list_array(np.array([len(v)]), v) for v in found.values()], names=list(found))
 
     small_batches(docs.sparkSession)
     blocks.block_batches(docs.sparkSession)
-    return ids_and_texts(docs).mapInArrow(run, "doc_ids array<long>, n_words array<long>, places array<int>, words array<string>")
-
-
-def _tuples(batches: Iterator[pa.RecordBatch], grams: tuple[int, int]) -> Iterator[pa.RecordBatch]:
-    """For each block: by document its distinct tuples (numbers) with counts, and the block's distinct tuples of ids with counts."""
-    for batch in batches:
-        for b in range(batch.num_rows):
-            n_words = batch.column("n_words")[b].values.to_numpy()
-            numbered = batch.column("words")[b].values
-            gids = np.zeros(len(numbered), np.int64)
-            gids[numbered.field("at").to_numpy()] = numbered.field("gid").to_numpy()
-            places = batch.column("places")[b].values.to_numpy()
-            ids = gids[places] if len(places) else np.zeros(0, np.int64)
-            doc = np.repeat(np.arange(len(n_words)), n_words)
-            tuples: list[np.ndarray] = []
-            totals, per_doc, first = [], [], 0
-            for n in range(grams[0], grams[1] + 1):
-                m = max(0, len(ids) - n + 1)
-                inside = doc[:m] == doc[len(doc) - m :] if n > 1 else np.ones(m, bool)
-                runs = np.stack([ids[i : i + m] for i in range(n)], axis=1)[inside]
-                distinct, which, count = np.unique(runs, axis=0, return_inverse=True, return_counts=True) if n > 1 else _unique(runs[:, 0])
-                tuples.extend(distinct.reshape(-1, n))
-                totals.append(count)
-                per_doc.append(np.stack([doc[:m][inside], which.ravel() + first], axis=1))
-                first += len(count)
-            pairs = np.concatenate(per_doc)
-            packed, count = np.unique(pairs[:, 0] * max(1, first) + pairs[:, 1], return_counts=True)
-            owner, which = np.divmod(packed, max(1, first))
-            sizes = np.bincount(owner, minlength=len(n_words))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("side").slice(b, 1), batch.column("block").slice(b, 1), batch.column("doc_ids").slice(b, 1), batch.column("n_words").slice(b, 1),
-                    pa.array([sizes.tolist()], pa.list_(pa.int32())), pa.array([which], pa.list_(pa.int32())), pa.array([count], pa.list_(pa.int32())),
-                    pa.array([[t.tolist() for t in tuples]], pa.list_(pa.list_(pa.int64()))), pa.array([np.concatenate(totals)], pa.list_(pa.int64())),
-                ],
-                names=["side", "block", "doc_ids", "n_words", "sizes", "which", "counts", "tuples", "totals"],
-            )
-
-
-def _unique(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    return np.unique(ids, return_inverse=True, return_counts=True)
-
-
-def _features(docs: DataFrame, target: DataFrame, grams: tuple[int, int], buckets: int) -> tuple[DataFrame, DataFrame]:
-    """The blocks with their tuples, and the bucket of each distinct tuple with its counts in both sides."""
-    sides = word_blocks(docs).withColumn("side", F.lit(0)).union(word_blocks(target).withColumn("side", F.lit(1)))
-    cut, _ = stored(sides.withColumn("block", F.monotonically_increasing_id()), "words")
-    flat = cut.select("block", F.posexplode("words").alias("at", "word"))
-    dictionary, _ = stored(flat.select("word").distinct().withColumn("gid", F.monotonically_increasing_id()), "dictionary")
-    numbered = flat.join(dictionary, "word").groupBy("block").agg(F.collect_list(F.struct("at", "gid")).alias("words"))
-    none = F.array().cast("array<struct<at:int,gid:bigint>>")
-    with_ids = cut.drop("words").join(numbered, "block", "left").select("side", "block", "doc_ids", "n_words", "places", F.coalesce("words", none).alias("words"))
-    schema = "side int, block long, doc_ids array<long>, n_words array<long>, sizes array<int>, which array<int>, counts array<int>, tuples array<array<long>>, totals array<long>"
-    blocks_, _ = stored(with_ids.mapInArrow(lambda batches: _tuples(batches, grams), schema), "grams")
-    each = blocks_.select("side", F.explode(F.arrays_zip("tuples", "totals")).alias("t"))
-    by_side = [F.coalesce(F.sum(F.when(F.col("side") == s, F.col("t.totals"))), F.lit(0)).alias(name) for s, name in enumerate(("source", "target"))]
-    tuples = each.groupBy(F.col("t.tuples").alias("ids")).agg(*by_side)
-    if grams == (1, 1):
-        text = tuples.withColumn("gid", F.col("ids")[0]).join(dictionary, "gid").withColumnRenamed("word", "feature")
-    else:
-        # the words of a tuple, in order, from the dictionary
-        words = tuples.select("ids", F.posexplode("ids").alias("at", "gid")).join(dictionary, "gid").groupBy("ids")
-        words = words.agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("at", "word"))), lambda x: x["word"]), " ").alias("feature"))
-        text = tuples.join(words, "ids")
-    hashed, _ = stored(text.select("ids", "source", "target", (F.crc32("feature") % buckets).cast("int").alias("bucket")), "buckets")
-    return blocks_, hashed
+    return ids_and_texts(docs).mapInArrow(run, "doc_ids array<long>, n_words array<long>, n_features array<long>, sizes array<int>, bucket array<int>, count array<int>")
+
+
+def totals(cut: DataFrame, buckets: int) -> np.ndarray:
+    """Features by bucket over all blocks: each task adds its own up first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        added = np.zeros(buckets, np.int64)
+        for batch in batches:
+            np.add.at(added, batch.column(0).flatten().to_numpy(), batch.column(1).flatten().to_numpy().astype(np.int64))
+        held = np.flatnonzero(added)
+        yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(added[held])], names=["bucket", "count"])
+
+    out = np.zeros(buckets, np.int64)
+    for r in cut.select("bucket", "count").mapInArrow(run, "bucket long, count long").groupBy("bucket").agg(F.sum("count").alias("count")).collect():
+        out[r["bucket"]] = r["count"]
+    return out
 
 
 def gains(source: np.ndarray, target: np.ndarray) -> np.ndarray:
@@ -142,35 +120,22 @@ def noise(doc_id: Column) -> Column:
 
 def weights(docs: DataFrame, target: DataFrame, grams: tuple[int, int] = GRAMS, buckets: int = BUCKETS) -> DataFrame:
     """``doc_id``, ``n_words``, ``n_features``, ``weight`` (floored mean gain; 0 without features) of every document."""
-    cut, hashed = _features(docs, target, grams, buckets)
-    counted = hashed.groupBy("bucket").agg(F.sum("source").alias("source"), F.sum("target").alias("target")).collect()
-    both = np.zeros((2, buckets), np.int64)
-    for r in counted:
-        both[:, r["bucket"]] = r["source"], r["target"]
-    by_bucket = docs.sparkSession.sparkContext.broadcast(gains(*both))
+    cut, _ = stored(feature_blocks(docs, grams, buckets), "features")
+    gain = gains(totals(cut, buckets), totals(feature_blocks(target, grams, buckets), buckets))
+    by_bucket = docs.sparkSession.sparkContext.broadcast(gain)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gain = by_bucket.value
         for batch in batches:
             for b in range(batch.num_rows):
-                sizes, which, counts = (batch.column(c)[b].values.to_numpy() for c in ("sizes", "which", "counts"))
-                numbered = batch.column("buckets")[b].values
-                bucket = np.zeros(len(numbered), np.int64)
-                bucket[numbered.field("at").to_numpy()] = numbered.field("bucket").to_numpy()
-                owner = np.repeat(np.arange(len(sizes)), sizes)
-                features, total = np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64)
-                np.add.at(features, owner, counts.astype(np.int64))
-                np.add.at(total, owner, counts * gain[bucket[which]])
-                weight = np.where(features > 0, total // np.maximum(features, 1), 0)
-                columns = [batch.column("doc_ids")[b].values, batch.column("n_words")[b].values, pa.array(features), pa.array(weight)]
+                of = {name: batch.column(name)[b].values.to_numpy() for name in batch.schema.names if name != "doc_ids"}
+                total = np.zeros(len(of["sizes"]), np.int64)
+                np.add.at(total, np.repeat(np.arange(len(total)), of["sizes"]), of["count"] * gain[of["bucket"]])
+                weight = np.where(of["n_features"] > 0, total // np.maximum(of["n_features"], 1), 0)
+                columns = [batch.column("doc_ids")[b].values, pa.array(of["n_words"]), pa.array(of["n_features"]), pa.array(weight)]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_words", "n_features", "weight"])
 
-    own = cut.where("side = 0")
-    flat = own.select("block", F.posexplode("tuples").alias("at", "ids"))
-    back = flat.join(hashed.select("ids", "bucket"), "ids").groupBy("block").agg(F.collect_list(F.struct("at", "bucket")).alias("buckets"))
-    none = F.array().cast("array<struct<at:int,bucket:int>>")
-    joined = own.join(back, "block", "left").select("doc_ids", "n_words", "sizes", "which", "counts", F.coalesce("buckets", none).alias("buckets"))
-    return joined.mapInArrow(run, "doc_id long, n_words long, n_features long, weight long")
+    return cut.mapInArrow(run, "doc_id long, n_words long, n_features long, weight long")
 
 
 def resample(
