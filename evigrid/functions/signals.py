@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import normalize_text, snippet, strip_html
+from .text import let, normalize_text, snippet, strip_html, unescape
 
 # Status codes and page markers that mean a crawler is blocked, in order of precedence.
 BLOCKED_STATUSES = (401, 403, 429, 503)
@@ -95,11 +95,19 @@ def failure_kind(status: Column, error: Column) -> Column:
 
 def block_reason(status: Column, content: Column, extra: Sequence[str] = ()) -> Column:
     """``status:N`` for a blocking status, else ``marker:x`` for the first marker in the visible text, else empty."""
-    text = F.lower(strip_html(F.regexp_replace(F.coalesce(content, F.lit("")), r"(?is)<!--.*?-->", " "), drop_scripts=True))
-    out = F.when(status.isin(*BLOCKED_STATUSES), F.concat(F.lit("status:"), status.cast("string")))
-    for marker in (*BLOCK_MARKERS, *extra):
-        out = out.when(text.contains(marker.strip().lower()), F.lit(f"marker:{marker.strip().lower()}"))
-    return out.otherwise("")
+    markers = [m.strip().lower() for m in (*BLOCK_MARKERS, *extra) if m.strip()]
+    v = F.coalesce(content, F.lit(""))
+    plain = F.when(v.contains("<") & v.contains(">"), strip_html(F.regexp_replace(v, r"(?is)<!--.*?-->", " "), drop_scripts=True)).otherwise(v)
+
+    def first_marker(text: Column) -> Column:
+        out = F.when(F.lit(False), F.lit(""))
+        for m in markers:
+            out = out.when(text.contains(m), F.lit(f"marker:{m}"))
+        return out.otherwise("")
+
+    # the text is computed once and all markers are looked for in it
+    marked = let(F.lower(normalize_text(unescape(plain))), first_marker)
+    return F.when(status.isin(*BLOCKED_STATUSES), F.concat(F.lit("status:"), status.cast("string"))).otherwise(marked)
 
 
 def usable(status: Column, content: Column, extra: Sequence[str] = ()) -> Column:

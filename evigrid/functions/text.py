@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import functools
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-SPACE = r"[ \t\n\x0B\f\r]+"
+#: White space of any kind, the four separators of ASCII too.
+BLANK = r"[\t-\r\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+SPACE = BLANK + "+"
 
 # Patterns that define what counts as an address or a number.
 EMAIL = r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
@@ -26,6 +31,66 @@ def normalize_text(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), SPACE, " "))
 
 
+def stripped(c: Column) -> Column:
+    """Without white space at the ends."""
+    return F.regexp_replace(c, f"^{SPACE}|{SPACE}$", "")
+
+
+# Names of entities without a semicolon are at most this long; and what a numeric reference that names no character gives.
+SHORT_NAME, NO_CHARACTER = 6, "\ufffd"
+_REFERENCE = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+
+
+@functools.cache
+def _entity_names() -> tuple[dict[str, dict[str, str]], dict[str, str]]:
+    """All names by their first two letters, and those that need no semicolon."""
+    by_head: dict[str, dict[str, str]] = {}
+    for name, letters in html5.items():
+        by_head.setdefault(name[:2], {})[name] = letters
+    return by_head, {n: v for n, v in html5.items() if not n.endswith(";")}
+
+
+def _literal_map(values: dict[str, str]) -> Column:
+    return F.map_from_arrays(F.array(*map(F.lit, values)), F.array(*map(F.lit, values.values())))
+
+
+def _number_letters(number: Column) -> Column:
+    """The letter of a numeric reference: 128 to 159 as in Windows-1252, none for control and non-characters."""
+    windows = {n: bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(0x80, 0xA0)}
+    letter = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+    low = number % 65536
+    nothing = number.between(1, 8) | (number == 11) | number.between(14, 31) | (number == 127) | number.between(0xFDD0, 0xFDEF) | (low >= 65534)
+    return (
+        F.when((number == 0) | number.between(0xD800, 0xDFFF) | (number > 0x10FFFF), NO_CHARACTER)
+        .when(number.between(0x80, 0x9F), F.element_at(F.array(*map(F.lit, windows.values())), F.least(F.greatest(number - 127, F.lit(1)), F.lit(32)).cast("int")))
+        .when(nothing, "").otherwise(letter)
+    )
+
+
+def unescape(c: Column) -> Column:
+    """HTML entities as their letters: names by the longest that is known, decimal and hexadecimal numbers; what is no entity stays."""
+    by_head, short = _entity_names()
+    heads = F.map_from_arrays(F.array(*map(F.lit, by_head)), F.array(*(_literal_map(names) for names in by_head.values())))
+    shorts = _literal_map(short)
+
+    def letters(hit: Column) -> Column:
+        body = F.substr(hit, F.lit(2))
+        digits = F.regexp_replace(body, "^#[xX]?0*(?=[^;])|;$", "")
+        # eight digits hold every character's number, hexadecimal or decimal
+        number = F.when(F.length(digits) > 8, F.lit(0x110000)).when(body.rlike("^#[xX]"), F.conv(digits, 16, 10).cast("long")).otherwise(digits.try_cast("long"))
+        whole = F.try_element_at(F.try_element_at(heads, F.substring(body, 1, 2)), body)
+        # the longest name without a semicolon that the text begins with
+        known = [F.when(F.length(body) > n, F.concat(F.try_element_at(shorts, F.substring(body, 1, n)), F.substr(body, F.lit(n + 1)))) for n in range(SHORT_NAME, 1, -1)]
+        return F.when(body.startswith("#"), let(number, _number_letters)).otherwise(F.coalesce(whole, *known, hit))
+
+    def replaced(v: Column) -> Column:
+        hits, rest = F.regexp_extract_all(v, F.lit(_REFERENCE), F.lit(0)), F.split(v, _REFERENCE)
+        tail = F.zip_with(hits, F.slice(rest, F.lit(2), F.size(hits)), lambda h, r: F.concat(letters(h), r))
+        return F.concat(rest[0], F.array_join(tail, ""))
+
+    return let(c, lambda v: F.when(v.contains("&"), replaced(v)).otherwise(v))
+
+
 def make_pk(prefix: str, *parts: Column) -> Column:
     """Stable key: prefix and 16 hex digits of the SHA-1 over the normalised lower-case parts."""
     base = F.concat_ws("|", *(F.lower(normalize_text(p.cast("string"))) for p in parts))
@@ -158,19 +223,14 @@ def is_valid_phone(c: Column) -> Column:
 
 def snippet(c: Column, pattern: str) -> Column:
     """The first match with its context, trimmed, line ends as blanks, cut to the greatest length; empty without a match."""
-    match = F.regexp_extract(c, pattern, 0)
-    at = F.instr(c, match)
-    start = F.greatest(at - SNIPPET_CONTEXT, F.lit(1))
-    end = at + F.length(match) + SNIPPET_CONTEXT
-    cut = F.substring(F.regexp_replace(F.trim(F.substring(c, start, end - start)), "\n", " "), 1, SNIPPET_LENGTH)
-    return F.when(c.isNull() | (match == ""), F.lit("")).otherwise(cut)
+    return F.when(c.isNull() | (F.regexp_extract(c, pattern, 0) == ""), F.lit("")).otherwise(snippet_at(c, F.regexp_instr(c, F.lit(pattern)), F.length(F.regexp_extract(c, pattern, 0))))
 
 
 def snippet_at(c: Column, start: Column, length: Column) -> Column:
     """The text around ``length`` letters from ``start`` (1 is the first), trimmed and cut like a snippet."""
     first = F.greatest(start - SNIPPET_CONTEXT, F.lit(1))
     end = start + length + SNIPPET_CONTEXT
-    return F.substring(F.regexp_replace(F.trim(F.substring(c, first, end - first)), "\n", " "), 1, SNIPPET_LENGTH)
+    return F.substring(F.regexp_replace(stripped(F.substring(c, first, end - first)), "\n", " "), 1, SNIPPET_LENGTH)
 
 
 def slug(c: Column) -> Column:

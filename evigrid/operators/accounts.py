@@ -42,7 +42,7 @@ def _or(column: str, other: str) -> Column:
 
 def base(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Decided records with the columns of their provider, practice and place."""
-    rows = tables["decided"] if "decided" in tables else score_base(tables)
+    rows = tables["decided"] if "decided" in tables else score_base(tables, "left")
     rows = rows.withColumn("practice_name", c("practice_name_snapshot")).withColumn("state", c("location_state"))
     if "final_confidence" in rows.columns:
         rows = rows.withColumn("record_confidence", c("final_confidence"))

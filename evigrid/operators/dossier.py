@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.signals import contains_any
-from ..functions.text import let, normalize_text, slug, unique_nonempty
+from ..functions.text import let, normalize_text, slug, unescape, unique_nonempty
 
 # Labels of an account's focus, buyer, budget and state.
 FOCUS = {"both": "ASD and ADHD evaluations", "asd": "Autism evaluations", "adhd": "ADHD evaluations", "none": "Developmental and behavioral services"}
@@ -102,13 +102,6 @@ def display_state(c: Column) -> Column:
     return F.when(v == "", "unknown").otherwise(F.concat(F.upper(F.substring(v, 1, 1)), F.substring(v, 2, 10_000)))
 
 
-def unescape(c: Column) -> Column:
-    """The usual entities as their letters."""
-    for entity, letter in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;|&apos;", "'"), ("&amp;", "&")):
-        c = F.regexp_replace(c, entity, letter)
-    return c
-
-
 def quote(c: Column, least: int = LEAST_QUOTE, most: int = MOST_QUOTE) -> Column:
     """A quote fit to be shown, cut at a word; empty if it is an enum, too short, or begins in the middle of a sentence."""
     def fit(v: Column) -> Column:

@@ -25,7 +25,7 @@ DOCTOR = rf"\bDr\.\s+({NAME})\b"
 BOARD_PROVIDERS = (
     r"(?i)\b(?:licensee name|provider name|practitioner name|physician name|psychologist name|licensee)\s*[:\-]\s*(?:dr\.\s+)?"
     r"([A-Z][a-z.'-]+(?:\s+[A-Z][a-z.'-]+){1,3}?)(?=\s+(?:profession|license|status|state)\b|$)",
-    r"(?i)\bverification\s+for\s+(?:dr\.\s+)?([A-Z][a-z.'-]+(?:\s+[A-Z][a-z.'-]+){1,3})\b",
+    r"(?i)\bverification\s+for\s+(?:dr\.\s+)?([A-Z][a-z]+(?:\s+[A-Z][a-z.'-]+){1,3})\b",
 )
 BOARD_LICENSE = (r"(?i)\blicense type[:\s]+([A-Za-z][A-Za-z /-]{2,60})\b", r"(?i)\bprofession[:\s]+([A-Za-z][A-Za-z /-]{2,60})\b")
 BOARD_HEAD = 600
@@ -72,8 +72,7 @@ def first_quote(text: Column, patterns: tuple[str, ...]) -> Column:
 def _people(text: Column, pattern: str, with_credentials: bool, only_first: bool = False) -> Column:
     """Cleaned names, credentials and places of a pattern's matches, in order."""
     if only_first:
-        first = F.regexp_extract(text, pattern, 0)
-        whole = F.when(first == "", F.array().cast("array<string>")).otherwise(F.array(first))
+        whole = F.filter(F.array(F.regexp_extract(text, pattern, 0)), lambda m: m != "")
     else:
         whole = F.regexp_extract_all(text, F.lit(f"({pattern})" if not pattern.startswith("(?i)") else f"(?i)({pattern[4:]})"), F.lit(1))
     # each match is looked for behind the one before it
@@ -115,7 +114,8 @@ def provider_candidates(text: Column, source_type: Column) -> Column:
     listed = F.concat(_people(text, NAMED_PROVIDER, True), _people(text, ROLE_PROVIDER, True), F.when(source_type.isin(*DOCTOR_SOURCES), _people(text, DOCTOR, False)).otherwise(none))
     head = F.substring(text, 1, BOARD_HEAD)
     tries = [*(_people(text, p, False, True) for p in BOARD_PROVIDERS), _people(head, NAMED_PROVIDER, True, True), _people(head, DOCTOR, False, True)]
-    board = F.coalesce(*(F.when(F.size(t) > 0, t) for t in tries), none)
+    # the first that is not empty; each is computed at one place
+    board = F.coalesce(*(F.nullif(t, none) for t in tries), none)
     return F.when(source_type == "licensing_board", board).otherwise(_one_each(listed))
 
 

@@ -7,7 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import extract_links, normalize_domain, resolve_link, same_domain
+from ..functions.text import extract_links, let, normalize_domain, resolve_link, same_domain
+from .graph import cut
 
 # Paths and endings that are not worth fetching.
 STATIC_PATHS = ("/_next/", "/wp-content/", "/wp-includes/", "/assets/", "/static/", "/images/", "/image/", "/img/", "/fonts/", "/css/", "/js/")
@@ -70,17 +71,49 @@ def accepted(url: Column, seed: Column, depth: Column, most_depth: int, suppress
 def expanded(pages: DataFrame, seen: DataFrame, most_depth: int, per_page: int, suppressed: Sequence[str] = ()) -> DataFrame:
     """The next level of a crawl: each page's best links, in its own order, that are accepted and not seen.
 
-    ``pages`` has ``url``, ``html``, ``seed``, ``source_type``, ``depth``; ``seen`` has ``url``. An address that
-    several pages link to is queued once, for the page of the least address. Levels are joined with
-    the seen set by address, so no set is held in memory.
+    ``pages`` has ``url``, ``html``, ``seed``, ``source_type``, ``depth``; ``seen`` has ``url``. Seen addresses
+    don't count against a page's limit. Links are tried by score, then by length and letters of the link
+    as it is written. An address that several pages link to is queued once, for the page of the least
+    address. Levels are joined with the seen set by address, so no set is held in memory.
     """
     c = F.col
-    links = pages.where(c("depth") < most_depth).select(c("url").alias("from_url"), "seed", "source_type", (c("depth") + 1).alias("depth"), F.explode(F.array_distinct(F.transform(extract_links(c("html")), lambda x: resolve_link(c("url"), x)))).alias("url"))
-    scored = links.where(accepted(c("url"), c("seed"), c("depth"), most_depth, suppressed)).withColumn("score", research_score(c("url"), c("seed"), c("source_type")))
-    w = Window.partitionBy("from_url").orderBy(F.desc("score"), F.length(path_of(c("url"))), "url")
-    best = scored.withColumn("rank", F.row_number().over(w)).where(c("rank") <= per_page)
-    once = best.groupBy("url").agg(F.min_by(F.struct("from_url", "seed", "source_type", "depth", "score", "rank"), "from_url").alias("r")).select("url", "r.*")
-    return once.join(seen.select("url").distinct(), "url", "left_anti")
+    # the address is part of what is exploded, so that it is computed once
+    link = F.explode(F.transform(F.array_distinct(extract_links(c("html"))), lambda x: F.struct(x.alias("raw"), resolve_link(c("url"), x).alias("url"))))
+    links = pages.where(c("depth") < most_depth).select(c("url").alias("from_url"), "seed", "source_type", (c("depth") + 1).alias("depth"), link.alias("link")).select("*", "link.raw", "link.url")
+    scored = links.where(accepted(c("url"), c("seed"), c("depth"), most_depth, suppressed))
+    new = scored.join(seen.select("url").distinct(), "url", "left_anti").withColumn("score", research_score(c("url"), c("seed"), c("source_type")))
+    # several links of a page to one address count as the first of them
+    once = new.groupBy("from_url", "url", "seed", "source_type", "depth", "score").agg(F.min(F.struct(F.length("raw").alias("length"), c("raw").alias("raw"))).alias("as"))
+    w = Window.partitionBy("from_url").orderBy(F.desc("score"), "as", "url")
+    best = once.withColumn("rank", F.row_number().over(w)).where(c("rank") <= per_page)
+    return best.groupBy("url").agg(F.min_by(F.struct("from_url", "seed", "source_type", "depth", "score", "rank"), "from_url").alias("r")).select("url", "r.*")
+
+
+def crawled(pages: DataFrame, starts: DataFrame, most_depth: int, per_page: int, per_seed: int | None = None, suppressed: Sequence[str] = ()) -> DataFrame:
+    """The frontier to its end over landed pages: every address that is queued, with ``depth``, ``from_url`` and ``seed``.
+
+    ``pages`` has ``url`` and ``html``; ``starts`` has ``url``, ``seed`` and ``source_type`` and is level 0. Each
+    round expands the pages of one level against all addresses seen so far and is written to the shared
+    folder, so a plan never holds more than one level and a lost executor repeats only that. With
+    ``per_seed`` a seed's addresses stop at that number, in order of level, score and address.
+    """
+    c = F.col
+    seen = cut(starts.groupBy("url").agg(F.min_by(F.struct("seed", "source_type"), "seed").alias("s")).select(
+        "url", "s.*", F.lit(0).alias("depth"), F.lit("").alias("from_url"), F.lit(0).alias("score")
+    ))
+    level = seen
+    for _ in range(most_depth):
+        landed = level.select("url", "seed", "source_type", "depth").join(pages.select("url", "html").dropDuplicates(["url"]), "url")
+        found = expanded(landed, seen, most_depth, per_page, suppressed).select(*seen.columns)
+        if per_seed is not None:
+            used = seen.groupBy("seed").agg(F.count("*").alias("used"))
+            w = Window.partitionBy("seed").orderBy(F.desc("score"), "url")
+            found = found.withColumn("n", F.row_number().over(w)).join(used, "seed", "left").where(c("n") + F.coalesce("used", F.lit(0)) <= per_seed).select(*seen.columns)
+        level = cut(found)
+        if level.isEmpty():
+            break
+        seen = cut(seen.unionByName(level))
+    return seen.select("url", "depth", "from_url", "seed")
 
 
 def path_prefix(url: Column) -> Column:
@@ -126,30 +159,35 @@ def detail_page(url: Column, source_type: Column) -> Column:
 
 def proximity(url: Column, seed: Column) -> Column:
     """Points for leading segments shared with the seed's path, more if one path goes on from the other."""
-    a, b = anchor(url), anchor(seed)
-    n = F.least(F.size(a), F.size(b))
-    same = F.zip_with(F.slice(a, 1, n), F.slice(b, 1, n), lambda x, y: (x == y).cast("int"))
-    shared = F.aggregate(same, F.struct(F.lit(0).alias("n"), F.lit(1).alias("on")), lambda s, x: F.struct((s["n"] + s["on"] * x).alias("n"), (s["on"] * x).alias("on")))["n"]
-    return F.when((n == 0) | (shared == 0), F.lit(0)).otherwise(shared * SEGMENT_BONUS + F.when(shared == n, ALIGNED_BONUS).otherwise(0))
+    def points(p: Column) -> Column:
+        a, b = p["a"], p["b"]
+        n = F.least(F.size(a), F.size(b))
+        same = F.zip_with(F.slice(a, F.lit(1), n), F.slice(b, F.lit(1), n), lambda x, y: (x == y).cast("int"))
+        start = F.struct(F.lit(0).alias("n"), F.lit(1).alias("on"))
+        shared = F.aggregate(same, start, lambda s, x: F.struct((s["n"] + s["on"] * x).alias("n"), (s["on"] * x).alias("on")))["n"]
+        return let(shared, lambda k: F.when(k == 0, F.lit(0)).otherwise(k * SEGMENT_BONUS + F.when(k == n, ALIGNED_BONUS).otherwise(0)))
+
+    return let(F.struct(anchor(url).alias("a"), anchor(seed).alias("b")), points)
 
 
 def research_score(url: Column, seed: Column, source_type: Column, configured: Sequence[str] = (), hints: Mapping[str, int] | None = None) -> Column:
     """How promising a URL is for a seed; far below zero off the seed's domain. Hints add up where one holds another."""
-    path = path_of(url)
-    score = F.when(path == "/", ROOT_BONUS).otherwise(0) + proximity(url, seed)
-    if configured:
-        at_end = F.lit(False)
-        for c in configured:
-            at_end = at_end | path.endswith(c)
-        score = score + F.when(at_end, CONFIGURED_BONUS).otherwise(0)
-    for token, weight in (POSITIVE_HINTS | NEGATIVE_HINTS if hints is None else hints).items():
-        score = score + F.when(path.contains(token), weight).otherwise(0)
-    board = F.lit(False)
-    for token in BOARD_HINTS:
-        board = board | path.contains(token)
-    score = score + F.when((source_type == "licensing_board") & board, BOARD_BONUS).otherwise(0)
-    score = score + F.when(path.endswith(".xml"), XML_PENALTY).otherwise(0)
-    return F.when(same_domain(url, seed), score).otherwise(OFF_DOMAIN)
+    def hinted(path: Column) -> Column:
+        score = F.when(path == "/", ROOT_BONUS).otherwise(0)
+        if configured:
+            at_end = F.lit(False)
+            for c in configured:
+                at_end = at_end | path.endswith(c)
+            score = score + F.when(at_end, CONFIGURED_BONUS).otherwise(0)
+        for token, weight in (POSITIVE_HINTS | NEGATIVE_HINTS if hints is None else hints).items():
+            score = score + F.when(path.contains(token), weight).otherwise(0)
+        board = F.lit(False)
+        for token in BOARD_HINTS:
+            board = board | path.contains(token)
+        score = score + F.when((source_type == "licensing_board") & board, BOARD_BONUS).otherwise(0)
+        return score + F.when(path.endswith(".xml"), XML_PENALTY).otherwise(0)
+
+    return F.when(same_domain(url, seed), let(path_of(url), hinted) + proximity(url, seed)).otherwise(OFF_DOMAIN)
 
 
 def ranked(candidates: DataFrame, per: str, url: str, score: str, least: int, limit: int) -> DataFrame:
@@ -165,11 +203,6 @@ def within_budget(pages: DataFrame, domain: str, order: Sequence[str], budget: C
     return kept.orderBy("place", *order).limit(total) if total is not None else kept
 
 
-def unseen(candidates: DataFrame, seen: DataFrame, key: str) -> DataFrame:
-    """Candidates, each once, that are not in the seen set."""
-    return candidates.dropDuplicates([key]).join(seen.select(key).distinct(), key, "left_anti")
-
-
 def denied(candidates: DataFrame, url: str, denylist: DataFrame) -> DataFrame:
     """Candidates whose domain is not on the list (column ``domain``, a leading dot is dropped)."""
     listed = denylist.select(F.regexp_replace(F.lower("domain"), r"^\.", "").alias("_host")).distinct()

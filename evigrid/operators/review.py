@@ -32,13 +32,24 @@ def tier_order(tier: Column) -> Column:
     return F.when(tier == "A", 0).when(tier == "B", 1).otherwise(2)
 
 
+def _valued(evidence: DataFrame, fields: Sequence[str]) -> DataFrame:
+    return evidence.where(F.col("field_name").isin(*fields) & (F.coalesce(F.col("field_value"), F.lit("")) != ""))
+
+
+def conflicting_fields(evidence: DataFrame, fields: Sequence[str] = CRITICAL_FIELDS) -> DataFrame:
+    """``record_id``, ``conflicts``: the fields that have more than one value, which is all that a decision needs of the contradictions."""
+    least, most = F.min("field_value"), F.max("field_value")
+    per = _valued(evidence, fields).groupBy("record_id", "field_name").agg((least != most).alias("differ")).where("differ")
+    return per.groupBy("record_id").agg(F.array_sort(F.collect_set("field_name")).alias("conflicts"))
+
+
 def contradictions(evidence: DataFrame, fields: Sequence[str] = CRITICAL_FIELDS) -> DataFrame:
     """For fields with more than one value: the preferred value against every other row of evidence.
 
     Preferred is the best tier, then the latest, then the least evidence id. Rows that repeat the
     preferred value are listed too, as the preferred row only is left out.
     """
-    rows = evidence.where(F.col("field_name").isin(*fields) & (F.coalesce(F.col("field_value"), F.lit("")) != ""))
+    rows = _valued(evidence, fields)
     per = rows.groupBy("record_id", "field_name").agg(
         F.min(F.struct(tier_order(F.col("source_tier")).alias("t"), (-F.unix_micros(F.col("captured_at").cast("timestamp"))).alias("c"), F.col("evidence_id"), F.col("field_value"), F.col("source_url"))).alias("_p"),
         F.count_distinct("field_value").alias("_n"),
@@ -67,7 +78,7 @@ def decide(records: DataFrame, evidence: DataFrame, fields: Sequence[str] = CRIT
 
     The penalty for conflicts is taken from the scored confidence, so deciding twice gives the same.
     """
-    conflicts = contradictions(evidence, fields).groupBy("record_id").agg(F.array_sort(F.collect_set("field_name")).alias("_conflicts"))
+    conflicts = conflicting_fields(evidence, fields).withColumnRenamed("conflicts", "_conflicts")
     joined = records.join(source_summary(evidence, fields), "record_id", "left").join(conflicts, "record_id", "left")
     none = F.array().cast("array<string>")
     conflict, shown = F.coalesce("_conflicts", none), F.coalesce("critical_present", none)

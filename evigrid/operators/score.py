@@ -128,14 +128,15 @@ def score(records: DataFrame, evidence: DataFrame, rules: DataFrame, at: Column
     return scored.drop("_fit", "rule_quote", "rule_citation", "has_rule"), all_evidence
 
 
-def score_base(tables: Mapping[str, DataFrame]) -> DataFrame:
+def score_base(tables: Mapping[str, DataFrame], providers_from: str = "inner") -> DataFrame:
     """Records with the credentials of their provider and the contact channels of their practice and place.
 
-    The place's phone counts before the practice's. Records without one of the three are left out.
+    The place's phone counts before the practice's. Records without practice or place are left out,
+    and with ``providers_from`` "inner" those without a provider; "left" keeps these.
     """
     records, providers, practices, places = (tables[n] for n in ("provider_practice_records", "providers", "practices", "practice_locations"))
     return (
-        records.join(providers.select("provider_id", "provider_name", "credentials"), "provider_id")
+        records.join(providers.select("provider_id", "provider_name", "credentials"), "provider_id", providers_from)
         .join(practices.select("practice_id", "website", "intake_url", F.col("phone").alias("_practice_phone")), "practice_id")
         .join(places.select("location_id", "city", F.col("state").alias("location_state"), "metro", F.col("phone").alias("_place_phone")), "location_id")
         .withColumn("phone", F.coalesce("_place_phone", "_practice_phone", F.lit(""))).drop("_practice_phone", "_place_phone")

@@ -53,9 +53,18 @@ def _strip(x: str) -> str:
 # ---------------------------------------------------------------- text, URLs and keys
 
 
-@registered(f"SELECT doc_id, sha256({_norm('text')}) AS norm_hash, CAST(length({_norm('text')}) AS BIGINT) AS norm_length FROM documents")
+#: Blanks of other kinds that a third of the texts get, as chr() numbers; SQL turns each into a plain blank.
+_BLANKS = (160, 8195, 12288, 133, 28, 8232)
+
+
+@registered(f"""
+WITH t AS (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN replace(replace(text, 'e ', 'e' || chr(160) || chr(8195)), 'n ', chr(12288) || 'n' || chr(133) || chr(28) || chr(8232)) ELSE text END AS text FROM documents),
+n AS (SELECT doc_id, trim(regexp_replace(translate(coalesce(text, ''), {' || '.join(f'chr({b})' for b in (*_BLANKS, 9, 10, 11, 12, 13))}, '{' ' * 11}'), ' +', ' ', 'g')) AS n FROM t)
+SELECT doc_id, sha256(n) AS norm_hash, CAST(length(n) AS BIGINT) AS norm_length FROM n""")
 def normalize_text(spark, sf_dir):
-    n = text.normalize_text(c("text"))
+    nbsp, em, wide, nel, fs, line = (F.lit(chr(b)) for b in _BLANKS)
+    other = F.replace(F.replace(c("text"), F.lit("e "), F.concat(F.lit("e"), nbsp, em)), F.lit("n "), F.concat(wide, F.lit("n"), nel, fs, line))
+    n = text.normalize_text(F.when(c("doc_id") % 3 == 0, other).otherwise(c("text")))
     return read(spark, sf_dir, "documents").select("doc_id", F.sha2(n, 256).alias("norm_hash"), F.length(n).cast("long").alias("norm_length"))
 
 
@@ -147,16 +156,17 @@ def phone_first(spark, sf_dir):
 
 _WORD = "(?i)\\b(license|password|contact)\\b"
 _MATCH = f"regexp_extract(text, '{_WORD}', 0)"
-_AT = f"strpos(text, {_MATCH})"
+#: The match's place is the length of what comes before it; the word also occurs within other words.
+_AT = "length(regexp_extract(text, '(?is)^(.*?)\\b(?:license|password|contact)\\b', 1)) + 1"
 _START = f"greatest({_AT} - 40, 1)"
 
 
 @registered(f"""
-SELECT doc_id, substr(replace(trim(substr(text, {_START}, {_AT} + length({_MATCH}) + 40 - {_START})), chr(10), ' '), 1, 180) AS quote
-FROM documents WHERE {_MATCH} <> ''""")
+SELECT doc_id, substr(replace(trim(substr(text, {_START}, {_AT} + length({_MATCH}) + 40 - {_START}), chr(9) || chr(10) || chr(13) || ' '), chr(10), ' '), 1, 180) AS quote
+FROM (SELECT doc_id, 'uncontact relicensed ' || text AS text FROM documents) WHERE {_MATCH} <> ''""")
 def snippet(spark, sf_dir):
-    quote = text.snippet(c("text"), _WORD)
-    return read(spark, sf_dir, "documents").where(F.regexp_extract("text", _WORD, 0) != "").select("doc_id", quote.alias("quote"))
+    rows = read(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("uncontact relicensed "), c("text")).alias("text"))
+    return rows.where(F.regexp_extract("text", _WORD, 0) != "").select("doc_id", text.snippet(c("text"), _WORD).alias("quote"))
 
 
 @registered("""
@@ -183,19 +193,30 @@ def _visible(x: str) -> str:
     return f"lower({_strip(v)})"
 
 
+#: On every other page two markers are written with entities.
+_CODED = "CASE WHEN page_id % 2 = 0 THEN html ELSE replace(replace(html, 'cookies', 'c&#111;okies'), 'subscribe', 'subscr&#x69;be') END"
+
+
+def _coded(pages: DataFrame) -> DataFrame:
+    out = c("html")
+    for plain, coded in (("cookies", "c&#111;okies"), ("subscribe", "subscr&#x69;be")):
+        out = F.replace(out, F.lit(plain), F.lit(coded))
+    return pages.withColumn("html", F.when(c("page_id") % 2 == 0, c("html")).otherwise(out))
+
+
 _BLOCK = f"""CASE WHEN {_STATUS} IN (401, 403, 429, 503) THEN 'status:' || CAST({_STATUS} AS VARCHAR)
- {' '.join(f"WHEN contains({_visible('html')}, '{m}') THEN 'marker:{m}'" for m in (*signals.BLOCK_MARKERS, 'cookies', 'subscribe', 'buy'))} ELSE '' END"""
+ {' '.join(f"WHEN contains(replace(replace({_visible('html')}, '&#111;', 'o'), '&#x69;', 'i'), '{m}') THEN 'marker:{m}'" for m in (*signals.BLOCK_MARKERS, 'cookies', 'subscribe', 'buy'))} ELSE '' END"""
 _EXTRA_MARKERS = ("cookies", "subscribe", "buy")
 
 
-@registered(f"SELECT page_id, {_BLOCK} AS reason FROM pages")
+@registered(f"SELECT page_id, {_BLOCK} AS reason FROM (SELECT page_id, {_CODED} AS html FROM pages)")
 def block_signal(spark, sf_dir):
-    return _with_status(read(spark, sf_dir, "pages")).select("page_id", signals.block_reason(c("status_code"), c("html"), _EXTRA_MARKERS).alias("reason"))
+    return _with_status(_coded(read(spark, sf_dir, "pages"))).select("page_id", signals.block_reason(c("status_code"), c("html"), _EXTRA_MARKERS).alias("reason"))
 
 
-@registered(f"SELECT page_id FROM pages WHERE {_STATUS} = 200 AND coalesce(html, '') <> '' AND {_BLOCK} = ''")
+@registered(f"SELECT page_id FROM (SELECT page_id, {_CODED} AS html FROM pages) WHERE {_STATUS} = 200 AND coalesce(html, '') <> '' AND {_BLOCK} = ''")
 def usable_content(spark, sf_dir):
-    return _with_status(read(spark, sf_dir, "pages")).where(signals.usable(c("status_code"), c("html"), _EXTRA_MARKERS)).select("page_id")
+    return _with_status(_coded(read(spark, sf_dir, "pages"))).where(signals.usable(c("status_code"), c("html"), _EXTRA_MARKERS)).select("page_id")
 
 
 _ROLES = {

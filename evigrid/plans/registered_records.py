@@ -559,3 +559,18 @@ def link_expansion(spark, sf_dir):
     pages = rows.select(F.concat("site", F.lit("/start"), c("k").cast("string")).alias("url"), html.alias("html"), c("site").alias("seed"), F.lit("practice_site").alias("source_type"), F.lit(0).alias("depth"))
     seen = rows.where("k % 10 = 0").select(F.concat("site", F.lit("/team")).alias("url"))
     return frontier.expanded(cut(pages), seen, 2, 10).select("url", "from_url", "depth")
+
+
+@registered("""
+WITH RECURSIVE pages AS (SELECT c_custkey AS n FROM customer WHERE c_custkey > 0),
+links AS (SELECT n, n + 7 AS target FROM pages UNION ALL SELECT n, n * 8 + 7 FROM pages UNION ALL SELECT n, n FROM pages),
+reached AS (SELECT n, 0 AS depth FROM pages WHERE n <= 7 UNION SELECT l.target, r.depth + 1 FROM reached r JOIN links l ON l.n = r.n WHERE r.depth < 4)
+SELECT 'https://h' || CAST(n % 7 AS VARCHAR) || '.org/n' || CAST(n AS VARCHAR) AS url, min(depth) AS depth FROM reached GROUP BY n""")
+def frontier_levels(spark, sf_dir):
+    n = c("c_custkey")
+    pages = read(spark, sf_dir, "customer").where(n > 0)
+    link = lambda t, quote: F.concat(F.lit(f"<a href={quote}/n"), t.cast("string"), F.lit(f"{quote}>x</a>"))
+    html = F.concat(link(n + 7, "'"), link(n * 8 + 7, '"'), link(n, "'"), F.lit("<a href='x.css'>s</a><a href='https://other.org/n1'>o</a>"))
+    site = F.concat(F.lit("https://h"), (n % 7).cast("string"), F.lit(".org"))
+    landed = cut(pages.select(F.concat(site, F.lit("/n"), n.cast("string")).alias("url"), html.alias("html"), site.alias("seed"), F.lit("practice_site").alias("source_type"), n.alias("n")))
+    return frontier.crawled(landed.select("url", "html"), landed.where("n <= 7").select("url", "seed", "source_type"), 4, 10).select("url", "depth")
