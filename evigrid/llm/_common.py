@@ -5,7 +5,6 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
 from urllib.parse import urlparse
 
 import pyarrow as pa
@@ -17,8 +16,6 @@ BATCH_ROWS = 1000
 #: Equal rows that one task writes at once.
 COPIES = 4096
 
-_scratch: list[str] = []
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of the data folder, read by Spark itself so that any file system works."""
@@ -30,6 +27,8 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         set_before = spark.sparkContext.getCheckpointDir()
+        if not set_before and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = set_before.rsplit("/", 1)[0] if set_before else tempfile.mkdtemp(prefix="evigrid-")
         if not urlparse(configured).scheme:
             configured = f"file://{configured}"
@@ -39,21 +38,9 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, tag: str) -> str:
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    _scratch.append(path)
     return path
 
 
-@contextmanager
-def scratch_removed(spark: SparkSession) -> Iterator[None]:
-    """Remove the scratch tables made inside the block when it ends; write its results before that."""
-    since = len(_scratch)
-    try:
-        yield
-    finally:
-        remove(spark, *_scratch[since:])
-        del _scratch[since:]
-
-
 def stored(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
     """``df`` written to a table in the shared folder and read again, which cuts its lineage, and the path."""
     spark = df.sparkSession
@@ -104,6 +91,16 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def new_names(df: DataFrame, names: tuple[str, ...] | None, *defaults: str) -> list[str]:
+    """``names`` if given, which must not be columns of ``df``; else the defaults made fresh."""
+    if names is None:
+        return fresh(df, *defaults)
+    taken = {c.lower() for c in df.columns} & {n.lower() for n in names}
+    if taken:
+        raise ValueError(f"columns {sorted(taken)} are there already")
+    return list(names)
+
+
 def own_columns(df: DataFrame) -> list[Column]:
     """The columns of ``df``, whatever signs their names hold."""
     return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]

@@ -16,7 +16,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import fresh, id_crc, own_columns, small_batches
+from ._common import fresh, id_crc, new_names, own_columns, small_batches
 
 #: Hashed n-gram features; n-grams of these many bytes.
 FEATURES = 2048
@@ -184,8 +184,11 @@ def fit(docs: DataFrame, sample: int = SAMPLE, clusters: int = CLUSTERS, held_ou
     return model
 
 
-def predict(docs: DataFrame, model: Centroids, names: tuple[str, str, str] = ("_lang_pred", "_lang_score", "_lang_rejected")) -> DataFrame:
-    """``docs`` with the language, its score and whether it is rejected, in columns of these names.
+def predict(docs: DataFrame, model: Centroids, names: tuple[str, str, str] | None = None) -> DataFrame:
+    """``docs`` with the language, its score and whether it is rejected as its last three columns.
+
+    They are called ``_lang_pred``, ``_lang_score`` and ``_lang_rejected``, led by more underscores where
+    ``docs`` has such columns, or ``names``, which must be new.
 
     Only the text is looked at. Null texts and texts without a letter are ``und``, rejected, with
     score 0. Ties go to the first language by name. Rows and other columns stay as they are;
@@ -200,6 +203,7 @@ def predict(docs: DataFrame, model: Centroids, names: tuple[str, str, str] = ("_
         return pd.DataFrame({"lang": langs, "score": score, "rejected": rejected})
 
     small_batches(docs.sparkSession)
+    names = new_names(docs, names, "_lang_pred", "_lang_score", "_lang_rejected")
     found = fresh(docs, "_lang")[0]
     out = docs.withColumn(found, classify(F.col("text").cast("string")))
     return out.select(*own_columns(docs), *(F.col(found)[part].alias(name) for part, name in zip(("lang", "score", "rejected"), names, strict=True)))

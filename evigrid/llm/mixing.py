@@ -145,7 +145,7 @@ def _text_hash() -> Column:
     return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
 
 
-def _laid(docs: DataFrame, block: int, weights: tuple[int, ...], repeats: int) -> tuple[DataFrame, DataFrame, pd.DataFrame, dict]:
+def _laid(docs: DataFrame, block: int, weights: tuple[int, ...], repeats: int, seed: int = SEED) -> tuple[DataFrame, DataFrame, pd.DataFrame, dict]:
     """Documents where they lie in their source, their pieces by block, the slots' ranges, and the sizes of the sources in order.
 
     Rows equal in id, source and text are counted before they are laid out, so they are never sorted
@@ -156,7 +156,7 @@ def _laid(docs: DataFrame, block: int, weights: tuple[int, ...], repeats: int) -
     rows, _ = stored(rows.groupBy(*rows.columns).agg(F.count("*").alias("n")), "sizes")
     per_source = rows.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("size"), F.count("*").alias("rows")).collect()
     sizes = {r["source"]: int(r["size"]) for r in per_source}
-    ranges, facts = plan(sizes, block, weights, repeats)
+    ranges, facts = plan(sizes, block, weights, repeats, seed)
     names = [(i, name, sizes[name], float(aim)) for i, (name, aim) in enumerate(facts["targets"].items())]
     sources = spark.createDataFrame(names, "s long, source_name string, source_size long, target double")
     chunks = max(1, -(-sum(r["rows"] for r in per_source) // CHUNK_ROWS))
@@ -173,11 +173,13 @@ def _laid(docs: DataFrame, block: int, weights: tuple[int, ...], repeats: int) -
     return placed, pieces, ranges, {s: sizes[name] for s, name, _, _ in names}
 
 
-def mix(docs: DataFrame, block: int = BLOCK_WORDS, weights: tuple[int, ...] = WEIGHTS, repeats: int = REPEATS) -> DataFrame:
+def mix(docs: DataFrame, block: int = BLOCK_WORDS, weights: tuple[int, ...] = WEIGHTS, repeats: int = REPEATS, seed: int = SEED) -> DataFrame:
     """What the mix takes of each document.
 
     ``doc_id``, ``source``, ``text_hash``, ``i`` (number among rows equal in these), ``size``,
-    ``source_size``, ``target``, ``taken`` (words, repeats counted), ``full_takes`` (whole passes) and
+    ``source_size``, ``target``, ``taken`` (words, repeats counted), ``full_takes`` (whole passes),
+    ``first_shard`` and ``last_shard`` (the output shards that the draw puts its blocks in lie between
+    these; null if none) and
     ``parts`` (array of ``from``, ``to``: word ranges of the last, partial pass), one row per row of
     ``docs``. ``packed`` gives the blocks themselves.
 
@@ -186,22 +188,22 @@ def mix(docs: DataFrame, block: int = BLOCK_WORDS, weights: tuple[int, ...] = WE
     the other. An empty table gives an empty result. Other columns are ignored.
     """
     spark = docs.sparkSession
-    placed, pieces, ranges, sizes = _laid(docs, block, weights, repeats)
+    placed, pieces, ranges, sizes = _laid(docs, block, weights, repeats, seed)
     # how often and how far each block is taken
     turns = [(int(s), int(g["turn"].nunique()), int(sizes[int(s)])) for s, g in ranges.groupby("s")]
-    taken = slots(spark, ranges).groupBy("s", "block").agg(F.count(F.when(F.col("only").isNull(), 1)).alias("times"), F.coalesce(F.max("only"), F.lit(0)).alias("only"))
+    taken = slots(spark, ranges).groupBy("s", "block").agg(F.count(F.when(F.col("only").isNull(), 1)).alias("times"), F.coalesce(F.max("only"), F.lit(0)).alias("only"), F.min("shard").alias("shard"), F.max("shard").alias("far"))
     joined = pieces.join(taken, ["s", "block"]).withColumn("part", F.greatest(F.lit(0), F.least("length", F.col("only") - F.col("at"))))
     totals = spark.createDataFrame(turns, "s long, turns long, total long")
     passes = totals.join(placed.groupBy("s").agg(F.max("target").alias("target")), "s").select("s", F.floor(F.round("target") / F.col("total")).cast("long").alias("full"))
     joined = joined.join(passes, "s").withColumn("extra", F.when(F.col("times") > F.col("full"), F.col("length")).otherwise(F.col("part")))
     got = joined.groupBy("row").agg(
-        F.sum(F.col("times") * F.col("length") + F.col("part")).alias("taken"), F.first("full").alias("full"),
+        F.sum(F.col("times") * F.col("length") + F.col("part")).alias("taken"), F.first("full").alias("full"), F.min("shard").alias("first_shard"), F.max("far").alias("last_shard"),
         F.sort_array(F.collect_list(F.when(F.col("extra") > 0, F.struct(F.col("from").alias("from"), (F.col("from") + F.col("extra")).alias("to"))))).alias("parts"),
     )
     none = F.array().cast("array<struct<from:bigint,to:bigint>>")
     return placed.join(got, "row", "left").select(
         "doc_id", "source", "text_hash", "i", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"),
-        F.coalesce("full", F.lit(0)).alias("full_takes"), F.coalesce("parts", none).alias("parts"),
+        F.coalesce("full", F.lit(0)).alias("full_takes"), F.coalesce("parts", none).alias("parts"), "first_shard", "last_shard",
     )
 
 

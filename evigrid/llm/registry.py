@@ -13,7 +13,7 @@ from ._common import id_crc, scratch_path, table
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that a mix of all sources to target weights takes of each document."""
-    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "source", "size", "source_size", "target", "taken")
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "source", "size", "source_size", "target", "taken", "first_shard", "last_shard")
 
 
 def op2_compact_shards(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,6 +22,7 @@ from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 #: Rows of an arriving shard, bytes of a merged file, ratio of sizes of neighbouring tiers, and shards of a tier that start a merge.
 ARRIVAL_ROWS = 2000
@@ -52,6 +53,17 @@ class Conflict(Exception):
     """Another writer has committed this version first."""
 
 
+def merged_schema(stored: dict | None, arriving: StructType) -> StructType:
+    """The stored columns and then new ones of the arrivals, all nullable; names differ in more than case."""
+    fields = {} if not stored else {f.name.lower(): f for f in StructType.fromJson(stored).fields}
+    for f in arriving.fields:
+        known = fields.get(f.name.lower())
+        if known is not None and (known.dataType != f.dataType or known.name != f.name):
+            raise ValueError(f"column {f.name} {f.dataType.simpleString()} arrives where {known.name} {known.dataType.simpleString()} is stored")
+        fields.setdefault(f.name.lower(), StructField(f.name, f.dataType, True))
+    return StructType(list(fields.values()))
+
+
 class ShardStore:
     """A compacted table below ``root``, on any file system that Spark reaches."""
 
@@ -142,11 +154,18 @@ class ShardStore:
         return [Shard(f"{below}/{name}", size) for name, size in files if name.endswith(".parquet")]
 
     def append(self, df: DataFrame, rows: int = ARRIVAL_ROWS) -> int:
-        """Add arrivals as shards of at most ``rows`` rows, and commit, after other writers if they were first. All columns are kept as they are."""
+        """Add arrivals as shards of at most ``rows`` rows, and commit, after other writers if they were first.
+
+        The table has the columns of all arrivals, in order of first appearance; rows of arrivals
+        without a column read as null there. A column of another type than before is refused
+        (``ValueError``) before anything is listed.
+        """
+        merged_schema(self.manifest().get("schema"), df.schema)
         added = self._write(df, rows)
         while True:
+            base = self.manifest()
             try:
-                return self.commit(self.manifest(), df.schema.json(), added)
+                return self.commit(base, merged_schema(base.get("schema"), df.schema).json(), added)
             except Conflict:  # the rows are written, so they only have to be listed in a later version
                 continue
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import fresh, id_crc, own_columns, small_batches
+from ._common import fresh, id_crc, new_names, own_columns, small_batches
 
 #: Labelled rows used for training at most: a bounded sample by hash of the id.
 SAMPLE = 20_000
@@ -262,8 +262,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, exceptions: tu
         rows.unpersist()
 
 
-def score(docs: DataFrame, lexicon: Lexicon, names: tuple[str, str] = ("_tox_score", "_tox_predicted")) -> DataFrame:
-    """``docs`` with a score and a prediction (1 from a score of 0.5), in columns of these names.
+def score(docs: DataFrame, lexicon: Lexicon, names: tuple[str, str] | None = None) -> DataFrame:
+    """``docs`` with a score and a prediction (1 from a score of 0.5) as its last two columns.
+
+    They are called ``_tox_score`` and ``_tox_predicted``, led by more underscores where ``docs`` has
+    such columns, or ``names``, which must be new.
 
     Only the text is looked at; a null text counts as empty and has no match. Rows and other columns
     stay as they are; nothing is shuffled, the lexicon that goes to each task is bounded.
@@ -276,6 +279,7 @@ def score(docs: DataFrame, lexicon: Lexicon, names: tuple[str, str] = ("_tox_sco
         return pd.Series([lexicon.score(t if isinstance(t, str) else None) for t in texts], dtype=float)
 
     small_batches(docs.sparkSession)
+    names = new_names(docs, names, "_tox_score", "_tox_predicted")
     return docs.withColumn(names[0], weigh(F.col("text").cast("string"))).withColumn(names[1], (F.col(names[0]) >= 0.5).cast("int"))
 
 

@@ -132,3 +132,15 @@ def test_matches_are_at_word_beginnings_and_outside_exceptions():
     found = lambda t: [round(m[2]) for m in lexicon.matches(toxicity.fold(t))]
     assert found("scum, scummy ascum grombled xgrom") == [2, 3] and found("pond scum") == [] and found("pond scum scum") == [2]
     assert lexicon.score("scum") > lexicon.score("scum " + "word " * 500) > lexicon.score("word")
+
+
+def test_outputs_never_replace_columns(spark):
+    from evigrid.llm import language, toxicity
+
+    docs = spark.createDataFrame([(i, t, 7.5, "mine", 3) for i, t in enumerate(["der hund läuft", "the dog runs", None, ""])], "doc_id long, text string, _tox_score double, _lang_pred string, _LANG int")
+    scored = toxicity.score(docs, toxicity.Lexicon({}, []))
+    assert scored.columns == [*docs.columns, "__tox_score", "_tox_predicted"] and {r._tox_score for r in scored.collect()} == {7.5}
+    found = language.predict(docs, language.fit(docs.selectExpr("doc_id", "text", "'de' AS lang")))
+    assert found.columns == [*docs.columns, "__lang_pred", "_lang_score", "_lang_rejected"] and {r._lang_pred for r in found.collect()} == {"mine"}
+    with pytest.raises(ValueError):
+        toxicity.score(docs, toxicity.Lexicon({}, []), ("_TOX_score", "p"))

@@ -195,3 +195,19 @@ def test_root_is_that_of_hand_made_tree(spark, pages):
     for _ in range(3):
         node = digest([f"0:{sum(sizes)}:{node}"])
     assert fixity.tree(recs)["root"].first().hash == node
+
+
+def test_narrower_and_wider_arrivals_keep_all_columns(spark, tmp_path):
+    store = sharding.ShardStore(spark, f"file://{tmp_path}/wide")
+    store.append(spark.createDataFrame([(1, "a", 1.5)], "doc_id long, text string, extra double"))
+    store.append(spark.createDataFrame([(2, "b")], "doc_id long, text string"))
+    store.append(spark.createDataFrame([(3, "new", "c")], "doc_id long, more string, text string"))
+    want = [(1, "a", 1.5, None), (2, "b", None, None), (3, "c", None, "new")]
+    assert sorted(tuple(r) for r in store.read().collect()) == want and store.read().columns == ["doc_id", "text", "extra", "more"]
+    for clash in ("doc_id string, text string", "doc_id long, Text string"):
+        with pytest.raises(ValueError):
+            store.append(spark.createDataFrame([], clash))
+    assert len(store.versions()) == 3
+    while store.compact_once():
+        pass
+    assert sorted(tuple(r) for r in store.read().collect()) == want
