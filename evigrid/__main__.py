@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from . import schemas
 from .plans import query, runs, settings, stages
-from .sources import files, seeds, sinks
+from .sources import files, seeds, sinks, store
 
 #: Exit codes: done, failed, refused.
 DONE, FAILED, REFUSED = 0, 1, 2
@@ -50,20 +50,26 @@ _TABLES = ("decided", "field_evidence", "contradictions", "review_queue", "provi
 
 
 def _sync(spark: SparkSession, args: argparse.Namespace) -> dict:
-    run = runs.Run(files.join(args.store, "runs"), args.run_id, args.tenant, ("extract", "export"))
+    run = runs.Run(files.join(args.store, "runs"), args.run_id, args.tenant, ("extract", "merge", "export"))
+    kept = store.KeyedTable(spark, files.join(args.store, "extracted"), ["extracted_id"])
 
     def extract(spark, run):
         pages = seeds.with_seed(spark.read.parquet(args.pages), seeds.ordered(seeds.dedupe(seeds.coerce(seeds.read_rows(spark, args.seeds)))))
         return stages.extract_pages(pages, F.current_timestamp())
 
+    def merge(spark, run):
+        # rows of earlier runs stay, so that records are resolved over all of them
+        done = kept.upsert(run.table(spark, "extract"), F.col("created_at"))
+        return spark.createDataFrame([(done["version"], len(done["rewritten"]))], "version long, rewritten long")
+
     def export(spark, run):
-        tables = stages.score_and_decide(stages.resolve_records(run.table(spark, "extract")), seeds.read_rules(spark, args.rules))
+        tables = stages.score_and_decide(stages.resolve_records(kept.read(run.table(spark, "merge").first()["version"])), seeds.read_rules(spark, args.rules))
         for name in _TABLES:
             tables[name].write.mode("overwrite").parquet(files.join(args.store, "tables", name))
         written = sinks.write_exports(stages.export_accounts(tables, args.limit), files.join(args.store, "out"), args.run_id)
         return spark.createDataFrame([(json.dumps(written), json.dumps(tables["stats"].first().asDict()))], "files string, stats string")
 
-    state = run.execute(spark, {"extract": extract, "export": export})
+    state = run.execute(spark, {"extract": extract, "merge": merge, "export": export})
     row = run.table(spark, "export").first()
     return {"run_id": args.run_id, "status": state["status"], "report": json.loads(row["files"]), "summary": json.loads(row["stats"])}
 

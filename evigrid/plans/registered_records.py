@@ -6,13 +6,15 @@ that every stage runs over whole tables; the SQL states the same rows in its own
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import make_pk
 from ..operators import accounts, extract, frontier, resolve, review, score
-from ..operators.graph import cut
-from ..sources import landing, seeds
+from ..operators.graph import cut, shared_folder
+from ..sources import landing, seeds, store
 from .registered import c, read, registered
 
 FIRST = ("Ann", "Bob", "Cara", "Dale", "Eve", "Finn", "Gail", "Hugo", "Iris", "Jack", "Kate", "Liam", "Mona")
@@ -574,3 +576,18 @@ def frontier_levels(spark, sf_dir):
     site = F.concat(F.lit("https://h"), (n % 7).cast("string"), F.lit(".org"))
     landed = cut(pages.select(F.concat(site, F.lit("/n"), n.cast("string")).alias("url"), html.alias("html"), site.alias("seed"), F.lit("practice_site").alias("source_type"), n.alias("n")))
     return frontier.crawled(landed.select("url", "html"), landed.where("n <= 7").select("url", "seed", "source_type"), 4, 10).select("url", "depth")
+
+
+@registered("""
+WITH base AS (SELECT o_orderkey, o_custkey, o_orderstatus AS status, 0 AS step FROM orders WHERE o_orderkey % 3 <> 0),
+delta AS (SELECT o_orderkey, o_custkey + 1 AS o_custkey, 'D' AS status, 1 AS step FROM orders WHERE o_orderkey % 5 = 0 UNION ALL SELECT o_orderkey, 0, 'E', 2 FROM orders WHERE o_orderkey % 35 = 0)
+SELECT o_orderkey, o_custkey, status, step FROM (
+  SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY step DESC) AS n FROM (SELECT * FROM base UNION ALL SELECT * FROM delta)) WHERE n = 1""")
+def stored_upserts(spark, sf_dir):
+    orders = read(spark, sf_dir, "orders")
+    shape = lambda df, customer, status, at: df.select("o_orderkey", customer.cast("long").alias("o_custkey"), status.alias("status"), F.lit(at).alias("step"))
+    table = store.KeyedTable(spark, f"{shared_folder(spark)}/orders-{uuid.uuid4().hex}", ["o_orderkey"], 16)
+    table.upsert(shape(orders.where("o_orderkey % 3 <> 0"), c("o_custkey"), c("o_orderstatus"), 0), c("step"))
+    delta = shape(orders.where("o_orderkey % 5 = 0"), c("o_custkey") + 1, F.lit("D"), 1).unionByName(shape(orders.where("o_orderkey % 35 = 0"), F.lit(0), F.lit("E"), 2))
+    table.upsert(delta, c("step"))
+    return table.read()
