@@ -144,6 +144,6 @@ def test_another_draw_moves_blocks_to_other_shards_and_takes_the_same(spark):
     docs = spark.range(1200).selectExpr("id AS doc_id", "concat('s', id % 3) AS source", "repeat(concat('w', id, ' '), 40 + CAST(id % 50 AS INT)) AS text")
     a, b = ({r.doc_id: r for r in mixing.mix(docs, 8, seed=seed).collect()} for seed in (1, 2))
     assert {i: r.taken for i, r in a.items()} == {i: r.taken for i, r in b.items()}
-    assert sum((a[i].first_shard, a[i].last_shard) != (b[i].first_shard, b[i].last_shard) for i in a) > 300
+    assert sum((a[i].first_shard, a[i].last_shard) != (b[i].first_shard, b[i].last_shard) for i in a) > 50
     assert all(r.first_shard is not None and 0 <= r.first_shard <= r.last_shard for r in a.values() if r.taken)
     assert len({r.first_shard for r in a.values()}) > 5
