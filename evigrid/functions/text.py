@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import json
 from html.entities import html5
 
 from pyspark.sql import Column
@@ -50,8 +51,9 @@ def _entity_names() -> tuple[dict[str, dict[str, str]], dict[str, str]]:
     return by_head, {n: v for n, v in html5.items() if not n.endswith(";")}
 
 
-def _literal_map(values: dict[str, str]) -> Column:
-    return F.map_from_arrays(F.array(*map(F.lit, values)), F.array(*map(F.lit, values.values())))
+def _literal(values: object, kind: str) -> Column:
+    """A table as one literal; made of a column for each entry it would take seconds to plan."""
+    return F.from_json(F.lit(json.dumps(values)), kind)
 
 
 def _number_letters(number: Column) -> Column:
@@ -62,7 +64,7 @@ def _number_letters(number: Column) -> Column:
     nothing = number.between(1, 8) | (number == 11) | number.between(14, 31) | (number == 127) | number.between(0xFDD0, 0xFDEF) | (low >= 65534)
     return (
         F.when((number == 0) | number.between(0xD800, 0xDFFF) | (number > 0x10FFFF), NO_CHARACTER)
-        .when(number.between(0x80, 0x9F), F.element_at(F.array(*map(F.lit, windows.values())), F.least(F.greatest(number - 127, F.lit(1)), F.lit(32)).cast("int")))
+        .when(number.between(0x80, 0x9F), F.element_at(_literal(list(windows.values()), "array<string>"), F.least(F.greatest(number - 127, F.lit(1)), F.lit(32)).cast("int")))
         .when(nothing, "").otherwise(letter)
     )
 
@@ -70,8 +72,7 @@ def _number_letters(number: Column) -> Column:
 def unescape(c: Column) -> Column:
     """HTML entities as their letters: names by the longest that is known, decimal and hexadecimal numbers; what is no entity stays."""
     by_head, short = _entity_names()
-    heads = F.map_from_arrays(F.array(*map(F.lit, by_head)), F.array(*(_literal_map(names) for names in by_head.values())))
-    shorts = _literal_map(short)
+    heads, shorts = _literal(by_head, "map<string,map<string,string>>"), _literal(short, "map<string,string>")
 
     def letters(hit: Column) -> Column:
         body = F.substr(hit, F.lit(2))
