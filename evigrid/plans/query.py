@@ -60,7 +60,7 @@ def status_counts(tables: dict[str, DataFrame], filters: dict[str, tuple[str, st
     return out
 
 
-# The six presets: table, columns, condition and order; all end in a limit.
+# The six presets: table, columns, condition and order; all end in a limit.
 PRESETS = {
     "failed-domains": ("seed_telemetry", "seed_domain, last_status_code, last_run_status, last_run_success_pages, last_run_failure_pages, last_run_completed_at",
                        "last_run_success_pages = 0 OR last_run_status <> 'completed'", "last_run_completed_at DESC, seed_domain ASC"),
