@@ -117,6 +117,8 @@ def _prepared(rows: DataFrame, row_id: str, order: str) -> tuple[DataFrame, Data
     """What resolution reads of each row, its probes, and when each practice's address contains which domains."""
     c, have = F.col, set(rows.columns)
     board = is_board(c("source_type") if "source_type" in have else F.lit(""), c("extraction_profile") if "extraction_profile" in have else F.lit(""))
+    if "state" not in have and "license_state" in have:  # rows without a place's state are of their licence's
+        rows, have = rows.withColumn("state", c("license_state")), have | {"state"}
     text = lambda n: F.coalesce(c(n), F.lit("")) if n in have else F.lit("")
     url, lower = text("source_url"), lambda x: F.lower(normalize_text(x))
     domain = normalize_domain(url)
