@@ -6,6 +6,7 @@ fetches, orders and customers for records and accounts, labels for evidence.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,8 @@ from pyspark.sql import functions as F
 
 from ..functions import signals, text
 from ..operators import dossier, export, frontier, merge, resolve, review, score
+from ..operators.graph import shared_folder
+from ..streaming import domains
 
 from . import query
 
@@ -758,6 +761,44 @@ def failure_storm_first_crossing(spark, sf_dir):
     return frontier.storms(failures, "user_id", ["ts", "event_id"], "kind").select("user_id", "kind", "event_id", "failures")
 
 
+#: Fetches made of events: users as domains, a path that some events share, a policy by user.
+_PAGE_LIMIT = 12
+_FETCHED = f"""(SELECT user_id, 'u' || CAST(user_id AS VARCHAR) AS domain, ts, event_id, CASE WHEN event_type <> 'error' THEN NULL WHEN user_id % 7 = 0 THEN 'dns' WHEN {_EVENT_STATUS} IN (429, 503) THEN 'blocked'
+  WHEN {_EVENT_STATUS} = 404 THEN 'not_found' WHEN user_id % 7 = 1 THEN 'connect' ELSE 'error' END AS kind, CASE event_id % 4 WHEN 0 THEN '/' WHEN 1 THEN '/a.html' ELSE '/p' || CAST(event_id % 4 AS VARCHAR) || '/' END AS prefix,
+  {_EVENT_STATUS} AS status, CASE WHEN user_id % 7 = 0 THEN 'dns error: x' WHEN user_id % 7 = 1 THEN 'Connection reset' ELSE '' END AS error FROM events)"""
+_INTERVENED = f"""
+SELECT domain, CASE kind WHEN 'dns' THEN 'auto_quarantine_seed' WHEN 'blocked' THEN 'auto_stop_domain' ELSE 'auto_disable_discovery' END AS action, CASE kind WHEN 'dns' THEN 'dns_failure' ELSE kind || '_storm' END AS reason,
+  '' AS detail, event_id, n AS failures FROM (SELECT *, count(*) OVER (PARTITION BY domain, kind ORDER BY ts, event_id) AS n FROM {_FETCHED} WHERE kind IS NOT NULL)
+  WHERE n = CASE kind WHEN 'dns' THEN 1 WHEN 'blocked' THEN 3 WHEN 'not_found' THEN 8 END
+UNION ALL SELECT domain, 'auto_suppress_prefix', kind || '_storm', prefix, event_id, n FROM (SELECT *, count(*) OVER (PARTITION BY domain, prefix ORDER BY ts, event_id) AS n FROM {_FETCHED} WHERE kind IS NOT NULL AND prefix <> '/') WHERE n = 3
+UNION ALL SELECT domain, 'browser_escalation', 'status:' || CAST(status AS VARCHAR), '', event_id, NULL FROM (SELECT *, row_number() OVER (PARTITION BY domain ORDER BY ts, event_id) AS k FROM
+  (SELECT *, count(*) FILTER (kind IS NULL) OVER (PARTITION BY domain ORDER BY ts, event_id) AS came FROM {_FETCHED}) WHERE kind = 'blocked' AND user_id % 3 <> 0 AND user_id % 4 <> 0 AND came < {_PAGE_LIMIT}) WHERE k = 1"""
+
+
+def _fetched(rows: DataFrame) -> DataFrame:
+    error = F.when(c("user_id") % 7 == 0, "dns error: x").when(c("user_id") % 7 == 1, "Connection reset").otherwise("")
+    path = F.when(c("event_id") % 4 == 0, "").when(c("event_id") % 4 == 1, "a.html").otherwise(F.concat(F.lit("p"), (c("event_id") % 4).cast("string"), F.lit("/x")))
+    return domains.fetches(
+        rows, F.concat(F.lit("u"), c("user_id").cast("string")), c("ts"), c("event_id"), F.concat(F.lit("https://e.org/"), path), _event_status(), error, c("event_type") != "error",
+        F.when(c("user_id") % 3 == 0, "http_only").otherwise("auto"), c("user_id") % 4 != 0, F.lit(2),
+    )
+
+
+@registered(_INTERVENED)
+def domain_interventions(spark, sf_dir):
+    return domains.interventions(_fetched(read(spark, sf_dir, "events")), _PAGE_LIMIT)
+
+
+@registered(f"""
+SELECT *, NULL AS pages FROM ({_INTERVENED})
+UNION ALL SELECT domain, 'observed', arg_max(CASE WHEN kind IS NULL THEN '' WHEN error = '' THEN kind ELSE error END, (ts, event_id)), '', arg_max(event_id, (ts, event_id)), count(kind), count(*) FILTER (kind IS NULL) FROM {_FETCHED} GROUP BY domain""")
+def domain_state_stream(spark, sf_dir):
+    """The same by a stateful stream, run to its end over the table as one micro-batch, with what each domain's state holds then."""
+    # a pattern, since a stream's plain path has to be a folder and the table may be one file
+    events = spark.readStream.schema(read(spark, sf_dir, "events").schema).parquet(f"{sf_dir}/event[s].parquet")
+    return domains.stored(domains.domain_stream(_fetched(events), _PAGE_LIMIT), f"{shared_folder(spark)}/domains-{uuid.uuid4().hex}").drop("batch")
+
+
 # ---------------------------------------------------------------- quality report
 
 _REFERENCE_DAY = "1998-09-01"

@@ -9,24 +9,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators.frontier import PREFIX_STORM_LIMIT, STORM_LIMITS
+from .domains import ACTIONS, REASONS, _Batch
 
-# What reaching the limit of a kind does.
-ACTIONS = {"dns": "auto_quarantine_seed", "blocked": "auto_stop_domain", "not_found": "auto_disable_discovery"}
 OUTPUT = "domain string, action string, reason string, event_id long, failures int"
 
 
 def _observe(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     counts = dict(zip(*state.get, strict=True)) if state.exists else {}
-    found = []
-    rows = pd.concat(list(parts))
-    for r in rows.sort_values(["ts", "event_id"], kind="stable").itertuples(index=False):
-        n = counts[r.kind] = counts.get(r.kind, 0) + 1
-        if n == STORM_LIMITS.get(r.kind):
-            found.append((key[0], ACTIONS[r.kind], f"{r.kind}_storm" if r.kind != "dns" else "dns_failure", int(r.event_id), n))
-        if r.prefix and r.prefix != "/":
-            m = counts[f"prefix {r.prefix}"] = counts.get(f"prefix {r.prefix}", 0) + 1
-            if m == PREFIX_STORM_LIMIT:
-                found.append((key[0], "auto_suppress_prefix", f"{r.kind}_storm", int(r.event_id), m))
+    found, batch = [], _Batch(0)
+    for part in parts:
+        if len(part):
+            batch.add(part.rename(columns={"ts": "at"}).assign(escalation=None, browser_pages=0))
+    for (by, name), n in batch.totals.items():
+        before = counts.get(f"{by} {name}", 0)
+        counts[f"{by} {name}"] = before + n
+        limit = STORM_LIMITS.get(name, 0) if by == "kind" else PREFIX_STORM_LIMIT if by == "prefix" else 0
+        if before < limit <= before + n:
+            r = batch.crossing(by, name, limit - before)
+            action, reason = (ACTIONS[name], REASONS[name]) if by == "kind" else ("auto_suppress_prefix", f"{r['kind']}_storm")
+            found.append((key[0], action, reason, int(r["event_id"]), limit))
     state.update((list(counts), list(counts.values())))
     yield pd.DataFrame(found, columns=["domain", "action", "reason", "event_id", "failures"])
 
