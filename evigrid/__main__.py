@@ -69,7 +69,13 @@ def _sync(spark: SparkSession, args: argparse.Namespace) -> dict:
         written = sinks.write_exports(stages.export_accounts(tables, args.limit), files.join(args.store, "out"), args.run_id)
         return spark.createDataFrame([(json.dumps(written), json.dumps(tables["stats"].first().asDict()))], "files string, stats string")
 
-    state = run.execute(spark, {"extract": extract, "merge": merge, "export": export})
+    controls = runs.Controls(files.join(args.store, "controls.json"))
+    try:
+        state = run.execute(spark, {"extract": extract, "merge": merge, "export": export})
+    except Exception as error:
+        controls.finalise("failed", message=str(error))
+        raise
+    controls.finalise(state["status"])
     row = run.table(spark, "export").first()
     return {"run_id": args.run_id, "status": state["status"], "report": json.loads(row["files"]), "summary": json.loads(row["stats"])}
 

@@ -118,12 +118,14 @@ def crawled(pages: DataFrame, starts: DataFrame, most_depth: int, per_page: int,
 
 def path_prefix(url: Column) -> Column:
     """The bucket of paths that failures are counted in."""
-    path = path_of(url)
-    first = F.regexp_extract(path, r"^/+([^/]+)", 1)
-    out = F.when(path == "/", F.lit("/"))
-    for p in (*STATIC_PATHS, *LOW_VALUE_PATHS):
-        out = out.when((path == p.rstrip("/")) | path.startswith(p), F.lit(p))
-    return out.when(first == "", F.lit("/")).when(first.contains("."), F.concat(F.lit("/"), first)).otherwise(F.concat(F.lit("/"), first, F.lit("/")))
+    def bucket(path: Column) -> Column:
+        first = F.regexp_extract(path, r"^/+([^/]+)", 1)
+        out = F.when(path == "/", F.lit("/"))
+        for p in (*STATIC_PATHS, *LOW_VALUE_PATHS):
+            out = out.when((path == p.rstrip("/")) | path.startswith(p), F.lit(p))
+        return out.when(first == "", F.lit("/")).when(first.contains("."), F.concat(F.lit("/"), first)).otherwise(F.concat(F.lit("/"), first, F.lit("/")))
+
+    return let(path_of(url), bucket)
 
 
 def segments(url: Column) -> Column:

@@ -22,6 +22,8 @@ from ..sources import files
 # The stages in order, and how many interventions a run keeps and shows.
 STAGES = ("seed_ingest", "crawl", "extract", "resolve", "score", "qa", "export")
 KEPT_INTERVENTIONS, SHOWN_INTERVENTIONS = 200, 10
+#: Older versions of the controls that stay readable, and how much of an error's text is kept.
+KEPT_VERSIONS, ERROR_LENGTH = 20, 240
 
 
 def now() -> str:
@@ -85,18 +87,53 @@ class Run:
 
 
 class Controls:
-    """Operator controls of a run's domains and the log of interventions."""
+    """Operator controls of a run's domains and the log of interventions.
+
+    The document has versions, one file each. A change is made on the newest and written as the next,
+    which fails if another writer was first; then it is made again on theirs, so no change is lost.
+    """
 
     def __init__(self, path: str):
         self.path = path
-        self.state = _load(path) or {"domains": {}, "interventions": []}
+        self.state = self._newest()[1]
+
+    def _newest(self) -> tuple[int, dict[str, Any]]:
+        folder, name = self.path.rsplit("/", 1) if "/" in self.path else (".", self.path)
+        while True:
+            found = [int(n.rsplit(".v", 1)[1]) for n in files.names(folder) if re.fullmatch(re.escape(name) + r"\.v\d{8}", n)]
+            if not found:
+                return 0, _load(self.path) or {"domains": {}, "interventions": []}
+            state = _load(f"{self.path}.v{max(found):08d}")
+            if state is not None:
+                return max(found), state
+
+    def _change(self, change: Callable[[dict[str, Any]], Any]) -> Any:
+        """Make a change on the newest version; what ``change`` gives, and nothing is written where that is False."""
+        while True:
+            version, state = self._newest()
+            result = change(state)
+            if result is False:
+                self.state = state
+                return False
+            if files.create_bytes(f"{self.path}.v{version + 1:08d}", json.dumps(state, indent=2).encode()):
+                if version > KEPT_VERSIONS:
+                    files.remove(f"{self.path}.v{version - KEPT_VERSIONS:08d}")
+                self.state = state
+                return result
+
+    def refresh(self) -> dict[str, Any]:
+        """The newest version, with what other writers changed."""
+        self.state = self._newest()[1]
+        return self.state
 
     def observe(self, domain: str, **runtime: Any) -> None:
-        """Note what a crawl of the domain does. Controls that operators changed meanwhile stay: the document is read anew and only the runtime part is replaced."""
-        self.state = _load(self.path) or self.state
-        record = self.state.setdefault("runtime", {}).setdefault(domain, {"status": "idle", "last_error": ""})
-        record |= runtime | {"updated_at": now()}
-        _replace(self.path, self.state)
+        """Note what a crawl of the domain does; controls that operators set stay."""
+        self._change(lambda state: self._observed(state, domain, runtime))
+
+    @staticmethod
+    def _observed(state: dict[str, Any], domain: str, runtime: Mapping[str, Any]) -> None:
+        record = state.setdefault("runtime", {}).setdefault(domain, {"status": "idle", "last_error": ""})
+        record |= {**runtime, "updated_at": now()}
 
     def succeeded(self, domain: str, **runtime: Any) -> None:
         """A page came: the error text is cleared, counts of failures stay."""
@@ -104,22 +141,39 @@ class Controls:
 
     def once(self, key: str, action: str, domain: str, reason: str) -> bool:
         """Log an automatic intervention unless one of this key was logged for the domain before."""
-        self.state = _load(self.path) or self.state
-        keys = self.state.setdefault("keys", {}).setdefault(domain, [])
+        return self._change(lambda state: self._first(state, key, action, domain, reason))
+
+    def _first(self, state: dict[str, Any], key: str, action: str, domain: str, reason: str) -> bool:
+        keys = state.setdefault("keys", {}).setdefault(domain, [])
         if key in keys:
             return False
         keys.append(key)
-        self._log(action, domain, reason, "auto")
+        self._log(state, action, domain, reason, "auto")
         return True
 
     def escalate(self, domain: str, reason: str, mode: str, on_block: bool, browser_pages: int, pages_left: int) -> bool:
         """Ask for a browser once a domain, where its policy allows one and pages are left for it."""
-        allowed = mode != "http_only" and on_block and min(browser_pages, pages_left) > 0
-        runtime = self.state.get("runtime", {}).get(domain, {})
-        if not allowed or runtime.get("browser_escalated") or not self.once(f"browser:{reason}", "browser_escalation", domain, reason):
+        if mode == "http_only" or not on_block or min(browser_pages, pages_left) <= 0:
             return False
-        self.observe(domain, browser_escalated=True, last_error=reason)
-        return True
+
+        def change(state: dict[str, Any]) -> bool:
+            asked = state.get("runtime", {}).get(domain, {}).get("browser_escalated")
+            if asked or not self._first(state, f"browser:{reason}", "browser_escalation", domain, reason):
+                return False
+            self._observed(state, domain, {"browser_escalated": True, "last_error": reason})
+            return True
+
+        return self._change(change)
+
+    def finalise(self, status: str, replace_running_with: str = "", message: str = "") -> None:
+        """End a run: domains still running take the status, and the message where they have no error."""
+        def change(state: dict[str, Any]) -> None:
+            state |= {"status": status, "current_domain": ""}
+            for record in state.get("runtime", {}).values():
+                if record.get("status") == "running":
+                    record |= {"status": replace_running_with or status, "last_error": record.get("last_error") or message[:ERROR_LENGTH], "updated_at": now()}
+
+        self._change(change)
 
     def limits(self, domain: str, base: Mapping[str, int]) -> dict[str, Any]:
         """What holds for a domain now: its page limits under a cap, its prefixes, and whether it stops."""
@@ -130,15 +184,17 @@ class Controls:
             "stop": bool(record.get("stop_requested") or record.get("quarantined")), "quarantined": bool(record.get("quarantined")),
         }
 
-    def _log(self, action: str, domain: str, reason: str, source: str) -> None:
-        self.state["interventions"].append({"at": now(), "domain": domain, "action": action, "reason": reason, "source": source})
-        del self.state["interventions"][:-KEPT_INTERVENTIONS]
-        _replace(self.path, self.state)
+    @staticmethod
+    def _log(state: dict[str, Any], action: str, domain: str, reason: str, source: str) -> None:
+        state["interventions"].append({"at": now(), "domain": domain, "action": action, "reason": reason, "source": source})
+        del state["interventions"][:-KEPT_INTERVENTIONS]
 
     def apply(self, action: str, domain: str, reason: str, source: str = "operator", prefix: str = "", max_pages: int = 0) -> None:
         """Quarantine, suppress a prefix, cap, stop or clear a domain, and log it."""
-        self.state = _load(self.path) or self.state
-        record = self.state["domains"].setdefault(domain, {})
+        self._change(lambda state: self._applied(state, action, domain, reason, source, prefix, max_pages))
+
+    def _applied(self, state: dict[str, Any], action: str, domain: str, reason: str, source: str, prefix: str, max_pages: int) -> None:
+        record = state["domains"].setdefault(domain, {})
         if action == "quarantine-seed":
             record |= {"quarantined": True, "quarantine_reason": reason}
         elif action == "suppress-prefix":
@@ -148,10 +204,10 @@ class Controls:
         elif action == "stop-domain":
             record["stop_requested"] = True
         elif action == "clear-domain":
-            self.state["domains"].pop(domain)
+            state["domains"].pop(domain)
         else:
             raise ValueError(f"unknown action: {action}")
-        self._log(action, domain, reason, source)
+        self._log(state, action, domain, reason, source)
 
     def frame(self, spark: SparkSession) -> DataFrame:
         """The controls as a small table, to be joined with pages or a stream."""

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -60,6 +61,56 @@ def write_bytes(path: str, data: bytes) -> None:
     fs.rename(part, target)
 
 
+def create_bytes(path: str, data: bytes) -> bool:
+    """Write a document that doesn't exist yet; False, and no change, where another writer was first."""
+    if not _remote(path):
+        folder = Path(path).parent
+        folder.mkdir(parents=True, exist_ok=True)
+        handle, name = tempfile.mkstemp(dir=folder, prefix=".new-")
+        with os.fdopen(handle, "wb") as out:
+            out.write(data)
+        try:
+            os.link(name, path)
+            return True
+        except FileExistsError:
+            return False
+        finally:
+            os.unlink(name)
+    spark, target, fs = _hadoop(path)
+    part = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.new")
+    stream = fs.create(part, False)
+    try:
+        stream.write(bytearray(data))
+    finally:
+        stream.close()
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark._jsc.hadoopConfiguration())
+    try:
+        context.rename(part, target, spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 0))
+        return True
+    except Exception:
+        fs.delete(part, False)
+        if fs.exists(target):
+            return False
+        raise
+
+
+def names(folder: str) -> list[str]:
+    """Names of a folder's files; none where it doesn't exist."""
+    if not _remote(folder):
+        return sorted(p.name for p in Path(folder).iterdir() if p.is_file()) if Path(folder).is_dir() else []
+    _, target, fs = _hadoop(folder)
+    return sorted(s.getPath().getName() for s in fs.listStatus(target) if s.isFile()) if fs.exists(target) else []
+
+
+def remove(path: str) -> None:
+    """Remove a document if it is there."""
+    if not _remote(path):
+        Path(path).unlink(missing_ok=True)
+        return
+    _, target, fs = _hadoop(path)
+    fs.delete(target, False)
+
+
 def latest(folder: str, ending: str = "") -> str | None:
     """The file of a folder that was changed last; ties go to the greater name."""
     if not _remote(folder):
