@@ -1,23 +1,22 @@
 """Alignment of two tokenizers' tokens over the bytes of the same text.
 
-A transducer reads tokens of both sides. Its state says which side leads and by which bytes; the
-side behind reads next, and a transition depends on the dangling bytes and the token alone, so it is
-remembered. Where nothing dangles, both sides end at the same byte and a group of tokens closes.
-Every distinct chunk of a block runs through it once. Pairs of ids that share a group are counted by
-the documents that hold them, over the whole corpus, and the counts are joined back to the blocks.
+Every distinct chunk of a block is encoded once by both sides. Running sums of token sizes give the
+bytes where tokens end; where both sides end, a group of tokens closes, for all chunks of a block at
+once. Pairs of ids that share a group are counted by the documents that hold them, over the whole
+corpus, and the counts are joined back to the blocks.
 """
 
 from __future__ import annotations
 
 import functools
 import hashlib
-from array import array
-from collections import Counter
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,14 +25,17 @@ from ._common import ids_and_texts, small_batches, stored
 
 A_VOCABULARY = "byte_bpe_50k.json"
 B_VOCABULARY = "piece_bpe_32k.model"
-#: Chunks and transitions that a worker remembers.
-REMEMBERED = 20_000
+#: Transitions that are remembered.
 TRANSITIONS = 300_000
+#: Chunks whose digest texts are joined at once.
+JOINED = 100_000
 
 
 class Transducer:
-    """Cuts two token sequences into groups that cover the same bytes.
+    """Cuts two token sequences into groups that cover the same bytes, token by token.
 
+    It says for one chunk what ``Aligner.aligned`` finds for all chunks of a block; a test holds both
+    against each other. The side behind reads next, and a transition is remembered.
     A state is twice a number, plus 1 if A leads, so that B reads next; state 0: nothing dangles.
     Ids of both sides are below 2 to the 20th.
     """
@@ -104,10 +106,10 @@ class Transducer:
 
 
 class Aligner:
-    """Both tokenizers of a worker and what it remembers of chunks.
+    """Both tokenizers of a worker; nothing of a text is kept from one block to the next.
 
     Neither tokenizer merges over a blank within a text without runs of blanks, so each chunk with
-    the blank before it is encoded alone; other texts are one chunk.
+    the blank before it has the tokens that it has within its text; other texts are one chunk.
     """
 
     def __init__(self, a_path: str, b_path: str):
@@ -118,83 +120,105 @@ class Aligner:
         # without special tokens the rank-merging library gives the file's ids
         self.a = tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.b = SentencePieceProcessor(model_file=b_path)
-        a_bytes = [b""] * (max(ranks.values()) + 1)
+        self.a_bytes = [b""] * (max(ranks.values()) + 1)
         for token, i in ranks.items():
-            a_bytes[i] = token
+            self.a_bytes[i] = token
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
-        b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
+        self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
+        self.a_sizes, self.b_sizes = (np.array([len(x) for x in side], np.int64) for side in (self.a_bytes, self.b_bytes))
         blank_inside = any("▁" in p.lstrip("▁") for p in pieces)
         self.whole = "(?s)." if blank_inside else rf"^ |  | $|\x00|{blocks.SPACES} {blocks.SPACES}"
-        self.transducer = Transducer(a_bytes, b_bytes)
-        self.known: dict[str, tuple] = {}
-        self.older: dict[str, tuple] = {}
-        self.texts: dict[int, str] = {}
-
-    def chunk(self, a: list[int], b: list[int]) -> tuple:
-        """Counts of tokens, groups and links, the groups' digest text, and linked pairs, perhaps again and again, with how often each is linked."""
-        groups = self.transducer.groups(a, b)
-        if groups is None:
-            return (0, 0, -1, 0, "", array("q"), array("q"))
-        if len(self.texts) > TRANSITIONS:
-            self.texts = {}
-        known, links, text, pairs, times = self.texts.get, 0, [], [], []
-        for g in groups:
-            if type(g) is int:
-                said = known(g)
-                if said is None:
-                    said = self.texts[g] = f"{g >> 32}|{g & 0xFFFFFFFF}"
-                text.append(said)
-                pairs.append(g)
-                times.append(1)
-                links += 1
-                continue
-            left, right = g
-            text.append(f"{','.join(map(str, left))}|{','.join(map(str, right))}")
-            links += len(left) * len(right)
-            theirs = Counter(right)
-            for x, m in Counter(left).items():
-                for y, n in theirs.items():
-                    pairs.append(x << 32 | y)
-                    times.append(m * n)
-        return (len(a), len(b), len(groups), links, ";".join(text), array("q", pairs), array("q", times))
-
-    def chunks(self, words: list[str]) -> list[tuple]:
-        """What ``chunk`` says of each word; words not seen for long are forgotten."""
-        if len(self.known) > REMEMBERED:
-            self.known, self.older = {}, self.known
-        known, older = self.known, self.older
-        new = []
-        for w in words:
-            if w not in known:
-                if w in older:
-                    known[w] = older[w]
-                else:
-                    new.append(w)
-        for w, b in zip(new, self.b.encode(new, num_threads=1), strict=True):
-            known[w] = self.chunk(self.a.encode_ordinary(f" {w}"), b)
-        return [known[w] for w in words]
+        #: what the digest's text says of an id of A within a group and at its side's end, then the same of B
+        said = [[f"{i}{sign}".encode() for i in range(n) for sign in signs] for n, signs in ((len(self.a_bytes), ",|"), (len(self.b_bytes), ",;"))]
+        self.said = pa.array(said[0] + said[1], pa.binary())
+
+    def encoded(self, words: list[str], together: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Tokens of A and of B and their chunks, all in order, without the chunks whose bytes B doesn't give back, and which these are.
+
+        The first ``together`` chunks neither begin nor end with white space: A encodes them as one text.
+        """
+        led = [f" {w}" for w in words]
+        sizes = np.array([len(x.encode()) for x in led], np.int64)
+        ends = np.cumsum(sizes)
+        a = self.a.encode_ordinary("".join(led[:together]))
+        if together and not np.isin(ends[:together], np.cumsum(self.a_sizes[a])).all():
+            a, together = [], 0
+        for x in led[together:]:
+            a += self.a.encode_ordinary(x)
+        a = np.array(a, np.int64)
+        of_a = np.searchsorted(ends, np.cumsum(self.a_sizes[a]))
+        lists = self.b.encode(words, num_threads=1)
+        b = np.fromiter(itertools.chain.from_iterable(lists), np.int64)
+        of_b = np.repeat(np.arange(len(words)), np.fromiter(map(len, lists), np.int64, len(words)))
+        read = np.zeros(len(words), np.int64)
+        np.add.at(read, of_b, self.b_sizes[b])
+        bad = read != sizes
+        same = np.flatnonzero(~bad)
+        if b"".join([self.b_bytes[i] for i in b[~bad[of_b]].tolist()]) != "".join([led[i] for i in same.tolist()]).encode():
+            for i in same.tolist():
+                bad[i] = b"".join([self.b_bytes[t] for t in lists[i]]) != led[i].encode()
+        kept_a, kept_b = ~bad[of_a], ~bad[of_b]
+        return a[kept_a], of_a[kept_a], b[kept_b], of_b[kept_b], bad
+
+    def aligned(self, words: list[str], together: int) -> tuple[np.ndarray, pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+        """Of each chunk: its numbers of tokens of A and B, groups and links (groups -1 if the bytes differ), its part of the digest's text, and how many pairs it has; then all chunks' linked pairs and how often each is linked."""
+        a, of_a, b, of_b, bad = self.encoded(words, together)
+        # both sides cover the same bytes, so one running count of bytes says where tokens end
+        a_ends, b_ends = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
+        cuts = np.intersect1d(a_ends, b_ends, assume_unique=True)
+        group_a, group_b = np.searchsorted(cuts, a_ends), np.searchsorted(cuts, b_ends)
+        n_a, n_b = (np.bincount(g, minlength=len(cuts)) for g in (group_a, group_b))
+        upto_a, upto_b = np.cumsum(n_a), np.cumsum(n_b)
+        owner = of_a[upto_a - 1]
+        counts = np.zeros((len(words), 4), np.int64)
+        for column, value in enumerate((n_a, n_b, 1, n_a * n_b)):
+            np.add.at(counts[:, column], owner, value)
+        counts[bad, 2] = -1
+        # the digest's text: each group's tokens of A, then those of B
+        at_a, at_b = np.arange(len(a)), np.arange(len(b))
+        said = np.empty(len(a) + len(b), np.int64)
+        said[at_a + (upto_b - n_b)[group_a]] = a * 2 + (at_a == upto_a[group_a] - 1)
+        said[at_b + upto_a[group_b]] = (len(self.a_bytes) + b) * 2 + (at_b == upto_b[group_b] - 1)
+        text = pc.binary_join(blocks.list_array(counts[:, 0] + counts[:, 1], self.said.take(pa.array(said))), b"")
+        # a group's distinct ids of either side, so that a long group costs its pairs of ids and not of places
+        (ids_a, times_a), (ids_b, times_b) = (np.unique(g << 20 | ids, return_counts=True) for g, ids in ((group_a, a), (group_b, b)))
+        d_a, d_b = (np.bincount(ids >> 20, minlength=len(cuts)) for ids in (ids_a, ids_b))
+        of = np.repeat(np.arange(len(cuts)), d_a * d_b)
+        place = blocks.ranges(np.zeros(len(cuts), np.int64), d_a * d_b)
+        left, right = (np.cumsum(d_a) - d_a)[of] + place // d_b[of], (np.cumsum(d_b) - d_b)[of] + place % d_b[of]
+        lengths = np.zeros(len(words), np.int64)
+        np.add.at(lengths, owner, d_a * d_b)
+        low = (1 << 20) - 1
+        return counts, text, lengths, (ids_a[left] & low) << 32 | ids_b[right] & low, times_a[left] * times_b[right]
 
     def block(self, ids: pa.Array, texts: pa.Array) -> dict[str, pa.Array]:
         """One block's documents, their linked pairs, and the block's distinct pairs."""
         words, codes, starts = blocks.chunked(texts, self.whole)
-        found = self.chunks(words)
+        plain = np.array([bool(w) and not w[0].isspace() and not w[-1].isspace() for w in words], bool)
+        if plain.any():
+            # whole texts may hold runs of blanks but not at their ends, which is all that matters here
+            order = np.r_[np.flatnonzero(plain), np.flatnonzero(~plain)]
+            back = np.empty(len(words), np.int64)
+            back[order] = np.arange(len(words))
+            words, codes = [words[i] for i in order.tolist()], back[codes]
+        chunk_counts, said, lengths, keys, links = self.aligned(words, int(plain.sum()))
         owner = np.repeat(np.arange(len(ids)), np.diff(starts))
-        empty = np.array([not t for t in texts.to_pylist()], bool)
-        counts = np.array([f[:4] for f in found], np.int64).reshape(-1, 4)[codes]
-        ok = ~empty
+        counts = chunk_counts[codes]
+        ok = pc.fill_null(pc.greater(pc.binary_length(texts), 0), False).to_numpy(zero_copy_only=False).copy()
         ok[owner[counts[:, 2] < 0]] = False
-        sums = np.zeros((len(ids), 4), np.int64)
-        for c in range(4):
-            np.add.at(sums[:, c], owner, counts[:, c])
+        sums = np.add.reduceat(counts, starts[:-1])
         sums[~ok] = 0
-        digests = [f[4] for f in found]
-        shas = [hashlib.sha256(";".join([digests[c] for c in codes[a:b].tolist()]).encode()).hexdigest() if o else "" for a, b, o in zip(starts[:-1], starts[1:], ok.tolist(), strict=True)]
+        shas = []
+        for i, fine in enumerate(ok.tolist()):
+            text = hashlib.sha256()
+            for c in range(starts[i], starts[i + 1], JOINED) if fine else ():
+                part = b"".join(said.take(pa.array(codes[c : min(c + JOINED, starts[i + 1])])).to_pylist())
+                text.update(part if c + JOINED < starts[i + 1] else part[:-1])
+            shas.append(text.hexdigest() if fine else "")
         # pairs by document: distinct chunks of each document first, then their pairs
         kept = ok[owner]
         per, times = np.unique(owner[kept] * len(words) + codes[kept], return_counts=True)
         doc, code = np.divmod(per, max(1, len(words)))
-        lengths = np.array([len(f[5]) for f in found], np.int64)
-        keys, links = (np.frombuffer(b"".join([f[c] for f in found]), np.int64) for c in (5, 6))
         distinct, number = np.unique(keys, return_inverse=True)
         at = blocks.ranges((np.cumsum(lengths) - lengths)[code], lengths[code])
         doc, times = np.repeat(doc, lengths[code]), np.repeat(times, lengths[code])

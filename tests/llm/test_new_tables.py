@@ -264,3 +264,35 @@ def test_transducer_closes_groups_where_both_sides_end():
     before = len(machine.moves)
     machine.groups([0, 1, 2] * 50, [0, 1, 2] * 50)
     assert len(machine.moves) == before
+
+
+def test_chunks_of_a_block_align_as_one_by_one():
+    both = alignment.aligner(alignment.A_VOCABULARY, alignment.B_VOCABULARY)
+    plain = ["the", "naïve", "don't", "日本語", "x" * 40, "1,234.5", "a\nb", "▁x", "ﬁn", "\U0001f600!", "a　b", "é́"]
+    words = [*plain, "", "two  blanks here", "end\n", "\ttab", " led"]
+    counts, text, lengths, keys, links = both.aligned(words, len(plain))
+    machine, at = alignment.Transducer(both.a_bytes, both.b_bytes), 0
+    for w, n, said, k in zip(words, counts.tolist(), text.to_pylist(), lengths.tolist(), strict=True):
+        a, b = both.a.encode_ordinary(f" {w}"), both.b.encode(w)
+        groups = machine.groups(a, b)
+        if groups is not None:
+            groups = [([g >> 32], [g & 0xFFFFFFFF]) if isinstance(g, int) else g for g in groups]
+            pairs = Counter(x << 32 | y for left, right in groups for x in left for y in right)
+            assert n == [len(a), len(b), len(groups), pairs.total()]
+            assert said.decode() == "".join(",".join(map(str, left)) + "|" + ",".join(map(str, right)) + ";" for left, right in groups)
+            got = Counter()
+            for key, times in zip(keys[at : at + k].tolist(), links[at : at + k].tolist(), strict=True):
+                got[key] += times
+            assert got == pairs
+        else:
+            assert n == [0, 0, -1, 0] and said == b"" and k == 0
+        at += k
+
+
+def test_aligner_keeps_nothing_of_texts():
+    both = alignment.aligner(alignment.A_VOCABULARY, alignment.B_VOCABULARY)
+    held = lambda: sum(len(v) for v in vars(both).values() if isinstance(v, dict | list | str))
+    before = held()
+    for i in range(3):
+        both.block(pa.array([1, 2]), pa.array([f"text {i}  with two blanks", " ".join(f"w{i}x{k}" for k in range(500))]))
+    assert held() == before
