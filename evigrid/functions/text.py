@@ -108,9 +108,8 @@ def _authority(url: Column) -> Column:
 
 def normalize_domain(c: Column) -> Column:
     """Lower-case authority without ``www.``; a port stays; https is assumed where there is no scheme."""
-    v = F.lower(normalize_text(c))
-    full = F.when(v.contains("://"), v).otherwise(F.concat(F.lit("https://"), v))
-    return F.when(v == "", F.lit("")).otherwise(F.regexp_replace(_authority(full), r"^www\.", ""))
+    # one pattern, so that the text is looked at once: a scheme at the start or none anywhere
+    return F.regexp_extract(F.lower(normalize_text(c)), r"^(?:[a-z][a-z0-9+.-]*://|(?!.*://))(?:www\.)?([^/?#]*)", 1)
 
 
 def same_domain(a: Column, b: Column) -> Column:
@@ -132,16 +131,20 @@ def normalize_url(c: Column) -> Column:
     Names and values of the query are decoded and encoded again, so one address has one form; escapes
     that are broken stay. Escapes in the path stay.
     """
-    v = normalize_text(c)
-    full = F.when(v.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), v).otherwise(F.concat(F.lit("https://"), v))
-    scheme = F.lower(F.regexp_extract(full, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1))
-    host = F.regexp_replace(F.lower(_authority(full)), r"^www\.", "")
-    path = F.regexp_extract(full, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#;]*)", 1)
-    path = F.when(path == "", F.lit("/")).when(path == "/", path).otherwise(F.regexp_replace(path, r"/$", ""))
-    pairs = F.filter(F.split(F.regexp_extract(full, r"\?([^#]*)", 1), "&"), lambda p: p.rlike(r"^[^=]*=.+$"))
-    decoded = F.transform(pairs, lambda p: F.struct(_decoded(F.regexp_extract(p, r"^([^=]*)=", 1)).alias("k"), _decoded(F.regexp_extract(p, r"^[^=]*=(.*)$", 1)).alias("v")))
-    query = F.array_join(F.transform(F.array_sort(decoded), lambda x: F.concat(_encoded(x["k"]), F.lit("="), _encoded(x["v"]))), "&")
-    return F.concat(scheme, F.lit("://"), host, path, F.when(query == "", F.lit("")).otherwise(F.concat(F.lit("?"), query)))
+    def address(full: Column) -> Column:
+        scheme = F.lower(F.regexp_extract(full, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1))
+        host = F.regexp_replace(F.lower(_authority(full)), r"^www\.", "")
+        path = F.regexp_extract(full, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#;]*)", 1)
+        path = let(path, lambda p: F.when(p == "", F.lit("/")).when(p == "/", p).otherwise(F.regexp_replace(p, r"/$", "")))
+        pairs = F.filter(F.split(F.regexp_extract(full, r"\?([^#]*)", 1), "&"), lambda p: p.rlike(r"^[^=]*=.+$"))
+        decoded = F.transform(pairs, lambda p: F.struct(_decoded(F.regexp_extract(p, r"^([^=]*)=", 1)).alias("k"), _decoded(F.regexp_extract(p, r"^[^=]*=(.*)$", 1)).alias("v")))
+        query = F.array_join(F.transform(F.array_sort(decoded), lambda x: F.concat(_encoded(x["k"]), F.lit("="), _encoded(x["v"]))), "&")
+        return F.concat(scheme, F.lit("://"), host, path, let(query, lambda q: F.when(q == "", F.lit("")).otherwise(F.concat(F.lit("?"), q))))
+
+    def whole(v: Column) -> Column:
+        return let(F.when(v.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), v).otherwise(F.concat(F.lit("https://"), v)), address)
+
+    return let(normalize_text(c), whole)
 
 
 def strip_html(c: Column, drop_scripts: bool = False) -> Column:
@@ -177,26 +180,32 @@ def first_link_with(links: Column, tokens: tuple[str, ...] = INTAKE_TOKENS) -> C
 
 def _without_dots(path: Column) -> Column:
     """A path without ``.`` and ``..`` segments; what leads above the root stays at the root."""
-    segments = F.split(path, "/")
-    kept = F.aggregate(
-        F.slice(segments, 2, 10_000), F.array().cast("array<string>"),
-        lambda done, x: F.when(x == ".", done).when(x == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0)))).otherwise(F.concat(done, F.array(x))),
-    )
-    folder = F.element_at(segments, -1).isin(".", "..") & (F.size(kept) > 0)
-    return F.concat(F.lit("/"), F.array_join(kept, "/"), F.when(folder, F.lit("/")).otherwise(F.lit("")))
+    def joined(segments: Column) -> Column:
+        kept = F.aggregate(
+            F.slice(segments, 2, 10_000), F.array().cast("array<string>"),
+            lambda done, x: F.when(x == ".", done).when(x == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0)))).otherwise(F.concat(done, F.array(x))),
+        )
+        last = F.element_at(segments, -1).isin(".", "..")
+        return let(kept, lambda k: F.concat(F.lit("/"), F.array_join(k, "/"), F.when(last & (F.size(k) > 0), F.lit("/")).otherwise(F.lit(""))))
+
+    return let(F.split(path, "/"), joined)
 
 
 def resolve_link(base: Column, link: Column) -> Column:
     """Absolute normalised form of a link found on a page: whole, by scheme, by root, by query, or relative to the page's folder."""
     root = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
     page = F.regexp_extract(base, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
-    folder = F.regexp_extract(page, r"^(.*/)", 1)
     path, tail = F.regexp_extract(link, r"^([^?#]*)", 1), F.regexp_extract(link, r"^[^?#]*(.*)$", 1)
-    joined = F.when(path.startswith("/"), path).when(path == "", page).otherwise(F.concat(F.when(folder == "", F.lit("/")).otherwise(folder), path))
+
+    def under(path: Column) -> Column:
+        folder = let(F.regexp_extract(page, r"^(.*/)", 1), lambda f: F.when(f == "", F.lit("/")).otherwise(f))
+        return F.when(path.startswith("/"), path).when(path == "", page).otherwise(F.concat(folder, path))
+
+    whole_path = let(let(path, under), lambda j: F.when(j == "", F.lit("")).otherwise(_without_dots(j)))
     absolute = (
         F.when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), link)
         .when(link.startswith("//"), F.concat(F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*:)", 1), link))
-        .otherwise(F.concat(root, F.when(joined == "", F.lit("")).otherwise(_without_dots(joined)), tail))
+        .otherwise(F.concat(root, whole_path, tail))
     )
     return normalize_url(absolute)
 

@@ -49,17 +49,20 @@ def _below(path: Column, prefixes: Sequence[str]) -> Column:
 
 def reject_reason(url: Column, suppressed: Sequence[str] = ()) -> Column:
     """Why a URL is not fetched, the first that applies; empty if it may be."""
-    path = path_of(url)
-    static = F.lit(False)
-    for p in STATIC_PATHS:
-        static = static | path.startswith(p)
-    ending = F.lit(False)
-    for e in STATIC_ENDINGS:
-        ending = ending | path.endswith(e)
-    return (
-        F.when(_below(path, suppressed), "suppressed_prefix").when(static, "static_path").when(_below(path, LOW_VALUE_PATHS), "low_value_path")
-        .when(ending, "static_extension").otherwise("")
-    )
+    def reason(path: Column) -> Column:
+        static = F.lit(False)
+        for p in STATIC_PATHS:
+            static = static | path.startswith(p)
+        ending = F.lit(False)
+        for e in STATIC_ENDINGS:
+            ending = ending | path.endswith(e)
+        return (
+            F.when(_below(path, suppressed), "suppressed_prefix").when(static, "static_path").when(_below(path, LOW_VALUE_PATHS), "low_value_path")
+            .when(ending, "static_extension").otherwise("")
+        )
+
+    # the path is bound once: a filter computes it anew at each of some sixty places otherwise
+    return let(path_of(url), reason)
 
 
 def accepted(url: Column, seed: Column, depth: Column, most_depth: int, suppressed: Sequence[str] = (), schemes: Sequence[str] = ("http", "https")) -> Column:
@@ -81,9 +84,10 @@ def expanded(pages: DataFrame, seen: DataFrame, most_depth: int, per_page: int,
     link = F.explode(F.transform(F.array_distinct(extract_links(c("html"))), lambda x: F.struct(x.alias("raw"), resolve_link(c("url"), x).alias("url"))))
     links = pages.where(c("depth") < most_depth).select(c("url").alias("from_url"), "seed", "source_type", (c("depth") + 1).alias("depth"), link.alias("link")).select("*", "link.raw", "link.url")
     scored = links.where(accepted(c("url"), c("seed"), c("depth"), most_depth, suppressed))
-    new = scored.join(seen.select("url").distinct(), "url", "left_anti").withColumn("score", research_score(c("url"), c("seed"), c("source_type")))
+    new = scored.join(seen.select("url").distinct(), "url", "left_anti")
     # several links of a page to one address count as the first of them
-    once = new.groupBy("from_url", "url", "seed", "source_type", "depth", "score").agg(F.min(F.struct(F.length("raw").alias("length"), c("raw").alias("raw"))).alias("as"))
+    once = new.groupBy("from_url", "url", "seed", "source_type", "depth").agg(F.min(F.struct(F.length("raw").alias("length"), c("raw").alias("raw"))).alias("as"))
+    once = once.withColumn("score", research_score(c("url"), c("seed"), c("source_type")))
     w = Window.partitionBy("from_url").orderBy(F.desc("score"), "as", "url")
     best = once.withColumn("rank", F.row_number().over(w)).where(c("rank") <= per_page)
     return best.groupBy("url").agg(F.min_by(F.struct("from_url", "seed", "source_type", "depth", "score", "rank"), "from_url").alias("r")).select("url", "r.*")

@@ -79,3 +79,16 @@ def test_diagnosis_and_ages(spark):
     rows = [("Autism diagnostic evaluations for children",), ("We know autism",), ("adults",), ("",)]
     got = values(spark, rows, "x string", signals.diagnosis(F.col("x"), signals.CONDITIONS["diagnoses_asd"]), signals.age_groups(F.col("x")))
     assert got == [("yes", ["child", "adolescent"]), ("unclear", ["unknown"]), ("unclear", ["adult"]), ("unclear", ["unknown"])]
+
+
+def test_domains_and_links_look_at_their_text_once(spark):
+    from evigrid.functions.text import normalize_domain, resolve_link
+
+    cases = {
+        "HTTPS://www.A.org:80/x": "a.org:80", "www.b.org/p": "b.org", "a/b://c": "", "1x://c": "", "": "", None: "", "//d.org": "", "mailto:x@y": "mailto:x@y", "http://www.": "", "x y?://": "",
+    }
+    rows = spark.createDataFrame([(k, v) for k, v in cases.items()], "u string, want string")
+    assert {r.u: r.got for r in rows.select("u", normalize_domain(F.col("u")).alias("got")).collect()} == cases
+    plan = lambda made: spark.range(1).select(F.lit("a").alias("u"), F.lit("b").alias("l")).select(made.alias("x"))._jdf.queryExecution().analyzed().toString()
+    assert plan(normalize_domain(F.col("u"))).count("coalesce(u") == 1
+    assert plan(resolve_link(F.col("u"), F.col("l"))).count("regexp_extract(") < 20
