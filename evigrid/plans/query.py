@@ -74,11 +74,15 @@ PRESETS = {
     "outreach-ready": ("provider_practice_records", "provider_name_snapshot AS provider_name, practice_name_snapshot AS practice_name, outreach_fit_score, record_confidence, diagnoses_asd, diagnoses_adhd, license_status",
                        "outreach_ready = 1", "outreach_fit_score DESC, record_confidence DESC, provider_name_snapshot ASC"),
 }
+# What ends the ties that a preset's order leaves open, so that reruns and other partitions give the same rows.
+TIES = {"low-confidence-records": "record_id ASC", "outreach-ready": "record_id ASC"}
 
 
 def preset(spark: SparkSession, name: str, limit: int = 20) -> DataFrame:
     """A preset over the registered views."""
     table, columns, condition, order = PRESETS[name]
+    if name in TIES:
+        order = f"{order}, {TIES[name]}"
     return spark.sql(f"SELECT {columns} FROM {table} WHERE {condition} ORDER BY {order} LIMIT {int(limit)}")
 
 

@@ -115,3 +115,15 @@ def test_schemas(spark):
     assert len(schemas.fingerprint()) == 64
     assert schemas.drift(schemas.empty(spark, "providers"), "providers") == []
     assert schemas.drift(schemas.empty(spark, "providers").drop("npi"), "providers") == ["npi"]
+
+
+def test_presets_end_ties_by_record(spark):
+    from evigrid.plans import query
+
+    rows = spark.range(40, 0, -1, 4).selectExpr(
+        "id AS record_id", "'n' AS provider_name_snapshot", "CAST(id AS STRING) AS practice_name_snapshot", "0.1D AS record_confidence", "'' AS review_status", "'' AS blocked_reason", "1 AS updated_at",
+        "0.5D AS outreach_fit_score", "'yes' AS diagnoses_asd", "'' AS diagnoses_adhd", "'active' AS license_status", "1 AS outreach_ready",
+    )
+    rows.createOrReplaceTempView("provider_practice_records")
+    for name in ("low-confidence-records", "outreach-ready"):
+        assert [r.practice_name for r in query.preset(spark, name).collect()] == [str(i) for i in range(1, 21)]
