@@ -174,3 +174,39 @@ def test_spans_of_a_key_over_many_ranges(spark):
         ends = [s[1] for s in starts[1:]] + [None]
         want += [(key, v, since, until, mine[0][1], i) for (v, since, i), until in zip(starts, ends, strict=True)]
     assert sorted(want, key=str) == sorted(got, key=str)
+
+
+def test_holders_of_a_key_over_many_ranges(spark):
+    rng = random.Random(5)
+    places = [(split << 33) + i for split in range(11) for i in range(20)]
+    held = []
+    for _ in range(120):
+        since, until = sorted(rng.sample(places, 2))
+        held.append((rng.choice("ab"), rng.randrange(4), since, rng.choice((until, until, None)), rng.choice(places)))
+    each = [(key, p) for key in "abc" for p in places if rng.random() < 0.7]
+    want = set()
+    for key, p in each:
+        found = [(k, b, s) for h, k, s, u, b in held if h == key and s < p and (u is None or u >= p)]
+        want |= {(p, *min(found))} if found else set()
+    from pyspark.sql import functions as F
+
+    each, held = spark.createDataFrame(each, "key string, pos long"), spark.createDataFrame(held, "key string, rank int, since long, until long, born long")
+    for hot in (None, spark.createDataFrame([("a",)], "key string")):
+        assert {tuple(r) for r in resolve.holders(each, held, F.lit(11), hot).collect()} == want
+
+
+def test_histories_with_hot_keys(spark, rows, folded, monkeypatch):
+    monkeypatch.setattr(resolve, "HOT_PROBES", 3)
+    got = {r.extracted_id: (r.provider_id, r.matched_by) for r in resolve.assign_providers(frame(spark, rows)).collect()}
+    assert got == folded[2]
+
+
+def test_records_of_a_portal_grow_with_its_rows(spark):
+    """A practice whose address changes with each row: keys and probes double with the rows, they don't quadruple."""
+    found = []
+    for n in (30, 60):
+        rows = [row(i, provider_name=f"P{i}", source_url=f"https://portal.net/site{i % 2}.org", phone=str(i)) for i in range(n)]
+        base, each, splits, hot = resolve._prepared(frame(spark, rows), "extracted_id", "created_at")
+        keys, _ = resolve._lookup_spans(base.withColumn("provider_id", base["new_id"]))
+        found.append(keys.count() + each.count())
+    assert found[1] <= 2 * found[0] + 10
