@@ -210,3 +210,10 @@ def test_records_of_a_portal_grow_with_its_rows(spark):
         keys, _ = resolve._lookup_spans(base.withColumn("provider_id", base["new_id"]))
         found.append(keys.count() + each.count())
     assert found[1] <= 2 * found[0] + 10
+
+
+def test_only_wanted_tables_and_boards_without_a_record(spark):
+    rows = [row(0, provider_name="Ann Lee", npi="111"), row(1, provider_name="Ann Lee", npi="111", source_type="licensing_board"), row(2, provider_name="Ann Lee", npi="111", source_type="licensing_board", license_state="NY", source_url="https://ny.gov/")]
+    tables = resolve.resolve_rows(frame(spark, rows), wanted=("review_queue",))
+    assert list(tables) == ["review_queue"]
+    assert [(r.review_type, r.source_url) for r in tables["review_queue"].collect()] == [("unmatched_license", "https://ny.gov/")]
