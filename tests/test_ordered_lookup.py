@@ -217,3 +217,23 @@ def test_only_wanted_tables_and_boards_without_a_record(spark):
     tables = resolve.resolve_rows(frame(spark, rows), wanted=("review_queue",))
     assert list(tables) == ["review_queue"]
     assert [(r.review_type, r.source_url) for r in tables["review_queue"].collect()] == [("unmatched_license", "https://ny.gov/")]
+
+
+def test_pointers_are_followed_four_times_as_far_each_round(spark, monkeypatch):
+    written, cut = [], resolve.cut
+    monkeypatch.setattr(resolve, "cut", lambda df: written.append(1) or cut(df))
+    ends = resolve._followed(spark.range(1, 201).selectExpr("id", "id - 1 AS at"))
+    assert {(r.id, r.at) for r in ends.collect()} == {(i, 0) for i in range(1, 201)}
+    assert len(written) <= 5  # nine by single doubling
+
+
+def test_numbers_names_and_records_have_their_spans_in_one_pass(spark, monkeypatch):
+    made, spans = [], resolve.spans
+    rows = [dict.fromkeys(COLUMNS, "") | {"extracted_id": f"e{i}", "created_at": i, "provider_name": "Ann Lee", "state": "NJ", "license_state": "NJ", "npi": n, "source_url": "https://a.org"} for i, n in enumerate(("1", "", "2"))]
+    df = spark.createDataFrame([tuple(r[c] for c in COLUMNS) + ([], []) for r in rows], SCHEMA)
+    base, *_ = resolve._prepared(df, "extracted_id", "created_at")
+    monkeypatch.setattr(resolve, "spans", lambda *a: made.append(1) or spans(*a))
+    keys, records = resolve._lookup_spans(base.selectExpr("*", "'x' AS provider_id"))
+    at = {p.id: p.pos for p in base.collect()}
+    assert {(r.key.split("\x1f")[1], r.since, r.until, r.born) for r in keys.where("rank = 0").collect()} == {("1", at["e0"], at["e2"], at["e0"]), ("2", at["e2"], None, at["e0"])}
+    assert records.count() == 1 and len(made) == 1
