@@ -6,6 +6,7 @@ Vocabularies are parameters, so the same cascades serve other domains.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -203,18 +204,18 @@ def license_type(credentials: Column, source_type: Column, types: Sequence[tuple
 
 def person_name(c: Column, prefixes: Sequence[str] = NAME_PREFIXES, stop_words: Sequence[str] = NAME_STOP_WORDS) -> Column:
     """Whether a text may be a person's name: two to five words of which two are capitalised, no digits, none of the stop words."""
-    v = normalize_text(c)
-    low = F.lower(v)
-    tokens = F.split(v, " ")
-    words = F.filter(F.transform(tokens, lambda t: F.regexp_replace(t, r"[^A-Za-z'\-]", "")), lambda t: t != "")
-    capitals = F.filter(words, lambda t: t.rlike(r"^['\-]*[A-Z]"))
-    begins = F.lit(False)
-    for p in prefixes:
-        begins = begins | low.startswith(p)
-    bad = F.arrays_overlap(F.transform(words, F.lower), F.array(*map(F.lit, stop_words)))
-    return (
-        F.length(v).between(6, 80) & ~v.contains("|") & ~begins & ~v.rlike(r"[0-9]") & F.size(tokens).between(2, 5) & (F.size(words) >= 2) & ~bad & (F.size(capitals) >= 2)
-    )
+    def words_fit(words: Column) -> Column:
+        capitals = F.filter(words, lambda t: t.rlike(r"^['\-]*[A-Z]"))
+        return (F.size(words) >= 2) & (F.size(capitals) >= 2) & ~F.arrays_overlap(F.transform(words, F.lower), F.array(*map(F.lit, stop_words)))
+
+    def fits(v: Column) -> Column:
+        begins = let(F.lower(v), lambda low: reduce(lambda x, y: x | y, (low.startswith(p) for p in prefixes), F.lit(False)))
+        tokens = F.split(v, " ")
+        words = F.filter(F.transform(tokens, lambda t: F.regexp_replace(t, r"[^A-Za-z'\-]", "")), lambda t: t != "")
+        return F.length(v).between(6, 80) & ~v.contains("|") & ~begins & ~v.rlike(r"[0-9]") & F.size(tokens).between(2, 5) & let(words, words_fit)
+
+    # the text and its words are computed once, however often they are looked at
+    return let(normalize_text(c), fits)
 
 
 def has_contact(*channels: Column) -> Column:

@@ -64,13 +64,20 @@ def contradictions(evidence: DataFrame, fields: Sequence[str] = CRITICAL_FIELDS)
 
 
 def source_summary(evidence: DataFrame, fields: Sequence[str] = CRITICAL_FIELDS) -> DataFrame:
-    """Per record: count of evidence, latest source and quote, sorted domains, critical fields that are shown."""
+    """Per record: count of evidence, latest source and quote, sorted domains, critical fields that are shown, and those that have more than one value."""
     latest = F.max(F.struct(F.col("captured_at"), F.col("evidence_id"), F.col("source_url"), F.col("quote")))
-    shown = F.col("field_name").isin(*fields) & (F.coalesce(F.col("source_url"), F.lit("")) != "") & (F.coalesce(F.col("quote"), F.lit("")) != "")
+    shown = (F.coalesce(F.col("source_url"), F.lit("")) != "") & (F.coalesce(F.col("quote"), F.lit("")) != "")
+    each = []
+    for i, f in enumerate(fields):  # flags and extremes by field, so that one pass over the evidence is enough
+        value = F.when(F.col("field_name") == f, F.nullif(F.col("field_value"), F.lit("")))
+        each += [F.bool_or((F.col("field_name") == f) & shown).alias(f"_s{i}"), F.min(value).alias(f"_l{i}"), F.max(value).alias(f"_m{i}")]
+    listed = lambda holds: F.array_sort(F.array_compact(F.array(*(F.when(holds(i), F.lit(f)) for i, f in enumerate(fields)))))
     return evidence.groupBy("record_id").agg(
-        F.count("*").alias("evidence_count"), latest.alias("_l"), F.array_sort(F.array_remove(F.collect_set(normalize_domain(F.col("source_url"))), "")).alias("domains"),
-        F.array_sort(F.collect_set(F.when(shown, F.col("field_name")))).alias("critical_present"),
-    ).select("record_id", "evidence_count", F.col("_l.source_url").alias("latest_source_url"), F.col("_l.quote").alias("latest_quote"), "domains", "critical_present")
+        F.count("*").alias("evidence_count"), latest.alias("_l"), F.array_sort(F.array_remove(F.collect_set(normalize_domain(F.col("source_url"))), "")).alias("domains"), *each,
+    ).select(
+        "record_id", "evidence_count", F.col("_l.source_url").alias("latest_source_url"), F.col("_l.quote").alias("latest_quote"), "domains",
+        listed(lambda i: F.col(f"_s{i}")).alias("critical_present"), listed(lambda i: F.col(f"_l{i}") != F.col(f"_m{i}")).alias("conflicts"),
+    )
 
 
 def decide(records: DataFrame, evidence: DataFrame, fields: Sequence[str] = CRITICAL_FIELDS) -> DataFrame:
@@ -78,8 +85,7 @@ def decide(records: DataFrame, evidence: DataFrame, fields: Sequence[str] = CRIT
 
     The penalty for conflicts is taken from the scored confidence, so deciding twice gives the same.
     """
-    conflicts = conflicting_fields(evidence, fields).withColumnRenamed("conflicts", "_conflicts")
-    joined = records.join(source_summary(evidence, fields), "record_id", "left").join(conflicts, "record_id", "left")
+    joined = records.join(source_summary(evidence, fields).withColumnRenamed("conflicts", "_conflicts"), "record_id", "left")
     none = F.array().cast("array<string>")
     conflict, shown = F.coalesce("_conflicts", none), F.coalesce("critical_present", none)
     in_order = [F.lit(f) for f in fields]
@@ -90,10 +96,12 @@ def decide(records: DataFrame, evidence: DataFrame, fields: Sequence[str] = CRIT
         "conflict_notes": notes, "missing_critical": missing, "latest_source_url": F.coalesce("latest_source_url", first_url, F.lit("")), "latest_quote": F.coalesce("latest_quote", F.lit("")),
         "final_confidence": F.when(F.size(notes) > 0, F.greatest(F.lit(0.0), F.round(F.col("record_confidence") - CONFLICT_PENALTY, 3))).otherwise(F.col("record_confidence")),
     })
-    name, practice, url = normalize_text(F.col("provider_name_snapshot")), normalize_text(F.col("practice_name_snapshot")), F.col("latest_source_url")
+    # columns of their own, so that each is computed once a record and not wherever a lane looks at it
+    joined = joined.withColumns({"_valid": person_name(F.col("provider_name_snapshot")), "_practice": normalize_text(F.col("practice_name_snapshot"))})
+    practice, url = F.col("_practice"), F.col("latest_source_url")
     contact = has_contact(F.col("phone"), F.col("website"), F.col("intake_url"))
     lane = triage(
-        directory_source(practice, url), person_name(name), practice_signal(practice, url, F.col("latest_quote")), indirect_source(url), contact,
+        directory_source(practice, url), F.col("_valid"), practice_signal(practice, url, F.col("latest_quote")), indirect_source(url), contact,
         F.size(shown), F.col("final_confidence"), F.size("missing_critical") > 0,
     )
     reasons = F.array_compact(F.concat(
@@ -112,7 +120,7 @@ def decide(records: DataFrame, evidence: DataFrame, fields: Sequence[str] = CRIT
         "review_status": F.when(approved, "ready").otherwise("queued"), "export_status": F.when(approved, "approved").otherwise("blocked"),
         "outreach_ready": F.coalesce(ready, F.lit(False)).cast("int"), "blocked_reason": F.coalesce(_lane_reason(F.col("lane")), F.array_join("reasons", "; ")),
         "conflict_note": F.array_join("conflict_notes", "; "),
-    }).drop("_conflicts")
+    }).drop("_conflicts", "_valid", "_practice")
 
 
 def _lane_reason(lane: Column) -> Column:

@@ -39,8 +39,10 @@ def capped(weight: Column, value: Column) -> Column:
 
 def field_confidence(records: DataFrame, evidence: DataFrame, fields: Sequence[str] = CRITICAL_FIELDS, record: str = "record_id") -> DataFrame:
     """``records`` with ``conf_<field>`` for each field and ``record_confidence``, their mean."""
-    pivoted = best_evidence(evidence, record).groupBy(record).pivot("field_name", list(fields)).agg(F.first("weight"))
-    joined = records.join(pivoted.select(record, *(F.col(f).alias(f"_w_{f}") for f in fields)), record, "left")
+    # one pass with map-side combine: the greatest weight of each field is a column of its own
+    weight = F.when(F.coalesce(F.col("source_url"), F.lit("")) != "", tier_weight(F.col("source_tier")))
+    best = evidence.groupBy(record).agg(*(F.max(F.when(F.col("field_name") == f, weight)).alias(f"_w_{f}") for f in fields))
+    joined = records.join(best, record, "left")
     joined = joined.withColumns({f"conf_{f}": capped(F.col(f"_w_{f}"), F.col(f)) for f in fields}).drop(*(f"_w_{f}" for f in fields))
     total = sum((F.col(f"conf_{f}") for f in fields[1:]), F.col(f"conf_{fields[0]}"))
     # the sum is rounded first, as sums of binary fractions miss ties
@@ -121,8 +123,11 @@ def score(records: DataFrame, evidence: DataFrame, rules: DataFrame, at: Column
     ruled = authority(records, rules)
     shown = rule_evidence(ruled, F.col("updated_at") if at is None else at)
     own = evidence if "source_document_id" in evidence.columns else evidence.withColumn("source_document_id", F.lit(""))
-    own = own.select(*shown.columns).join(shown.select("evidence_id"), "evidence_id", "left_anti")
-    all_evidence = own.select(*shown.columns).unionByName(shown)
+    own = own.select(*shown.columns)
+    # only ids of the form that rules' evidence has can be among them, so others are not looked up
+    alike = F.coalesce(F.col("evidence_id").startswith("evi_"), F.lit(False))
+    own = own.where(~alike).unionByName(own.where(alike).join(shown.select("evidence_id"), "evidence_id", "left_anti"))
+    all_evidence = own.unionByName(shown)
     scored = field_confidence(ruled, all_evidence).withColumn("_fit", outreach_fit())
     scored = scored.withColumns({"outreach_fit_score": F.col("_fit.score"), "outreach_reasons": F.col("_fit.reasons"), "outreach_ready": F.lit(0)})
     return scored.drop("_fit", "rule_quote", "rule_citation", "has_rule"), all_evidence

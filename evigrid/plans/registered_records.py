@@ -337,8 +337,9 @@ decided AS (SELECT *, coalesce(lane, CASE WHEN why <> '' THEN 'record_review' EN
 
 def _decided(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     scored, evidence = score.score(*_records_and_evidence(spark, sf_dir))
-    evidence = cut(evidence)
-    return cut(review.decide(cut(scored), evidence)), evidence
+    decided = review.decide(scored, evidence)
+    # domains and counts of evidence are asked for by none of these queries
+    return cut(decided.drop("domains", "evidence_count")), evidence
 
 
 @registered(f"""{_DECIDED} SELECT record_id, lane, review_type, CAST(final AS BIGINT) AS final, conflicts AS conflict_note, CASE WHEN lane IS NULL THEN why END AS reasons, missing, ready,
