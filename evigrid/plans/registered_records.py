@@ -241,7 +241,9 @@ r AS (
   UNION ALL SELECT source_url, '', '', '', 'Seed', '', '', 'unknown', 'unknown', 'unclear', 'unclear', 'unknown', 'yes', 'diagnoses_asd' FROM p WHERE k % 8 = 7)
 SELECT * FROM r""")
 def extract_records(spark, sf_dir):
-    rows = extract.extract_records(cut(landed_pages(spark, sf_dir)))
+    # customers are few bytes a row, so their files are read by few tasks; pages are work, so they are dealt to all
+    pages = landed_pages(spark, sf_dir).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+    rows = extract.extract_records(cut(pages))
     return rows.select(
         "source_url", "provider_name", "credentials", "npi", "practice_name", "city", "phone", "license_type", "license_status", "diagnoses_asd", "diagnoses_adhd", F.array_join("age_groups", ",").alias("age_groups"),
         "telehealth", F.array_join(F.transform("evidence", lambda e: e["field"]), ",").alias("shown"),
