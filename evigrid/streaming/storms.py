@@ -8,8 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..operators.frontier import PREFIX_STORM_LIMIT, STORM_LIMITS
-from .domains import ACTIONS, REASONS, _Batch
+from .domains import _Batch
 
 OUTPUT = "domain string, action string, reason string, event_id long, failures int"
 
@@ -18,16 +17,16 @@ def _observe(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> It
     counts = dict(zip(*state.get, strict=True)) if state.exists else {}
     found, batch = [], _Batch(0)
     for part in parts:
-        if len(part):
-            batch.add(part.rename(columns={"ts": "at"}).assign(escalation=None, browser_pages=0))
-    for (by, name), n in batch.totals.items():
-        before = counts.get(f"{by} {name}", 0)
-        counts[f"{by} {name}"] = before + n
-        limit = STORM_LIMITS.get(name, 0) if by == "kind" else PREFIX_STORM_LIMIT if by == "prefix" else 0
-        if before < limit <= before + n:
-            r = batch.crossing(by, name, limit - before)
-            action, reason = (ACTIONS[name], REASONS[name]) if by == "kind" else ("auto_suppress_prefix", f"{r['kind']}_storm")
-            found.append((key[0], action, reason, int(r["event_id"]), limit))
+        places, prefixes = part["ts"].astype("int64"), (None if p == "/" else p for p in part["prefix"])
+        batch.add((*fetch, "", None) for fetch in zip(places, part["event_id"], part["kind"], prefixes))
+    for by, named in (("kind", batch.kinds), ("prefix", batch.prefixes)):
+        for name, new in named.items():
+            before = counts.get(f"{by} {name}", 0)
+            counts[f"{by} {name}"] = before + new.n
+            storm = batch.crossed(by, name, before)
+            if storm is not None:
+                action, reason, _, event_id, limit = storm
+                found.append((key[0], action, reason, event_id, limit))
     state.update((list(counts), list(counts.values())))
     yield pd.DataFrame(found, columns=["domain", "action", "reason", "event_id", "failures"])
 
