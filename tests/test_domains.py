@@ -3,6 +3,7 @@
 import datetime as dt
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -153,13 +154,56 @@ def test_a_domain_costs_a_few_exchanges_with_the_state():
 
     def arrive(some):
         calls.clear()
-        fetches = [("d", int((at - START).total_seconds()), i, kind, prefix if kind and prefix != "/" else None, (error or kind or "")[:240], block if browser else None) for _, at, i, kind, prefix, error, block, browser in some]
-        return [tuple(r) for r in state.handleInputRows(("d",), iter(fetches), None)]
+        fetches = [(int((at - START).total_seconds()), i, kind, prefix if kind and prefix != "/" else None, (error or kind or "")[:240], block if browser else None) for _, at, i, kind, prefix, error, block, browser in some]
+        packed = [("d", *zip(*fetches[i : i + 9])) for i in range(0, len(fetches), 9)]
+        return [tuple(r) for r in state.handleInputRows(("d",), iter(packed), None)]
 
     want, held = plain([("d", *r[1:]) for r in rows])
     first = arrive(rows[:40])
-    assert len(calls) <= 2 + 3  # the state, and the prefixes /x/, /y/ and /z/
+    assert len(calls) == 2
     second = arrive(rows[40:])
-    assert len(calls) <= 3 + 2 * 3
+    assert len(calls) == 3
     assert sorted((r[:6] for r in first + second if r[1] != "observed"), key=str) == want
     assert (second[-1][2], *second[-1][5:]) == held["d"]
+
+
+def test_packed_fetches_are_all_fetches(monkeypatch):
+    rng = random.Random(5)
+    rows = [(rng.choice(["hot", "hot", "hot", None, *"abcdefgh"]), i, i, rng.choice([None, "dns"]), rng.choice([None, "/x/"]), "", None) for i in range(3000)]
+    batches = [pa.RecordBatch.from_pylist([dict(zip(["domain", *domains.PACKED], r)) for r in rows[i : i + 500]], pa.schema([("domain", pa.string()), *((n, pa.int64() if t == "long" else pa.string()) for n, t in domains.PACKED.items())])) for i in range(0, 3000, 500)]
+    for most in (1, 40_000, domains.PACK_BYTES):
+        monkeypatch.setattr(domains, "PACK_BYTES", most)
+        lists = [r for b in domains._pack(iter([batches[0].slice(0, 0), *batches])) for r in b.to_pylist()]
+        assert max(len(r["place"]) for r in lists) <= domains.AT_ONCE and len(lists) < 400
+        back = [(r["domain"], *f) for r in lists for f in zip(*(r[n] for n in domains.PACKED), strict=True)]
+        assert sorted(back, key=lambda r: r[1]) == rows
+
+
+@pytest.mark.parametrize("zone", ["timestamp_ltz", "timestamp_ntz"])
+def test_a_stream_orders_by_instant_and_takes_nulls(spark, tmp_path, zone):
+    """Where clocks go back an hour, an instant after another has an earlier local time; a null time or id comes first and is no failure."""
+    rows = [("d", "2026-11-01 05:50:00", 1, None, "/", None, None, 2), ("d", "2026-11-01 06:10:00", 2, "blocked", None, None, "status:403", 2), ("d", None, 3, "dns", "/x/", "", None, None), (None, "2026-11-01 06:10:00", None, "not_found", "/y/", "", None, 0)]
+    at = "CAST(at AS timestamp_ntz)" if zone == "timestamp_ntz" else "to_timestamp_ltz(concat(at, 'Z'))"
+    spark.createDataFrame(rows, SCHEMA.replace("timestamp", "string")).withColumn("at", F.expr(at)).coalesce(1).write.parquet(str(tmp_path / "in"))
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        stream = spark.readStream.schema(SCHEMA.replace("at timestamp", f"at {zone}")).parquet(str(tmp_path / "in"))
+        out = domains.stored(domains.domain_stream(stream, LIMIT), str(tmp_path / "out")).drop("batch")
+        got = {tuple(r) for r in out.collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert got == {
+        ("d", "auto_quarantine_seed", "dns_failure", "", 3, 1, None), ("d", "browser_escalation", "status:403", "", 2, None, None), ("d", "observed", "blocked", "", 2, 2, 1),
+        (None, "observed", "not_found", "", None, 1, 0),
+    }
+
+
+def test_many_prefixes_are_counted_apart_from_the_others(spark, tmp_path):
+    fetches = [("d", START + dt.timedelta(seconds=i), i, "error", f"/p{i % 100}/", "", None, 0) for i in range(400)]
+    for part in (fetches[:150], fetches[150:220], fetches[220:]):
+        land(spark, part, str(tmp_path / "in"))
+    known = domains.totals(spark.createDataFrame([("d", START, 0, "error", f"/p{i}/", "", None, 0) for i in range(40)], SCHEMA), LIMIT)
+    out = run(spark, tmp_path, known)
+    assert {(r.detail, r.event_id) for r in out.where("action = 'auto_suppress_prefix'").collect()} == {(f"/p{i}/", i + (100 if i < 40 else 200)) for i in range(100)}
+    assert states(out)["d"] == ("error", 440, 0)
