@@ -41,12 +41,16 @@ def scratch_path(spark: SparkSession, tag: str) -> str:
     return path
 
 
-def stored(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
-    """``df`` written to a table in the shared folder and read again, which cuts its lineage, and the path."""
+def stored(df: DataFrame, tag: str, rows: int = 0) -> tuple[DataFrame, str]:
+    """``df`` written to a table in the shared folder and read again, which cuts its lineage, and the path.
+
+    With ``rows`` a file has at most as many: Spark holds thousands of a file's rows at once when it
+    reads them, so rows of long arrays need small files to be read in bounded memory.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, tag)
     schema = df.schema
-    df.write.parquet(path)
+    df.write.option("maxRecordsPerFile", rows).parquet(path)
     return spark.read.schema(schema).parquet(path), path
 
 

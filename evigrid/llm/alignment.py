@@ -29,6 +29,8 @@ B_VOCABULARY = "piece_bpe_32k.model"
 TRANSITIONS = 300_000
 #: Chunks whose digest texts are joined at once.
 JOINED = 100_000
+#: Blocks in a stored file; a block's arrays are some MB, and a task reads a file's at once.
+FILE_BLOCKS = 8
 
 
 class Transducer:
@@ -271,9 +273,9 @@ def align(docs: DataFrame, a: str = A_VOCABULARY, b: str = B_VOCABULARY) -> Data
     bytes either side doesn't give back, has no tokens: zeros and ''. Repeated rows and ids are
     documents of their own. An empty table gives no rows. Other columns are ignored. Pairs are counted
     in each block first, so a pair that all documents hold is one row a block. Blocks are stored once
-    in the shared folder.
+    in the shared folder, a few a file.
     """
-    cut, _ = stored(alignment_blocks(docs, a, b).withColumn("block", F.monotonically_increasing_id()), "blocks")
+    cut, _ = stored(alignment_blocks(docs, a, b).withColumn("block", F.monotonically_increasing_id()), "blocks", FILE_BLOCKS)
     flat = cut.select("block", F.posexplode("pairs").alias("at", "pair"))
     back = flat.join(pair_counts(cut), "pair").groupBy("block").agg(F.collect_list(F.struct("at", "count", "best")).alias("found"))
     none = F.array().cast("array<struct<at:int,count:bigint,best:boolean>>")

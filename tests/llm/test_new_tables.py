@@ -255,6 +255,20 @@ def test_alignment_equals_a_plain_version(docs, rows):
     assert alignment.align(docs.limit(0)).count() == 0
 
 
+def test_alignment_stores_few_blocks_a_file(spark, monkeypatch):
+    paths = {}
+
+    def kept(df, tag, *more, stored=alignment.stored):
+        table, paths[tag] = stored(df, tag, *more)
+        return table, paths[tag]
+
+    monkeypatch.setattr(alignment, "stored", kept)
+    docs = spark.range(0, 20_000, 1, 1).selectExpr("id AS doc_id", "'a b' AS text")
+    assert alignment.align(docs).count() == 20_000
+    held = [r["count"] for r in spark.read.parquet(paths["blocks"]).selectExpr("input_file_name() AS file").groupBy("file").count().collect()]
+    assert sum(held) >= 20 and max(held) <= 8  # a task reads all rows of a file at once
+
+
 def test_transducer_closes_groups_where_both_sides_end():
     machine = alignment.Transducer([b"ab", b"c", b"def", b"a"], [b"a", b"bcd", b"ef", b"ab"])
     assert machine.groups([0, 1, 2], [0, 1, 2]) == [([0, 1, 2], [0, 1, 2])]
