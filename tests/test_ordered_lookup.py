@@ -201,6 +201,22 @@ def test_histories_with_hot_keys(spark, rows, folded, monkeypatch):
     assert got == folded[2]
 
 
+def test_later_rounds_look_up_changed_keys_only(spark, rows, folded, monkeypatch):
+    asked, holders = [], resolve.holders
+    monkeypatch.setattr(resolve, "PARTS_FROM", 0, raising=False)
+    monkeypatch.setattr(resolve, "holders", lambda each, *a: asked.append(each.count()) or holders(each, *a))
+    got = {r.extracted_id: (r.provider_id, r.matched_by) for r in resolve.assign_providers(frame(spark, rows)).collect()}
+    assert got == folded[2]
+    assert len(asked) > 3 and asked[-1] < asked[0] / 10
+
+
+def test_spans_at_once_are_those_of_dealt_keys(spark):
+    rng = random.Random(3)
+    events = [(rng.choice("abcd"), p, p // 7, rng.choice((None, "x", "x", "y")), rng.choice((None, "1", "2")), f"e{p}") for p in range(300)]
+    events = spark.createDataFrame(events, "key string, pos long, split long, v string, w string, id string")
+    assert sorted(map(str, resolve._spans_at_once(events, "key", ["v", "w"], "id").collect())) == sorted(map(str, resolve.spans(events, "key", ["v", "w"], "id").collect()))
+
+
 def test_records_of_a_portal_grow_with_its_rows(spark):
     """A practice whose address changes with each row: keys and probes double with the rows, they don't quadruple."""
     found = []
